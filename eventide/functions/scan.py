@@ -1,19 +1,23 @@
 """Skew-safe ordered scans per key (running sums, finite-state folds).
 
 A running value per key ("count so far", "state after this request") is a
-prefix scan.  ``Window.partitionBy(key)`` would put every row of a key into
-one task, so a key holding a third of the data would make one straggler
-task.  These helpers split hot keys instead:
-
-1. ``repartitionByRange(n, key, order...)`` samples the composite
-   (key, order) space, so a hot key is cut into several contiguous chunks;
-   the chunk id is the partition id.
-2. Inside each (key, chunk) the scan runs locally (a JVM window for sums, a
-   vectorised Arrow batch scan for state machines).
-3. Only keys that straddle a chunk boundary need a carry from earlier chunks.
-   Such a (key, chunk) pair always has the chunk's first or last key, so the
-   carry table has at most ``2 * n`` rows - a proven bound, which is why it
-   is broadcast.  Every other row gets the neutral carry.
+prefix scan.  ``Window.partitionBy(key)`` alone would put every row of a key
+into one task, so a key holding a third of the data would make one
+straggler task.  These helpers split hot keys instead:
+
+1. Exact per-key statistics (count, min and max of the leading order
+   column) come from a partial-aggregating ``groupBy``.  A key with more
+   than ``max_chunk_rows`` rows is cut into ``ceil(count / max_chunk_rows)``
+   contiguous ranges of the leading order column; other keys are one chunk.
+   The chunk id is a pure function of the row and those exact statistics,
+   so every branch and every task retry sees the same chunks (sampling
+   based range bounds would not be stable across recomputation).
+2. Inside each (key, chunk) the scan runs locally: a JVM window for sums,
+   a vectorised Arrow batch scan for state machines.
+3. Chunks after the first of a split key take a carry from the earlier
+   chunks.  Only split keys have carries, and there are at most
+   ``rows / max_chunk_rows`` such chunks; AQE picks broadcast or shuffle
+   for that table from its measured size.
 """
 
 from __future__ import annotations
@@ -27,80 +31,79 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "__chunk"
-
-
-def _n_chunks(df: DataFrame, chunks: int | None) -> int:
-    if chunks:
-        return chunks
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
-def chunk_by_range(df: DataFrame, keys: list[str], order: list[str],
-                   chunks: int | None = None) -> DataFrame:
-    """Range-partition on (keys, order) and tag rows with their chunk id."""
-    n = _n_chunks(df, chunks)
-    return (df.repartitionByRange(n, *keys, *order)
-              .withColumn(CHUNK, F.spark_partition_id()))
-
-
-def boundary_keys(ranged: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that are first or last in some chunk: at most 2 rows per chunk."""
-    k = F.struct(*keys)
-    ends = ranged.groupBy(CHUNK).agg(F.min(k).alias("lo"), F.max(k).alias("hi"))
-    both = ends.select(F.explode(F.array("lo", "hi")).alias("k"))
-    return both.select(*[F.col(f"k.{c}").alias(c) for c in keys]).distinct()
-
-
-def _boundary_rows(ranged: DataFrame, keys: list[str]) -> DataFrame:
-    bk = boundary_keys(ranged, keys)
-    # bk has <= 2 * n rows by construction, so broadcasting it is bounded.
-    return ranged.join(F.broadcast(bk), _null_safe_on(ranged, bk, keys), "left_semi")
+NCHUNKS = "__nchunks"
+DEFAULT_MAX_CHUNK_ROWS = 2_000_000
+
+
+def _order_number(c: Column, dtype: T.DataType) -> Column:
+    """Leading order column as a double (monotone)."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                c.cast("timestamp_ntz")).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double")
+    return c.cast("double")
+
+
+def _keys_on(left: DataFrame, right: DataFrame, keys: list[str], rprefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{rprefix}{c}"]) for c in keys])
+
+
+def assign_chunks(df: DataFrame, keys: list[str], order: list[str],
+                  max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS) -> DataFrame:
+    """Add ``__chunk`` (contiguous in order within a key) and ``__nchunks``."""
+    x = _order_number(F.col(order[0]), df.schema[order[0]].dataType)
+    base = df.withColumn("__x", x)
+    stats = (base.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
+             .filter(F.col("__n") > max_chunk_rows)
+             .select(*[F.col(c).alias(f"__s_{c}") for c in keys],
+                     F.ceil(F.col("__n") / F.lit(max_chunk_rows)).cast("int").alias("__m"),
+                     "__lo", "__hi"))
+    # Only split keys are in ``stats`` (<= rows / max_chunk_rows of them).
+    j = base.join(stats, _keys_on(base, stats, keys, "__s_"), "left")
+    m = F.coalesce(F.col("__m"), F.lit(1))
+    span = F.col("__hi") - F.col("__lo") + F.lit(1.0)
+    chunk = F.when(m <= 1, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("__x") - F.col("__lo")) / span * m), m - 1)).cast("int")
+    return j.select(*[F.col(c) for c in df.columns], chunk.alias(CHUNK), m.alias(NCHUNKS))
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list[str],
-                 values: dict[str, Column | str], chunks: int | None = None,
+                 values: dict[str, Column | str], max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS,
                  inclusive: bool = True) -> DataFrame:
     """Add ``name = sum(value)`` over rows of the same key up to this row.
 
-    ``order`` must totally order the rows of a key (add a unique id).
+    ``order`` must totally order the rows of a key (end it with a unique id).
     With ``inclusive=False`` the current row is excluded.
     """
     vals = {n: (F.col(v) if isinstance(v, str) else v) for n, v in values.items()}
     base = df.select("*", *[c.alias(f"__v_{n}") for n, c in vals.items()])
-    ranged = chunk_by_range(base, keys, order, chunks)
+    chunked = assign_chunks(base, keys, order, max_chunk_rows)
 
     hi = Window.currentRow if inclusive else -1
-    w_local = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, hi)
-    local = ranged.select("*", *[F.sum(f"__v_{n}").over(w_local).alias(f"__l_{n}") for n in vals])
+    w_local = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
+    local = chunked.select("*", *[F.sum(f"__v_{n}").over(w_local).alias(f"__l_{n}") for n in vals])
 
-    tot = (_boundary_rows(ranged, keys).groupBy(*keys, CHUNK)
+    tot = (chunked.filter(F.col(NCHUNKS) > 1).groupBy(*keys, CHUNK)
            .agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in vals]))
     w_carry = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = tot.select(*[F.col(c).alias(f"__ck_{c}") for c in keys], F.col(CHUNK).alias("__ck_chunk"),
-                       *[F.sum(f"__t_{n}").over(w_carry).alias(f"__c_{n}") for n in vals])
-
-    cond = reduce(lambda a, b: a & b,
-                  [local[c].eqNullSafe(carry[f"__ck_{c}"]) for c in keys]
-                  + [local[CHUNK] == carry["__ck_chunk"]])
-    joined = local.join(F.broadcast(carry), cond, "left")
+    carry = (tot.select(*[F.col(c).alias(f"__ck_{c}") for c in keys], F.col(CHUNK).alias("__ck_chunk"),
+                        *[F.sum(f"__t_{n}").over(w_carry).alias(f"__c_{n}") for n in vals])
+             .filter(F.col("__ck_chunk") > 0))
+    cond = _keys_on(local, carry, keys, "__ck_") & (local[CHUNK] == carry["__ck_chunk"])
+    joined = local.join(carry, cond, "left")
     out_cols = [F.col(c) for c in df.columns]
-    for n, c in vals.items():
-        zero = F.lit(0).cast(ranged.schema[f"__v_{n}"].dataType)
-        local_part = F.coalesce(F.col(f"__l_{n}"), zero)
-        out_cols.append((local_part + F.coalesce(F.col(f"__c_{n}"), zero)).alias(n))
+    for n in vals:
+        zero = F.lit(0).cast(base.schema[f"__v_{n}"].dataType)
+        out_cols.append((F.coalesce(F.col(f"__l_{n}"), zero) + F.coalesce(F.col(f"__c_{n}"), zero)).alias(n))
     return joined.select(*out_cols)
 
 
 def row_positions(df: DataFrame, keys: list[str], order: list[str], name: str = "position",
-                  chunks: int | None = None) -> DataFrame:
+                  max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS) -> DataFrame:
     """0-based position of each row within its key (skew-safe row_number - 1)."""
-    out = running_sums(df, keys, order, {name: F.lit(1).cast("long")}, chunks, inclusive=False)
-    return out
+    return running_sums(df, keys, order, {name: F.lit(1).cast("long")}, max_chunk_rows, inclusive=False)
 
 
 # ---------------------------------------------------------------------------
@@ -115,8 +118,9 @@ def _pack(table: np.ndarray) -> np.ndarray:
     return (table.astype(np.int64) << shifts).sum(axis=1)
 
 
-def _apply_packed(func: Column, state: Column) -> Column:
-    return F.shiftright(func, state * _BITS).bitwiseAND(F.lit(15))
+def _apply_packed(func: str, state: str) -> Column:
+    """State index after applying the packed function column ``func`` to ``state``."""
+    return F.expr(f"shiftright({func}, {_BITS} * {state}) & 15")
 
 
 def transfer_table(states: list[str], transitions: dict[str, list[str]]) -> tuple[np.ndarray, dict]:
@@ -188,39 +192,47 @@ def _dfa_batch_scanner(key_cols: list[str], symbol_col: str, states: list[str],
 
 def fold_states(df: DataFrame, keys: list[str], order: list[str], symbol_col: str,
                 states: list[str], transitions: dict[str, list[str]], initial: str,
-                state_before: str = "state_before", chunks: int | None = None) -> DataFrame:
+                state_before: str = "state_before",
+                max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS) -> DataFrame:
     """Run a state machine per key over rows in ``order``.
 
     Each row is a request to move to ``symbol_col``; it is applied when the
     edge (current -> requested) is in ``transitions``, otherwise the state is
-    unchanged.  Adds ``state_before`` (the state the request met).
-    Requests for unknown statuses leave the state unchanged.
+    unchanged (unknown statuses included).  Adds ``state_before``: the state
+    the request met.
     """
-    k = len(states)
-    ranged = chunk_by_range(df, keys, order, chunks).sortWithinPartitions(*keys, *order)
-    out_schema = T.StructType(ranged.schema.fields + [
+    chunked = assign_chunks(df, keys, order, max_chunk_rows)
+    seg = [*keys, CHUNK]
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    laid = chunked.repartition(n_parts, *seg).sortWithinPartitions(*seg, *order)
+    out_schema = T.StructType(laid.schema.fields + [
         T.StructField("__fx", T.LongType()), T.StructField("__fi", T.LongType())])
-    scanned = ranged.mapInPandas(_dfa_batch_scanner(keys, symbol_col, states, transitions), out_schema)
+    scanned = laid.mapInPandas(_dfa_batch_scanner(seg, symbol_col, states, transitions), out_schema)
 
-    # Composed function of each boundary (key, chunk): the inclusive prefix of its last row.
-    chunk_fn = (_boundary_rows(scanned, keys).groupBy(*keys, CHUNK)
+    # Composed function of each chunk of a split key: inclusive prefix of its last row.
+    chunk_fn = (scanned.filter(F.col(NCHUNKS) > 1).groupBy(*keys, CHUNK)
                 .agg(F.max_by("__fi", F.struct(*order)).alias("fn")))
     init_idx = states.index(initial)
-    # Per key (<= n chunks, bounded) fold the chunk functions into entry states.
-    fold = F.expr(
-        "aggregate(array_sort(cs), named_struct('st', {init}, 'out', cast(array() as array<struct<c:int,st:int>>)), "
-        "(acc, x) -> named_struct('st', cast(shiftright(x.fn, 4 * acc.st) & 15 as int), "
-        "'out', array_append(acc.out, named_struct('c', x.c, 'st', acc.st)))).out".format(init=init_idx))
-    entry = (chunk_fn.groupBy(*keys)
-             .agg(F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("fn"))).alias("cs"))
-             .select(*keys, F.explode(fold).alias("o"))
-             .select(*[F.col(c).alias(f"__ck_{c}") for c in keys],
-                     F.col("o.c").alias("__ck_chunk"), F.col("o.st").alias("__entry")))
-    cond = reduce(lambda a, b: a & b,
-                  [scanned[c].eqNullSafe(entry[f"__ck_{c}"]) for c in keys]
-                  + [scanned[CHUNK] == entry["__ck_chunk"]])
-    joined = scanned.join(F.broadcast(entry), cond, "left")
-    start = F.coalesce(F.col("__entry"), F.lit(init_idx))
+    key_types = {c: df.schema[c].dataType for c in keys}
+    entry_schema = T.StructType([T.StructField(f"__ck_{c}", key_types[c]) for c in keys] + [
+        T.StructField("__ck_chunk", T.IntegerType()), T.StructField("__entry", T.IntegerType())])
+
+    def entry_states(pdf: pd.DataFrame) -> pd.DataFrame:
+        # One split key: fold its chunk functions (<= rows / max_chunk_rows of them).
+        pdf = pdf.sort_values(CHUNK)
+        st, out = init_idx, []
+        for fn in pdf["fn"].to_numpy():
+            out.append(st)
+            st = int((int(fn) >> (_BITS * st)) & 15)
+        res = pd.DataFrame({f"__ck_{c}": pdf[c].to_numpy() for c in keys})
+        res["__ck_chunk"] = pdf[CHUNK].to_numpy().astype("int32")
+        res["__entry"] = np.array(out, dtype="int32")
+        return res
+
+    entry = chunk_fn.groupBy(*keys).applyInPandas(entry_states, entry_schema)
+    cond = _keys_on(scanned, entry, keys, "__ck_") & (scanned[CHUNK] == entry["__ck_chunk"])
+    joined = scanned.join(entry, cond, "left")
+    joined = joined.withColumn("__start", F.coalesce(F.col("__entry"), F.lit(init_idx)))
     names = F.array(*[F.lit(s) for s in states])
-    before = F.element_at(names, (_apply_packed(F.col("__fx"), start) + 1).cast("int"))
+    before = F.element_at(names, (_apply_packed("__fx", "__start") + 1).cast("int"))
     return joined.select(*[F.col(c) for c in df.columns], before.alias(state_before))

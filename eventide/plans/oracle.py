@@ -23,3 +23,100 @@ SELECT o.order_id, o.customer_id,
 FROM orders_placed o LEFT JOIN customer_profiles p ON o.customer_id = p.customer_id""")
 
 oracle("compact_latest", "SELECT * FROM customer_profiles")
+
+
+# --- fraud windows ---------------------------------------------------------
+from eventide.operators.windows import SCALED_RULE as R  # noqa: E402
+
+_W = "INTERVAL '5 days'"
+_FRAUD_BASE = {
+    "fw": f"""SELECT *, time_bucket({_W}, placed_at, TIMESTAMP '1970-01-01') AS window_start,
+       time_bucket({_W}, placed_at, TIMESTAMP '1970-01-01') + {_W} AS window_end FROM fraud_orders""",
+}
+
+
+def _score_sql(c: str, a: str, r: str) -> tuple[str, str]:
+    score = (f"least(0.0::DOUBLE + CASE WHEN {c} > {R.max_orders} THEN {S.FRAUD_WEIGHT_FREQ}::DOUBLE ELSE 0.0::DOUBLE END"
+             f" + CASE WHEN {a} > {R.max_amount} THEN {S.FRAUD_WEIGHT_SPEND}::DOUBLE ELSE 0.0::DOUBLE END"
+             f" + CASE WHEN {r} > {R.max_regions} THEN {S.FRAUD_WEIGHT_REGIONS}::DOUBLE ELSE 0.0::DOUBLE END, 1.0::DOUBLE)")
+    reason = ("concat_ws('; ', "
+              f"CASE WHEN {c} > {R.max_orders} THEN 'high_freq:' || CAST({c} AS VARCHAR) END, "
+              f"CASE WHEN {a} > {R.max_amount} THEN 'high_spend:$' || CAST(CAST(round_even({a}, 0) AS BIGINT) AS VARCHAR) END, "
+              f"CASE WHEN {r} > {R.max_regions} THEN 'multi_region:' || CAST({r} AS VARCHAR) END)")
+    return score, reason
+
+
+oracle("order_window_stats", """
+SELECT customer_id, window_start, window_end, count(*) AS order_count,
+       CAST(sum(amount) AS DECIMAL(18,2)) AS total_amount, count(DISTINCT region) AS region_count
+FROM fw GROUP BY customer_id, window_start, window_end""", _FRAUD_BASE)
+
+_sc, _rs = _score_sql("order_count", "total_amount", "region_count")
+oracle("fraud_alerts", f"""
+SELECT 'alert-' || order_id AS alert_id, customer_id, order_id, order_count, total_amount, region_count,
+       window_start, window_end, {_sc} AS risk_score, {_rs} AS reason
+FROM (SELECT customer_id, order_id, window_start, window_end,
+             count(*) OVER w AS order_count,
+             CAST(sum(amount) OVER w AS DECIMAL(18,2)) AS total_amount,
+             CAST(sum(first_seen) OVER w AS BIGINT) AS region_count
+      FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY customer_id, window_start, region
+                                                 ORDER BY placed_at, order_id) = 1 THEN 1 ELSE 0 END AS first_seen
+            FROM fw) f
+      WINDOW w AS (PARTITION BY customer_id, window_start ORDER BY placed_at, order_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) r
+WHERE {_sc} >= {R.min_score}""", _FRAUD_BASE)
+
+oracle("fraud_alerts_final", f"""
+SELECT 'alert-' || customer_id || '-' || strftime(window_start, '%Y%m%d%H%M%S') AS alert_id,
+       customer_id, order_count, total_amount, region_count, window_start, window_end,
+       {_sc} AS risk_score, {_rs} AS reason
+FROM (SELECT customer_id, window_start, window_end, count(*) AS order_count,
+             CAST(sum(amount) AS DECIMAL(18,2)) AS total_amount, count(DISTINCT region) AS region_count
+      FROM fw GROUP BY customer_id, window_start, window_end) s
+WHERE {_sc} >= {R.min_score}""", _FRAUD_BASE)
+
+
+# --- order life cycle --------------------------------------------------------
+_EDGES = ", ".join(f"'{c}>{n}'" for c, nxts in S.VALID_TRANSITIONS.items() for n in nxts)
+
+
+def _valid(cur: str, req: str) -> str:
+    return f"coalesce(({cur} || '>' || {req}) IN ({_EDGES}), false)"
+
+
+_WALK = {
+    "seq": """SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ts, event_id) AS rn FROM state_requests""",
+    "walk": f"""
+SELECT order_id, rn, '{S.INITIAL_STATUS}' AS state_before,
+       CASE WHEN {_valid("'" + S.INITIAL_STATUS + "'", 'requested_status')} THEN requested_status
+            ELSE '{S.INITIAL_STATUS}' END AS state_after
+FROM seq WHERE rn = 1
+UNION ALL
+SELECT s.order_id, s.rn, w.state_after,
+       CASE WHEN {_valid('w.state_after', 's.requested_status')} THEN s.requested_status ELSE w.state_after END
+FROM walk w JOIN seq s ON s.order_id = w.order_id AND s.rn = w.rn + 1""",
+    "changes": f"""
+SELECT s.order_id, s.customer_id, s.event_id, s.ts, w.state_before AS previous_status,
+       s.requested_status AS new_status, {_valid('w.state_before', 's.requested_status')} AS accepted,
+       CASE WHEN NOT {_valid('w.state_before', 's.requested_status')}
+            THEN 'Invalid: ' || w.state_before || ' -> ' || coalesce(s.requested_status, 'null') END AS reason
+FROM seq s JOIN walk w ON s.order_id = w.order_id AND s.rn = w.rn""",
+}
+
+
+def _recursive(sql: str) -> str:
+    return with_views(sql, _WALK).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLE["order_state_changes"] = _recursive("SELECT * FROM changes")
+ORACLE["state_history"] = _recursive(
+    "SELECT order_id, event_id, previous_status AS from_status, new_status AS to_status, ts AS at "
+    "FROM changes WHERE accepted")
+ORACLE["order_current_state"] = _recursive(f"""
+SELECT order_id, coalesce(arg_max(CASE WHEN accepted THEN new_status END,
+                                   CASE WHEN accepted THEN (ts, event_id) END), '{S.INITIAL_STATUS}') AS current_status,
+       CAST(sum(CASE WHEN accepted THEN 1 ELSE 0 END) AS BIGINT) AS transitions, count(*) AS requests
+FROM changes GROUP BY order_id""")
+ORACLE["transition_check"] = _recursive(
+    f"SELECT order_id, event_id, previous_status, new_status, {_valid('previous_status', 'new_status')} AS valid "
+    "FROM changes")

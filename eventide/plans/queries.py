@@ -31,3 +31,49 @@ def q_enrich_orders(spark, sf):
 @query("compact_latest")
 def q_compact_latest(spark, sf):
     return tables.compact_latest(V.profile_updates(spark, sf), ["customer_id"], ["updated_at"])
+
+
+# --- fraud windows (A-1 .. A-3, W-1) ---------------------------------------
+from eventide.operators import windows as W  # noqa: E402
+
+
+@query("order_window_stats")
+def q_order_window_stats(spark, sf):
+    return W.order_window_stats(V.fraud_orders(spark, sf), W.SCALED_RULE.window)
+
+
+@query("fraud_alerts")
+def q_fraud_alerts(spark, sf):
+    return W.fraud_alerts(V.fraud_orders(spark, sf), W.SCALED_RULE)
+
+
+@query("fraud_alerts_final")
+def q_fraud_alerts_final(spark, sf):
+    return W.fraud_alerts_final(V.fraud_orders(spark, sf), W.SCALED_RULE)
+
+
+# --- order life cycle (T-1, T-2, W-2, J-5) ---------------------------------
+from eventide.operators import state_machine as SM  # noqa: E402
+
+
+@query("order_state_changes")
+def q_order_state_changes(spark, sf):
+    return SM.order_state_changes(V.state_requests(spark, sf))
+
+
+@query("state_history")
+def q_state_history(spark, sf):
+    return SM.state_history(SM.order_state_changes(V.state_requests(spark, sf)))
+
+
+@query("order_current_state")
+def q_order_current_state(spark, sf):
+    return SM.order_current_state(SM.order_state_changes(V.state_requests(spark, sf)))
+
+
+@query("transition_check")
+def q_transition_check(spark, sf):
+    # every request checked against the status its order met (the fold's previous status)
+    ch = SM.order_state_changes(V.state_requests(spark, sf))
+    return SM.transition_check(ch.select("order_id", "event_id", "previous_status", "new_status"),
+                               "previous_status", "new_status")

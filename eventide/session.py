@@ -37,7 +37,7 @@ def get_session(master: str | None = None, app_name: str = "eventide",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
