@@ -120,3 +120,80 @@ FROM changes GROUP BY order_id""")
 ORACLE["transition_check"] = _recursive(
     f"SELECT order_id, event_id, previous_status, new_status, {_valid('previous_status', 'new_status')} AS valid "
     "FROM changes")
+
+
+# --- partitioning --------------------------------------------------------------
+_MASK = 0xFFFFFFFF
+
+
+def duck_murmur2(key: str) -> str:
+    hx = f"hex({key})"
+    n = f"(length({hx}) // 2)"
+
+    def byte(j: str) -> str:
+        return f"CAST(('0x' || substr({hx}, 2 * ({j}) + 1, 2)) AS BIGINT)"
+    n4 = f"({n} // 4)"
+    m = S.MURMUR2_M
+    k0 = (f"list_transform(range(0, {n4}), lambda i: {byte('4 * i')} | ({byte('4 * i + 1')} << 8)"
+          f" | ({byte('4 * i + 2')} << 16) | ({byte('4 * i + 3')} << 24))")
+    k1 = f"list_transform({k0}, lambda k: (k * {m}) & {_MASK})"
+    k2 = f"list_transform({k1}, lambda k: (xor(k, k >> {S.MURMUR2_R}) * {m}) & {_MASK})"
+    h0 = f"(xor({S.MURMUR2_SEED}, {n}) & {_MASK})"
+    body = f"list_reduce(list_prepend({h0}, {k2}), lambda h, k: xor((h * {m}) & {_MASK}, k))"
+    t = f"({n4} * 4)"
+    rem = f"({n} % 4)"
+    tail = (f"xor(xor({body}, CASE WHEN {rem} >= 3 THEN {byte(t + ' + 2')} << 16 ELSE 0 END),"
+            f" CASE WHEN {rem} >= 2 THEN {byte(t + ' + 1')} << 8 ELSE 0 END)")
+    tail = f"(CASE WHEN {rem} >= 1 THEN (xor({tail}, {byte(t)}) * {m}) & {_MASK} ELSE {tail} END)"
+    f1 = f"xor({tail}, {tail} >> 13)"
+    f2 = f"(({f1} * {m}) & {_MASK})"
+    f3 = f"xor({f2}, {f2} >> 15)"
+    return f"CAST(({f3}) & {0x7FFFFFFF} AS BIGINT)"
+
+
+def _duck_region_partition(key: str, region: str, available: list[int]) -> str:
+    h = duck_murmur2(key)
+    starts = " ".join(f"WHEN '{r}' THEN {lo}" for r, (lo, hi) in S.REGION_PARTITION_RANGES.items())
+    sizes = " ".join(f"WHEN '{r}' THEN {hi - lo + 1}" for r, (lo, hi) in S.REGION_PARTITION_RANGES.items())
+    start = f"(CASE {region} {starts} END)"
+    size = f"(CASE {region} {sizes} END)"
+    avail = "[" + ", ".join(map(str, available)) + "]"
+    default = f"{avail}[CAST(({h}) % {len(available)} AS INTEGER) + 1]"
+    probes = f"list_transform(range(0, {size}), lambda o: {start} + (({h}) + o) % {size})"
+    up = f"list_filter({probes}, lambda p: list_contains({avail}, p))"
+    ranged = f"coalesce({up}[1], {default})"
+    return f"CAST(CASE WHEN {start} IS NULL THEN {default} ELSE {ranged} END AS INTEGER)"
+
+
+_ALL = list(range(S.NUM_TOPIC_PARTITIONS))
+_OUT = [0, 2, 3, 5, 8, 9, 10, 11]
+
+oracle("murmur2", f"SELECT order_id, customer_id, {duck_murmur2('customer_id')} AS key_hash FROM orders_placed")
+oracle("partition_by_region", f"""SELECT order_id, customer_id, region,
+       {_duck_region_partition('customer_id', 'region', _ALL)} AS "partition" FROM orders_placed""")
+oracle("partition_with_outage", f"""SELECT order_id, customer_id, region,
+       {_duck_region_partition('customer_id', 'region', _OUT)} AS "partition" FROM orders_placed""")
+oracle("partition_default", f"""SELECT order_id, customer_id,
+       CAST([{', '.join(map(str, _OUT))}][CAST(({duck_murmur2('customer_id')}) % {len(_OUT)} AS INTEGER) + 1] AS INTEGER)
+       AS "partition" FROM orders_placed""")
+
+
+def _duck_md5_mod(key: str, n: int) -> str:
+    acc = "CAST(0 AS HUGEINT)"
+    for i in range(4):
+        w = f"CAST(('0x' || substr(md5({key}), {8 * i + 1}, 8)) AS HUGEINT)"
+        acc = f"(({acc}) * 4294967296 + {w}) % {n}"
+    return f"CAST({acc} AS BIGINT)"
+
+
+_NONPRI = [p for p in _ALL if p != S.PRIORITY_PARTITION]
+oracle("partition_by_priority", f"""SELECT order_id, customer_id, total_amount,
+       CAST(CASE WHEN coalesce(total_amount, 0) >= {S.PRIORITY_THRESHOLD} THEN {S.PRIORITY_PARTITION}
+            ELSE [{', '.join(map(str, _NONPRI))}][{_duck_md5_mod('customer_id', len(_NONPRI))} + 1] END AS INTEGER)
+       AS "partition" FROM orders_placed""")
+_ROUTED = {"routed": f"""SELECT order_id, customer_id, region,
+       {_duck_region_partition('customer_id', 'region', _ALL)} AS "partition" FROM orders_placed"""}
+oracle("partition_skew", 'SELECT "partition", count(*) AS messages FROM routed GROUP BY "partition"', _ROUTED)
+oracle("partition_balance", """SELECT count(*) AS partitions, max(messages) AS max_messages, min(messages) AS min_messages,
+       round(avg(messages), 6) AS avg_messages, round(max(messages) / avg(messages), 6) AS skew
+FROM (SELECT "partition", count(*) AS messages FROM routed GROUP BY "partition") s""", _ROUTED)

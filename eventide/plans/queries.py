@@ -77,3 +77,58 @@ def q_transition_check(spark, sf):
     ch = SM.order_state_changes(V.state_requests(spark, sf))
     return SM.transition_check(ch.select("order_id", "event_id", "previous_status", "new_status"),
                                "previous_status", "new_status")
+
+
+# --- partitioning (R-1 .. R-6) ----------------------------------------------
+from eventide.functions.hashing import murmur2  # noqa: E402
+from eventide.operators import partitioning as P  # noqa: E402
+
+OUTAGE_AVAILABLE = [0, 2, 3, 5, 8, 9, 10, 11]  # 1 and 4 down, eu-west (6-7) fully down
+
+
+@query("murmur2")
+def q_murmur2(spark, sf):
+    o = V.orders_placed(spark, sf)
+    return o.select("order_id", "customer_id", murmur2("customer_id").alias("key_hash"))
+
+
+def _routed(spark, sf):
+    o = V.orders_placed(spark, sf)
+    return o.select("order_id", "customer_id", "region",
+                    P.region_partition("customer_id", "region").alias("partition"))
+
+
+@query("partition_by_region")
+def q_partition_by_region(spark, sf):
+    return _routed(spark, sf)
+
+
+@query("partition_with_outage")
+def q_partition_with_outage(spark, sf):
+    o = V.orders_placed(spark, sf)
+    return o.select("order_id", "customer_id", "region",
+                    P.region_partition("customer_id", "region", OUTAGE_AVAILABLE).alias("partition"))
+
+
+@query("partition_default")
+def q_partition_default(spark, sf):
+    o = V.orders_placed(spark, sf)
+    return o.select("order_id", "customer_id",
+                    P.default_partition(murmur2("customer_id"), OUTAGE_AVAILABLE).alias("partition"))
+
+
+@query("partition_by_priority")
+def q_partition_by_priority(spark, sf):
+    o = V.orders_placed(spark, sf)
+    return o.select("order_id", "customer_id", "total_amount",
+                    P.priority_partition("customer_id", "total_amount").alias("partition"))
+
+
+@query("partition_skew")
+def q_partition_skew(spark, sf):
+    return P.partition_skew(_routed(spark, sf))
+
+
+@query("partition_balance")
+def q_partition_balance(spark, sf):
+    return P.partition_balance(_routed(spark, sf))
