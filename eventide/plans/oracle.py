@@ -197,3 +197,207 @@ oracle("partition_skew", 'SELECT "partition", count(*) AS messages FROM routed G
 oracle("partition_balance", """SELECT count(*) AS partitions, max(messages) AS max_messages, min(messages) AS min_messages,
        round(avg(messages), 6) AS avg_messages, round(max(messages) / avg(messages), 6) AS skew
 FROM (SELECT "partition", count(*) AS messages FROM routed GROUP BY "partition") s""", _ROUTED)
+
+
+# --- projections, validation, evolution ------------------------------------------
+_K = "CAST(substr(order_id, 7) AS BIGINT)"
+
+
+def _uuid(seed: str) -> str:
+    h = f"md5({seed})"
+    return (f"concat_ws('-', substr({h}, 1, 8), substr({h}, 9, 4), substr({h}, 13, 4), "
+            f"substr({h}, 17, 4), substr({h}, 21, 12))")
+
+
+def _txn(oid: str) -> str:
+    return f"'txn-' || substr(md5({oid}), 1, 12)"
+
+
+oracle("order_totals", """
+SELECT o.order_id, CAST(coalesce(n, 0) AS INTEGER) AS item_count, CAST(coalesce(q, 0) AS BIGINT) AS item_quantity,
+       CAST(coalesce(t, 0) AS DECIMAL(18,2)) AS items_total, o.total_amount
+FROM orders_placed o LEFT JOIN (SELECT order_id, count(*) AS n, sum(quantity) AS q, sum(unit_price * quantity) AS t
+                                FROM order_items GROUP BY order_id) i ON o.order_id = i.order_id""")
+oracle("high_value_flag", f"""SELECT order_id, total_amount,
+       coalesce(total_amount, 0) > {S.HIGH_VALUE_THRESHOLD} AS is_high_value FROM orders_placed""")
+oracle("decode_json", f"""
+SELECT customer_id AS key, {_K} % 20 <> 0 AS decoded,
+       CASE WHEN {_K} % 20 <> 0 THEN order_id END AS order_id,
+       CASE WHEN {_K} % 20 <> 0 THEN total_amount END AS total_amount,
+       CASE WHEN {_K} % 20 <> 0 THEN region END AS region,
+       CASE WHEN {_K} % 20 <> 0 THEN placed_at END AS placed_at
+FROM orders_placed""")
+oracle("eos_transform", f"""
+SELECT order_id, customer_id, total_amount, currency, payment_method, shipping_address, region, placed_at,
+       placed_at AS enriched_at, 0 AS processor_instance,
+       coalesce(total_amount, 0) > {S.HIGH_VALUE_THRESHOLD} AS is_high_value
+FROM orders_placed WHERE {_K} % 20 <> 0""")
+oracle("order_wire", """
+SELECT o.order_id, customer_id, CAST(total_amount AS DOUBLE) AS total_amount, currency, payment_method, region,
+       epoch_ms(placed_at) AS placed_at, CAST(coalesce(n, 0) AS INTEGER) AS item_count
+FROM orders_placed o LEFT JOIN (SELECT order_id, count(*) AS n FROM order_items GROUP BY order_id) i
+     ON o.order_id = i.order_id""")
+_OK = f"(CAST(('0x' || substr(md5(order_id), 1, 8)) AS BIGINT) % 100 < {S.PAYMENT_SUCCESS_PERCENT})"
+oracle("payments", f"""
+SELECT {_uuid("'payment:' || order_id")} AS payment_id, order_id, customer_id, total_amount AS amount,
+       currency, '{S.ORDER_DEFAULTS['payment_method']}' AS payment_method,
+       CASE WHEN {_OK} THEN 'success' ELSE 'failed' END AS status,
+       CASE WHEN NOT {_OK} THEN '{S.PAYMENT_FAILURE_REASON}' END AS failure_reason,
+       {_txn('order_id')} AS transaction_ref, placed_at AS processed_at
+FROM orders_placed""")
+oracle("deterministic_ids", f"""SELECT order_id, {_uuid("'payment:' || order_id")} AS payment_id,
+       {_txn('order_id')} AS transaction_ref FROM orders_placed""")
+_D = S.ORDER_DEFAULTS
+oracle("fill_defaults", f"""
+SELECT order_id, coalesce(currency, '{_D['currency']}') AS currency,
+       coalesce(payment_method, '{_D['payment_method']}') AS payment_method,
+       coalesce(shipping_address, '{_D['shipping_address']}') AS shipping_address,
+       coalesce(region, '{_D['region']}') AS region
+FROM sparse_orders""")
+_METHODS = ", ".join(f"'{m}'" for m in S.PAYMENT_METHODS)
+_REGIONS = ", ".join(f"'{r}'" for r in S.REGIONS)
+_VIOL = f"""concat_ws(',',
+  CASE WHEN NOT coalesce(s.order_id IS NOT NULL, false) THEN 'order_id_required' END,
+  CASE WHEN NOT coalesce(customer_id IS NOT NULL, false) THEN 'customer_id_required' END,
+  CASE WHEN NOT coalesce(total_amount IS NOT NULL, false) THEN 'total_amount_required' END,
+  CASE WHEN NOT coalesce(length(currency) = 3, false) THEN 'currency_length' END,
+  CASE WHEN NOT coalesce(payment_method IN ({_METHODS}), false) THEN 'payment_method_enum' END,
+  CASE WHEN NOT coalesce(region IN ({_REGIONS}), false) THEN 'region_enum' END,
+  CASE WHEN NOT coalesce(qty_ok, true) THEN 'item_quantity_positive' END,
+  CASE WHEN NOT coalesce(price_ok, true) THEN 'item_price_positive' END)"""
+oracle("validate_orders", f"""
+SELECT s.order_id, {_VIOL} = '' AS valid, {_VIOL} AS violations
+FROM sparse_orders s LEFT JOIN (SELECT order_id, bool_and(quantity > 0) AS qty_ok, bool_and(unit_price > 0) AS price_ok
+                                FROM order_items GROUP BY order_id) i ON s.order_id = i.order_id""")
+oracle("constraint_report", """
+SELECT 'primary_key(customer_id)' AS "constraint", CAST(coalesce(sum(n), 0) AS BIGINT) AS violations
+FROM (SELECT customer_id, count(*) AS n FROM profile_updates GROUP BY customer_id HAVING count(*) > 1) d
+UNION ALL SELECT 'not_null(email)', CAST(count(*) FILTER (WHERE email IS NULL) AS BIGINT) FROM profile_updates
+UNION ALL SELECT 'not_null(name)', CAST(count(*) FILTER (WHERE name IS NULL) AS BIGINT) FROM profile_updates
+UNION ALL SELECT 'max_length(customer_id,50)', CAST(count(*) FILTER (WHERE length(customer_id) > 50) AS BIGINT) FROM profile_updates
+UNION ALL SELECT 'max_length(email,255)', CAST(count(*) FILTER (WHERE length(email) > 255) AS BIGINT) FROM profile_updates
+UNION ALL SELECT 'max_length(name,255)', CAST(count(*) FILTER (WHERE length(name) > 255) AS BIGINT) FROM profile_updates
+UNION ALL SELECT 'max_length(region,20)', CAST(count(*) FILTER (WHERE length(region) > 20) AS BIGINT) FROM profile_updates
+UNION ALL SELECT 'max_length(tier,20)', CAST(count(*) FILTER (WHERE length(tier) > 20) AS BIGINT) FROM profile_updates""")
+_RET = " ".join(f"WHEN '{t}' THEN {ret}" for t, (_, ret, pol) in S.TOPICS.items() if ret and pol != "compact")
+oracle("retention", f"""
+SELECT * FROM event_log
+WHERE (CASE topic {_RET} END) IS NULL
+   OR epoch_ms("timestamp") >= epoch_ms(TIMESTAMP '2024-01-31 00:00:00') - (CASE topic {_RET} END)""")
+oracle("archive_layout", """SELECT topic, "partition", "offset",
+       strftime("timestamp", 'year=%Y/month=%m/day=%d/hour=%H') AS archive_path FROM event_log""")
+_ET = ("CASE WHEN lower(error_name) LIKE '%timeout%' OR lower(error_name) LIKE '%connection%' "
+       "OR lower(error_name) LIKE '%unavailable%' THEN 'timeout' "
+       "WHEN lower(error_name) LIKE '%decode%' OR lower(error_name) LIKE '%serialize%' "
+       "OR lower(error_name) LIKE '%schema%' OR lower(error_name) LIKE '%validation%' THEN 'deserialization_error' "
+       "ELSE 'unknown' END")
+_PERM = ", ".join(f"'{e}'" for e in S.PERMANENT_ERRORS)
+oracle("classify_errors", f"""SELECT event_id, error_name, {_ET} AS error_type,
+       NOT ({_ET} IN ({_PERM})) AS retryable FROM failures""")
+oracle("record_headers", """SELECT topic, "partition", "offset", 3 AS header_count,
+       'txn-' || topic || '-' || CAST("partition" AS VARCHAR) AS transaction_id,
+       CAST("partition" AS VARCHAR) AS source_partition, CAST("offset" AS VARCHAR) AS source_offset FROM event_log""")
+oracle("evolve_orders", """
+SELECT order_id, customer_id, total_amount, currency, payment_method, shipping_address, region, placed_at,
+       NULL::VARCHAR AS coupon_code, 'standard' AS priority, '' AS metadata_keys, NULL::VARCHAR AS metadata_priority_code
+FROM orders_v1
+UNION ALL
+SELECT order_id, customer_id, total_amount, currency, payment_method, shipping_address, region, placed_at,
+       coupon_code, priority, 'priority_code,source' AS metadata_keys, o_orderpriority AS metadata_priority_code
+FROM orders_v2""")
+oracle("project_v1", """SELECT order_id, customer_id, total_amount, currency, payment_method, shipping_address,
+       region, placed_at FROM orders_v2""")
+
+# --- joins ---------------------------------------------------------------------------
+oracle("enrich_orders_asof", f"""
+SELECT o.order_id, o.customer_id,
+       coalesce(p.name, '{S.UNKNOWN_CUSTOMER_NAME}') AS customer_name,
+       coalesce(p.email, '{S.UNKNOWN_CUSTOMER_EMAIL}') AS customer_email,
+       coalesce(p.tier, 'standard') AS customer_tier,
+       o.total_amount, o.currency, coalesce(o.total_amount, 0) > {S.HIGH_VALUE_THRESHOLD} AS is_high_value,
+       o.region, o.placed_at, o.placed_at AS enriched_at
+FROM orders_placed o ASOF LEFT JOIN profile_updates p
+  ON o.customer_id = p.customer_id AND o.placed_at >= p.updated_at""")
+oracle("fk_orphans", """SELECT order_id, customer_id FROM orders_placed o
+WHERE NOT EXISTS (SELECT 1 FROM customer_profiles p WHERE p.customer_id = o.customer_id)""")
+
+# --- sources --------------------------------------------------------------------------
+oracle("scan_topic", "SELECT * FROM event_log WHERE topic = 'orders.placed'")
+oracle("scan_multi_topic", "SELECT * FROM event_log WHERE topic IN ('orders.enriched', 'payments.processed')")
+oracle("replay_from_offsets", """
+SELECT l.topic, l.key, l.value, l."partition", l."offset", l."timestamp"
+FROM event_log l LEFT JOIN (SELECT topic, "partition", floor((max("offset") + 1) / 2) AS from_offset
+                            FROM event_log WHERE "partition" < 6 GROUP BY topic, "partition") s
+  ON l.topic = s.topic AND l."partition" = s."partition"
+WHERE l."offset" >= s.from_offset OR (s.from_offset IS NULL AND l."partition" IN (6, 7))""")
+oracle("read_first_n", 'SELECT * FROM event_log ORDER BY topic, "partition", "offset" LIMIT 1000')
+oracle("assign_batches", f"""SELECT topic, "partition", "offset",
+       CAST(floor((row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1) / {S.EOS_BATCH_SIZE}) AS BIGINT)
+       AS batch_id FROM event_log""")
+oracle("cdc_apply", """
+SELECT key AS customer_id, op, ts_ms, name, email, region, tier
+FROM (SELECT * FROM customer_changes QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts_ms DESC, seq DESC) = 1) c
+WHERE op <> 'd'""")
+
+# --- monitoring -----------------------------------------------------------------------
+from eventide.operators.monitoring import LATENCY_BUCKETS_MS  # noqa: E402
+
+oracle("log_counters", """SELECT topic, "partition", count(*) AS messages, CAST(sum(length(value)) AS BIGINT) AS value_chars
+FROM event_log GROUP BY topic, "partition" """)
+oracle("error_counters", f"""SELECT topic, {_ET} AS error_type, count(*) AS errors FROM failures
+WHERE error_name IS NOT NULL GROUP BY topic, {_ET}""")
+_LE = ", ".join(f"CAST(sum(CASE WHEN value <= {b} THEN 1 ELSE 0 END) AS BIGINT) AS le_{b}" for b in LATENCY_BUCKETS_MS)
+oracle("latency_histogram", f"""SELECT event_type, {_LE}, count(value) AS count,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS sum_ms FROM events GROUP BY event_type""")
+oracle("next_offsets", 'SELECT topic, "partition", max("offset") + 1 AS next_offset FROM event_log GROUP BY topic, "partition"')
+oracle("consumer_lag", """
+SELECT topic, "partition", end_offset, committed_offset, end_offset - committed_offset AS lag,
+       CASE WHEN end_offset - committed_offset > 60 THEN 'CRITICAL'
+            WHEN end_offset - committed_offset > 30 THEN 'WARNING' ELSE 'OK' END AS severity
+FROM (SELECT topic, "partition", max("offset") + 1 AS end_offset,
+             CAST(sum(CASE WHEN "timestamp" < TIMESTAMP '2024-01-25 00:00:00' THEN 1 ELSE 0 END) AS BIGINT) AS committed_offset
+      FROM event_log GROUP BY topic, "partition") x""")
+oracle("rate_alerts", f"""
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, events, errors,
+       CAST(CAST(errors AS DECIMAL(20,0)) / events AS DECIMAL(12,6)) AS error_rate,
+       CAST(CAST(events AS DECIMAL(20,0)) / 60 AS DECIMAL(12,6)) AS events_per_min,
+       CAST(CAST(errors AS DECIMAL(20,0)) / events AS DECIMAL(12,6)) > {S.ERROR_RATE_WARNING} AS error_rate_warning,
+       CAST(CAST(events AS DECIMAL(20,0)) / 60 AS DECIMAL(12,6)) > {S.EVENT_RATE_WARNING_PER_MIN} AS event_rate_warning
+FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS events,
+             CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS errors
+      FROM events GROUP BY 1) w""")
+oracle("throughput", """
+SELECT topic, time_bucket(INTERVAL 1 HOUR, "timestamp") AS window_start, count(*) AS messages,
+       CAST(CAST(count(*) AS DECIMAL(20,0)) / 3600 AS DECIMAL(14,6)) AS messages_per_sec
+FROM event_log GROUP BY topic, 2""")
+
+# --- reliability ----------------------------------------------------------------------
+_CLEAN = "(error_name IS NULL OR fail_times = 0)"
+_PERMC = f"({_ET} IN ({_PERM}))"
+_OKR = f"({_CLEAN} OR (NOT {_PERMC} AND fail_times < {S.MAX_RETRIES}))"
+_ATT = (f"CAST(CASE WHEN {_CLEAN} THEN 1 WHEN {_PERMC} THEN 1 WHEN fail_times < {S.MAX_RETRIES} "
+        f"THEN fail_times + 1 ELSE {S.MAX_RETRIES} END AS INTEGER)")
+_OUTCOMES = {"outcomes": f"""SELECT * EXCLUDE (attempts), {_OKR} AS ok, {_ATT} AS attempts,
+       CASE WHEN NOT {_OKR} THEN {_ET} END AS error_type FROM failures"""}
+oracle("process_outcomes", "SELECT event_id, ok, attempts, error_type FROM outcomes", _OUTCOMES)
+oracle("process_with_retry", "SELECT event_id, ok, attempts, error_type FROM outcomes", _OUTCOMES)
+oracle("retry_schedule", f"""
+SELECT event_id, first_failure_at, CAST(r + 1 AS INTEGER) AS attempt,
+       CAST({S.RETRY_BACKOFF_MS} * pow(2, r - 1) AS BIGINT) AS backoff_ms,
+       first_failure_at + to_milliseconds(CAST({S.RETRY_BACKOFF_MS} * (pow(2, r) - 1) AS BIGINT)) AS retry_at
+FROM (SELECT event_id, first_failure_at, unnest(range(1, {S.MAX_RETRIES})) AS r FROM failures WHERE error_name IS NOT NULL) f""")
+oracle("dead_letters", f"""
+SELECT topic AS original_topic, "partition" AS original_partition, event_id AS original_offset, key AS original_key,
+       value AS original_value, error_type || ' after ' || CAST(attempts AS VARCHAR) || ' attempt(s)' AS error_message,
+       error_type, attempts AS retry_count, first_failure_at,
+       first_failure_at + to_milliseconds(CAST({S.RETRY_BACKOFF_MS} * (pow(2, attempts - 1) - 1) AS BIGINT)) AS last_failure_at
+FROM outcomes WHERE NOT ok""", _OUTCOMES)
+oracle("redrive_due", f"""
+SELECT event_id, {_ET} AS error_type, attempts,
+       first_failure_at + to_milliseconds(CAST({S.RETRY_BACKOFF_MS} * (pow(2, attempts) - 1) AS BIGINT)) AS next_retry_at
+FROM failures
+WHERE NOT ({_ET} IN ({_PERM})) AND attempts < {S.MAX_RETRIES}
+  AND first_failure_at + to_milliseconds(CAST({S.RETRY_BACKOFF_MS} * (pow(2, attempts) - 1) AS BIGINT))
+      <= TIMESTAMP '2024-01-15 00:00:00'""")
+oracle("dlq_summary", """SELECT CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS processed,
+       CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS dlq_count FROM outcomes""", _OUTCOMES)

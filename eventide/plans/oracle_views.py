@@ -151,3 +151,29 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     if not ctes:
         return sql
     return "WITH " + ",\n".join(ctes) + "\n" + sql
+
+
+VIEWS["orders_v1"] = """
+SELECT * FROM orders_placed WHERE CAST(substr(order_id, 7) AS BIGINT) % 2 = 0"""
+VIEWS["orders_v2"] = """
+SELECT p.*, CASE WHEN o_orderkey % 3 = 0 THEN 'SAVE' || CAST(o_orderkey % 50 AS VARCHAR) END AS coupon_code,
+       CASE WHEN starts_with(o_orderpriority, '1') THEN 'high' ELSE 'standard' END AS priority,
+       o_orderpriority
+FROM orders_placed p JOIN orders ON p.order_id = 'order-' || CAST(o_orderkey AS VARCHAR)
+WHERE o_orderkey % 2 = 1"""
+VIEWS["sparse_orders"] = """
+SELECT order_id, customer_id, total_amount,
+       CASE WHEN k % 3 = 0 THEN NULL ELSE currency END AS currency,
+       CASE WHEN k % 4 = 0 THEN NULL ELSE payment_method END AS payment_method,
+       CASE WHEN k % 7 = 0 THEN NULL ELSE shipping_address END AS shipping_address,
+       CASE WHEN k % 11 = 0 THEN 'mars' WHEN k % 13 = 0 THEN NULL ELSE region END AS region,
+       placed_at
+FROM (SELECT *, CAST(substr(order_id, 7) AS BIGINT) AS k FROM orders_placed) o"""
+VIEWS["customer_changes"] = """
+SELECT CASE WHEN updated_at < TIMESTAMP '1996-06-01 00:00:00' THEN 'c'
+            WHEN CAST(substr(customer_id, 6) AS BIGINT) % 7 = 0 AND updated_at >= TIMESTAMP '2000-01-01 00:00:00' THEN 'd'
+            ELSE 'u' END AS op,
+       customer_id AS key, name, email, region, tier, epoch_ms(updated_at) AS ts_ms, 0 AS seq
+FROM profile_updates"""
+_DEPS.update({"orders_v1": ["orders_placed"], "orders_v2": ["orders_placed"],
+              "sparse_orders": ["orders_placed"], "customer_changes": ["profile_updates"]})

@@ -132,3 +132,287 @@ def q_partition_skew(spark, sf):
 @query("partition_balance")
 def q_partition_balance(spark, sf):
     return P.partition_balance(_routed(spark, sf))
+
+
+# --- projections, validation, evolution (P, F, E) -----------------------------
+from eventide import schemas as S  # noqa: E402
+from eventide.operators import monitoring as M  # noqa: E402
+from eventide.operators import reliability as D  # noqa: E402
+from eventide.operators import transforms as TR  # noqa: E402
+from eventide.sources import topics as TP  # noqa: E402
+
+AS_OF = "2024-01-31 00:00:00"
+REDRIVE_AS_OF = "2024-01-15 00:00:00"
+COMMITTED_BEFORE = "2024-01-25 00:00:00"
+SCALED_LAG_WARNING, SCALED_LAG_CRITICAL = 30, 60  # lag per partition is ~100s of messages here
+
+
+def _ts(s: str):
+    return F.lit(s).cast("timestamp_ntz")
+
+
+@query("order_totals")
+def q_order_totals(spark, sf):
+    return TR.order_totals(V.orders_with_items(spark, sf))
+
+
+@query("high_value_flag")
+def q_high_value_flag(spark, sf):
+    o = V.orders_placed(spark, sf)
+    return o.select("order_id", "total_amount", joins.high_value(F.col("total_amount")).alias("is_high_value"))
+
+
+def _decoded_orders(spark, sf):
+    return TP.decode_json(V.orders_log(spark, sf), V.ORDER_JSON_SCHEMA, keep=["key"])
+
+
+@query("decode_json")
+def q_decode_json(spark, sf):
+    return _decoded_orders(spark, sf).select("key", "decoded", "order_id", "total_amount", "region", "placed_at")
+
+
+@query("eos_transform")
+def q_eos_transform(spark, sf):
+    d = _decoded_orders(spark, sf).filter(F.col("decoded")).drop("decoded", "value", "key")
+    return TR.eos_transform(d, processor_instance=0)
+
+
+@query("order_wire")
+def q_order_wire(spark, sf):
+    w = TR.order_wire(V.orders_with_items(spark, sf))
+    return w.select("order_id", "customer_id", "total_amount", "currency", "payment_method", "region",
+                    "placed_at", F.size("items").alias("item_count"))
+
+
+@query("payments")
+def q_payments(spark, sf):
+    return TR.payments(joins.enrich_orders(V.orders_placed(spark, sf), V.customer_profiles(spark, sf)).select(
+        "order_id", "customer_id", "total_amount", "currency", "placed_at",
+        F.lit(None).cast("string").alias("payment_method")))
+
+
+@query("deterministic_ids")
+def q_deterministic_ids(spark, sf):
+    o = V.orders_placed(spark, sf)
+    return o.select("order_id", TR.uuid_from(F.concat(F.lit("payment:"), F.col("order_id"))).alias("payment_id"),
+                    TR.transaction_ref(F.col("order_id")).alias("transaction_ref"))
+
+
+@query("fill_defaults")
+def q_fill_defaults(spark, sf):
+    f = TR.fill_defaults(V.sparse_orders(spark, sf), S.ORDER_DEFAULTS)
+    return f.select("order_id", "currency", "payment_method", "shipping_address", "region")
+
+
+@query("validate_orders")
+def q_validate_orders(spark, sf):
+    v = TR.validate(V.sparse_orders(spark, sf), TR.order_rules())
+    return v.select("order_id", "valid", F.concat_ws(",", "violations").alias("violations"))
+
+
+@query("constraint_report")
+def q_constraint_report(spark, sf):
+    return TR.constraint_report(V.profile_updates(spark, sf), ["customer_id"], ["email", "name"],
+                                {"customer_id": 50, "email": 255, "name": 255, "region": 20, "tier": 20})
+
+
+@query("retention")
+def q_retention(spark, sf):
+    return TR.apply_retention(V.event_log(spark, sf), _ts(AS_OF))
+
+
+@query("archive_layout")
+def q_archive_layout(spark, sf):
+    a = TR.archive_partition_columns(V.event_log(spark, sf), "timestamp")
+    return a.select("topic", "partition", "offset", "archive_path")
+
+
+@query("classify_errors")
+def q_classify_errors(spark, sf):
+    return TR.classify_errors(V.failures(spark, sf)).select("event_id", "error_name", "error_type", "retryable")
+
+
+@query("record_headers")
+def q_record_headers(spark, sf):
+    log = V.event_log(spark, sf)
+    h = TR.with_headers(log, {
+        "transaction_id": F.concat(F.lit("txn-"), F.col("topic"), F.lit("-"), F.col("partition").cast("string")),
+        "source_partition": F.col("partition"), "source_offset": F.col("offset")})
+    return h.select("topic", "partition", "offset", F.size("headers").alias("header_count"),
+                    TR.header_value("transaction_id").alias("transaction_id"),
+                    TR.header_value("source_partition").alias("source_partition"),
+                    TR.header_value("source_offset").alias("source_offset"))
+
+
+@query("encode_json")
+def q_encode_json(spark, sf):
+    return TR.encode_json(V.orders_placed(spark, sf), key="customer_id")
+
+
+@query("evolve_orders")
+def q_evolve_orders(spark, sf):
+    e = TR.evolve_to_v2(V.orders_v1(spark, sf), V.orders_v2(spark, sf))
+    return e.select(*[c for c in e.columns if c != "metadata"],
+                    F.concat_ws(",", F.array_sort(F.map_keys("metadata"))).alias("metadata_keys"),
+                    F.col("metadata")["priority_code"].alias("metadata_priority_code"))
+
+
+@query("project_v1")
+def q_project_v1(spark, sf):
+    return TR.project_v1(V.orders_v2(spark, sf))
+
+
+# --- joins (J-3, J-4) -----------------------------------------------------------
+@query("enrich_orders_asof")
+def q_enrich_orders_asof(spark, sf):
+    return joins.enrich_orders_asof(V.orders_placed(spark, sf), V.profile_updates(spark, sf))
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, sf):
+    return joins.fk_orphans(V.orders_placed(spark, sf), V.customer_profiles(spark, sf),
+                            "customer_id", "customer_id").select("order_id", "customer_id")
+
+
+# --- sources (S-1 .. S-6, S-8) ------------------------------------------------------
+@query("scan_topic")
+def q_scan_topic(spark, sf):
+    return TP.scan_topic(V.event_log(spark, sf), "orders.placed")
+
+
+@query("scan_multi_topic")
+def q_scan_multi_topic(spark, sf):
+    return TP.scan_topics(V.event_log(spark, sf), ["orders.enriched", "payments.processed"])
+
+
+@query("replay_from_offsets")
+def q_replay_from_offsets(spark, sf):
+    log = V.event_log(spark, sf)
+    starts = (M.next_offsets(log).filter(F.col("partition") < 6)
+              .select("topic", "partition", F.floor(F.col("next_offset") / 2).alias("from_offset")))
+    return TP.replay_from_offsets(log, starts, from_beginning=[6, 7])
+
+
+@query("read_first_n")
+def q_read_first_n(spark, sf):
+    return TP.read_first_n(V.event_log(spark, sf), 1000)
+
+
+@query("assign_batches")
+def q_assign_batches(spark, sf):
+    b = TP.assign_batches(V.event_log(spark, sf), S.EOS_BATCH_SIZE)
+    return b.select("topic", "partition", "offset", "batch_id")
+
+
+@query("cdc_apply")
+def q_cdc_apply(spark, sf):
+    cur = TP.cdc_apply(V.customer_changes(spark, sf))
+    prof = F.from_json("after", "name string, email string, region string, tier string")
+    return cur.select(F.col("key").alias("customer_id"), "op", "ts_ms", prof.alias("p")).select(
+        "customer_id", "op", "ts_ms", "p.name", "p.email", "p.region", "p.tier")
+
+
+# --- monitoring (A-5 .. A-10) -----------------------------------------------------
+@query("log_counters")
+def q_log_counters(spark, sf):
+    return M.log_counters(V.event_log(spark, sf))
+
+
+@query("error_counters")
+def q_error_counters(spark, sf):
+    f = TR.classify_errors(V.failures(spark, sf)).filter(F.col("error_name").isNotNull())
+    return f.groupBy("topic", "error_type").agg(F.count(F.lit(1)).alias("errors"))
+
+
+@query("latency_histogram")
+def q_latency_histogram(spark, sf):
+    e = read_events(spark, sf)
+    return M.latency_histogram(e, "value", ["event_type"])
+
+
+@query("latency_quantiles")
+def q_latency_quantiles(spark, sf):
+    return M.latency_quantiles(read_events(spark, sf), "value", ["event_type"])
+
+
+@query("next_offsets")
+def q_next_offsets(spark, sf):
+    return M.next_offsets(V.event_log(spark, sf))
+
+
+@query("consumer_lag")
+def q_consumer_lag(spark, sf):
+    log = V.event_log(spark, sf)
+    committed = (log.groupBy("topic", "partition")
+                 .agg(F.sum((F.col("timestamp") < _ts(COMMITTED_BEFORE)).cast("long")).alias("committed_offset")))
+    return M.consumer_lag(log, committed, SCALED_LAG_WARNING, SCALED_LAG_CRITICAL)
+
+
+@query("rate_alerts")
+def q_rate_alerts(spark, sf):
+    e = read_events(spark, sf)
+    return M.rate_alerts(e, "ts", F.col("event_type") == "error")
+
+
+@query("throughput")
+def q_throughput(spark, sf):
+    return M.throughput(V.event_log(spark, sf))
+
+
+def read_events(spark, sf):
+    from eventide.sources.tables import read_table
+    return read_table(spark, sf, "events", "event_id", "ts", "event_type", "value")
+
+
+# --- reliability (D-1 .. D-5) ---------------------------------------------------------
+class FlakyByRule:
+    """Test process function: raises ``error_name`` for the first
+    ``fail_times`` calls on a record, then succeeds."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def __call__(self, row):
+        n = self.calls.get(row["event_id"], 0)
+        self.calls[row["event_id"]] = n + 1
+        name = row["error_name"]
+        if name is not None and n < row["fail_times"]:
+            raise type(name, (Exception,), {})(f"{name} on attempt {n + 1}")
+
+
+@query("process_with_retry")
+def q_process_with_retry(spark, sf):
+    out = D.process_with_retry(V.failures(spark, sf).drop("attempts"), FlakyByRule())
+    return out.select("event_id", "ok", "attempts", "error_type")
+
+
+def _outcomes(spark, sf):
+    return D.process_outcomes(V.failures(spark, sf).drop("attempts"))
+
+
+@query("process_outcomes")
+def q_process_outcomes(spark, sf):
+    return _outcomes(spark, sf).select("event_id", "ok", "attempts", "error_type")
+
+
+@query("retry_schedule")
+def q_retry_schedule(spark, sf):
+    f = V.failures(spark, sf).filter(F.col("error_name").isNotNull())
+    return D.retry_schedule(f.select("event_id", "first_failure_at"), "first_failure_at")
+
+
+@query("dead_letters")
+def q_dead_letters(spark, sf):
+    d = D.dead_letters(_outcomes(spark, sf), offset="event_id")
+    return d.withColumn("original_value", F.col("original_value").cast("string"))
+
+
+@query("redrive_due")
+def q_redrive_due(spark, sf):
+    r = D.redrive_due(V.failures(spark, sf), _ts(REDRIVE_AS_OF))
+    return r.select("event_id", "error_type", "attempts", "next_retry_at")
+
+
+@query("dlq_summary")
+def q_dlq_summary(spark, sf):
+    return D.dlq_summary(_outcomes(spark, sf))

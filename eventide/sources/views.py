@@ -230,3 +230,57 @@ def orders_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(F.lit("source"), F.lit("web"), F.lit("priority_code"),
                      F.col("o_orderpriority")).alias("metadata"),
     )
+
+
+ORDER_WIRE_FIELDS = [f for f in S.ORDER_V1_FIELDS if f != "items"]
+ORDER_JSON_SCHEMA = T.StructType([f for f in S.ORDER_PLACED_V1.fields if f.name != "items"])
+
+
+def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``orders.placed`` topic: orders as JSON keyed by customer, routed
+    by the region partitioner; every 20th order key is a corrupt value."""
+    from eventide.operators.partitioning import region_partition
+    o = orders_placed(spark, sf_dir)
+    k = F.substring_index("order_id", "-", -1).cast("long")
+    rows = o.select(
+        F.lit("orders.placed").alias("topic"),
+        F.col("customer_id").alias("key"),
+        F.when(F.pmod(k, F.lit(20)) == 0, F.lit("not-json"))
+         .otherwise(F.to_json(F.struct(*ORDER_WIRE_FIELDS))).alias("value"),
+        region_partition("customer_id", "region").alias("partition"),
+        k.alias("__k"),
+        F.col("placed_at").alias("timestamp"))
+    pos = row_positions(rows, ["topic", "partition"], ["timestamp", "__k"], name="offset")
+    return pos.select(*S.LOG_FIELDS)
+
+
+def sparse_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with fields left out (nulls) and a few invalid values, to
+    exercise default filling and validation."""
+    o = orders_with_items(spark, sf_dir)
+    k = F.substring_index("order_id", "-", -1).cast("long")
+    return o.select(
+        "order_id", "customer_id", "items", "total_amount",
+        F.when(F.pmod(k, F.lit(3)) == 0, F.lit(None).cast("string")).otherwise(F.col("currency")).alias("currency"),
+        F.when(F.pmod(k, F.lit(4)) == 0, F.lit(None).cast("string")).otherwise(F.col("payment_method")).alias("payment_method"),
+        F.when(F.pmod(k, F.lit(7)) == 0, F.lit(None).cast("string")).otherwise(F.col("shipping_address")).alias("shipping_address"),
+        F.when(F.pmod(k, F.lit(11)) == 0, F.lit("mars"))
+         .when(F.pmod(k, F.lit(13)) == 0, F.lit(None).cast("string")).otherwise(F.col("region")).alias("region"),
+        "placed_at")
+
+
+def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CDC change rows (Debezium-like) for the customer table: create for the
+    first version, update after, delete for every 7th customer's late versions."""
+    p = profile_updates(spark, sf_dir)
+    num = F.substring_index("customer_id", "-", -1).cast("long")
+    op = (F.when(F.col("updated_at") < F.lit("1996-06-01 00:00:00").cast("timestamp_ntz"), F.lit("c"))
+          .when((F.pmod(num, F.lit(7)) == 0) & (F.col("updated_at") >= F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")),
+                F.lit("d"))
+          .otherwise(F.lit("u")))
+    after = F.to_json(F.struct("name", "email", "region", "tier"))
+    return p.select(op.alias("op"), F.col("customer_id").alias("key"),
+                    F.when(op != "d", after).alias("after"),
+                    F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                     F.col("updated_at")).alias("ts_ms"),
+                    F.lit(0).alias("seq"))
