@@ -36,3 +36,17 @@ def lookup(mapping: dict, key: Column, default=None) -> Column:
 def ntz_to_millis(ts: Column) -> Column:
     """Epoch milliseconds of a TIMESTAMP_NTZ (wall time read as UTC)."""
     return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+
+
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_to_instant(ts: Column) -> Column:
+    """TIMESTAMP_NTZ (UTC wall time) -> TIMESTAMP instant, independent of the
+    session time zone (watermarks need TIMESTAMP)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts))
+
+
+def instant_to_ntz(ts: Column) -> Column:
+    """TIMESTAMP instant -> TIMESTAMP_NTZ UTC wall time (session-zone free)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))

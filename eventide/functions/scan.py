@@ -71,30 +71,35 @@ def assign_chunks(df: DataFrame, keys: list[str], order: list[str],
 
 def running_sums(df: DataFrame, keys: list[str], order: list[str],
                  values: dict[str, Column | str], max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS,
-                 inclusive: bool = True) -> DataFrame:
-    """Add ``name = sum(value)`` over rows of the same key up to this row.
+                 inclusive: bool = True, agg: str = "sum") -> DataFrame:
+    """Add ``name = sum(value)`` (or ``max`` with ``agg="max"``) over rows of
+    the same key up to this row.
 
     ``order`` must totally order the rows of a key (end it with a unique id).
     With ``inclusive=False`` the current row is excluded.
     """
+    fn = {"sum": F.sum, "max": F.max}[agg]
     vals = {n: (F.col(v) if isinstance(v, str) else v) for n, v in values.items()}
     base = df.select("*", *[c.alias(f"__v_{n}") for n, c in vals.items()])
     chunked = assign_chunks(base, keys, order, max_chunk_rows)
 
     hi = Window.currentRow if inclusive else -1
     w_local = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
-    local = chunked.select("*", *[F.sum(f"__v_{n}").over(w_local).alias(f"__l_{n}") for n in vals])
+    local = chunked.select("*", *[fn(f"__v_{n}").over(w_local).alias(f"__l_{n}") for n in vals])
 
     tot = (chunked.filter(F.col(NCHUNKS) > 1).groupBy(*keys, CHUNK)
-           .agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in vals]))
+           .agg(*[fn(f"__v_{n}").alias(f"__t_{n}") for n in vals]))
     w_carry = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (tot.select(*[F.col(c).alias(f"__ck_{c}") for c in keys], F.col(CHUNK).alias("__ck_chunk"),
-                        *[F.sum(f"__t_{n}").over(w_carry).alias(f"__c_{n}") for n in vals])
+                        *[fn(f"__t_{n}").over(w_carry).alias(f"__c_{n}") for n in vals])
              .filter(F.col("__ck_chunk") > 0))
     cond = _keys_on(local, carry, keys, "__ck_") & (local[CHUNK] == carry["__ck_chunk"])
     joined = local.join(carry, cond, "left")
     out_cols = [F.col(c) for c in df.columns]
     for n in vals:
+        if agg == "max":
+            out_cols.append(F.greatest(F.col(f"__l_{n}"), F.col(f"__c_{n}")).alias(n))
+            continue
         zero = F.lit(0).cast(base.schema[f"__v_{n}"].dataType)
         out_cols.append((F.coalesce(F.col(f"__l_{n}"), zero) + F.coalesce(F.col(f"__c_{n}"), zero)).alias(n))
     return joined.select(*out_cols)

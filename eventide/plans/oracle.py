@@ -401,3 +401,26 @@ WHERE NOT ({_ET} IN ({_PERM})) AND attempts < {S.MAX_RETRIES}
       <= TIMESTAMP '2024-01-15 00:00:00'""")
 oracle("dlq_summary", """SELECT CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS processed,
        CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS dlq_count FROM outcomes""", _OUTCOMES)
+
+
+# --- sinks and streaming (results compared with the batch definitions) ------------------
+ORACLE["topic_sink_roundtrip"] = ORACLE["scan_topic"].replace(" WHERE topic = 'orders.placed'", "")
+ORACLE["archive_roundtrip"] = ORACLE["topic_sink_roundtrip"]
+ORACLE["dedup_events"] = ORACLE["topic_sink_roundtrip"]
+ORACLE["resume_pipeline"] = ORACLE["topic_sink_roundtrip"]
+ORACLE["upsert_sink"] = ORACLE["compact_latest"]
+oracle("fan_out", """SELECT 'topic' AS sink, count(*) AS "rows", count(*) AS reported_rows FROM event_log
+UNION ALL SELECT 'archive', count(*), count(*) FROM event_log""")
+ORACLE["exactly_once_pipeline"] = ORACLE["eos_transform"]
+ORACLE["read_committed"] = ORACLE["eos_transform"]
+ORACLE["order_window_stats_stream"] = ORACLE["order_window_stats"]
+ORACLE["enrich_orders_stream"] = ORACLE["enrich_orders"]
+ORACLE["order_state_changes_stream"] = ORACLE["order_state_changes"]
+ORACLE["fraud_alerts_stream"] = ORACLE["fraud_alerts"]
+oracle("late_events", """
+SELECT order_id, created_at, watermark FROM (
+  SELECT order_id, created_at,
+         max(created_at) OVER (ORDER BY CAST(substr(order_id, 7) AS BIGINT)
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 30 DAY AS watermark
+  FROM shipments) s
+WHERE created_at < watermark""")

@@ -416,3 +416,201 @@ def q_redrive_due(spark, sf):
 @query("dlq_summary")
 def q_dlq_summary(spark, sf):
     return D.dlq_summary(_outcomes(spark, sf))
+
+
+# --- sinks (K-1 .. K-4) -------------------------------------------------------------
+from eventide.session import scratch_path  # noqa: E402
+from eventide.sinks import files as K  # noqa: E402
+
+
+@query("topic_sink_roundtrip")
+def q_topic_sink_roundtrip(spark, sf):
+    path = scratch_path(spark, "topic-sink")
+    K.write_topic(V.event_log(spark, sf), path)
+    return TP.read_topic_files(spark, path)
+
+
+UPSERT_CUTS = ["1996-05-10 00:00:00", "1998-10-20 00:00:00"]
+
+
+@query("upsert_sink")
+def q_upsert_sink(spark, sf):
+    path = scratch_path(spark, "upsert")
+    p = V.profile_updates(spark, sf)
+    t = F.col("updated_at")
+    batches = [t < _ts(UPSERT_CUTS[0]), (t >= _ts(UPSERT_CUTS[0])) & (t < _ts(UPSERT_CUTS[1])), t >= _ts(UPSERT_CUTS[1])]
+    for i, cond in enumerate(batches):
+        K.upsert(p.filter(cond), path, ["customer_id"], ["updated_at"], version=i)
+    return K.read_upserted(spark, path)
+
+
+@query("archive_roundtrip")
+def q_archive_roundtrip(spark, sf):
+    path = scratch_path(spark, "archive")
+    K.write_archive(V.event_log(spark, sf), path, "timestamp")
+    return K.read_archive(spark, path).select(*S.LOG_FIELDS)
+
+
+@query("fan_out")
+def q_fan_out(spark, sf):
+    base = scratch_path(spark, "fan-out")
+    counts = K.fan_out(V.event_log(spark, sf), {
+        "topic": lambda df: K.write_topic(df, f"{base}/topic"),
+        "archive": lambda df: K.write_archive(df, f"{base}/archive", "timestamp"),
+    })
+    written = [TP.read_topic_files(spark, f"{base}/topic").select(F.lit("topic").alias("sink")),
+               K.read_archive(spark, f"{base}/archive").select(F.lit("archive").alias("sink"))]
+    got = written[0].unionByName(written[1]).groupBy("sink").agg(F.count(F.lit(1)).alias("rows"))
+    return got.withColumn("reported_rows", F.coalesce(
+        *[F.when(F.col("sink") == k, F.lit(v)) for k, v in counts.items()]).cast("long"))
+
+
+# --- streaming (T-3 .. T-7, J-2, T-4, F-5) ---------------------------------------------
+from eventide.streaming import pipelines as ST  # noqa: E402
+from eventide.functions.scan import running_sums  # noqa: E402
+
+
+def _stage(df, spark, name):
+    """Write a Spark-derived frame as the file-backed input of a stream."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def _eos_transform(batch):
+    d = TP.decode_json(batch, V.ORDER_JSON_SCHEMA, keep=["topic", "partition", "offset"])
+    return TR.eos_transform(d.filter(F.col("decoded")).drop("decoded", "value", "topic", "partition", "offset"))
+
+
+def _eos_run(spark, sf, runs=2, aborted=False):
+    src = _stage(V.orders_log(spark, sf), spark, "eos-src")
+    out, ledger = scratch_path(spark, "eos-out"), scratch_path(spark, "eos-ledger")
+    writer = ST.exactly_once_writer(_eos_transform, out, ledger)
+    for r in range(runs):  # the second run replays every batch (offsets lost)
+        stream = ST.file_stream(spark, src, S.LOG, max_files_per_trigger=2)
+        ST.run_until_caught_up(stream, writer, scratch_path(spark, f"eos-ckpt{r}"))
+    if aborted:  # a batch whose data landed but whose commit marker did not
+        bad = _eos_transform(spark.read.parquet(src))
+        bad.write.mode("overwrite").parquet(f"{out}/batch_id=999999")
+    return ST.read_committed(spark, out, ledger)
+
+
+@query("exactly_once_pipeline")
+def q_exactly_once_pipeline(spark, sf):
+    return _eos_run(spark, sf, runs=2)
+
+
+@query("read_committed")
+def q_read_committed(spark, sf):
+    return _eos_run(spark, sf, runs=1, aborted=True)
+
+
+@query("order_window_stats_stream")
+def q_order_window_stats_stream(spark, sf):
+    src = _stage(V.fraud_orders(spark, sf), spark, "win-src")
+    out = scratch_path(spark, "win-out")
+    stream = ST.file_stream(spark, src, V.fraud_orders(spark, sf).schema)
+    stats = ST.window_stats_stream(stream, W.SCALED_RULE.window)
+    ST.run_until_caught_up(stats, ST.append_batches(out), scratch_path(spark, "win-ckpt"), "update")
+    # update mode re-emits a window when it changes: keep its last version
+    got = ST.read_batches(spark, out)
+    return tables.compact_latest(got, ["customer_id", "window_start"], ["batch_id"]).drop("batch_id")
+
+
+def _with_resends(log):
+    """The log plus re-sent copies of every 10th message (producer retries)."""
+    return log.unionByName(log.filter(F.pmod(F.col("offset"), F.lit(10)) == 0))
+
+
+@query("dedup_events")
+def q_dedup_events(spark, sf):
+    src = _stage(_with_resends(V.event_log(spark, sf)), spark, "dedup-src")
+    out = scratch_path(spark, "dedup-out")
+    d = ST.dedup_stream(ST.file_stream(spark, src, S.LOG), ["topic", "partition", "offset"])
+    ST.run_until_caught_up(d, ST.append_batches(out), scratch_path(spark, "dedup-ckpt"))
+    return ST.read_batches(spark, out).drop("batch_id")
+
+
+RESUME_CUT = "2024-01-16 00:00:00"
+
+
+@query("resume_pipeline")
+def q_resume_pipeline(spark, sf):
+    log = V.event_log(spark, sf)
+    src, out, ckpt = scratch_path(spark, "resume-src"), scratch_path(spark, "resume-out"), scratch_path(spark, "resume-ckpt")
+    log.filter(F.col("timestamp") < _ts(RESUME_CUT)).write.mode("append").parquet(src)
+    ST.run_until_caught_up(ST.file_stream(spark, src, S.LOG), ST.append_batches(out), ckpt)
+    # new data arrives; the restarted query resumes from its checkpoint
+    log.filter(F.col("timestamp") >= _ts(RESUME_CUT)).write.mode("append").parquet(src)
+    ST.run_until_caught_up(ST.file_stream(spark, src, S.LOG), ST.append_batches(out), ckpt)
+    return ST.read_batches(spark, out).drop("batch_id")
+
+
+@query("enrich_orders_stream")
+def q_enrich_orders_stream(spark, sf):
+    prof_src = _stage(V.profile_updates(spark, sf), spark, "prof-src")
+    ord_src = _stage(V.orders_placed(spark, sf), spark, "ord-src")
+    table, out = scratch_path(spark, "prof-table"), scratch_path(spark, "enrich-out")
+    prof_schema = V.profile_updates(spark, sf).schema
+
+    def upsert_profiles(batch, batch_id):
+        K.upsert(batch, table, ["customer_id"], ["updated_at"], version=batch_id)
+
+    # profiles arrive first here; each order batch sees the table as of its arrival
+    ST.run_until_caught_up(ST.file_stream(spark, prof_src, prof_schema), upsert_profiles,
+                           scratch_path(spark, "prof-ckpt"))
+
+    def enrich(batch, batch_id):
+        joins.enrich_orders(batch, K.read_upserted(spark, table)).write.mode("overwrite") \
+            .parquet(f"{out}/batch_id={batch_id}")
+
+    ST.run_until_caught_up(ST.file_stream(spark, ord_src, V.orders_placed(spark, sf).schema), enrich,
+                           scratch_path(spark, "enrich-ckpt"))
+    return ST.read_batches(spark, out).drop("batch_id")
+
+
+@query("order_state_changes_stream")
+def q_order_state_changes_stream(spark, sf):
+    src = _stage(V.state_requests(spark, sf), spark, "sm-src")
+    out = scratch_path(spark, "sm-out")
+    res = ST.order_state_stream(ST.file_stream(spark, src, V.state_requests(spark, sf).schema))
+    ST.run_until_caught_up(res, ST.append_batches(out), scratch_path(spark, "sm-ckpt"))
+    return ST.read_batches(spark, out).drop("batch_id")
+
+
+@query("fraud_alerts_stream")
+def q_fraud_alerts_stream(spark, sf):
+    src = _stage(V.fraud_orders(spark, sf), spark, "fa-src")
+    out = scratch_path(spark, "fa-out")
+    run = ST.running_alerts_stream(ST.file_stream(spark, src, V.fraud_orders(spark, sf).schema), 5 * 86400)
+    ST.run_until_caught_up(run, ST.append_batches(out), scratch_path(spark, "fa-ckpt"))
+    got = ST.read_batches(spark, out)
+    rule = W.SCALED_RULE
+    ws = F.timestamp_add("MICROSECOND", F.col("window_start_us"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    got = got.select("customer_id", "order_id", "order_count", "region_count",
+                     (F.col("total_cents").cast("decimal(20,0)") / 100).cast(S.MONEY_SUM).alias("total_amount"),
+                     ws.alias("window_start"), F.timestamp_add("DAY", F.lit(5), ws).alias("window_end"))
+    c, a, r = F.col("order_count"), F.col("total_amount"), F.col("region_count")
+    scored = got.withColumn("risk_score", W.risk_score(c, a, r, rule)).withColumn("reason", W.risk_reason(c, a, r, rule))
+    scored = scored.filter(F.col("risk_score") >= rule.min_score)
+    return scored.select(F.concat(F.lit("alert-"), F.col("order_id")).alias("alert_id"), "customer_id", "order_id",
+                         "order_count", "total_amount", "region_count", "window_start", "window_end",
+                         "risk_score", "reason")
+
+
+LATE_DELAY_DAYS = 30
+
+
+@query("late_events")
+def q_late_events(spark, sf):
+    """T-7: shipments arrive in order-key order; one is late when its event
+    time is more than the delay behind the newest event time seen before it
+    (a global running max - the whole log is one key, split by the scan)."""
+    sh = V.shipments(spark, sf).select("order_id", F.substring_index("order_id", "-", -1).cast("long").alias("arrival"),
+                                       "created_at")
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("created_at"))
+    run = running_sums(sh.withColumn("__all", F.lit(0)), ["__all"], ["arrival"], {"__max_us": us},
+                       inclusive=False, agg="max")
+    wm = F.timestamp_add("MICROSECOND", F.col("__max_us"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    late = run.withColumn("watermark", F.timestamp_add("DAY", F.lit(-LATE_DELAY_DAYS), wm))
+    return late.filter(F.col("created_at") < F.col("watermark")).select("order_id", "created_at", "watermark")
