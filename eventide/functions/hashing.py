@@ -22,28 +22,34 @@ def _byte(hx: str, j: str) -> str:
     return f"cast(conv(substr({hx}, 2 * ({j}) + 1, 2), 16, 10) as bigint)"
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """Bind ``value`` once (a one-element ``transform``) so the SQL stays
+    linear in size and each step is evaluated once per row."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
 def murmur2_sql(key_sql: str) -> str:
     """Spark SQL text of the positive 31-bit murmur2 of a string key."""
-    hx = f"hex(encode({key_sql}, 'UTF-8'))"
+    hx = "mm_hx"
     n = f"(length({hx}) div 2)"
     n4 = f"({n} div 4)"
-    blocks = f"if({n4} > 0, sequence(0, {n4} - 1), cast(array() as array<int>))"
-    k0 = (f"transform({blocks}, i -> {_byte(hx, '4 * i')} | shiftleft({_byte(hx, '4 * i + 1')}, 8)"
-          f" | shiftleft({_byte(hx, '4 * i + 2')}, 16) | shiftleft({_byte(hx, '4 * i + 3')}, 24))")
-    k1 = f"transform({k0}, k -> (k * {_M}) & {_MASK})"
-    k2 = f"transform({k1}, k -> ((k ^ shiftright(k, {S.MURMUR2_R})) * {_M}) & {_MASK})"
-    h0 = f"(({S.MURMUR2_SEED} ^ {n}) & {_MASK})"
-    body = f"aggregate({k2}, {h0}, (h, k) -> ((h * {_M}) & {_MASK}) ^ k)"
     t = f"({n4} * 4)"
     rem = f"({n} % 4)"
-    tail = (f"(({body})"
-            f" ^ if({rem} >= 3, shiftleft({_byte(hx, t + ' + 2')}, 16), 0)"
-            f" ^ if({rem} >= 2, shiftleft({_byte(hx, t + ' + 1')}, 8), 0))")
-    tail = f"if({rem} >= 1, ((({tail}) ^ {_byte(hx, t)}) * {_M}) & {_MASK}, {tail})"
-    f1 = f"(({tail}) ^ shiftright({tail}, 13))"
-    f2 = f"(({f1} * {_M}) & {_MASK})"
-    f3 = f"({f2} ^ shiftright({f2}, 15))"
-    return f"if({key_sql} is null, cast(null as bigint), {f3} & {0x7FFFFFFF})"
+    blocks = f"if({n4} > 0, sequence(0, {n4} - 1), cast(array() as array<int>))"
+    k = (f"transform({blocks}, i -> {_byte(hx, '4 * i')} | shiftleft({_byte(hx, '4 * i + 1')}, 8)"
+         f" | shiftleft({_byte(hx, '4 * i + 2')}, 16) | shiftleft({_byte(hx, '4 * i + 3')}, 24))")
+    mix = f"(mm_k0 * {_M}) & {_MASK}"
+    mixed = f"transform({k}, mm_k0 -> {_let('mm_k1', mix, f'((mm_k1 ^ shiftright(mm_k1, {S.MURMUR2_R})) * {_M}) & {_MASK}')})"
+    h0 = f"(({S.MURMUR2_SEED} ^ {n}) & {_MASK})"
+    body = f"aggregate({mixed}, {h0}, (h, k) -> ((h * {_M}) & {_MASK}) ^ k)"
+    tail2 = (f"mm_b ^ if({rem} >= 3, shiftleft({_byte(hx, t + ' + 2')}, 16), 0)"
+             f" ^ if({rem} >= 2, shiftleft({_byte(hx, t + ' + 1')}, 8), 0)")
+    tail1 = f"if({rem} >= 1, ((mm_t2 ^ {_byte(hx, t)}) * {_M}) & {_MASK}, mm_t2)"
+    fin = _let("mm_f1", f"(mm_t1 ^ shiftright(mm_t1, 13)) * {_M} & {_MASK}",
+               f"(mm_f1 ^ shiftright(mm_f1, 15)) & {0x7FFFFFFF}")
+    expr = _let("mm_b", body, _let("mm_t2", tail2, _let("mm_t1", tail1, fin)))
+    full = _let(hx, f"hex(encode({key_sql}, 'UTF-8'))", expr)
+    return f"if({key_sql} is null, cast(null as bigint), {full})"
 
 
 def murmur2(key: Column | str) -> Column:

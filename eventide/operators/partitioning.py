@@ -24,13 +24,24 @@ def _range_lookup(region: Column) -> tuple[Column, Column]:
             F.try_element_at(F.create_map(*sizes), region))
 
 
-def default_partition(h: Column, available: list[int], null_key_seed: int = 0) -> Column:
-    """R-3: ``available[h % n]``; a null key gets a random available slot."""
+def _bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _null_key_slot(available: list[int], seed: int) -> Column:
+    avail = F.array(*[F.lit(p) for p in available])
+    return F.element_at(avail, (F.floor(F.rand(seed) * len(available)) + 1).cast("int"))
+
+
+def _hash_slot(h: Column, available: list[int]) -> Column:
     avail = F.array(*[F.lit(p) for p in available])
-    n = len(available)
-    rnd = F.floor(F.rand(null_key_seed) * n).cast("int")
-    idx = F.when(h.isNull(), rnd).otherwise(F.pmod(h, F.lit(n)).cast("int"))
-    return F.element_at(avail, idx + 1)
+    return F.element_at(avail, (F.pmod(h, F.lit(len(available))) + 1).cast("int"))
+
+
+def default_partition(h: Column, available: list[int], null_key_seed: int = 0) -> Column:
+    """R-3: ``available[h % n]``; a null key (null hash) gets a random available slot."""
+    return F.when(h.isNull(), _null_key_slot(available, null_key_seed)).otherwise(_hash_slot(h, available))
 
 
 def region_partition(key: str, region: str, available: list[int] | None = None,
@@ -38,21 +49,25 @@ def region_partition(key: str, region: str, available: list[int] | None = None,
     """R-1 + R-2: start of the region's range + murmur2(key) % range size;
     when that slot is unavailable the next slots of the range are probed in
     order, then the default partitioner over the available ones is used.
-    Unknown region or null key -> default partitioner."""
+    Unknown region -> default partitioner; null key -> random available."""
     available = list(range(S.NUM_TOPIC_PARTITIONS)) if available is None else available
-    h = murmur2(key)
     start, size = _range_lookup(F.col(region))
-    default = default_partition(h, available, null_key_seed)
     all_up = set(available) >= set(range(S.NUM_TOPIC_PARTITIONS))
-    if all_up:
-        ranged = start + F.pmod(h, size).cast("int")
-    else:
-        avail = F.array(*[F.lit(p) for p in available])
-        probes = F.transform(F.sequence(F.lit(0), size - 1),
-                             lambda o: start + F.pmod(h + o, size).cast("int"))
-        up = F.filter(probes, lambda p: F.array_contains(avail, p))
-        ranged = F.coalesce(F.try_element_at(up, F.lit(1)), default)
-    return F.when(h.isNull() | start.isNull(), default).otherwise(ranged).cast("int")
+    avail = F.array(*[F.lit(p) for p in available])
+
+    def route(h: Column) -> Column:
+        default = _hash_slot(h, available)
+        if all_up:
+            ranged = start + F.pmod(h, size).cast("int")
+        else:
+            probes = F.transform(F.sequence(F.lit(0), size - 1),
+                                 lambda o: start + F.pmod(h + o, size).cast("int"))
+            up = F.filter(probes, lambda p: F.array_contains(avail, p))
+            ranged = F.coalesce(F.try_element_at(up, F.lit(1)), default)
+        return F.when(start.isNull(), default).otherwise(ranged)
+
+    routed = _bind(murmur2(key), route)
+    return F.when(F.col(key).isNull(), _null_key_slot(available, null_key_seed)).otherwise(routed).cast("int")
 
 
 def priority_partition(key: str, amount: str, available: list[int] | None = None,
