@@ -224,11 +224,14 @@ def evolve_to_v2(v1: DataFrame, v2: DataFrame) -> DataFrame:
     """Read v1 and v2 rows as one v2 table; missing v2 fields get defaults."""
     u = v1.unionByName(v2, allowMissingColumns=True)
     empty_map = F.create_map().cast(T.MapType(T.StringType(), T.StringType()))
+
+    def col_or_null(c: str, dtype: str):
+        return F.col(c).cast(dtype) if c in u.columns else F.lit(None).cast(dtype)
     return u.select(
         *[F.col(c) for c in v1.columns if c in S.ORDER_V1_FIELDS],
-        F.col("coupon_code").cast("string").alias("coupon_code"),
-        F.coalesce(F.col("priority"), F.lit(S.ORDER_V2_DEFAULTS["priority"])).alias("priority"),
-        F.coalesce(F.col("metadata"), empty_map).alias("metadata"))
+        col_or_null("coupon_code", "string").alias("coupon_code"),
+        F.coalesce(col_or_null("priority", "string"), F.lit(S.ORDER_V2_DEFAULTS["priority"])).alias("priority"),
+        F.coalesce(col_or_null("metadata", "map<string,string>"), empty_map).alias("metadata"))
 
 
 def project_v1(df: DataFrame) -> DataFrame:
