@@ -45,28 +45,32 @@ def _order_number(c: Column, dtype: T.DataType) -> Column:
     return c.cast("double")
 
 
-def _keys_on(left: DataFrame, right: DataFrame, keys: list[str], rprefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{rprefix}{c}"]) for c in keys])
+KEY = "__key"
 
 
 def assign_chunks(df: DataFrame, keys: list[str], order: list[str],
                   max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS) -> DataFrame:
-    """Add ``__chunk`` (contiguous in order within a key) and ``__nchunks``."""
+    """Add ``__key`` (struct of the key columns), ``__chunk`` (contiguous in
+    order within a key) and ``__nchunks``.
+
+    ``__key`` is a struct so one equi-join column is null-safe (struct fields
+    compare null = null) and stays identical to the window's partitioning
+    key, which lets the carry join reuse that shuffle.
+    """
     x = _order_number(F.col(order[0]), df.schema[order[0]].dataType)
-    base = df.withColumn("__x", x)
-    stats = (base.groupBy(*keys)
+    base = df.withColumns({KEY: F.struct(*keys), "__x": x})
+    stats = (base.groupBy(KEY)
              .agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
              .filter(F.col("__n") > max_chunk_rows)
-             .select(*[F.col(c).alias(f"__s_{c}") for c in keys],
-                     F.ceil(F.col("__n") / F.lit(max_chunk_rows)).cast("int").alias("__m"),
+             .select(KEY, F.ceil(F.col("__n") / F.lit(max_chunk_rows)).cast("int").alias("__m"),
                      "__lo", "__hi"))
     # Only split keys are in ``stats`` (<= rows / max_chunk_rows of them).
-    j = base.join(stats, _keys_on(base, stats, keys, "__s_"), "left")
+    j = base.join(stats, KEY, "left")
     m = F.coalesce(F.col("__m"), F.lit(1))
     span = F.col("__hi") - F.col("__lo") + F.lit(1.0)
     chunk = F.when(m <= 1, F.lit(0)).otherwise(
         F.least(F.floor((F.col("__x") - F.col("__lo")) / span * m), m - 1)).cast("int")
-    return j.select(*[F.col(c) for c in df.columns], chunk.alias(CHUNK), m.alias(NCHUNKS))
+    return j.select(*[F.col(c) for c in df.columns], F.col(KEY), chunk.alias(CHUNK), m.alias(NCHUNKS))
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list[str],
@@ -84,17 +88,16 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str],
     chunked = assign_chunks(base, keys, order, max_chunk_rows)
 
     hi = Window.currentRow if inclusive else -1
-    w_local = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
+    w_local = Window.partitionBy(KEY, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
     local = chunked.select("*", *[fn(f"__v_{n}").over(w_local).alias(f"__l_{n}") for n in vals])
 
-    tot = (chunked.filter(F.col(NCHUNKS) > 1).groupBy(*keys, CHUNK)
+    # Carries exist only for chunks after the first of a split key.
+    tot = (chunked.filter(F.col(NCHUNKS) > 1).groupBy(KEY, CHUNK)
            .agg(*[fn(f"__v_{n}").alias(f"__t_{n}") for n in vals]))
-    w_carry = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (tot.select(*[F.col(c).alias(f"__ck_{c}") for c in keys], F.col(CHUNK).alias("__ck_chunk"),
-                        *[fn(f"__t_{n}").over(w_carry).alias(f"__c_{n}") for n in vals])
-             .filter(F.col("__ck_chunk") > 0))
-    cond = _keys_on(local, carry, keys, "__ck_") & (local[CHUNK] == carry["__ck_chunk"])
-    joined = local.join(carry, cond, "left")
+    w_carry = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (tot.select(KEY, CHUNK, *[fn(f"__t_{n}").over(w_carry).alias(f"__c_{n}") for n in vals])
+             .filter(F.col(CHUNK) > 0))
+    joined = local.join(carry, [KEY, CHUNK], "left")
     out_cols = [F.col(c) for c in df.columns]
     for n in vals:
         if agg == "max":
@@ -207,20 +210,18 @@ def fold_states(df: DataFrame, keys: list[str], order: list[str], symbol_col: st
     the request met.
     """
     chunked = assign_chunks(df, keys, order, max_chunk_rows)
-    seg = [*keys, CHUNK]
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    laid = chunked.repartition(n_parts, *seg).sortWithinPartitions(*seg, *order)
+    laid = chunked.repartition(n_parts, KEY, CHUNK).sortWithinPartitions(KEY, CHUNK, *order)
     out_schema = T.StructType(laid.schema.fields + [
         T.StructField("__fx", T.LongType()), T.StructField("__fi", T.LongType())])
-    scanned = laid.mapInPandas(_dfa_batch_scanner(seg, symbol_col, states, transitions), out_schema)
+    scanned = laid.mapInPandas(_dfa_batch_scanner([*keys, CHUNK], symbol_col, states, transitions), out_schema)
 
     # Composed function of each chunk of a split key: inclusive prefix of its last row.
-    chunk_fn = (scanned.filter(F.col(NCHUNKS) > 1).groupBy(*keys, CHUNK)
+    chunk_fn = (scanned.filter(F.col(NCHUNKS) > 1).groupBy(KEY, CHUNK)
                 .agg(F.max_by("__fi", F.struct(*order)).alias("fn")))
     init_idx = states.index(initial)
-    key_types = {c: df.schema[c].dataType for c in keys}
-    entry_schema = T.StructType([T.StructField(f"__ck_{c}", key_types[c]) for c in keys] + [
-        T.StructField("__ck_chunk", T.IntegerType()), T.StructField("__entry", T.IntegerType())])
+    entry_schema = T.StructType([T.StructField(KEY, laid.schema[KEY].dataType),
+                                 T.StructField(CHUNK, T.IntegerType()), T.StructField("__entry", T.IntegerType())])
 
     def entry_states(pdf: pd.DataFrame) -> pd.DataFrame:
         # One split key: fold its chunk functions (<= rows / max_chunk_rows of them).
@@ -229,14 +230,11 @@ def fold_states(df: DataFrame, keys: list[str], order: list[str], symbol_col: st
         for fn in pdf["fn"].to_numpy():
             out.append(st)
             st = int((int(fn) >> (_BITS * st)) & 15)
-        res = pd.DataFrame({f"__ck_{c}": pdf[c].to_numpy() for c in keys})
-        res["__ck_chunk"] = pdf[CHUNK].to_numpy().astype("int32")
-        res["__entry"] = np.array(out, dtype="int32")
-        return res
-
-    entry = chunk_fn.groupBy(*keys).applyInPandas(entry_states, entry_schema)
-    cond = _keys_on(scanned, entry, keys, "__ck_") & (scanned[CHUNK] == entry["__ck_chunk"])
-    joined = scanned.join(entry, cond, "left")
+        return pd.DataFrame({KEY: pdf[KEY].to_numpy(), CHUNK: pdf[CHUNK].to_numpy().astype("int32"),
+                             "__entry": np.array(out, dtype="int32")})
+
+    entry = chunk_fn.groupBy(KEY).applyInPandas(entry_states, entry_schema)
+    joined = scanned.join(entry, [KEY, CHUNK], "left")
     joined = joined.withColumn("__start", F.coalesce(F.col("__entry"), F.lit(init_idx)))
     names = F.array(*[F.lit(s) for s in states])
     before = F.element_at(names, (_apply_packed("__fx", "__start") + 1).cast("int"))
