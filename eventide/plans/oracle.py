@@ -424,3 +424,4 @@ SELECT order_id, created_at, watermark FROM (
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 30 DAY AS watermark
   FROM shipments) s
 WHERE created_at < watermark""")
+ORACLE["dedup_events_batch"] = ORACLE["topic_sink_roundtrip"]

@@ -614,3 +614,13 @@ def q_late_events(spark, sf):
     wm = F.timestamp_add("MICROSECOND", F.col("__max_us"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     late = run.withColumn("watermark", F.timestamp_add("DAY", F.lit(-LATE_DELAY_DAYS), wm))
     return late.filter(F.col("created_at") < F.col("watermark")).select("order_id", "created_at", "watermark")
+
+
+@query("dedup_events_batch")
+def q_dedup_events_batch(spark, sf):
+    return ST.dedup_batch(_with_resends(V.event_log(spark, sf)))
+
+
+@query("codec_sizes")
+def q_codec_sizes(spark, sf):
+    return K.codec_sizes(V.event_log(spark, sf), scratch_path(spark, "codecs"))

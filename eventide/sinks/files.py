@@ -114,3 +114,44 @@ def fan_out(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> dic
         return {name: n for name in sinks}
     finally:
         cached.unpersist()
+
+
+# K-5 -----------------------------------------------------------------------------
+def codec_sizes(df: DataFrame, base: str, codecs: tuple[str, ...] = ("none", "lz4_raw", "snappy", "zstd")) -> DataFrame:
+    """K-5: write ``df`` once per codec and report files and bytes per codec
+    (sizes come from the file source's ``_metadata`` column, no driver listing)."""
+    spark = df.sparkSession
+    out = None
+    for codec in codecs:
+        path = f"{base.rstrip('/')}/codec={codec}"
+        df.write.mode("overwrite").option("compression", codec).parquet(path)
+        files = (spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
+                 .agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"))
+                 .withColumn("codec", F.lit(codec)))
+        out = files if out is None else out.unionByName(files)
+    return out.select("codec", "files", "bytes")
+
+
+# K-6 -----------------------------------------------------------------------------
+def console_tail(df: DataFrame, n: int = 20) -> None:
+    """K-6: print the first rows (batch) - the console view of a topic."""
+    df.show(n, truncate=False)
+
+
+# K-1 on a real broker --------------------------------------------------------------
+def write_kafka(log: DataFrame, servers: str, topic: str | None = None, stream: bool = False,
+                checkpoint: str | None = None):
+    """K-1 on Kafka (needs the Kafka package): key, value, partition and
+    optional headers columns are taken as they are."""
+    cols = [c for c in ["topic", "key", "value", "partition", "headers"] if c in log.columns]
+    out = log.select(*cols)
+    if stream:
+        w = out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+        if topic:
+            w = w.option("topic", topic)
+        return w.option("checkpointLocation", checkpoint).start()
+    w = out.write.format("kafka").option("kafka.bootstrap.servers", servers)
+    if topic:
+        w = w.option("topic", topic)
+    w.save()
+    return None

@@ -198,3 +198,40 @@ def running_alerts_stream(orders: DataFrame, window_seconds: int) -> DataFrame:
     return prepared.groupBy("customer_id").applyInPandasWithState(
         _running_window_fn(window_seconds * 1_000_000), ALERT_SCHEMA, state_schema, "append",
         GroupStateTimeout.NoTimeout)
+
+
+# X-5 / A-9 live -------------------------------------------------------------------------
+class ProgressLog:
+    """StreamingQueryListener that keeps per-batch progress (rows, rate,
+    batch duration) for throughput reporting; register with
+    ``spark.streams.addListener(ProgressLog())``."""
+
+    def __new__(cls):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        class _Listener(StreamingQueryListener):
+            def __init__(self):
+                self.progress = []
+
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                self.progress.append({"batch_id": p.batchId, "rows": p.numInputRows,
+                                      "rows_per_sec": p.processedRowsPerSecond,
+                                      "duration_ms": p.batchDuration})
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        return _Listener()
+
+
+# T-5 batch form ---------------------------------------------------------------------------
+def dedup_batch(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Drop re-sent copies by log position (keep one row per key)."""
+    return log.dropDuplicates(keys or ["topic", "partition", "offset"])
