@@ -201,13 +201,19 @@ def _dfa_batch_scanner(key_cols: list[str], symbol_col: str, states: list[str],
 def fold_states(df: DataFrame, keys: list[str], order: list[str], symbol_col: str,
                 states: list[str], transitions: dict[str, list[str]], initial: str,
                 state_before: str = "state_before",
-                max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS) -> DataFrame:
+                max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS,
+                initial_states: DataFrame | None = None, state_col: str = "state",
+                state_after: str | None = None) -> DataFrame:
     """Run a state machine per key over rows in ``order``.
 
     Each row is a request to move to ``symbol_col``; it is applied when the
     edge (current -> requested) is in ``transitions``, otherwise the state is
-    unchanged (unknown statuses included).  Adds ``state_before``: the state
-    the request met.
+    unchanged (unknown statuses included).  Adds ``state_before`` (the state
+    the request met) and, if named, ``state_after``.
+
+    ``initial_states`` (key columns + ``state_col``) seeds keys that already
+    have a state, e.g. the state table of a stream; other keys start at
+    ``initial``.
     """
     chunked = assign_chunks(df, keys, order, max_chunk_rows)
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -216,17 +222,34 @@ def fold_states(df: DataFrame, keys: list[str], order: list[str], symbol_col: st
         T.StructField("__fx", T.LongType()), T.StructField("__fi", T.LongType())])
     scanned = laid.mapInPandas(_dfa_batch_scanner([*keys, CHUNK], symbol_col, states, transitions), out_schema)
 
+    init_idx = states.index(initial)
+    names = F.array(*[F.lit(s) for s in states])
+    key_init = None
+    if initial_states is not None:
+        seeded = initial_states.select(
+            F.struct(*[F.col(c) for c in keys]).alias(KEY),
+            (F.array_position(names, F.col(state_col)) - 1).cast("int").alias("__seed"))
+        # (key, chunk) pairs of this input: scanned is already hash(KEY, CHUNK)
+        # partitioned, so this distinct needs no shuffle of the rows.
+        pairs = scanned.select(KEY, CHUNK).distinct()
+        key_init = pairs.join(seeded, KEY, "left").select(
+            KEY, CHUNK, F.when(F.col("__seed") >= 0, F.col("__seed")).otherwise(F.lit(init_idx))
+            .cast("int").alias("__kinit"))
+
     # Composed function of each chunk of a split key: inclusive prefix of its last row.
     chunk_fn = (scanned.filter(F.col(NCHUNKS) > 1).groupBy(KEY, CHUNK)
                 .agg(F.max_by("__fi", F.struct(*order)).alias("fn")))
-    init_idx = states.index(initial)
+    if key_init is not None:
+        chunk_fn = chunk_fn.join(key_init, [KEY, CHUNK], "left")
+    else:
+        chunk_fn = chunk_fn.withColumn("__kinit", F.lit(init_idx))
     entry_schema = T.StructType([T.StructField(KEY, laid.schema[KEY].dataType),
                                  T.StructField(CHUNK, T.IntegerType()), T.StructField("__entry", T.IntegerType())])
 
     def entry_states(pdf: pd.DataFrame) -> pd.DataFrame:
         # One split key: fold its chunk functions (<= rows / max_chunk_rows of them).
         pdf = pdf.sort_values(CHUNK)
-        st, out = init_idx, []
+        st, out = int(pdf["__kinit"].iloc[0]), []
         for fn in pdf["fn"].to_numpy():
             out.append(st)
             st = int((int(fn) >> (_BITS * st)) & 15)
@@ -234,8 +257,13 @@ def fold_states(df: DataFrame, keys: list[str], order: list[str], symbol_col: st
                              "__entry": np.array(out, dtype="int32")})
 
     entry = chunk_fn.groupBy(KEY).applyInPandas(entry_states, entry_schema)
+    if key_init is not None:
+        entry = key_init.join(entry, [KEY, CHUNK], "left").select(
+            KEY, CHUNK, F.coalesce(F.col("__entry"), F.col("__kinit")).alias("__entry"))
     joined = scanned.join(entry, [KEY, CHUNK], "left")
     joined = joined.withColumn("__start", F.coalesce(F.col("__entry"), F.lit(init_idx)))
-    names = F.array(*[F.lit(s) for s in states])
     before = F.element_at(names, (_apply_packed("__fx", "__start") + 1).cast("int"))
-    return joined.select(*[F.col(c) for c in df.columns], before.alias(state_before))
+    extra = []
+    if state_after:
+        extra.append(F.element_at(names, (_apply_packed("__fi", "__start") + 1).cast("int")).alias(state_after))
+    return joined.select(*[F.col(c) for c in df.columns], before.alias(state_before), *extra)

@@ -20,13 +20,35 @@ def line_total(item: Column) -> Column:
     return item["unit_price"] * item["quantity"]
 
 
-def order_totals(orders: DataFrame) -> DataFrame:
-    """Item count, quantity and sum of unit_price * quantity over ``items``."""
+def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Item count, quantity and sum of unit_price * quantity per order.
+
+    Items are flat rows (one per order line); the per-order sums are a
+    partial-aggregating group-by, so an order with very many lines is
+    combined on the mappers (no per-order array is built)."""
+    per = items.groupBy("order_id").agg(
+        F.count(F.lit(1)).cast("int").alias("item_count"),
+        F.sum(F.col("quantity").cast("long")).alias("item_quantity"),
+        F.sum(F.col("unit_price") * F.col("quantity")).cast(S.MONEY_SUM).alias("items_total"))
+    j = orders.select("order_id", "total_amount").join(per, "order_id", "left")
+    return j.select("order_id", F.coalesce("item_count", F.lit(0)).alias("item_count"),
+                    F.coalesce("item_quantity", F.lit(0).cast("long")).alias("item_quantity"),
+                    F.coalesce("items_total", F.lit(0).cast(S.MONEY_SUM)).alias("items_total"),
+                    "total_amount")
+
+
+def nested_order_total(items: str = "items") -> Column:
+    """P-1 on a nested order record (an ``items`` array already in the row)."""
     zero = F.lit(0).cast(S.MONEY_SUM)
-    total = F.aggregate("items", zero, lambda acc, x: (acc + line_total(x)).cast(S.MONEY_SUM))
-    qty = F.aggregate("items", F.lit(0).cast("long"), lambda acc, x: acc + x["quantity"].cast("long"))
-    return orders.select("order_id", F.size("items").alias("item_count"), qty.alias("item_quantity"),
-                         total.alias("items_total"), "total_amount")
+    return F.aggregate(items, zero, lambda acc, x: (acc + line_total(x)).cast(S.MONEY_SUM))
+
+
+def item_checks(items: DataFrame) -> DataFrame:
+    """Per-order item rules over flat item rows (partial-aggregating):
+    every quantity > 0 and every unit price > 0."""
+    return items.groupBy("order_id").agg(
+        F.bool_and(F.coalesce(F.col("quantity") > 0, F.lit(False))).alias("items_quantity_ok"),
+        F.bool_and(F.coalesce(F.col("unit_price") > 0, F.lit(False))).alias("items_price_ok"))
 
 
 # P-3 ---------------------------------------------------------------------------
@@ -44,15 +66,18 @@ def eos_transform(decoded: DataFrame, processor_instance: int = 0,
 
 # P-5 ---------------------------------------------------------------------------
 def order_wire(orders: DataFrame) -> DataFrame:
-    """Wire form: decimals -> double, timestamps -> epoch ms, items nested."""
-    items = F.transform("items", lambda x: F.struct(
-        x["product_id"].alias("product_id"), x["product_name"].alias("product_name"),
-        x["quantity"].alias("quantity"), x["unit_price"].cast("double").alias("unit_price")))
-    return orders.select(
-        "order_id", "customer_id", items.alias("items"),
-        F.col("total_amount").cast("double").alias("total_amount"),
-        "currency", "payment_method", "shipping_address", "region",
-        ntz_to_millis(F.col("placed_at")).alias("placed_at"))
+    """Wire form: decimals -> double, timestamps -> epoch ms; a nested
+    ``items`` array (when present) gets double unit prices.  Other columns
+    pass through."""
+    out = orders.withColumns({
+        "total_amount": F.col("total_amount").cast("double"),
+        "placed_at": ntz_to_millis(F.col("placed_at")),
+    })
+    if "items" in orders.columns:
+        out = out.withColumn("items", F.transform("items", lambda x: F.struct(
+            x["product_id"].alias("product_id"), x["product_name"].alias("product_name"),
+            x["quantity"].alias("quantity"), x["unit_price"].cast("double").alias("unit_price"))))
+    return out
 
 
 # P-6 / P-10 ----------------------------------------------------------------------
@@ -165,9 +190,10 @@ def archive_partition_columns(df: DataFrame, ts: str) -> DataFrame:
 
 # F-1 ---------------------------------------------------------------------------
 def order_rules() -> dict[str, Column]:
-    """Field constraints of an order row (name -> Column that must hold)."""
-    items_ok_qty = F.forall(F.coalesce(F.col("items"), F.array()), lambda x: x["quantity"] > 0)
-    items_ok_price = F.forall(F.coalesce(F.col("items"), F.array()), lambda x: x["unit_price"] > 0)
+    """Field constraints of an order row (name -> Column that must hold).
+
+    Item rules read ``items_quantity_ok`` / ``items_price_ok`` from
+    ``item_checks`` when present (flat items), else the nested ``items``."""
     return {
         "order_id_required": F.col("order_id").isNotNull(),
         "customer_id_required": F.col("customer_id").isNotNull(),
@@ -175,11 +201,18 @@ def order_rules() -> dict[str, Column]:
         "currency_length": F.length("currency") == 3,
         "payment_method_enum": F.col("payment_method").isin(*S.PAYMENT_METHODS),
         "region_enum": F.col("region").isin(*S.REGIONS),
-        "item_quantity_positive": items_ok_qty,
-        "item_price_positive": items_ok_price,
+        "item_quantity_positive": F.coalesce(F.col("items_quantity_ok"), F.lit(True)),
+        "item_price_positive": F.coalesce(F.col("items_price_ok"), F.lit(True)),
     }
 
 
+def nested_item_rules(items: str = "items") -> dict[str, Column]:
+    """Item rules for rows carrying a nested ``items`` array."""
+    arr = F.coalesce(F.col(items), F.array())
+    return {"item_quantity_positive": F.forall(arr, lambda x: x["quantity"] > 0),
+            "item_price_positive": F.forall(arr, lambda x: x["unit_price"] > 0)}
+
+
 def validate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Add ``violations`` (names of failed rules, in rule order) and ``valid``.
     A rule that evaluates to null counts as failed."""

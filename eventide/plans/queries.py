@@ -153,7 +153,7 @@ def _ts(s: str):
 
 @query("order_totals")
 def q_order_totals(spark, sf):
-    return TR.order_totals(V.orders_with_items(spark, sf))
+    return TR.order_totals(V.orders_placed(spark, sf), V.order_items(spark, sf))
 
 
 @query("high_value_flag")
@@ -179,9 +179,12 @@ def q_eos_transform(spark, sf):
 
 @query("order_wire")
 def q_order_wire(spark, sf):
-    w = TR.order_wire(V.orders_with_items(spark, sf))
+    o = V.orders_placed(spark, sf).join(
+        TR.order_totals(V.orders_placed(spark, sf), V.order_items(spark, sf)).select("order_id", "item_count"),
+        "order_id", "left")
+    w = TR.order_wire(o)
     return w.select("order_id", "customer_id", "total_amount", "currency", "payment_method", "region",
-                    "placed_at", F.size("items").alias("item_count"))
+                    "placed_at", "item_count")
 
 
 @query("payments")
@@ -206,7 +209,8 @@ def q_fill_defaults(spark, sf):
 
 @query("validate_orders")
 def q_validate_orders(spark, sf):
-    v = TR.validate(V.sparse_orders(spark, sf), TR.order_rules())
+    o = V.sparse_orders(spark, sf).join(TR.item_checks(V.order_items(spark, sf)), "order_id", "left")
+    v = TR.validate(o, TR.order_rules())
     return v.select("order_id", "valid", F.concat_ws(",", "violations").alias("violations"))
 
 
@@ -569,21 +573,42 @@ def q_enrich_orders_stream(spark, sf):
     return ST.read_batches(spark, out).drop("batch_id")
 
 
+WEEKS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", "2024-01-29 00:00:00"]
+
+
+def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WEEKS):
+    """Feed ``df`` to a stream slice by slice of event time (each slice is
+    appended to the source folder, then the query catches up): bounded
+    micro-batches in arrival order, like a live topic."""
+    src, ckpt = scratch_path(spark, f"{name}-src"), scratch_path(spark, f"{name}-ckpt")
+    lo = None
+    for hi in list(cuts) + [None]:
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col(ts) >= _ts(lo))
+        if hi is not None:
+            cond = cond & (F.col(ts) < _ts(hi))
+        df.filter(cond).write.mode("append").parquet(src)
+        yield ST.file_stream(spark, src, df.schema), ckpt
+        lo = hi
+
+
 @query("order_state_changes_stream")
 def q_order_state_changes_stream(spark, sf):
-    src = _stage(V.state_requests(spark, sf), spark, "sm-src")
-    out = scratch_path(spark, "sm-out")
-    res = ST.order_state_stream(ST.file_stream(spark, src, V.state_requests(spark, sf).schema))
-    ST.run_until_caught_up(res, ST.append_batches(out), scratch_path(spark, "sm-ckpt"))
+    reqs = V.state_requests(spark, sf)
+    out, state = scratch_path(spark, "sm-out"), scratch_path(spark, "sm-state")
+    writer = ST.state_machine_writer(state, out)
+    for stream, ckpt in _stream_in_slices(spark, reqs, "ts", "sm", writer):
+        ST.run_until_caught_up(stream, writer, ckpt)
     return ST.read_batches(spark, out).drop("batch_id")
 
 
 @query("fraud_alerts_stream")
 def q_fraud_alerts_stream(spark, sf):
-    src = _stage(V.fraud_orders(spark, sf), spark, "fa-src")
     out = scratch_path(spark, "fa-out")
-    run = ST.running_alerts_stream(ST.file_stream(spark, src, V.fraud_orders(spark, sf).schema), 5 * 86400)
-    ST.run_until_caught_up(run, ST.append_batches(out), scratch_path(spark, "fa-ckpt"))
+    for stream, ckpt in _stream_in_slices(spark, V.fraud_orders(spark, sf), "placed_at", "fa", None):
+        run = ST.running_alerts_stream(stream, 5 * 86400)
+        ST.run_until_caught_up(run, ST.append_batches(out), ckpt)
     got = ST.read_batches(spark, out)
     rule = W.SCALED_RULE
     ws = F.timestamp_add("MICROSECOND", F.col("window_start_us"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))

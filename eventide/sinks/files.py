@@ -49,8 +49,20 @@ def read_upserted(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(current_version(spark, path))
 
 
+def version_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/v={version:08d}"
+
+
+def read_version(spark: SparkSession, path: str, version: int) -> DataFrame | None:
+    """A specific version of an upserted table (None when it does not exist)."""
+    try:
+        return spark.read.parquet(version_path(path, version))
+    except Exception:  # noqa: BLE001 - missing version
+        return None
+
+
 def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], version: int,
-           tombstone=None) -> str:
+           tombstone=None, base_version: int | None = None) -> str:
     """K-2: merge ``batch`` into the keyed table at ``path``.
 
     Within the batch the latest row per key wins (A-4); then rows of the live
@@ -58,18 +70,23 @@ def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], versi
     the result is written as a new version folder.  The pointer moves only
     after the folder is complete, so readers never see a partial merge and a
     failed merge leaves the previous version live.  Retrying the same
-    ``version`` overwrites the same folder (idempotent).
+    ``version`` overwrites the same folder (idempotent).  With
+    ``base_version`` the merge starts from that version instead of the live
+    one, so a replayed micro-batch merges into the state it first saw.
     """
     spark = batch.sparkSession
     latest = compact_latest(batch, keys, order, tombstone)
-    cur = current_version(spark, path)
-    if cur is None:
+    if base_version is not None:
+        old = read_version(spark, path, base_version)
+    else:
+        cur = current_version(spark, path)
+        old = spark.read.parquet(cur) if cur else None
+    if old is None:
         merged = latest
     else:
-        old = spark.read.parquet(cur)
         kept = old.join(batch.select(*keys).distinct(), keys, "left_anti")
         merged = kept.unionByName(latest)
-    target = f"{path.rstrip('/')}/v={version:08d}"
+    target = version_path(path, version)
     merged.write.mode("overwrite").parquet(target)
     spark.createDataFrame([(target,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer(path))
     return target

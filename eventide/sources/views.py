@@ -65,26 +65,6 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OrderPlaced v1 rows with the nested ``items`` array.
-
-    Items are grouped per order (bounded: an order has at most a handful of
-    lines) and joined to the orders; orders without lines get an empty array.
-    """
-    items = (order_items(spark, sf_dir)
-             .groupBy("order_id")
-             .agg(F.array_sort(F.collect_list(F.struct(
-                 "line_number", "product_id", "product_name", "quantity", "unit_price"))).alias("lines")))
-    items = items.select("order_id", F.transform("lines", lambda x: F.struct(
-        x.product_id.alias("product_id"), x.product_name.alias("product_name"),
-        x.quantity.alias("quantity"), x.unit_price.alias("unit_price"))).alias("items"))
-    o = orders_placed(spark, sf_dir)
-    j = o.join(items, "order_id", "left")
-    empty = F.array().cast(T.ArrayType(S.ORDER_ITEM))
-    return j.select(*[F.coalesce("items", empty).alias("items") if c == "items" else F.col(c)
-                      for c in S.ORDER_V1_FIELDS])
-
-
 def profile_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versioned customer profile rows (3 per customer), customers with
     ``c_custkey % 10 = 0`` left out so orders can miss the lookup."""
@@ -257,10 +237,10 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sparse_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with fields left out (nulls) and a few invalid values, to
     exercise default filling and validation."""
-    o = orders_with_items(spark, sf_dir)
+    o = orders_placed(spark, sf_dir)
     k = F.substring_index("order_id", "-", -1).cast("long")
     return o.select(
-        "order_id", "customer_id", "items", "total_amount",
+        "order_id", "customer_id", "total_amount",
         F.when(F.pmod(k, F.lit(3)) == 0, F.lit(None).cast("string")).otherwise(F.col("currency")).alias("currency"),
         F.when(F.pmod(k, F.lit(4)) == 0, F.lit(None).cast("string")).otherwise(F.col("payment_method")).alias("payment_method"),
         F.when(F.pmod(k, F.lit(7)) == 0, F.lit(None).cast("string")).otherwise(F.col("shipping_address")).alias("shipping_address"),

@@ -60,3 +60,24 @@ def test_rejections_do_not_change_state(spark):
     assert res[0].reason == "Invalid: placed -> shipped"
     cur = SM.order_current_state(SM.order_state_changes(_requests(spark, rows))).first()
     assert (cur.current_status, cur.transitions, cur.requests) == ("delivered", 4, 8)
+
+
+def test_seeded_fold_continues_previous_state(spark):
+    rng = random.Random(11)
+    rows = [("hot", i, rng.choice(S.ORDER_STATUSES)) for i in range(300)]
+    rows += [(f"o{i % 5}", 1000 + i, rng.choice(S.ORDER_STATUSES)) for i in range(100)]
+    exp = _python_fold(rows)
+    first = [r for r in rows if r[1] % 1000 < 150]
+    second = [r for r in rows if r[1] % 1000 >= 150]
+    for chunk in (9, 10_000):
+        f1 = scan.fold_states(_requests(spark, first), ["order_id"], ["ts", "event_id"], "requested_status",
+                              S.ORDER_STATUSES, S.VALID_TRANSITIONS, "placed", "prev",
+                              max_chunk_rows=chunk, state_after="after")
+        from pyspark.sql import functions as F
+        seed = f1.groupBy("order_id").agg(F.max_by("after", F.struct("ts", "event_id")).alias("state"))
+        f2 = scan.fold_states(_requests(spark, second), ["order_id"], ["ts", "event_id"], "requested_status",
+                              S.ORDER_STATUSES, S.VALID_TRANSITIONS, "placed", "prev",
+                              max_chunk_rows=chunk, initial_states=seed)
+        got = {r.event_id: r.prev for r in f1.collect()}
+        got.update({r.event_id: r.prev for r in f2.collect()})
+        assert got == {e: v[0] for e, v in exp.items()}
