@@ -425,3 +425,4 @@ SELECT order_id, created_at, watermark FROM (
   FROM shipments) s
 WHERE created_at < watermark""")
 ORACLE["dedup_events_batch"] = ORACLE["topic_sink_roundtrip"]
+ORACLE["fraud_alerts_stream_state"] = ORACLE["fraud_alerts"]

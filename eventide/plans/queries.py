@@ -605,6 +605,15 @@ def q_order_state_changes_stream(spark, sf):
 
 @query("fraud_alerts_stream")
 def q_fraud_alerts_stream(spark, sf):
+    out, state = scratch_path(spark, "fab-out"), scratch_path(spark, "fab-state")
+    writer = ST.running_alerts_writer(state, out, W.SCALED_RULE)
+    for stream, ckpt in _stream_in_slices(spark, V.fraud_orders(spark, sf), "placed_at", "fab", writer):
+        ST.run_until_caught_up(stream, writer, ckpt)
+    return ST.read_batches(spark, out).drop("batch_id")
+
+
+@query("fraud_alerts_stream_state")
+def q_fraud_alerts_stream_state(spark, sf):
     out = scratch_path(spark, "fa-out")
     for stream, ckpt in _stream_in_slices(spark, V.fraud_orders(spark, sf), "placed_at", "fa", None):
         run = ST.running_alerts_stream(stream, 5 * 86400)

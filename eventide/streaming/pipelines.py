@@ -277,3 +277,76 @@ class ProgressLog:
 def dedup_batch(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Drop re-sent copies by log position (keep one row per key)."""
     return log.dropDuplicates(keys or ["topic", "partition", "offset"])
+
+
+# A-2 as foreachBatch (skew-safe) -------------------------------------------------------
+def running_alerts_writer(state_path: str, out_path: str, rule, key: str = "customer_id",
+                          ts: str = "placed_at", order_id: str = "order_id", amount: str = "amount",
+                          region: str = "region", expiry: str = S.FRAUD_EXPIRY) -> Callable[[DataFrame, int], None]:
+    """A-2 streaming as ``foreachBatch``: per-order running window stats for
+    the micro-batch via the chunked scan (hot customers split), plus the
+    carry of each open (customer, window) from the state table version of
+    the previous batch.  Writes alerts to ``out/batch_id=N`` and the merged
+    window state as version N; windows ending more than ``expiry`` before
+    the newest event time are dropped from the state."""
+    from eventide.functions.scan import running_sums
+    from eventide.operators import windows as W
+    from eventide.sinks.files import read_version, version_path
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seed = read_version(spark, state_path, batch_id - 1) if batch_id > 0 else None
+        src = batch.persist()
+        try:
+            rows = W._with_window(src, ts, rule.window)
+            first = (rows.groupBy(key, "window_start", region)
+                     .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(order_id).alias("i"))).alias("__first")))
+            flagged = rows.join(first, [key, "window_start", region], "left").withColumn(
+                "__new", (F.col("__first.t") == F.col(ts)) & (F.col("__first.i") == F.col(order_id)))
+            if seed is not None:
+                seen = (seed.select(key, "window_start", F.explode("regions").alias(region))
+                        .withColumn("__seen", F.lit(True)))
+                flagged = flagged.join(seen, [key, "window_start", region], "left").withColumn(
+                    "__new", F.col("__new") & F.col("__seen").isNull()).drop("__seen")
+            run = running_sums(flagged.drop("__first"), [key, "window_start"], [ts, order_id], {
+                "order_count": F.lit(1).cast("long"),
+                "total_amount": F.col(amount).cast(S.MONEY_SUM),
+                "region_count": F.col("__new").cast("long")})
+            if seed is not None:
+                carry = seed.select(key, "window_start", F.col("order_count").alias("__sc"),
+                                    F.col("total_amount").alias("__sa"),
+                                    F.size("regions").cast("long").alias("__sr"))
+                run = run.join(carry, [key, "window_start"], "left").withColumns({
+                    "order_count": F.col("order_count") + F.coalesce("__sc", F.lit(0)),
+                    "total_amount": (F.col("total_amount") + F.coalesce("__sa", F.lit(0))).cast(S.MONEY_SUM),
+                    "region_count": F.col("region_count") + F.coalesce("__sr", F.lit(0))})
+            alerts = W._score(run, rule).select(
+                F.concat(F.lit("alert-"), F.col(order_id)).alias("alert_id"), F.col(key).alias("customer_id"),
+                F.col(order_id).alias("order_id"), "order_count", "total_amount", "region_count",
+                "window_start", "window_end", "risk_score", "reason")
+            alerts.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+            # merged window state (regions: a set over the region enum, bounded)
+            agg = rows.groupBy(key, "window_start", "window_end").agg(
+                F.count(F.lit(1)).alias("__bc"), F.sum(amount).cast(S.MONEY_SUM).alias("__ba"),
+                F.collect_set(region).alias("__br"))
+            if seed is not None:
+                m = seed.join(agg, [key, "window_start", "window_end"], "full_outer")
+                state = m.select(key, "window_start", "window_end",
+                                 (F.coalesce("order_count", F.lit(0)) + F.coalesce("__bc", F.lit(0))).alias("order_count"),
+                                 (F.coalesce("total_amount", F.lit(0)) + F.coalesce("__ba", F.lit(0)))
+                                 .cast(S.MONEY_SUM).alias("total_amount"),
+                                 F.array_sort(F.array_union(F.coalesce("regions", F.array().cast("array<string>")),
+                                                            F.coalesce("__br", F.array().cast("array<string>"))))
+                                 .alias("regions"))
+            else:
+                state = agg.select(key, "window_start", "window_end", F.col("__bc").alias("order_count"),
+                                   F.col("__ba").alias("total_amount"), F.array_sort("__br").alias("regions"))
+            newest = src.agg(F.max(ts)).first()[0]  # the batch's event-time high mark (one value)
+            if newest is not None:
+                limit = F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {expiry}")
+                state = state.filter(F.col("window_end") >= limit)
+            state.write.mode("overwrite").parquet(version_path(state_path, batch_id))
+        finally:
+            src.unpersist()
+    return write
