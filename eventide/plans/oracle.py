@@ -426,3 +426,4 @@ SELECT order_id, created_at, watermark FROM (
 WHERE created_at < watermark""")
 ORACLE["dedup_events_batch"] = ORACLE["topic_sink_roundtrip"]
 ORACLE["fraud_alerts_stream_state"] = ORACLE["fraud_alerts"]
+ORACLE["enrich_orders_interleaved"] = ORACLE["enrich_orders_asof"]

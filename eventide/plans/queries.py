@@ -593,6 +593,24 @@ def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WE
         lo = hi
 
 
+YEARS = [f"{y}-01-01 00:00:00" for y in range(1995, 2002)]
+
+
+@query("enrich_orders_interleaved")
+def q_enrich_orders_interleaved(spark, sf):
+    """J-2: profile updates and orders on one stream, in event-time slices."""
+    orders = V.orders_placed(spark, sf)
+    profiles = V.profile_updates(spark, sf)
+    tagged = (orders.withColumn("kind", F.lit("order")).withColumn("__t", F.col("placed_at"))
+              .unionByName(profiles.withColumn("kind", F.lit("profile")).withColumn("__t", F.col("updated_at")),
+                           allowMissingColumns=True))
+    out, table = scratch_path(spark, "j2-out"), scratch_path(spark, "j2-table")
+    writer = ST.interleaved_enrichment_writer(table, out, orders.columns, profiles.columns)
+    for stream, ckpt in _stream_in_slices(spark, tagged, "__t", "j2", writer, cuts=YEARS):
+        ST.run_until_caught_up(stream, writer, ckpt)
+    return ST.read_batches(spark, out).drop("batch_id")
+
+
 @query("order_state_changes_stream")
 def q_order_state_changes_stream(spark, sf):
     reqs = V.state_requests(spark, sf)

@@ -344,9 +344,38 @@ def running_alerts_writer(state_path: str, out_path: str, rule, key: str = "cust
                                    F.col("__ba").alias("total_amount"), F.array_sort("__br").alias("regions"))
             newest = src.agg(F.max(ts)).first()[0]  # the batch's event-time high mark (one value)
             if newest is not None:
-                limit = F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {expiry}")
+                limit = F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz") - F.expr(f"INTERVAL {expiry}")
                 state = state.filter(F.col("window_end") >= limit)
             state.write.mode("overwrite").parquet(version_path(state_path, batch_id))
         finally:
             src.unpersist()
     return write
+
+
+# J-2 interleaved ---------------------------------------------------------------------------
+def interleaved_enrichment_writer(table_path: str, out_path: str, order_cols: list[str],
+                                  profile_cols: list[str]) -> Callable[[DataFrame, int], None]:
+    """J-2: orders and profile updates arrive on one stream (``kind``
+    column).  Each micro-batch enriches its orders as of their own time
+    against the profile table of the previous batch plus the batch's own
+    profile rows (so an order sees every profile that arrived before it),
+    then stores the latest profile per customer as version ``batch_id``."""
+    from eventide.operators.joins import enrich_orders_asof
+    from eventide.operators.tables import compact_latest
+    from eventide.sinks.files import read_version, version_path
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        src = batch.persist()
+        try:
+            profiles = src.filter(F.col("kind") == "profile").select(*profile_cols)
+            base = read_version(spark, table_path, batch_id - 1) if batch_id > 0 else None
+            if base is not None:
+                profiles = base.select(*profile_cols).unionByName(profiles)
+            orders = src.filter(F.col("kind") == "order").select(*order_cols)
+            enrich_orders_asof(orders, profiles).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            compact_latest(profiles, ["customer_id"], ["updated_at"]).write.mode("overwrite") \
+                .parquet(version_path(table_path, batch_id))
+        finally:
+            src.unpersist()
+    return write
