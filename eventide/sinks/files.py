@@ -88,7 +88,7 @@ def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], versi
         merged = kept.unionByName(latest)
     target = version_path(path, version)
     merged.write.mode("overwrite").parquet(target)
-    spark.createDataFrame([(target,)], "value string").coalesce(1).write.mode("overwrite").text(_pointer(path))
+    spark.createDataFrame([(target,)], "value string").write.mode("overwrite").text(_pointer(path))
     return target
 
 
