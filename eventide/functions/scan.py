@@ -237,7 +237,12 @@ def fold_states(df: DataFrame, keys: list[str], order: list[str], symbol_col: st
             .cast("int").alias("__kinit"))
 
     # Composed function of each chunk of a split key: inclusive prefix of its last row.
-    chunk_fn = (scanned.filter(F.col(NCHUNKS) > 1).groupBy(KEY, CHUNK)
+    # Only rows of split keys are scanned again for this (usually empty).
+    split = (chunked.filter(F.col(NCHUNKS) > 1).repartition(n_parts, KEY, CHUNK)
+             .sortWithinPartitions(KEY, CHUNK, *order))
+    split_scanned = split.mapInPandas(_dfa_batch_scanner([*keys, CHUNK], symbol_col, states, transitions),
+                                      out_schema)
+    chunk_fn = (split_scanned.groupBy(KEY, CHUNK)
                 .agg(F.max_by("__fi", F.struct(*order)).alias("fn")))
     if key_init is not None:
         chunk_fn = chunk_fn.join(key_init, [KEY, CHUNK], "left")

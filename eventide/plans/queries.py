@@ -676,3 +676,12 @@ def q_dedup_events_batch(spark, sf):
 @query("codec_sizes")
 def q_codec_sizes(spark, sf):
     return K.codec_sizes(V.event_log(spark, sf), scratch_path(spark, "codecs"))
+
+
+@query("partition_layout")
+def q_partition_layout(spark, sf):
+    """R-1 + R-7: rows placed in the Spark partition their routing names."""
+    routed = _routed(spark, sf)
+    laid = P.layout_by_partition(routed, F.col("partition"), S.NUM_TOPIC_PARTITIONS)
+    return laid.select("order_id", "customer_id", "partition",
+                       F.spark_partition_id().alias("physical_partition"))
