@@ -52,8 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return ``spark.checkpoint.dir``; set it from ``fallback`` only when unset."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        _set_context_checkpoint_dir(spark, current, only_if_unset=True)
         return current
     path = fallback or os.environ.get("EVENTIDE_CHECKPOINT_DIR")
     if not path:
@@ -61,10 +60,21 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         # fresh local scratch folder is acceptable here.
         path = tempfile.mkdtemp(prefix="eventide-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    _set_context_checkpoint_dir(spark, path)
     return path
 
 
+def _set_context_checkpoint_dir(spark: SparkSession, path: str, only_if_unset: bool = False) -> None:
+    """RDD checkpoint dir for ``DataFrame.checkpoint`` (classic sessions only)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return
+    if only_if_unset and sc.getCheckpointDir() is not None:
+        return
+    sc.setCheckpointDir(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for written tables."""
     base = ensure_checkpoint_dir(spark)

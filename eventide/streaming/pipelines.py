@@ -320,6 +320,7 @@ def running_alerts_writer(state_path: str, out_path: str, rule, key: str = "cust
                     "order_count": F.col("order_count") + F.coalesce("__sc", F.lit(0)),
                     "total_amount": (F.col("total_amount") + F.coalesce("__sa", F.lit(0))).cast(S.MONEY_SUM),
                     "region_count": F.col("region_count") + F.coalesce("__sr", F.lit(0))})
+            run = run.withColumn("total_amount", F.col("total_amount").cast(S.MONEY_SUM))
             alerts = W._score(run, rule).select(
                 F.concat(F.lit("alert-"), F.col(order_id)).alias("alert_id"), F.col(key).alias("customer_id"),
                 F.col(order_id).alias("order_id"), "order_count", "total_amount", "region_count",
