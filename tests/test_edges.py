@@ -67,3 +67,21 @@ def test_hot_key_running_sums_split_into_chunks(spark):
         m = {r.id: r.m for r in got_m.collect()}
         assert c == {i: v[0] for i, v in exp.items()}
         assert m == {i: v[1] for i, v in exp.items()}
+
+
+def test_eos_transform_non_numeric_amount_counts_as_zero(spark):
+    from eventide.operators.transforms import eos_transform
+    df = spark.createDataFrame([("a", "600.5", "2024-01-01 00:00:00"), ("b", "abc", "2024-01-01 00:00:00"),
+                                ("c", None, "2024-01-01 00:00:00")], "order_id string, total_amount string, placed_at string")
+    got = {r.order_id: r.is_high_value for r in eos_transform(df).collect()}
+    assert got == {"a": True, "b": False, "c": False}
+
+
+def test_unknown_payment_method_is_a_violation(spark):
+    from eventide.operators.transforms import order_rules, validate
+    df = spark.createDataFrame([("o", "c", Decimal("1.00"), "USD", "barter", "us-east")],
+                               "order_id string, customer_id string, total_amount decimal(12,2), currency string, "
+                               "payment_method string, region string")
+    r = validate(df.withColumn("items_quantity_ok", F.lit(True)).withColumn("items_price_ok", F.lit(True)),
+                 order_rules()).first()
+    assert (r.valid, r.violations) == (False, ["payment_method_enum"])
