@@ -429,3 +429,16 @@ ORACLE["fraud_alerts_stream_state"] = ORACLE["fraud_alerts"]
 ORACLE["enrich_orders_interleaved"] = ORACLE["enrich_orders_asof"]
 oracle("partition_layout", """SELECT order_id, customer_id, "partition", "partition" AS physical_partition
 FROM routed""", _ROUTED)
+ORACLE["late_events_stream"] = ORACLE["late_events"]
+oracle("metric_counters", f"""
+SELECT 'consumed' AS metric, 'topic=' || topic || ',partition=' || CAST("partition" AS VARCHAR) AS labels, count(*) AS value
+FROM event_log GROUP BY topic, "partition"
+UNION ALL
+SELECT 'errors', 'topic=' || topic || ',error_type=' || {_ET}, count(*) FROM failures WHERE error_name IS NOT NULL
+GROUP BY topic, {_ET}
+UNION ALL
+SELECT 'dlq', 'reason=' || error_type, count(*) FROM outcomes WHERE NOT ok GROUP BY error_type
+UNION ALL
+SELECT 'retries', 'topic=' || topic, CAST(sum(attempts - 1) AS BIGINT) FROM outcomes GROUP BY topic
+UNION ALL
+SELECT 'processed', 'status=' || CASE WHEN ok THEN 'ok' ELSE 'dlq' END, count(*) FROM outcomes GROUP BY ok""", _OUTCOMES)

@@ -577,17 +577,21 @@ WEEKS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", "2
 
 
 def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WEEKS):
-    """Feed ``df`` to a stream slice by slice of event time (each slice is
+    """Feed ``df`` to a stream slice by slice of ``ts`` (each slice is
     appended to the source folder, then the query catches up): bounded
-    micro-batches in arrival order, like a live topic."""
+    micro-batches in arrival order, like a live topic.  Cuts are timestamps
+    (strings) or numbers."""
     src, ckpt = scratch_path(spark, f"{name}-src"), scratch_path(spark, f"{name}-ckpt")
+
+    def lit(c):
+        return _ts(c) if isinstance(c, str) else F.lit(c)
     lo = None
     for hi in list(cuts) + [None]:
         cond = F.lit(True)
         if lo is not None:
-            cond = cond & (F.col(ts) >= _ts(lo))
+            cond = cond & (F.col(ts) >= lit(lo))
         if hi is not None:
-            cond = cond & (F.col(ts) < _ts(hi))
+            cond = cond & (F.col(ts) < lit(hi))
         df.filter(cond).write.mode("append").parquet(src)
         yield ST.file_stream(spark, src, df.schema), ckpt
         lo = hi
@@ -685,3 +689,43 @@ def q_partition_layout(spark, sf):
     laid = P.layout_by_partition(routed, F.col("partition"), S.NUM_TOPIC_PARTITIONS)
     return laid.select("order_id", "customer_id", "partition",
                        F.spark_partition_id().alias("physical_partition"))
+
+
+@query("late_events_stream")
+def q_late_events_stream(spark, sf):
+    """T-7 streaming: shipments arrive in order-key order in slices; late ones
+    go to the dead-letter folder, which is returned."""
+    sh = V.shipments(spark, sf).select(
+        "order_id", F.substring_index("order_id", "-", -1).cast("long").alias("arrival"), "created_at")
+    n_max = V.shipments(spark, sf).agg(F.max(F.substring_index("order_id", "-", -1).cast("long"))).first()[0]
+    cuts = [int(n_max * i / 5) for i in range(1, 5)]  # five arrival slices
+    out, dlq, state = scratch_path(spark, "late-out"), scratch_path(spark, "late-dlq"), scratch_path(spark, "late-state")
+    writer = ST.late_router_writer(state, out, dlq, "created_at", "arrival", LATE_DELAY_DAYS)
+    for stream, ckpt in _stream_in_slices(spark, sh, "arrival", "late", writer, cuts=cuts):
+        ST.run_until_caught_up(stream, writer, ckpt)
+    return ST.read_batches(spark, dlq).select("order_id", "created_at", "watermark")
+
+
+@query("metric_counters")
+def q_metric_counters(spark, sf):
+    """A-5: labelled counters in long form (metric, labels, value):
+    consumed{topic,partition}, errors{topic,error_type}, dlq{reason},
+    retries{topic}, processed{status}."""
+    log = V.event_log(spark, sf)
+    out = D.process_outcomes(V.failures(spark, sf).drop("attempts"))
+    consumed = log.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit("consumed").alias("metric"),
+        F.concat(F.lit("topic="), "topic", F.lit(",partition="), F.col("partition").cast("string")).alias("labels"),
+        "value")
+    errors = out.filter(F.col("error_name").isNotNull()).withColumn("et", TR.classify_error(F.col("error_name"))) \
+        .groupBy("topic", "et").agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit("errors").alias("metric"), F.concat(F.lit("topic="), "topic", F.lit(",error_type="), "et").alias("labels"),
+        "value")
+    dlq = out.filter(~F.col("ok")).groupBy("error_type").agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit("dlq").alias("metric"), F.concat(F.lit("reason="), "error_type").alias("labels"), "value")
+    retries = out.groupBy("topic").agg(F.sum(F.col("attempts") - 1).cast("long").alias("value")).select(
+        F.lit("retries").alias("metric"), F.concat(F.lit("topic="), "topic").alias("labels"), "value")
+    processed = out.groupBy("ok").agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit("processed").alias("metric"),
+        F.concat(F.lit("status="), F.when(F.col("ok"), F.lit("ok")).otherwise(F.lit("dlq"))).alias("labels"), "value")
+    return consumed.unionByName(errors).unionByName(dlq).unionByName(retries).unionByName(processed)

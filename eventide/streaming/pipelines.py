@@ -380,3 +380,44 @@ def interleaved_enrichment_writer(table_path: str, out_path: str, order_cols: li
         finally:
             src.unpersist()
     return write
+
+
+# T-7 streaming -------------------------------------------------------------------------------
+def late_router_writer(state_path: str, out_path: str, dlq_path: str, ts: str, arrival: str,
+                       delay_days: int) -> Callable[[DataFrame, int], None]:
+    """Route late rows to a dead-letter folder as they arrive.
+
+    A row is late when its event time is more than ``delay_days`` behind the
+    newest event time seen before it (earlier batches, then earlier arrivals
+    in this batch).  The newest time seen is carried as a one-row table
+    versioned by batch id; inside a batch the running max is the chunked
+    scan with one global key (split into chunks, never one task)."""
+    from eventide.functions.scan import running_sums
+    from eventide.sinks.files import read_version, version_path
+
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = read_version(spark, state_path, batch_id - 1) if batch_id > 0 else None
+        prev_us = prev.first()["max_us"] if prev is not None else None  # one value
+        src = batch.persist()
+        try:
+            us = F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
+            run = running_sums(src.withColumn("__all", F.lit(0)), ["__all"], [arrival], {"__max_us": us},
+                               inclusive=False, agg="max")
+            seen = F.greatest(F.col("__max_us"), F.lit(prev_us).cast("long")) if prev_us is not None \
+                else F.col("__max_us")
+            wm = F.timestamp_add("DAY", F.lit(-delay_days), F.timestamp_add("MICROSECOND", seen, epoch))
+            marked = run.withColumn("watermark", wm).withColumn(
+                "__late", F.coalesce(F.col(ts) < F.col("watermark"), F.lit(False))).drop("__all", "__max_us")
+            marked.filter("__late").drop("__late").write.mode("overwrite").parquet(f"{dlq_path}/batch_id={batch_id}")
+            marked.filter("not __late").drop("__late", "watermark").write.mode("overwrite") \
+                .parquet(f"{out_path}/batch_id={batch_id}")
+            top = src.agg(F.max(us).alias("max_us"))
+            if prev is not None:
+                top = top.unionByName(prev.select("max_us")).agg(F.max("max_us").alias("max_us"))
+            top.write.mode("overwrite").parquet(version_path(state_path, batch_id))
+        finally:
+            src.unpersist()
+    return write
