@@ -48,6 +48,13 @@ def _order_number(c: Column, dtype: T.DataType) -> Column:
 KEY = "__key"
 
 
+def _numeric_order(df: DataFrame, col: str) -> Column | None:
+    dt = df.schema[col].dataType
+    if isinstance(dt, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return _order_number(F.col(col), dt)
+    return None
+
+
 def assign_chunks(df: DataFrame, keys: list[str], order: list[str],
                   max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS) -> DataFrame:
     """Add ``__key`` (struct of the key columns), ``__chunk`` (contiguous in
@@ -55,21 +62,31 @@ def assign_chunks(df: DataFrame, keys: list[str], order: list[str],
 
     ``__key`` is a struct so one equi-join column is null-safe (struct fields
     compare null = null) and stays identical to the window's partitioning
-    key, which lets the carry join reuse that shuffle.
+    key, which lets the carry join reuse that shuffle.  Chunks are ranges of
+    the leading order column; when that column is constant within a key the
+    second order column (e.g. an event id) is cut instead.
     """
-    x = _order_number(F.col(order[0]), df.schema[order[0]].dataType)
-    base = df.withColumns({KEY: F.struct(*keys), "__x": x})
+    x1 = _order_number(F.col(order[0]), df.schema[order[0]].dataType)
+    x2 = _numeric_order(df, order[1]) if len(order) > 1 else None
+    base = df.withColumns({KEY: F.struct(*keys), "__x": x1, "__x2": x2 if x2 is not None else F.lit(0.0)})
     stats = (base.groupBy(KEY)
-             .agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
+             .agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"),
+                  F.min("__x2").alias("__lo2"), F.max("__x2").alias("__hi2"))
              .filter(F.col("__n") > max_chunk_rows)
              .select(KEY, F.ceil(F.col("__n") / F.lit(max_chunk_rows)).cast("int").alias("__m"),
-                     "__lo", "__hi"))
+                     "__lo", "__hi", "__lo2", "__hi2"))
     # Only split keys are in ``stats`` (<= rows / max_chunk_rows of them).
     j = base.join(stats, KEY, "left")
     m = F.coalesce(F.col("__m"), F.lit(1))
-    span = F.col("__hi") - F.col("__lo") + F.lit(1.0)
-    chunk = F.when(m <= 1, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("__x") - F.col("__lo")) / span * m), m - 1)).cast("int")
+
+    def cut(x: str, lo: str, hi: str) -> Column:
+        span = F.col(hi) - F.col(lo) + F.lit(1.0)
+        return F.least(F.floor((F.col(x) - F.col(lo)) / span * m), m - 1)
+    by_first = cut("__x", "__lo", "__hi")
+    by_second = cut("__x2", "__lo2", "__hi2")
+    chunk = (F.when(m <= 1, F.lit(0))
+             .when(F.col("__hi") > F.col("__lo"), by_first)
+             .otherwise(by_second)).cast("int")
     return j.select(*[F.col(c) for c in df.columns], F.col(KEY), chunk.alias(CHUNK), m.alias(NCHUNKS))
 
 

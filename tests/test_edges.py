@@ -85,3 +85,13 @@ def test_unknown_payment_method_is_a_violation(spark):
     r = validate(df.withColumn("items_quantity_ok", F.lit(True)).withColumn("items_price_ok", F.lit(True)),
                  order_rules()).first()
     assert (r.valid, r.violations) == (False, ["payment_method_enum"])
+
+
+def test_hot_key_with_one_timestamp_is_split_by_id(spark):
+    rows = [("hot", i, 0) for i in range(500)] + [("cold", 1000 + i, i) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, id long, t long")
+    chunked = scan.assign_chunks(df, ["k"], ["t", "id"], max_chunk_rows=50)
+    n = {r.k: r.n for r in chunked.groupBy("k").agg(F.countDistinct("__chunk").alias("n")).collect()}
+    assert n["hot"] >= 5 and n["cold"] == 1
+    got = scan.running_sums(df, ["k"], ["t", "id"], {"c": F.lit(1).cast("long")}, max_chunk_rows=50)
+    assert {r.id: r.c for r in got.filter("k = 'hot'").collect()} == {i: i + 1 for i in range(500)}
