@@ -56,7 +56,7 @@ def _numeric_order(df: DataFrame, col: str) -> Column | None:
 
 
 def assign_chunks(df: DataFrame, keys: list[str], order: list[str],
-                  max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS) -> DataFrame:
+                  max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS, only_split: bool = False) -> DataFrame:
     """Add ``__key`` (struct of the key columns), ``__chunk`` (contiguous in
     order within a key) and ``__nchunks``.
 
@@ -65,6 +65,11 @@ def assign_chunks(df: DataFrame, keys: list[str], order: list[str],
     key, which lets the carry join reuse that shuffle.  Chunks are ranges of
     the leading order column; when that column is constant within a key the
     second order column (e.g. an event id) is cut instead.
+
+    The statistics table holds only split keys, so it has at most
+    ``rows / max_chunk_rows`` rows: that bound is why it is broadcast (the
+    row side is never a build side, whatever the planner estimates).
+    ``only_split`` keeps just the rows of split keys (a left-semi join).
     """
     x1 = _order_number(F.col(order[0]), df.schema[order[0]].dataType)
     x2 = _numeric_order(df, order[1]) if len(order) > 1 else None
@@ -76,6 +81,9 @@ def assign_chunks(df: DataFrame, keys: list[str], order: list[str],
              .select(KEY, F.ceil(F.col("__n") / F.lit(max_chunk_rows)).cast("int").alias("__m"),
                      "__lo", "__hi", "__lo2", "__hi2"))
     # Only split keys are in ``stats`` (<= rows / max_chunk_rows of them).
+    stats = F.broadcast(stats)
+    if only_split:
+        base = base.join(stats.select(KEY), KEY, "left_semi")
     j = base.join(stats, KEY, "left")
     m = F.coalesce(F.col("__m"), F.lit(1))
 
@@ -108,13 +116,15 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str],
     w_local = Window.partitionBy(KEY, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
     local = chunked.select("*", *[fn(f"__v_{n}").over(w_local).alias(f"__l_{n}") for n in vals])
 
-    # Carries exist only for chunks after the first of a split key.
-    tot = (chunked.filter(F.col(NCHUNKS) > 1).groupBy(KEY, CHUNK)
+    # Carries exist only for chunks after the first of a split key; the
+    # carry table has one row per such chunk (<= rows / max_chunk_rows).
+    split = assign_chunks(base, keys, order, max_chunk_rows, only_split=True)
+    tot = (split.groupBy(KEY, CHUNK)
            .agg(*[fn(f"__v_{n}").alias(f"__t_{n}") for n in vals]))
     w_carry = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (tot.select(KEY, CHUNK, *[fn(f"__t_{n}").over(w_carry).alias(f"__c_{n}") for n in vals])
              .filter(F.col(CHUNK) > 0))
-    joined = local.join(carry, [KEY, CHUNK], "left")
+    joined = local.join(F.broadcast(carry), [KEY, CHUNK], "left")
     out_cols = [F.col(c) for c in df.columns]
     for n in vals:
         if agg == "max":
@@ -255,8 +265,8 @@ def fold_states(df: DataFrame, keys: list[str], order: list[str], symbol_col: st
 
     # Composed function of each chunk of a split key: inclusive prefix of its last row.
     # Only rows of split keys are scanned again for this (usually empty).
-    split = (chunked.filter(F.col(NCHUNKS) > 1).repartition(n_parts, KEY, CHUNK)
-             .sortWithinPartitions(KEY, CHUNK, *order))
+    split = (assign_chunks(df, keys, order, max_chunk_rows, only_split=True)
+             .repartition(n_parts, KEY, CHUNK).sortWithinPartitions(KEY, CHUNK, *order))
     split_scanned = split.mapInPandas(_dfa_batch_scanner([*keys, CHUNK], symbol_col, states, transitions),
                                       out_schema)
     chunk_fn = (split_scanned.groupBy(KEY, CHUNK)
