@@ -49,6 +49,11 @@ def main() -> None:
     run("plain_window", big.select("*", F.count(F.lit(1)).over(w).alias("n"), F.sum("value").over(w).alias("s")))
     run("chunked_scan", scan.running_sums(big, ["k"], ["ts", "id"],
                                           {"n": F.lit(1).cast("long"), "s": "value"}, max_chunk_rows=chunk))
+    from eventide import schemas as S
+    reqs = big.withColumn("requested_status", F.element_at(
+        F.array(*[F.lit(x) for x in S.ORDER_STATUSES]), (F.pmod(F.col("id"), F.lit(7)) + 1).cast("int")))
+    run("state_fold", scan.fold_states(reqs, ["k"], ["ts", "id"], "requested_status", S.ORDER_STATUSES,
+                                       S.VALID_TRANSITIONS, S.INITIAL_STATUS, "prev", max_chunk_rows=chunk))
     rows = big.count()
     print(json.dumps({"rows": rows, "hot_rows": rows // 3, "max_chunk_rows": chunk, "sec": times}))
 
