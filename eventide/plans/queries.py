@@ -281,12 +281,13 @@ def q_fk_orphans(spark, sf):
 # --- sources (S-1 .. S-6, S-8) ------------------------------------------------------
 @query("scan_topic")
 def q_scan_topic(spark, sf):
-    return TP.scan_topic(V.event_log(spark, sf), "orders.placed")
+    return TP.scan_topic(V.event_log(spark, sf, topics=["orders.placed"]), "orders.placed")
 
 
 @query("scan_multi_topic")
 def q_scan_multi_topic(spark, sf):
-    return TP.scan_topics(V.event_log(spark, sf), ["orders.enriched", "payments.processed"])
+    topics = ["orders.enriched", "payments.processed"]
+    return TP.scan_topics(V.event_log(spark, sf, topics=topics), topics)
 
 
 @query("replay_from_offsets")

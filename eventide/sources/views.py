@@ -109,10 +109,20 @@ def event_topic(event_type: Column) -> Column:
                       F.lit("orders.placed"))
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_log(spark: SparkSession, sf_dir: str, topics: list[str] | None = None) -> DataFrame:
     """File-backed topic log: one row per event, offsets assigned per
-    (topic, partition) in event order; every 20th value is not JSON."""
+    (topic, partition) in event order; every 20th value is not JSON.
+
+    With ``topics`` only those topics are built: offsets depend only on a
+    topic's own rows, so the choice is pushed to the Parquet scan as an
+    ``event_type IN (...)`` filter before any offset work."""
     e = _events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "props")
+    if topics is not None:
+        types = [t for t, topic in EVENT_TOPIC.items() if topic in topics]
+        keep = F.col("event_type").isin(*types) if types else F.lit(False)
+        if "orders.placed" in topics:  # the fallback topic of unknown types
+            keep = keep | ~F.col("event_type").isin(*EVENT_TOPIC.keys()) | F.col("event_type").isNull()
+        e = e.filter(keep)
     rows = e.select(
         event_topic(F.col("event_type")).alias("topic"),
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("key"),
