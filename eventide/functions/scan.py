@@ -118,9 +118,24 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str],
 
     # Carries exist only for chunks after the first of a split key; the
     # carry table has one row per such chunk (<= rows / max_chunk_rows).
-    split = assign_chunks(base, keys, order, max_chunk_rows, only_split=True)
-    tot = (split.groupBy(KEY, CHUNK)
-           .agg(*[fn(f"__v_{n}").alias(f"__t_{n}") for n in vals]))
+    # Chunk totals come from the window's output: it is already hash
+    # partitioned by (key, chunk), so this group-by adds no shuffle, and the
+    # window keeps the filter from turning the statistics join into an
+    # inner join.
+    # The total is read off the chunk's last row (its running value plus, for
+    # an exclusive scan, its own value): using the window output keeps this
+    # branch identical to the main one below the window, so the exchange is
+    # computed once and reused.
+    last = F.max_by(F.struct(*[F.col(f"__l_{n}").alias(f"l_{n}") for n in vals],
+                             *[F.col(f"__v_{n}").alias(f"v_{n}") for n in vals]), F.struct(*order))
+    ends = local.filter(F.col(NCHUNKS) > 1).groupBy(KEY, CHUNK).agg(last.alias("__end"))
+
+    def chunk_total(n: str) -> Column:
+        lv, vv = F.col(f"__end.l_{n}"), F.col(f"__end.v_{n}")
+        if agg == "max":
+            return F.greatest(lv, vv) if not inclusive else lv
+        return lv if inclusive else F.coalesce(lv, F.lit(0).cast(base.schema[f"__v_{n}"].dataType)) + vv
+    tot = ends.select(KEY, CHUNK, *[chunk_total(n).alias(f"__t_{n}") for n in vals])
     w_carry = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (tot.select(KEY, CHUNK, *[fn(f"__t_{n}").over(w_carry).alias(f"__c_{n}") for n in vals])
              .filter(F.col(CHUNK) > 0))
