@@ -1,8 +1,8 @@
 """K-1 .. K-5: file-backed sinks.
 
 * ``write_topic``      K-1: append a log partitioned by topic (Parquet, codec option).
-* ``upsert``           K-2: keyed last-write-wins table kept as versioned
-                       directories plus a pointer; readers see whole versions.
+* ``upsert``           K-2: keyed last-write-wins table kept as versions of
+                       hash buckets; a merge rewrites only touched buckets.
 * ``write_archive``    K-3: hourly UTC partitions, capped records per file.
 * ``fan_out``          K-4: one evaluated frame written to several sinks.
 
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide import schemas as S
@@ -32,64 +32,140 @@ def write_topic(log: DataFrame, path: str, codec: str = "lz4", mode: str = "appe
 
 
 # K-2 -----------------------------------------------------------------------------
-def _pointer(path: str) -> str:
-    return f"{path.rstrip('/')}/_current"
+# A keyed table kept as versions of hash buckets:
+#   <path>/data/v=N/bucket=b/   rows of bucket b as rewritten by version N
+#   <path>/ptr/v=N/             bucket -> version that holds it (<= buckets rows)
+#   <path>/_current             the newest version number (one row)
+# A merge rewrites only the buckets its batch touches, so the cost follows
+# the batch, not the table.  A version is published by its pointer folder,
+# written after the data, so readers never see a partial merge.
 
+DEFAULT_BUCKETS = 64
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """Folder of the live version (one small row read from the pointer)."""
-    try:
-        row = spark.read.text(_pointer(path)).first()
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
-    return row.value if row else None
 
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
-def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(current_version(spark, path))
 
+def _ptr(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/ptr/v={version:08d}"
 
-def version_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/v={version:08d}"
+
+def _data(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/data/v={version:08d}"
 
 
-def read_version(spark: SparkSession, path: str, version: int) -> DataFrame | None:
-    """A specific version of an upserted table (None when it does not exist)."""
+def read_pointers(spark: SparkSession, path: str, version: int) -> DataFrame | None:
     try:
-        return spark.read.parquet(version_path(path, version))
-    except Exception:  # noqa: BLE001 - missing version
+        return spark.read.parquet(_ptr(path, version))
+    except Exception:  # noqa: BLE001 - version does not exist
         return None
 
 
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """The newest published version (one small row)."""
+    try:
+        row = spark.read.parquet(f"{path.rstrip('/')}/_current").first()
+    except Exception:  # noqa: BLE001 - no table yet
+        return None
+    return int(row.version) if row else None
+
+
+def read_version(spark: SparkSession, path: str, version: int | None = None,
+                 only_buckets: list[int] | None = None) -> DataFrame | None:
+    """The table as of ``version`` (default: newest), optionally only some buckets."""
+    if version is None:
+        version = current_version(spark, path)
+        if version is None:
+            return None
+    ptr = read_pointers(spark, path, version)
+    if ptr is None:
+        return None
+    if only_buckets is not None:
+        ptr = ptr.filter(F.col("bucket").isin(*only_buckets)) if only_buckets else ptr.limit(0)
+    locs = [(int(r.bucket), int(r.version)) for r in ptr.collect()]  # <= buckets rows
+    if not locs:
+        return None
+    by_version: dict[int, list[int]] = {}
+    for b, v in locs:
+        by_version.setdefault(v, []).append(b)
+    out = None
+    for v, bs in sorted(by_version.items()):
+        part = (spark.read.option("basePath", _data(path, v))
+                .parquet(*[f"{_data(path, v)}/bucket={b}" for b in bs]))
+        out = part if out is None else out.unionByName(part)
+    return out.drop("bucket")
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    return read_version(spark, path)
+
+
+def touched_buckets(df: DataFrame, keys: list[str], buckets: int = DEFAULT_BUCKETS) -> list[int]:
+    """Bucket ids present in ``df`` (at most ``buckets`` values)."""
+    return [int(r.b) for r in df.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]
+
+
 def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], version: int,
-           tombstone=None, base_version: int | None = None) -> str:
-    """K-2: merge ``batch`` into the keyed table at ``path``.
-
-    Within the batch the latest row per key wins (A-4); then rows of the live
-    version whose key is in the batch are replaced (anti join + union) and
-    the result is written as a new version folder.  The pointer moves only
-    after the folder is complete, so readers never see a partial merge and a
-    failed merge leaves the previous version live.  Retrying the same
-    ``version`` overwrites the same folder (idempotent).  With
-    ``base_version`` the merge starts from that version instead of the live
-    one, so a replayed micro-batch merges into the state it first saw.
+           tombstone=None, base_version: int | None = None, buckets: int = DEFAULT_BUCKETS) -> int:
+    """K-2: merge ``batch`` into the keyed table at ``path`` as ``version``.
+
+    Within the batch the latest row per key wins (A-4; ``tombstone`` rows
+    delete their key).  Only buckets holding batch keys are read, merged
+    (anti join + union) and rewritten; other buckets keep pointing at their
+    older versions.  The merge starts from ``base_version`` (default: the
+    newest), so a replayed micro-batch merges into the state it first saw,
+    and rewriting the same ``version`` overwrites the same folders
+    (idempotent).
     """
     spark = batch.sparkSession
-    latest = compact_latest(batch, keys, order, tombstone)
-    if base_version is not None:
-        old = read_version(spark, path, base_version)
-    else:
-        cur = current_version(spark, path)
-        old = spark.read.parquet(cur) if cur else None
-    if old is None:
-        merged = latest
+    if base_version is None:
+        base_version = current_version(spark, path)
+    base_ptr = read_pointers(spark, path, base_version) if base_version is not None else None
+    tomb_col = "__tomb"
+    b = batch.withColumn(tomb_col, tombstone if tombstone is not None else F.lit(False))
+    latest = compact_latest(b, keys, order).withColumn("bucket", bucket_of(keys, buckets))
+    touched = touched_buckets(batch, keys, buckets)
+    old = read_version(spark, path, base_version, only_buckets=touched) if base_ptr is not None else None
+    new_rows = latest.filter(~F.coalesce(F.col(tomb_col), F.lit(False))).drop(tomb_col)
+    if old is not None:
+        kept = (old.join(latest.select(*keys), keys, "left_anti")
+                .withColumn("bucket", bucket_of(keys, buckets)))
+        merged = kept.unionByName(new_rows)
     else:
-        kept = old.join(batch.select(*keys).distinct(), keys, "left_anti")
-        merged = kept.unionByName(latest)
-    target = version_path(path, version)
-    merged.write.mode("overwrite").parquet(target)
-    spark.createDataFrame([(target,)], "value string").write.mode("overwrite").text(_pointer(path))
-    return target
+        merged = new_rows
+    merged.write.mode("overwrite").partitionBy("bucket").parquet(_data(path, version))
+    # Publish: buckets that still hold rows now live in this version.
+    if tombstone is None:  # every touched bucket got at least one new row
+        written = touched
+    else:  # deletes may empty a bucket: list what was written
+        written = [int(r.bucket) for r in spark.read.parquet(_data(path, version)).select("bucket")
+                   .distinct().collect()] if touched else []
+    base_locs = {int(r.bucket): int(r.version) for r in base_ptr.collect()} if base_ptr is not None else {}
+    for t in touched:
+        base_locs.pop(t, None)
+    for w in written:
+        base_locs[w] = version
+    ptr_rows = sorted(base_locs.items())
+    spark.createDataFrame(ptr_rows, "bucket int, version int").write.mode("overwrite").parquet(_ptr(path, version))
+    spark.createDataFrame([(version,)], "version int").write.mode("overwrite").parquet(f"{path.rstrip('/')}/_current")
+    return version
+
+
+# Small per-version snapshots (bounded state: open windows, high-water marks)
+def snapshot_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/v={version:08d}"
+
+
+def write_snapshot(df: DataFrame, path: str, version: int) -> None:
+    df.write.mode("overwrite").parquet(snapshot_path(path, version))
+
+
+def read_snapshot(spark: SparkSession, path: str, version: int) -> DataFrame | None:
+    try:
+        return spark.read.parquet(snapshot_path(path, version))
+    except Exception:  # noqa: BLE001 - missing version
+        return None
 
 
 # K-3 -----------------------------------------------------------------------------

@@ -148,14 +148,16 @@ def state_machine_writer(state_path: str, out_path: str, transitions: dict | Non
     outputs, so replays are exact."""
     from eventide.functions.scan import fold_states
     from eventide.operators.joins import transition_valid
-    from eventide.sinks.files import read_version, upsert
+    from eventide.sinks.files import read_version, touched_buckets, upsert
     transitions = transitions or S.VALID_TRANSITIONS
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seed = read_version(spark, state_path, batch_id - 1) if batch_id > 0 else None
         src = batch.persist()
         try:
+            # only the state buckets of this batch's orders are read
+            seed = (read_version(spark, state_path, batch_id - 1, only_buckets=touched_buckets(src, [key]))
+                    if batch_id > 0 else None)
             folded = fold_states(src, [key], [ts, seq], "requested_status", S.ORDER_STATUSES, transitions,
                                  initial, state_before="previous_status", initial_states=seed,
                                  state_col="current_status", state_after="__after").persist()
@@ -291,11 +293,11 @@ def running_alerts_writer(state_path: str, out_path: str, rule, key: str = "cust
     the newest event time are dropped from the state."""
     from eventide.functions.scan import running_sums
     from eventide.operators import windows as W
-    from eventide.sinks.files import read_version, version_path
+    from eventide.sinks.files import read_snapshot, write_snapshot
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seed = read_version(spark, state_path, batch_id - 1) if batch_id > 0 else None
+        seed = read_snapshot(spark, state_path, batch_id - 1) if batch_id > 0 else None
         src = batch.persist()
         try:
             rows = W._with_window(src, ts, rule.window)
@@ -347,7 +349,7 @@ def running_alerts_writer(state_path: str, out_path: str, rule, key: str = "cust
             if newest is not None:
                 limit = F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz") - F.expr(f"INTERVAL {expiry}")
                 state = state.filter(F.col("window_end") >= limit)
-            state.write.mode("overwrite").parquet(version_path(state_path, batch_id))
+            write_snapshot(state, state_path, batch_id)
         finally:
             src.unpersist()
     return write
@@ -362,21 +364,22 @@ def interleaved_enrichment_writer(table_path: str, out_path: str, order_cols: li
     profile rows (so an order sees every profile that arrived before it),
     then stores the latest profile per customer as version ``batch_id``."""
     from eventide.operators.joins import enrich_orders_asof
-    from eventide.operators.tables import compact_latest
-    from eventide.sinks.files import read_version, version_path
+    from eventide.sinks.files import read_version, touched_buckets, upsert
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         src = batch.persist()
         try:
             profiles = src.filter(F.col("kind") == "profile").select(*profile_cols)
-            base = read_version(spark, table_path, batch_id - 1) if batch_id > 0 else None
-            if base is not None:
-                profiles = base.select(*profile_cols).unionByName(profiles)
+            # latest stored profile of every customer in this batch (touched buckets only)
+            base = (read_version(spark, table_path, batch_id - 1,
+                                 only_buckets=touched_buckets(src, ["customer_id"]))
+                    if batch_id > 0 else None)
+            known = profiles if base is None else base.select(*profile_cols).unionByName(profiles)
             orders = src.filter(F.col("kind") == "order").select(*order_cols)
-            enrich_orders_asof(orders, profiles).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-            compact_latest(profiles, ["customer_id"], ["updated_at"]).write.mode("overwrite") \
-                .parquet(version_path(table_path, batch_id))
+            enrich_orders_asof(orders, known).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            upsert(profiles, table_path, ["customer_id"], ["updated_at"], version=batch_id,
+                   base_version=batch_id - 1 if batch_id > 0 else None)
         finally:
             src.unpersist()
     return write
@@ -393,13 +396,13 @@ def late_router_writer(state_path: str, out_path: str, dlq_path: str, ts: str, a
     versioned by batch id; inside a batch the running max is the chunked
     scan with one global key (split into chunks, never one task)."""
     from eventide.functions.scan import running_sums
-    from eventide.sinks.files import read_version, version_path
+    from eventide.sinks.files import read_snapshot, write_snapshot
 
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = read_version(spark, state_path, batch_id - 1) if batch_id > 0 else None
+        prev = read_snapshot(spark, state_path, batch_id - 1) if batch_id > 0 else None
         prev_us = prev.first()["max_us"] if prev is not None else None  # one value
         src = batch.persist()
         try:
@@ -417,7 +420,7 @@ def late_router_writer(state_path: str, out_path: str, dlq_path: str, ts: str, a
             top = src.agg(F.max(us).alias("max_us"))
             if prev is not None:
                 top = top.unionByName(prev.select("max_us")).agg(F.max("max_us").alias("max_us"))
-            top.write.mode("overwrite").parquet(version_path(state_path, batch_id))
+            write_snapshot(top, state_path, batch_id)
         finally:
             src.unpersist()
     return write
