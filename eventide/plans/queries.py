@@ -500,6 +500,48 @@ def _eos_run(spark, sf, runs=2, aborted=False):
     return ST.read_committed(spark, out, ledger)
 
 
+WEEKS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", "2024-01-29 00:00:00"]
+
+
+def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WEEKS):
+    """Feed ``df`` to a stream slice by slice of ``ts`` (each slice is
+    appended to the source folder, then the query catches up): bounded
+    micro-batches in arrival order, like a live topic.  Cuts are timestamps
+    (strings) or numbers."""
+    src, ckpt = scratch_path(spark, f"{name}-src"), scratch_path(spark, f"{name}-ckpt")
+
+    def lit(c):
+        return _ts(c) if isinstance(c, str) else F.lit(c)
+    lo = None
+    for hi in list(cuts) + [None]:
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col(ts) >= lit(lo))
+        if hi is not None:
+            cond = cond & (F.col(ts) < lit(hi))
+        df.filter(cond).write.mode("append").parquet(src)
+        yield ST.file_stream(spark, src, df.schema), ckpt
+        lo = hi
+
+
+YEARS = [f"{y}-01-01 00:00:00" for y in range(1995, 2002)]
+
+
+@query("enrich_orders_interleaved")
+def q_enrich_orders_interleaved(spark, sf):
+    """J-2: profile updates and orders on one stream, in event-time slices."""
+    orders = V.orders_placed(spark, sf)
+    profiles = V.profile_updates(spark, sf)
+    tagged = (orders.withColumn("kind", F.lit("order")).withColumn("__t", F.col("placed_at"))
+              .unionByName(profiles.withColumn("kind", F.lit("profile")).withColumn("__t", F.col("updated_at")),
+                           allowMissingColumns=True))
+    out, table = scratch_path(spark, "j2-out"), scratch_path(spark, "j2-table")
+    writer = ST.interleaved_enrichment_writer(table, out, orders.columns, profiles.columns)
+    for stream, ckpt in _stream_in_slices(spark, tagged, "__t", "j2", writer, cuts=YEARS):
+        ST.run_until_caught_up(stream, writer, ckpt)
+    return ST.read_batches(spark, out).drop("batch_id")
+
+
 @query("exactly_once_pipeline")
 def q_exactly_once_pipeline(spark, sf):
     return _eos_run(spark, sf, runs=2)
@@ -512,12 +554,11 @@ def q_read_committed(spark, sf):
 
 @query("order_window_stats_stream")
 def q_order_window_stats_stream(spark, sf):
-    src = _stage(V.fraud_orders(spark, sf), spark, "win-src")
     out = scratch_path(spark, "win-out")
-    stream = ST.file_stream(spark, src, V.fraud_orders(spark, sf).schema)
-    stats = ST.window_stats_stream(stream, W.SCALED_RULE.window)
-    ST.run_until_caught_up(stats, ST.append_batches(out), scratch_path(spark, "win-ckpt"), "update")
-    # update mode re-emits a window when it changes: keep its last version
+    for stream, ckpt in _stream_in_slices(spark, V.fraud_orders(spark, sf), "placed_at", "win", None):
+        stats = ST.window_stats_stream(stream, W.SCALED_RULE.window)
+        ST.run_until_caught_up(stats, ST.append_batches(out), ckpt, "update")
+    # update mode re-emits a window whenever it changes: keep its last version
     got = ST.read_batches(spark, out)
     return tables.compact_latest(got, ["customer_id", "window_start"], ["batch_id"]).drop("batch_id")
 
@@ -529,10 +570,10 @@ def _with_resends(log):
 
 @query("dedup_events")
 def q_dedup_events(spark, sf):
-    src = _stage(_with_resends(V.event_log(spark, sf)), spark, "dedup-src")
     out = scratch_path(spark, "dedup-out")
-    d = ST.dedup_stream(ST.file_stream(spark, src, S.LOG), ["topic", "partition", "offset"])
-    ST.run_until_caught_up(d, ST.append_batches(out), scratch_path(spark, "dedup-ckpt"))
+    for stream, ckpt in _stream_in_slices(spark, _with_resends(V.event_log(spark, sf)), "timestamp", "dedup", None):
+        d = ST.dedup_stream(stream, ["topic", "partition", "offset"])
+        ST.run_until_caught_up(d, ST.append_batches(out), ckpt)
     return ST.read_batches(spark, out).drop("batch_id")
 
 
@@ -574,48 +615,6 @@ def q_enrich_orders_stream(spark, sf):
     return ST.read_batches(spark, out).drop("batch_id")
 
 
-WEEKS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", "2024-01-29 00:00:00"]
-
-
-def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WEEKS):
-    """Feed ``df`` to a stream slice by slice of ``ts`` (each slice is
-    appended to the source folder, then the query catches up): bounded
-    micro-batches in arrival order, like a live topic.  Cuts are timestamps
-    (strings) or numbers."""
-    src, ckpt = scratch_path(spark, f"{name}-src"), scratch_path(spark, f"{name}-ckpt")
-
-    def lit(c):
-        return _ts(c) if isinstance(c, str) else F.lit(c)
-    lo = None
-    for hi in list(cuts) + [None]:
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col(ts) >= lit(lo))
-        if hi is not None:
-            cond = cond & (F.col(ts) < lit(hi))
-        df.filter(cond).write.mode("append").parquet(src)
-        yield ST.file_stream(spark, src, df.schema), ckpt
-        lo = hi
-
-
-YEARS = [f"{y}-01-01 00:00:00" for y in range(1995, 2002)]
-
-
-@query("enrich_orders_interleaved")
-def q_enrich_orders_interleaved(spark, sf):
-    """J-2: profile updates and orders on one stream, in event-time slices."""
-    orders = V.orders_placed(spark, sf)
-    profiles = V.profile_updates(spark, sf)
-    tagged = (orders.withColumn("kind", F.lit("order")).withColumn("__t", F.col("placed_at"))
-              .unionByName(profiles.withColumn("kind", F.lit("profile")).withColumn("__t", F.col("updated_at")),
-                           allowMissingColumns=True))
-    out, table = scratch_path(spark, "j2-out"), scratch_path(spark, "j2-table")
-    writer = ST.interleaved_enrichment_writer(table, out, orders.columns, profiles.columns)
-    for stream, ckpt in _stream_in_slices(spark, tagged, "__t", "j2", writer, cuts=YEARS):
-        ST.run_until_caught_up(stream, writer, ckpt)
-    return ST.read_batches(spark, out).drop("batch_id")
-
-
 @query("order_state_changes_stream")
 def q_order_state_changes_stream(spark, sf):
     reqs = V.state_requests(spark, sf)
