@@ -71,32 +71,43 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return int(row.version) if row else None
 
 
-def read_version(spark: SparkSession, path: str, version: int | None = None,
-                 only_buckets: list[int] | None = None) -> DataFrame | None:
-    """The table as of ``version`` (default: newest), optionally only some buckets."""
+def bucket_locations(spark: SparkSession, path: str, version: int | None) -> dict[int, int] | None:
+    """bucket -> version that holds it, as of ``version`` (<= buckets entries)."""
     if version is None:
-        version = current_version(spark, path)
-        if version is None:
-            return None
+        return None
     ptr = read_pointers(spark, path, version)
     if ptr is None:
         return None
-    if only_buckets is not None:
-        ptr = ptr.filter(F.col("bucket").isin(*only_buckets)) if only_buckets else ptr.limit(0)
-    locs = [(int(r.bucket), int(r.version)) for r in ptr.collect()]  # <= buckets rows
+    return {int(r.bucket): int(r.version) for r in ptr.collect()}
+
+
+def read_buckets(spark: SparkSession, path: str, locs: dict[int, int] | None,
+                 only_buckets: list[int] | None = None) -> DataFrame | None:
+    """Rows of the given bucket locations (optionally a subset of buckets)."""
     if not locs:
         return None
+    chosen = locs if only_buckets is None else {b: v for b, v in locs.items() if b in set(only_buckets)}
+    if not chosen:
+        return None
     by_version: dict[int, list[int]] = {}
-    for b, v in locs:
+    for b, v in chosen.items():
         by_version.setdefault(v, []).append(b)
     out = None
     for v, bs in sorted(by_version.items()):
         part = (spark.read.option("basePath", _data(path, v))
-                .parquet(*[f"{_data(path, v)}/bucket={b}" for b in bs]))
+                .parquet(*[f"{_data(path, v)}/bucket={b}" for b in sorted(bs)]))
         out = part if out is None else out.unionByName(part)
     return out.drop("bucket")
 
 
+def read_version(spark: SparkSession, path: str, version: int | None = None,
+                 only_buckets: list[int] | None = None) -> DataFrame | None:
+    """The table as of ``version`` (default: newest), optionally only some buckets."""
+    if version is None:
+        version = current_version(spark, path)
+    return read_buckets(spark, path, bucket_locations(spark, path, version), only_buckets)
+
+
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
     return read_version(spark, path)
 
@@ -107,7 +118,8 @@ def touched_buckets(df: DataFrame, keys: list[str], buckets: int = DEFAULT_BUCKE
 
 
 def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], version: int,
-           tombstone=None, base_version: int | None = None, buckets: int = DEFAULT_BUCKETS) -> int:
+           tombstone=None, base_version: int | None = None, buckets: int = DEFAULT_BUCKETS,
+           touched: list[int] | None = None, base_locs: dict[int, int] | None = None) -> int:
     """K-2: merge ``batch`` into the keyed table at ``path`` as ``version``.
 
     Within the batch the latest row per key wins (A-4; ``tombstone`` rows
@@ -116,18 +128,21 @@ def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], versi
     older versions.  The merge starts from ``base_version`` (default: the
     newest), so a replayed micro-batch merges into the state it first saw,
     and rewriting the same ``version`` overwrites the same folders
-    (idempotent).
+    (idempotent).  Callers that already know the batch's buckets
+    (``touched``, a superset is fine) or the base pointers (``base_locs``)
+    pass them to save the extra small reads.
     """
     spark = batch.sparkSession
-    if base_version is None:
-        base_version = current_version(spark, path)
-    base_ptr = read_pointers(spark, path, base_version) if base_version is not None else None
-    tomb_col = "__tomb"
-    b = batch.withColumn(tomb_col, tombstone if tombstone is not None else F.lit(False))
+    if base_locs is None:
+        if base_version is None:
+            base_version = current_version(spark, path)
+        base_locs = bucket_locations(spark, path, base_version) or {}
+    if touched is None:
+        touched = touched_buckets(batch, keys, buckets)
+    b = batch.withColumn("__tomb", tombstone if tombstone is not None else F.lit(False))
     latest = compact_latest(b, keys, order).withColumn("bucket", bucket_of(keys, buckets))
-    touched = touched_buckets(batch, keys, buckets)
-    old = read_version(spark, path, base_version, only_buckets=touched) if base_ptr is not None else None
-    new_rows = latest.filter(~F.coalesce(F.col(tomb_col), F.lit(False))).drop(tomb_col)
+    old = read_buckets(spark, path, base_locs, only_buckets=touched)
+    new_rows = latest.filter(~F.coalesce(F.col("__tomb"), F.lit(False))).drop("__tomb")
     if old is not None:
         kept = (old.join(latest.select(*keys), keys, "left_anti")
                 .withColumn("bucket", bucket_of(keys, buckets)))
@@ -135,19 +150,13 @@ def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], versi
     else:
         merged = new_rows
     merged.write.mode("overwrite").partitionBy("bucket").parquet(_data(path, version))
-    # Publish: buckets that still hold rows now live in this version.
-    if tombstone is None:  # every touched bucket got at least one new row
-        written = touched
-    else:  # deletes may empty a bucket: list what was written
-        written = [int(r.bucket) for r in spark.read.parquet(_data(path, version)).select("bucket")
-                   .distinct().collect()] if touched else []
-    base_locs = {int(r.bucket): int(r.version) for r in base_ptr.collect()} if base_ptr is not None else {}
-    for t in touched:
-        base_locs.pop(t, None)
-    for w in written:
-        base_locs[w] = version
-    ptr_rows = sorted(base_locs.items())
-    spark.createDataFrame(ptr_rows, "bucket int, version int").write.mode("overwrite").parquet(_ptr(path, version))
+    # Publish: buckets that hold rows now live in this version.
+    written = [int(r.bucket) for r in spark.read.parquet(_data(path, version)).select("bucket")
+               .distinct().collect()] if touched else []
+    locs = {k: v for k, v in base_locs.items() if k not in set(touched)}
+    locs.update({w: version for w in written})
+    spark.createDataFrame(sorted(locs.items()), "bucket int, version int").write.mode("overwrite") \
+        .parquet(_ptr(path, version))
     spark.createDataFrame([(version,)], "version int").write.mode("overwrite").parquet(f"{path.rstrip('/')}/_current")
     return version
 

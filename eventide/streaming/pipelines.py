@@ -148,7 +148,7 @@ def state_machine_writer(state_path: str, out_path: str, transitions: dict | Non
     outputs, so replays are exact."""
     from eventide.functions.scan import fold_states
     from eventide.operators.joins import transition_valid
-    from eventide.sinks.files import read_version, touched_buckets, upsert
+    from eventide.sinks.files import bucket_locations, read_buckets, touched_buckets, upsert
     transitions = transitions or S.VALID_TRANSITIONS
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -156,8 +156,9 @@ def state_machine_writer(state_path: str, out_path: str, transitions: dict | Non
         src = batch.persist()
         try:
             # only the state buckets of this batch's orders are read
-            seed = (read_version(spark, state_path, batch_id - 1, only_buckets=touched_buckets(src, [key]))
-                    if batch_id > 0 else None)
+            touched = touched_buckets(src, [key])
+            locs = bucket_locations(spark, state_path, batch_id - 1) if batch_id > 0 else {}
+            seed = read_buckets(spark, state_path, locs, only_buckets=touched)
             folded = fold_states(src, [key], [ts, seq], "requested_status", S.ORDER_STATUSES, transitions,
                                  initial, state_before="previous_status", initial_states=seed,
                                  state_col="current_status", state_after="__after").persist()
@@ -172,7 +173,7 @@ def state_machine_writer(state_path: str, out_path: str, transitions: dict | Non
                 F.max_by("__after", F.struct(ts, seq)).alias("current_status")).withColumn(
                 "batch_id", F.lit(batch_id))
             upsert(latest, state_path, [key], ["batch_id"], version=batch_id,
-                   base_version=batch_id - 1 if batch_id > 0 else None)
+                   touched=touched, base_locs=locs or {})
             folded.unpersist()
         finally:
             src.unpersist()
@@ -364,22 +365,26 @@ def interleaved_enrichment_writer(table_path: str, out_path: str, order_cols: li
     profile rows (so an order sees every profile that arrived before it),
     then stores the latest profile per customer as version ``batch_id``."""
     from eventide.operators.joins import enrich_orders_asof
-    from eventide.sinks.files import read_version, touched_buckets, upsert
+    from eventide.sinks.files import bucket_locations, bucket_of, read_buckets, upsert, DEFAULT_BUCKETS
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         src = batch.persist()
         try:
             profiles = src.filter(F.col("kind") == "profile").select(*profile_cols)
+            # buckets of this batch's customers, per kind, in one small job
+            kinds = (src.select("kind", bucket_of(["customer_id"], DEFAULT_BUCKETS).alias("b")).distinct()
+                     .collect())
+            touched_all = sorted({int(r.b) for r in kinds})
+            touched_prof = sorted({int(r.b) for r in kinds if r.kind == "profile"})
+            locs = bucket_locations(spark, table_path, batch_id - 1) if batch_id > 0 else {}
             # latest stored profile of every customer in this batch (touched buckets only)
-            base = (read_version(spark, table_path, batch_id - 1,
-                                 only_buckets=touched_buckets(src, ["customer_id"]))
-                    if batch_id > 0 else None)
+            base = read_buckets(spark, table_path, locs, only_buckets=touched_all)
             known = profiles if base is None else base.select(*profile_cols).unionByName(profiles)
             orders = src.filter(F.col("kind") == "order").select(*order_cols)
             enrich_orders_asof(orders, known).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             upsert(profiles, table_path, ["customer_id"], ["updated_at"], version=batch_id,
-                   base_version=batch_id - 1 if batch_id > 0 else None)
+                   touched=touched_prof, base_locs=locs or {})
         finally:
             src.unpersist()
     return write
