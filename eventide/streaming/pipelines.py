@@ -201,6 +201,9 @@ ALERT_SCHEMA = T.StructType([
 
 def _running_window_fn(window_us: int):
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:  # the watermark passed every open window: expire
+            state.remove()
+            return
         # state: open windows of this customer -> count, cents, regions
         if state.exists:
             starts, counts, cents, regions = state.get
@@ -221,28 +224,45 @@ def _running_window_fn(window_us: int):
             out["total_cents"].append(b[1])
             out["region_count"].append(len(b[2]))
             out["window_start_us"].append(ws)
-        keep = sorted(book)
-        state.update(([int(s) for s in keep], [int(book[s][0]) for s in keep], [int(book[s][1]) for s in keep],
-                      ["|".join(sorted(book[s][2])) for s in keep]))
+        # Rows older than the watermark are dropped before they get here, so a
+        # window that ends at or before it can take no more rows.
+        watermark_us = state.getCurrentWatermarkMs() * 1000
+        keep = sorted(s for s in book if s + window_us > watermark_us)
+        if keep:
+            state.update(([int(s) for s in keep], [int(book[s][0]) for s in keep],
+                          [int(book[s][1]) for s in keep], ["|".join(sorted(book[s][2])) for s in keep]))
+            state.setTimeoutTimestamp((keep[-1] + window_us) // 1000)
+        else:
+            state.remove()
         res = pd.DataFrame(out)
         res.insert(0, "customer_id", key[0])
         yield res
     return fn
 
 
-def running_alerts_stream(orders: DataFrame, window_seconds: int) -> DataFrame:
+def running_alerts_stream(orders: DataFrame, window_seconds: int, expiry_seconds: int | None = None) -> DataFrame:
     """A-2 streaming: per-order running window stats in keyed state (one
     state row per customer holding its open windows).  Score and reason are
-    applied by the caller with the batch Column functions."""
+    applied by the caller with the batch Column functions.
+
+    State expires by event time: the watermark trails the newest event by
+    ``expiry_seconds`` (default six windows, the reference's 30 minutes for
+    5-minute windows); rows behind it are late and dropped, windows ending
+    before it leave the state, and a customer whose windows have all closed
+    is removed by the event-time timeout."""
+    expiry = expiry_seconds if expiry_seconds is not None else 6 * window_seconds
     prepared = orders.select(
         "customer_id", "order_id", "region",
         F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                          F.col("placed_at")).alias("placed_us"),
-        (F.col("amount") * 100).cast("long").alias("cents"))
+        (F.col("amount") * 100).cast("long").alias("cents"),
+        # withWatermark needs TIMESTAMP (the session runs in UTC)
+        F.col("placed_at").cast("timestamp").alias("__event_time"),
+    ).withWatermark("__event_time", f"{expiry} seconds")
     state_schema = ("starts array<bigint>, counts array<bigint>, cents array<bigint>, regions array<string>")
     return prepared.groupBy("customer_id").applyInPandasWithState(
         _running_window_fn(window_seconds * 1_000_000), ALERT_SCHEMA, state_schema, "append",
-        GroupStateTimeout.NoTimeout)
+        GroupStateTimeout.EventTimeTimeout)
 
 
 # X-5 / A-9 live -------------------------------------------------------------------------

@@ -48,3 +48,32 @@ def test_exactly_once_replay_has_no_duplicates(spark):
         ST.run_until_caught_up(ST.file_stream(spark, src, log.schema), writer, scratch_path(spark, f"eo-ck{run}"))
     got = ST.read_committed(spark, out, ledger)
     assert got.count() == 100 and got.select("key").distinct().count() == 100
+
+
+def test_running_alert_state_expires_behind_watermark(spark):
+    """The applyInPandasWithState alert form keeps only windows the
+    watermark has not passed; a customer whose windows all closed leaves the
+    state store (event-time timeout), so state does not grow with time."""
+    src, out, ckpt = (scratch_path(spark, n) for n in ("ra-src", "ra-out", "ra-ckpt"))
+    batches = [
+        [("o1", "a", "us-east", Decimal("10.00"), "2024-01-01 12:00:00"),
+         ("o2", "b", "us-east", Decimal("10.00"), "2024-01-01 12:01:00")],
+        # 2 hours later: watermark 14:00 - 30 min passes both 5-minute windows of day one
+        [("o3", "b", "eu-west", Decimal("5.00"), "2024-01-01 14:00:00")],
+        [("o4", "b", "eu-west", Decimal("5.00"), "2024-01-01 14:01:00")],
+    ]
+    schema = None
+    for rows in batches:
+        df = _orders(spark, rows)
+        schema = df.schema
+        df.write.mode("append").parquet(src)
+        run = ST.running_alerts_stream(ST.file_stream(spark, src, schema), 300, expiry_seconds=1800)
+        ST.run_until_caught_up(run, ST.append_batches(out), ckpt)
+    got = {r.order_id: (r.order_count, r.region_count) for r in spark.read.parquet(out).collect()}
+    assert got == {"o1": (1, 1), "o2": (1, 1), "o3": (1, 1), "o4": (2, 1)}
+    state = spark.read.format("statestore").load(ckpt)
+    keys = sorted(r.key.customer_id for r in state.collect())
+    assert keys == ["b"]  # customer a expired; b holds only its open 14:00 window
+    (b,) = [r.value for r in state.collect()]
+    assert b.groupState.starts == [1704117600000000]  # 2024-01-01 14:00 UTC, in microseconds
+    assert b.timeoutTimestamp == 1704117900000  # that window's end, in ms
