@@ -416,6 +416,7 @@ ORACLE["read_committed"] = ORACLE["eos_transform"]
 ORACLE["order_window_stats_stream"] = ORACLE["order_window_stats"]
 ORACLE["enrich_orders_stream"] = ORACLE["enrich_orders"]
 ORACLE["order_state_changes_stream"] = ORACLE["order_state_changes"]
+ORACLE["order_state_changes_stream_state"] = ORACLE["order_state_changes"]
 ORACLE["fraud_alerts_stream"] = ORACLE["fraud_alerts"]
 oracle("late_events", """
 SELECT order_id, created_at, watermark FROM (

@@ -625,6 +625,16 @@ def q_order_state_changes_stream(spark, sf):
     return ST.read_batches(spark, out).drop("batch_id")
 
 
+@query("order_state_changes_stream_state")
+def q_order_state_changes_stream_state(spark, sf):
+    """T-1 on applyInPandasWithState: per-order status in the RocksDB state
+    store (point lookups, changelog checkpoints), fed in weekly slices."""
+    out = scratch_path(spark, "sms-out")
+    for stream, ckpt in _stream_in_slices(spark, V.state_requests(spark, sf), "ts", "sms", None):
+        ST.run_until_caught_up(ST.order_state_stream(stream), ST.append_batches(out), ckpt)
+    return ST.read_batches(spark, out).drop("batch_id")
+
+
 @query("fraud_alerts_stream")
 def q_fraud_alerts_stream(spark, sf):
     out, state = scratch_path(spark, "fab-out"), scratch_path(spark, "fab-state")
