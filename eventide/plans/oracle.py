@@ -428,6 +428,7 @@ WHERE created_at < watermark""")
 ORACLE["dedup_events_batch"] = ORACLE["topic_sink_roundtrip"]
 ORACLE["fraud_alerts_stream_state"] = ORACLE["fraud_alerts"]
 ORACLE["enrich_orders_interleaved"] = ORACLE["enrich_orders_asof"]
+ORACLE["enrich_orders_interleaved_state"] = ORACLE["enrich_orders_asof"]
 oracle("partition_layout", """SELECT order_id, customer_id, "partition", "partition" AS physical_partition
 FROM routed""", _ROUTED)
 ORACLE["late_events_stream"] = ORACLE["late_events"]

@@ -527,14 +527,30 @@ def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WE
 YEARS = [f"{y}-01-01 00:00:00" for y in range(1995, 2002)]
 
 
-@query("enrich_orders_interleaved")
-def q_enrich_orders_interleaved(spark, sf):
-    """J-2: profile updates and orders on one stream, in event-time slices."""
+def _interleaved_input(spark, sf):
     orders = V.orders_placed(spark, sf)
     profiles = V.profile_updates(spark, sf)
     tagged = (orders.withColumn("kind", F.lit("order")).withColumn("__t", F.col("placed_at"))
               .unionByName(profiles.withColumn("kind", F.lit("profile")).withColumn("__t", F.col("updated_at")),
                            allowMissingColumns=True))
+    return orders, profiles, tagged
+
+
+@query("enrich_orders_interleaved_state")
+def q_enrich_orders_interleaved_state(spark, sf):
+    """J-2 on applyInPandasWithState (latest profile per customer in the
+    RocksDB state store), fed in event-time slices."""
+    _orders, _profiles, tagged = _interleaved_input(spark, sf)
+    out = scratch_path(spark, "j2s-out")
+    for stream, ckpt in _stream_in_slices(spark, tagged, "__t", "j2s", None, cuts=YEARS):
+        ST.run_until_caught_up(ST.interleaved_enrichment_stream(stream), ST.append_batches(out), ckpt)
+    return ST.read_batches(spark, out).drop("batch_id")
+
+
+@query("enrich_orders_interleaved")
+def q_enrich_orders_interleaved(spark, sf):
+    """J-2: profile updates and orders on one stream, in event-time slices."""
+    orders, profiles, tagged = _interleaved_input(spark, sf)
     out, table = scratch_path(spark, "j2-out"), scratch_path(spark, "j2-table")
     writer = ST.interleaved_enrichment_writer(table, out, orders.columns, profiles.columns)
     for stream, ckpt in _stream_in_slices(spark, tagged, "__t", "j2", writer, cuts=YEARS):

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -376,6 +377,58 @@ def running_alerts_writer(state_path: str, out_path: str, rule, key: str = "cust
     return write
 
 
+# J-2 stateful ------------------------------------------------------------------------------
+_J2_PROFILE = ["name", "email", "tier"]
+_J2_ORDER = ["order_id", "customer_id", "total_amount", "currency", "region", "placed_at"]
+J2_RESULT_SCHEMA = T.StructType([
+    T.StructField("order_id", T.StringType()), T.StructField("customer_id", T.StringType()),
+    T.StructField("__p_name", T.StringType()), T.StructField("__p_email", T.StringType()),
+    T.StructField("__p_tier", T.StringType()), T.StructField("total_amount", S.MONEY),
+    T.StructField("currency", T.StringType()), T.StructField("region", T.StringType()),
+    T.StructField("placed_at", T.TimestampNTZType()),
+])
+
+
+def _latest_profile_fn(time_col: str):
+    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches))
+        # arrival order: time, profiles before orders on ties, then ids
+        pdf = (pdf.assign(__rank=(pdf["kind"] != "profile").astype("int8"))
+               .sort_values([time_col, "__rank", "order_id", "email"]).reset_index(drop=True))
+        is_prof = (pdf["kind"] == "profile").to_numpy()
+        # position of the last profile row at or before each row (-1: none yet)
+        pos = np.maximum.accumulate(np.where(is_prof, np.arange(len(pdf)), -1))
+        stored = list(state.get) if state.exists else [None] * len(_J2_PROFILE)
+        orders = ~is_prof
+        res = pdf.loc[orders, _J2_ORDER].reset_index(drop=True)
+        at = pos[orders]
+        for i, c in enumerate(_J2_PROFILE):
+            vals = pdf[c].to_numpy(dtype=object)
+            res[f"__p_{c}"] = np.where(at >= 0, vals[np.maximum(at, 0)], stored[i])
+        if is_prof.any():
+            last = pdf.loc[int(pos[-1]), _J2_PROFILE]
+            state.update(tuple(None if pd.isna(v) else str(v) for v in last))
+        yield res[[f.name for f in J2_RESULT_SCHEMA.fields]]
+    return fn
+
+
+def interleaved_enrichment_stream(tagged: DataFrame, time_col: str = "__t") -> DataFrame:
+    """J-2 on ``applyInPandasWithState``: one stream of orders and profile
+    rows (``kind``), keyed by customer.  The state is the customer's latest
+    profile in the RocksDB state store, so a micro-batch looks up and
+    commits only the customers it carries.  Each order is enriched with the
+    profile in force when it arrived: the last profile before it in the
+    micro-batch, else the stored one.  A group holds one customer's rows of
+    one micro-batch, so bound the trigger (``maxFilesPerTrigger`` /
+    ``maxOffsetsPerTrigger``)."""
+    from eventide.operators.joins import _enriched_columns
+    rows = tagged.select(*_J2_ORDER, "kind", time_col, *_J2_PROFILE)
+    enriched = rows.groupBy("customer_id").applyInPandasWithState(
+        _latest_profile_fn(time_col), J2_RESULT_SCHEMA, "name string, email string, tier string", "append",
+        GroupStateTimeout.NoTimeout)
+    return enriched.select(*_enriched_columns(enriched, None, S.HIGH_VALUE_THRESHOLD))
+
+
 # J-2 interleaved ---------------------------------------------------------------------------
 def interleaved_enrichment_writer(table_path: str, out_path: str, order_cols: list[str],
                                   profile_cols: list[str]) -> Callable[[DataFrame, int], None]:

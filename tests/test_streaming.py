@@ -77,3 +77,35 @@ def test_running_alert_state_expires_behind_watermark(spark):
     (b,) = [r.value for r in state.collect()]
     assert b.groupState.starts == [1704117600000000]  # 2024-01-01 14:00 UTC, in microseconds
     assert b.timeoutTimestamp == 1704117900000  # that window's end, in ms
+
+
+def test_interleaved_state_sees_profiles_in_arrival_order(spark):
+    """J-2 stateful: an order sees the last profile that arrived before it
+    (profiles first on equal times), across micro-batches; no profile ->
+    the Unknown defaults."""
+    src, out, ckpt = (scratch_path(spark, n) for n in ("j2t-src", "j2t-out", "j2t-ckpt"))
+    schema = ("kind string, customer_id string, order_id string, total_amount decimal(12,2), currency string, "
+              "region string, name string, email string, tier string, t string")
+
+    def rows(data):
+        df = spark.createDataFrame(data, schema).withColumn("__t", F.col("t").cast("timestamp_ntz"))
+        return df.withColumn("placed_at", F.when(F.col("kind") == "order", F.col("__t"))).drop("t")
+    batches = [
+        [("profile", "c1", None, None, None, "eu-west", "Ann", "a1@x", "standard", "2024-01-01 10:00:00"),
+         ("order", "c1", "o1", Decimal("600.00"), "USD", "us-east", None, None, None, "2024-01-01 10:00:00"),
+         ("order", "c2", "o2", Decimal("10.00"), "USD", "us-east", None, None, None, "2024-01-01 10:05:00"),
+         ("profile", "c1", None, None, None, "eu-west", "Ann", "a2@x", "premium", "2024-01-01 11:00:00"),
+         ("order", "c1", "o3", Decimal("10.00"), "USD", "us-east", None, None, None, "2024-01-01 10:30:00")],
+        [("order", "c1", "o4", Decimal("10.00"), "USD", "us-east", None, None, None, "2024-01-02 09:00:00"),
+         ("profile", "c2", None, None, None, "eu-west", "Bo", "b1@x", "enterprise", "2024-01-02 09:00:00"),
+         ("order", "c2", "o5", Decimal("10.00"), "USD", "us-east", None, None, None, "2024-01-02 09:00:00")],
+    ]
+    for data in batches:
+        df = rows(data)
+        df.write.mode("append").parquet(src)
+        ST.run_until_caught_up(ST.interleaved_enrichment_stream(ST.file_stream(spark, src, df.schema)),
+                               ST.append_batches(out), ckpt)
+    got = {r.order_id: (r.customer_email, r.customer_tier, r.is_high_value) for r in spark.read.parquet(out).collect()}
+    assert got == {"o1": ("a1@x", "standard", True), "o2": ("unknown@example.com", "standard", False),
+                   "o3": ("a1@x", "standard", False), "o4": ("a2@x", "premium", False),
+                   "o5": ("b1@x", "enterprise", False)}
