@@ -390,25 +390,31 @@ J2_RESULT_SCHEMA = T.StructType([
 
 
 def _latest_profile_fn(time_col: str):
+    out_cols = [f.name for f in J2_RESULT_SCHEMA.fields]
+
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches))
-        # arrival order: time, profiles before orders on ties, then ids
-        pdf = (pdf.assign(__rank=(pdf["kind"] != "profile").astype("int8"))
-               .sort_values([time_col, "__rank", "order_id", "email"]).reset_index(drop=True))
-        is_prof = (pdf["kind"] == "profile").to_numpy()
-        # position of the last profile row at or before each row (-1: none yet)
-        pos = np.maximum.accumulate(np.where(is_prof, np.arange(len(pdf)), -1))
-        stored = list(state.get) if state.exists else [None] * len(_J2_PROFILE)
-        orders = ~is_prof
-        res = pdf.loc[orders, _J2_ORDER].reset_index(drop=True)
-        at = pos[orders]
+        # called once per customer and micro-batch: plain numpy, no per-row work
+        parts = list(batches)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        is_prof = pdf["kind"].to_numpy() == "profile"
+        email = pdf["email"].to_numpy(dtype=object)
+        tie = np.where(is_prof & pd.notna(email), email, "").astype(str)
+        # arrival order: time, profiles before orders on ties, profiles by email
+        order = np.lexsort((tie, ~is_prof, pdf[time_col].to_numpy()))
+        prof_sorted = is_prof[order]
+        # sorted position of the last profile at or before each row (-1: none yet)
+        pos = np.maximum.accumulate(np.where(prof_sorted, np.arange(len(order)), -1))
+        at = pos[~prof_sorted]
+        src = order[np.maximum(at, 0)]
+        rows = order[~prof_sorted]
+        stored = state.get if state.exists else (None,) * len(_J2_PROFILE)
+        res = {c: pdf[c].to_numpy()[rows] for c in _J2_ORDER}
         for i, c in enumerate(_J2_PROFILE):
-            vals = pdf[c].to_numpy(dtype=object)
-            res[f"__p_{c}"] = np.where(at >= 0, vals[np.maximum(at, 0)], stored[i])
+            res[f"__p_{c}"] = np.where(at >= 0, pdf[c].to_numpy(dtype=object)[src], stored[i])
         if is_prof.any():
-            last = pdf.loc[int(pos[-1]), _J2_PROFILE]
-            state.update(tuple(None if pd.isna(v) else str(v) for v in last))
-        yield res[[f.name for f in J2_RESULT_SCHEMA.fields]]
+            last = order[pos[-1]]
+            state.update(tuple(None if pd.isna(pdf[c].iat[last]) else str(pdf[c].iat[last]) for c in _J2_PROFILE))
+        yield pd.DataFrame(res, columns=out_cols)
     return fn
 
 
