@@ -58,14 +58,25 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     path = fallback or os.environ.get("EVENTIDE_CHECKPOINT_DIR")
     if not path:
-        # Unset means a local run (a cluster names its shared folder), so a
-        # fresh local scratch folder is acceptable here.
+        # A machine-local folder is acceptable only for a local master; a
+        # cluster must name its shared folder.
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder on the cluster's shared "
+                               "file system (checkpoints, stream state and scratch tables go there)")
         path = tempfile.mkdtemp(prefix="eventide-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     _set_context_checkpoint_dir(spark, path)
     return path
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        master = spark.conf.get("spark.master", "") or ""
+    except Exception:  # noqa: BLE001 - sessions that do not expose the master
+        master = ""
+    return master.startswith("local")
+
+
 def _set_context_checkpoint_dir(spark: SparkSession, path: str, only_if_unset: bool = False) -> None:
     """RDD checkpoint dir for ``DataFrame.checkpoint`` (classic sessions only)."""
     try:

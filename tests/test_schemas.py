@@ -28,3 +28,23 @@ def test_new_fields_have_defaults(spark):
 def test_payment_fields():
     names = {f.name for f in S.PAYMENT_PROCESSED.fields}
     assert {"payment_id", "order_id", "amount", "status"} <= names
+
+
+def test_checkpoint_dir_local_fallback_only_for_local_master(spark, monkeypatch):
+    """Scratch space comes from spark.checkpoint.dir; a machine-local
+    fallback is refused when the master is not local."""
+    import pytest
+
+    from eventide import session as S
+    assert spark.conf.get("spark.checkpoint.dir")  # set by the test session
+    assert S._is_local(spark)
+
+    class _Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class _Cluster:
+        conf = _Conf()
+    monkeypatch.delenv("EVENTIDE_CHECKPOINT_DIR", raising=False)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.ensure_checkpoint_dir(_Cluster())
