@@ -78,7 +78,7 @@ def enrich_orders_asof(orders: DataFrame, profile_updates: DataFrame,
     ords = orders.select("*", F.col(order_time).alias("__t"), F.lit(1).alias("__kind"))
     u = ords.unionByName(prof, allowMissingColumns=True)
     # Version in force = running count of profile rows (profiles sort first on ties).
-    ranked = running_sums(u, ["customer_id"], ["__t", "__kind", "order_id", "__p_email"],
+    ranked = running_sums(u, ["customer_id"], ["__t", "__kind", "order_id", "__p_email", "__p_name", "__p_tier"],
                           {"__ver": (F.col("__kind") == 0).cast("long")})
     versions = (ranked.filter(F.col("__kind") == 0)
                 .select("customer_id", "__ver", *[f"__p_{c}" for c in PROFILE_COLS]))

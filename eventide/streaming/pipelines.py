@@ -397,10 +397,11 @@ def _latest_profile_fn(time_col: str):
         parts = list(batches)
         pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
         is_prof = pdf["kind"].to_numpy() == "profile"
-        email = pdf["email"].to_numpy(dtype=object)
-        tie = np.where(is_prof & pd.notna(email), email, "").astype(str)
-        # arrival order: time, profiles before orders on ties, profiles by email
-        order = np.lexsort((tie, ~is_prof, pdf[time_col].to_numpy()))
+        # arrival order: time, profiles before orders on ties, then profiles
+        # by (email, name, tier) so equal times resolve like the batch as-of
+        ties = [np.where(is_prof & pd.notna(v), v, "").astype(str)
+                for v in (pdf[c].to_numpy(dtype=object) for c in ("tier", "name", "email"))]
+        order = np.lexsort((*ties, ~is_prof, pdf[time_col].to_numpy()))
         prof_sorted = is_prof[order]
         # sorted position of the last profile at or before each row (-1: none yet)
         pos = np.maximum.accumulate(np.where(prof_sorted, np.arange(len(order)), -1))
@@ -462,7 +463,7 @@ def interleaved_enrichment_writer(table_path: str, out_path: str, order_cols: li
             known = profiles if base is None else base.select(*profile_cols).unionByName(profiles)
             orders = src.filter(F.col("kind") == "order").select(*order_cols)
             enrich_orders_asof(orders, known).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-            upsert(profiles, table_path, ["customer_id"], ["updated_at"], version=batch_id,
+            upsert(profiles, table_path, ["customer_id"], ["updated_at", "email", "name", "tier"], version=batch_id,
                    touched=touched_prof, base_locs=locs or {})
         finally:
             src.unpersist()

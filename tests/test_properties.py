@@ -34,3 +34,71 @@ def test_fold_matches_python(spark, reqs, chunk):
         if req in S.VALID_TRANSITIONS.get(cur, []):
             state[oid] = req
     assert {r.event_id: r.prev for r in out} == exp
+
+
+class _State:
+    """Stand-in for GroupState in pure-pandas tests of group functions."""
+
+    def __init__(self, value=None):
+        self.value = value
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["order", "profile"]), st.integers(0, 4), st.integers(0, 5)),
+                min_size=1, max_size=25),
+       st.booleans())
+def test_j2_group_fn_matches_brute_force(rows, seeded):
+    """J-2 group function vs. a direct reading of the rule: an order sees
+    the last profile at or before it in (time, profiles first, email)
+    order, else the stored profile; the state ends as the last profile."""
+    from decimal import Decimal
+
+    import pandas as pd
+
+    from eventide.streaming.pipelines import _latest_profile_fn
+    recs = []
+    for i, (kind, t, e) in enumerate(rows):
+        prof = kind == "profile"
+        recs.append({"order_id": None if prof else f"o{i}", "customer_id": "c",
+                     "total_amount": None if prof else Decimal("1.00"), "currency": None if prof else "USD",
+                     "region": "us-east", "placed_at": None if prof else pd.Timestamp(2024, 1, 1, t),
+                     "kind": kind, "__t": pd.Timestamp(2024, 1, 1, t),
+                     "name": f"n{e}" if prof else None, "email": f"e{e}" if prof else None,
+                     "tier": f"t{i}" if prof else None})
+    pdf = pd.DataFrame(recs)
+    seed = ("sn", "se", "st") if seeded else None
+    state = _State(seed)
+    out = pd.concat(list(_latest_profile_fn("__t")(("c",), iter([pdf]), state)))
+    got = dict(zip(out["order_id"], zip(out["__p_name"], out["__p_email"], out["__p_tier"])))
+    # brute force: for each order scan every profile
+    profs = [r for r in recs if r["kind"] == "profile"]
+
+    def key(p):
+        return (p["__t"], 0, p["email"], p["name"], p["tier"])
+    want = {}
+    for r in recs:
+        if r["kind"] != "order":
+            continue
+        before = [p for p in profs if (p["__t"], 0) <= (r["__t"], 1)]
+        if before:
+            p = max(before, key=key)
+            want[r["order_id"]] = (p["name"], p["email"], p["tier"])
+        else:
+            want[r["order_id"]] = seed if seed else (None, None, None)
+    assert got == want
+    if profs:
+        p = max(profs, key=key)
+        assert state.value == (p["name"], p["email"], p["tier"])
+    else:
+        assert state.value == seed
