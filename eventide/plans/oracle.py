@@ -232,6 +232,24 @@ SELECT order_id, customer_id, total_amount, currency, payment_method, shipping_a
        placed_at AS enriched_at, 0 AS processor_instance,
        coalesce(total_amount, 0) > {S.HIGH_VALUE_THRESHOLD} AS is_high_value
 FROM orders_placed WHERE {_K} % 20 <> 0""")
+def _json_field(col: str, kind: str) -> str:
+    """One ``"name":value`` member as Spark's to_json writes it (NULL: left out)."""
+    if kind == "str":
+        val = f"to_json({col})::VARCHAR"
+    elif kind == "ts":  # timestamp_ntz -> yyyy-MM-ddTHH:mm:ss.SSS
+        val = f"'\"' || strftime({col}, '%Y-%m-%dT%H:%M:%S.%g') || '\"'"
+    else:  # decimal keeps its scale
+        val = f"CAST({col} AS VARCHAR)"
+    return f"""CASE WHEN {col} IS NOT NULL THEN '"{col}":' || {val} END"""
+
+
+_ORDER_JSON = [("order_id", "str"), ("customer_id", "str"), ("total_amount", "num"), ("currency", "str"),
+               ("payment_method", "str"), ("shipping_address", "str"), ("region", "str"), ("placed_at", "ts")]
+oracle("encode_json", f"""
+SELECT customer_id AS key,
+       '{{' || concat_ws(',', {", ".join(_json_field(c, k) for c, k in _ORDER_JSON)}) || '}}' AS value
+FROM orders_placed""")
+
 oracle("order_wire", """
 SELECT o.order_id, customer_id, CAST(total_amount AS DOUBLE) AS total_amount, currency, payment_method, region,
        epoch_ms(placed_at) AS placed_at, CAST(coalesce(n, 0) AS INTEGER) AS item_count
