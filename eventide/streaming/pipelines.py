@@ -120,12 +120,17 @@ STATE_RESULT_SCHEMA = T.StructType([
 def _state_machine_fn(transitions: dict, initial: str):
     allowed = {k: set(v) for k, v in transitions.items()}
 
+    out_cols = [f.name for f in STATE_RESULT_SCHEMA.fields]
+
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         cur = state.get[0] if state.exists else initial
         # rows of one order within one micro-batch (bounded by the trigger size)
-        pdf = pd.concat(list(batches)).sort_values(["ts", "event_id"])
+        parts = list(batches)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        order = np.lexsort((pdf["event_id"].to_numpy(), pdf["ts"].to_numpy()))
+        reqs = pdf["requested_status"].to_numpy(dtype=object)[order]
         prev, acc, reason = [], [], []
-        for req in pdf["requested_status"].tolist():
+        for req in reqs:  # a fold: each step needs the previous state
             ok = req in allowed.get(cur, ())
             prev.append(cur)
             acc.append(ok)
@@ -133,9 +138,9 @@ def _state_machine_fn(transitions: dict, initial: str):
             if ok:
                 cur = req
         state.update((cur,))
-        yield pd.DataFrame({"order_id": pdf["order_id"], "customer_id": pdf["customer_id"],
-                            "event_id": pdf["event_id"], "ts": pdf["ts"], "previous_status": prev,
-                            "new_status": pdf["requested_status"], "accepted": acc, "reason": reason})
+        res = {c: pdf[c].to_numpy()[order] for c in ("order_id", "customer_id", "event_id", "ts")}
+        res.update(previous_status=prev, new_status=reqs, accepted=acc, reason=reason)
+        yield pd.DataFrame(res, columns=out_cols)
     return fn
 
 
@@ -212,9 +217,12 @@ def _running_window_fn(window_us: int):
                     for s, c, a, r in zip(starts, counts, cents, regions)}
         else:
             book = {}
-        pdf = pd.concat(list(batches)).sort_values(["placed_us", "order_id"])
+        parts = list(batches)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        order = np.lexsort((pdf["order_id"].to_numpy(dtype=object).astype(str), pdf["placed_us"].to_numpy()))
         out = {k: [] for k in ["order_id", "order_count", "total_cents", "region_count", "window_start_us"]}
-        for oid, t, cents_v, reg in zip(pdf["order_id"], pdf["placed_us"], pdf["cents"], pdf["region"]):
+        for oid, t, cents_v, reg in zip(*(pdf[c].to_numpy(dtype=object)[order]
+                                          for c in ("order_id", "placed_us", "cents", "region"))):
             ws = int(t) - int(t) % window_us
             b = book.setdefault(ws, [0, 0, set()])
             b[0] += 1
@@ -235,9 +243,8 @@ def _running_window_fn(window_us: int):
             state.setTimeoutTimestamp((keep[-1] + window_us) // 1000)
         else:
             state.remove()
-        res = pd.DataFrame(out)
-        res.insert(0, "customer_id", key[0])
-        yield res
+        out["customer_id"] = [key[0]] * len(out["order_id"])
+        yield pd.DataFrame(out, columns=[f.name for f in ALERT_SCHEMA.fields])
     return fn
 
 
