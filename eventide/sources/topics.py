@@ -26,11 +26,16 @@ def read_topic_files(spark: SparkSession, path: str, topics: list[str] | None =
 
 
 def read_kafka(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest",
-               ending: str | None = None, stream: bool = False, read_committed: bool = True) -> DataFrame:
-    """Kafka source with the log columns (S-1, S-2, S-3, F-5)."""
+               ending: str | None = None, stream: bool = False, read_committed: bool = True,
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Kafka source with the log columns (S-1, S-2, S-3, F-5).  For streams,
+    ``max_offsets_per_trigger`` bounds each micro-batch (S-4/S-5), which
+    bounds the per-key groups of the stateful forms."""
     reader = spark.readStream if stream else spark.read
     r = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", ",".join(topics)).option("startingOffsets", starting))
+    if stream and max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     if read_committed:
         r = r.option("kafka.isolation.level", "read_committed")
     if ending and not stream:
