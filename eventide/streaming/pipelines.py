@@ -146,13 +146,14 @@ def _state_machine_fn(transitions: dict, initial: str):
 
 def state_machine_writer(state_path: str, out_path: str, transitions: dict | None = None,
                          initial: str = S.INITIAL_STATUS, key: str = "order_id", ts: str = "ts",
-                         seq: str = "event_id") -> Callable[[DataFrame, int], None]:
+                         seq: str = "event_id", max_chunk_rows: int | None = None) -> Callable[[DataFrame, int], None]:
     """T-1 streaming as ``foreachBatch``: each micro-batch is folded with the
     skew-safe scan, seeded from the state table version of the previous batch,
     and the new per-order status is upserted as version ``batch_id``.  A
     replayed batch reads the same base version and rewrites the same
-    outputs, so replays are exact."""
-    from eventide.functions.scan import fold_states
+    outputs, so replays are exact.  An order with more than
+    ``max_chunk_rows`` requests in a batch is split across tasks."""
+    from eventide.functions.scan import DEFAULT_MAX_CHUNK_ROWS, fold_states
     from eventide.operators.joins import transition_valid
     from eventide.sinks.files import bucket_locations, read_buckets, touched_buckets, upsert
     transitions = transitions or S.VALID_TRANSITIONS
@@ -167,7 +168,8 @@ def state_machine_writer(state_path: str, out_path: str, transitions: dict | Non
             seed = read_buckets(spark, state_path, locs, only_buckets=touched)
             folded = fold_states(src, [key], [ts, seq], "requested_status", S.ORDER_STATUSES, transitions,
                                  initial, state_before="previous_status", initial_states=seed,
-                                 state_col="current_status", state_after="__after").persist()
+                                 state_col="current_status", state_after="__after",
+                                 max_chunk_rows=max_chunk_rows or DEFAULT_MAX_CHUNK_ROWS).persist()
             ok = transition_valid(F.col("previous_status"), F.col("requested_status"))
             out = folded.select(*[c for c in batch.columns if c != "requested_status"], "previous_status",
                                 F.col("requested_status").alias("new_status"), ok.alias("accepted"),
