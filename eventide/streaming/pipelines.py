@@ -315,14 +315,15 @@ def dedup_batch(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
 # A-2 as foreachBatch (skew-safe) -------------------------------------------------------
 def running_alerts_writer(state_path: str, out_path: str, rule, key: str = "customer_id",
                           ts: str = "placed_at", order_id: str = "order_id", amount: str = "amount",
-                          region: str = "region", expiry: str = S.FRAUD_EXPIRY) -> Callable[[DataFrame, int], None]:
+                          region: str = "region", expiry: str = S.FRAUD_EXPIRY,
+                          max_chunk_rows: int | None = None) -> Callable[[DataFrame, int], None]:
     """A-2 streaming as ``foreachBatch``: per-order running window stats for
     the micro-batch via the chunked scan (hot customers split), plus the
     carry of each open (customer, window) from the state table version of
     the previous batch.  Writes alerts to ``out/batch_id=N`` and the merged
     window state as version N; windows ending more than ``expiry`` before
     the newest event time are dropped from the state."""
-    from eventide.functions.scan import running_sums
+    from eventide.functions.scan import DEFAULT_MAX_CHUNK_ROWS, running_sums
     from eventide.operators import windows as W
     from eventide.sinks.files import read_snapshot, write_snapshot
 
@@ -344,7 +345,7 @@ def running_alerts_writer(state_path: str, out_path: str, rule, key: str = "cust
             run = running_sums(flagged.drop("__first"), [key, "window_start"], [ts, order_id], {
                 "order_count": F.lit(1).cast("long"),
                 "total_amount": F.col(amount).cast(S.MONEY_SUM),
-                "region_count": F.col("__new").cast("long")})
+                "region_count": F.col("__new").cast("long")}, max_chunk_rows=max_chunk_rows or DEFAULT_MAX_CHUNK_ROWS)
             if seed is not None:
                 carry = seed.select(key, "window_start", F.col("order_count").alias("__sc"),
                                     F.col("total_amount").alias("__sa"),

@@ -186,3 +186,31 @@ def test_state_machine_writer_splits_a_hot_order_across_batches(spark):
     assert got == want
     assert sum(ok for _p, ok in want.values()) > 150  # the walk really moves through states
     assert cur == "cancelled"
+
+
+def test_alert_writer_splits_a_hot_customer_across_batches(spark):
+    """A-2 foreachBatch form: one customer with 200 orders in one open
+    window, chunks of 16 rows, the window carried in the state table from
+    the first micro-batch to the second: running values equal a direct count."""
+    from eventide.operators.windows import FraudRule
+    src, out, state, ckpt = (scratch_path(spark, n) for n in ("hf-src", "hf-out", "hf-state", "hf-ckpt"))
+    rule = FraudRule(window="1 hour")
+    regions = S.REGIONS
+    orders = [(f"h{i:03d}", "h", regions[(i // 3) % len(regions)], Decimal("1.50"), 10 * i) for i in range(200)]
+    writer = ST.running_alerts_writer(state, out, rule, max_chunk_rows=16)
+    for part in (orders[:120], orders[120:]):
+        df = (spark.createDataFrame(part, "order_id string, customer_id string, region string, "
+                                          "amount decimal(12,2), sec long")
+              .withColumn("placed_at", (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+                                        + F.make_dt_interval(secs=F.col("sec"))))
+              .drop("sec"))
+        df.write.mode("append").parquet(src)
+        ST.run_until_caught_up(ST.file_stream(spark, src, df.schema), writer, ckpt)
+    got = {r.order_id: (r.order_count, r.total_amount, r.region_count)
+           for r in spark.read.parquet(out).collect()}
+    want, seen = {}, set()
+    for k, (oid, _c, reg, amt, _s) in enumerate(orders, start=1):
+        seen.add(reg)
+        if k > rule.max_orders:  # the count rule alone reaches the alert score
+            want[oid] = (k, amt * k, len(seen))
+    assert got == want
