@@ -60,7 +60,7 @@ def high_value(amount: Column, threshold: float = S.HIGH_VALUE_THRESHOLD) -> Col
 
 def enrich_orders_asof(orders: DataFrame, profile_updates: DataFrame,
                        order_time: str = "placed_at", profile_time: str = "updated_at",
-                       enriched_at: Column | None = None) -> DataFrame:
+                       enriched_at: Column | None = None, max_chunk_rows: int | None = None) -> DataFrame:
     """J-3: each order sees the newest profile with ``updated_at <= placed_at``.
 
     Orders and profile versions are unioned and ordered per customer by
@@ -70,7 +70,7 @@ def enrich_orders_asof(orders: DataFrame, profile_updates: DataFrame,
     index is made monotone (a running count of profiles), and the order
     picks the version with that index - an equi-join, no range join.
     """
-    from eventide.functions.scan import running_sums
+    from eventide.functions.scan import DEFAULT_MAX_CHUNK_ROWS, running_sums
 
     prof = profile_updates.select(
         "customer_id", F.col(profile_time).alias("__t"), F.lit(0).alias("__kind"),
@@ -79,7 +79,8 @@ def enrich_orders_asof(orders: DataFrame, profile_updates: DataFrame,
     u = ords.unionByName(prof, allowMissingColumns=True)
     # Version in force = running count of profile rows (profiles sort first on ties).
     ranked = running_sums(u, ["customer_id"], ["__t", "__kind", "order_id", "__p_email", "__p_name", "__p_tier"],
-                          {"__ver": (F.col("__kind") == 0).cast("long")})
+                          {"__ver": (F.col("__kind") == 0).cast("long")},
+                          max_chunk_rows=max_chunk_rows or DEFAULT_MAX_CHUNK_ROWS)
     versions = (ranked.filter(F.col("__kind") == 0)
                 .select("customer_id", "__ver", *[f"__p_{c}" for c in PROFILE_COLS]))
     seen = (ranked.filter(F.col("__kind") == 1)

@@ -448,7 +448,8 @@ def interleaved_enrichment_stream(tagged: DataFrame, time_col: str = "__t") -> D
 
 # J-2 interleaved ---------------------------------------------------------------------------
 def interleaved_enrichment_writer(table_path: str, out_path: str, order_cols: list[str],
-                                  profile_cols: list[str]) -> Callable[[DataFrame, int], None]:
+                                  profile_cols: list[str],
+                                  max_chunk_rows: int | None = None) -> Callable[[DataFrame, int], None]:
     """J-2: orders and profile updates arrive on one stream (``kind``
     column).  Each micro-batch enriches its orders as of their own time
     against the profile table of the previous batch plus the batch's own
@@ -472,7 +473,8 @@ def interleaved_enrichment_writer(table_path: str, out_path: str, order_cols: li
             base = read_buckets(spark, table_path, locs, only_buckets=touched_all)
             known = profiles if base is None else base.select(*profile_cols).unionByName(profiles)
             orders = src.filter(F.col("kind") == "order").select(*order_cols)
-            enrich_orders_asof(orders, known).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            enrich_orders_asof(orders, known, max_chunk_rows=max_chunk_rows) \
+                .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
             upsert(profiles, table_path, ["customer_id"], ["updated_at", "email", "name", "tier"], version=batch_id,
                    touched=touched_prof, base_locs=locs or {})
         finally:

@@ -214,3 +214,34 @@ def test_alert_writer_splits_a_hot_customer_across_batches(spark):
         if k > rule.max_orders:  # the count rule alone reaches the alert score
             want[oid] = (k, amt * k, len(seen))
     assert got == want
+
+
+def test_interleaved_writer_splits_a_hot_customer_across_batches(spark):
+    """J-2 foreachBatch form: one customer with 120 orders and 6 profile
+    versions over two micro-batches, as-of scan cut into chunks of 8 rows:
+    each order sees the last profile at or before it."""
+    src, out, table, ckpt = (scratch_path(spark, n) for n in ("hj-src", "hj-out", "hj-table", "hj-ckpt"))
+    order_cols = ["order_id", "customer_id", "total_amount", "currency", "region", "placed_at"]
+    profile_cols = ["customer_id", "name", "email", "tier", "updated_at"]
+    schema = ("kind string, customer_id string, order_id string, total_amount decimal(12,2), currency string, "
+              "region string, name string, email string, tier string, sec long")
+    orders = [("order", "h", f"o{i:03d}", Decimal("10.00"), "USD", "us-east", None, None, None, 60 * i + 30)
+              for i in range(120)]
+    profiles = [("profile", "h", None, None, None, None, "H", f"h{v}@x", "standard", 60 * (20 * v + 5))
+                for v in range(6)]
+    writer = ST.interleaved_enrichment_writer(table, out, order_cols, profile_cols, max_chunk_rows=8)
+    rows = sorted(orders + profiles, key=lambda r: r[-1])
+    for part in (rows[:70], rows[70:]):
+        df = (spark.createDataFrame(part, schema)
+              .withColumn("__t", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("sec")))
+              .withColumn("placed_at", F.when(F.col("kind") == "order", F.col("__t")))
+              .withColumn("updated_at", F.when(F.col("kind") == "profile", F.col("__t"))).drop("sec"))
+        df.write.mode("append").parquet(src)
+        ST.run_until_caught_up(ST.file_stream(spark, src, df.schema), writer, ckpt)
+    got = {r.order_id: r.customer_email for r in spark.read.parquet(out).collect()}
+    want = {}
+    for _k, _c, oid, *_rest, sec in orders:
+        before = [p for p in profiles if p[-1] <= sec]
+        want[oid] = before[-1][7] if before else "unknown@example.com"
+    assert got == want
+    assert len(set(want.values())) == 7  # every version and the default are seen
