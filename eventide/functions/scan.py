@@ -22,8 +22,6 @@ straggler task.  These helpers split hot keys instead:
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window

@@ -2,7 +2,6 @@
 from decimal import Decimal
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventide import schemas as S
 from eventide.operators import joins, partitioning as P, windows as W

@@ -1,5 +1,4 @@
 """Partitioners: Kafka murmur2 vectors, region ranges, priority routing."""
-from pyspark.sql import functions as F
 
 from eventide.functions.hashing import murmur2
 from eventide.operators import partitioning as P

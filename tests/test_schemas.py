@@ -1,5 +1,4 @@
 """Schema evolution rules (v1 -> v2) and record shapes."""
-from pyspark.sql import functions as F
 
 from eventide import schemas as S
 from eventide.operators import transforms as TR
