@@ -193,7 +193,10 @@ def order_state_stream(requests: DataFrame, transitions: dict | None = None,
     """T-1 streaming with ``applyInPandasWithState``: one state row per order.
     A group holds one order's rows of one micro-batch, so bound the batch
     (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``); for hot orders use
-    ``state_machine_writer``, which splits them."""
+    ``state_machine_writer``, which splits them.  Status is kept without
+    expiry: a late request for a finished order must still be rejected
+    against its final status, so state grows with the number of orders
+    (RocksDB keeps it on disk)."""
     fn = _state_machine_fn(transitions or S.VALID_TRANSITIONS, initial)
     return requests.groupBy("order_id").applyInPandasWithState(
         fn, STATE_RESULT_SCHEMA, "current_status string", "append", GroupStateTimeout.NoTimeout)
@@ -437,7 +440,8 @@ def interleaved_enrichment_stream(tagged: DataFrame, time_col: str = "__t") -> D
     profile in force when it arrived: the last profile before it in the
     micro-batch, else the stored one.  A group holds one customer's rows of
     one micro-batch, so bound the trigger (``maxFilesPerTrigger`` /
-    ``maxOffsetsPerTrigger``)."""
+    ``maxOffsetsPerTrigger``).  Like a table keyed by customer, the latest
+    profile is kept without expiry (one state row per customer)."""
     from eventide.operators.joins import _enriched_columns
     rows = tagged.select(*_J2_ORDER, "kind", time_col, *_J2_PROFILE)
     enriched = rows.groupBy("customer_id").applyInPandasWithState(
