@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 #: bound of the learning sample: rows of each language, and code points taken of each row
 SAMPLE_ROWS = 120
 SAMPLE_CHARS = 1500
-#: compression level of the classifier
-LEVEL = 3
+#: compressor of the classifier: short matches count, as words are short
+LEVEL, MIN_MATCH, STRATEGY = 3, 3, zstandard.STRATEGY_GREEDY
 #: a prediction with a smaller relative margin is a rejection
 MIN_MARGIN = 0.002
 UNKNOWN = "und"
@@ -43,27 +43,30 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
     """Dictionary content per language, from a bounded sample of rows that are not held out.
 
-    Of each language at most ``sample_rows`` rows count, those whose id's hash is
-    smallest (each task sends no more), with ``sample_chars`` code points each.
+    Of each language at most ``sample_rows`` rows give text, those whose id's hash
+    is smallest (each task sends no more), with ``sample_chars`` code points
+    each.  Languages come in the order of their number of rows, over all rows
+    that are not held out, then by name.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
                        & ~held_out(F.col("id"))).select("id", "lang", F.substring("text", 1, sample_chars).alias("text"))
+    often = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "text")
     picked = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_rows).collect()
     found: dict[str, list[tuple[int, bytes]]] = {}
     for r in picked:
         found.setdefault(r["lang"], []).append((r["n"], plain(r["text"])))
-    return {lang: b" ".join(t for _, t in sorted(ts)) for lang, ts in sorted(found.items())}
+    return {lang: b" ".join(t for _, t in sorted(found[lang])) for lang in often}
 
 
 class Classifier:
     """Chooses the language whose dictionary compresses a text best."""
 
-    def __init__(self, content: dict[str, bytes], level: int = LEVEL):
-        self.langs = [lang for lang, c in content.items() if len(c) >= 8]
+    def __init__(self, content: dict[str, bytes]):
+        self.langs = [lang for lang, c in content.items() if len(c) >= 8]  # shorter content is no dictionary
         params = zstandard.ZstdCompressionParameters.from_level(
-            level, write_content_size=0, write_dict_id=0, write_checksum=0)
+            LEVEL, min_match=MIN_MATCH, strategy=STRATEGY, write_content_size=0, write_dict_id=0, write_checksum=0)
         self.packers = []
         for lang in self.langs:
             d = zstandard.ZstdCompressionDict(content[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -78,22 +81,22 @@ class Classifier:
         if not text or not self.langs or not _LETTER.search(text):
             return UNKNOWN, 0.0
         sizes = self.sizes(plain(text))
-        best = min(range(len(sizes)), key=lambda i: (sizes[i], self.langs[i]))
+        best = min(range(len(sizes)), key=lambda i: (sizes[i], i))
         rest = [s for i, s in enumerate(sizes) if i != best]
         return self.langs[best], 1.0 - sizes[best] / min(rest) if rest else 1.0
 
 
-def _scores(content: dict[str, bytes], level: int):
+def _scores(content: dict[str, bytes]):
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = Classifier(content, level)
+        model = Classifier(content)
         for texts in parts:
             yield pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
     return run
 
 
-def identify(docs: DataFrame, content: dict[str, bytes], text_col: str = "text", level: int = LEVEL) -> DataFrame:
+def identify(docs: DataFrame, content: dict[str, bytes], text_col: str = "text") -> DataFrame:
     """``docs`` with a column ``__lang`` (lang_pred, score) made from the whole text alone."""
-    scored = F.pandas_udf(_scores(content, level), "lang_pred string, score double")
+    scored = F.pandas_udf(_scores(content), "lang_pred string, score double")
     return docs.withColumn("__lang", scored(F.col(text_col)))
 
 
@@ -104,7 +107,7 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Learns from rows that are not held out and have a language; id, source and
     language are never inputs of a prediction.  ``rejected``: the score is under
     ``min_margin`` or the text has no letter.  Null and letterless texts are
-    ``und`` with score 0; ties go to the language first by name, with score 0;
+    ``und`` with score 0; ties go to the language with most rows, with score 0;
     with one learned language every text with letters is that, score 1; with
     none all are ``und``.  Texts count whole, whatever their length; repeated
     rows are judged each; an empty table gives no rows.

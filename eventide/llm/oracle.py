@@ -36,3 +36,30 @@ fit AS (
 SELECT page_id, host, path, rule, coalesce(rverdict, 'allow') AS verdict
 FROM u LEFT JOIN (SELECT * FROM fit WHERE n = 1) f ON u.k = f.k
 """
+
+ORACLE["op8_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x for x in string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+') if x <> ''] AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
+           WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+           ELSE [array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)] END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM both_ JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id
+  WHERE 100 * c >= 80 * (p.n + q.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.c AS component_id, d.doc_id = r.c AS kept
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""

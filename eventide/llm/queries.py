@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import op7_exact_dedup as op7
+from eventide.llm import op8_minhash_dedup as op8
 from eventide.llm import op9_url_filter as op9
 from eventide.llm import op10_language_id as op10
 from eventide.llm.common import table
@@ -27,6 +28,11 @@ def q_exact_dedup(spark, sf):
     return op7.exact_duplicates(table(spark, sf, "documents"))
 
 
+@query("op8_minhash_dedup")
+def q_minhash_dedup(spark, sf):
+    return op8.near_duplicates(table(spark, sf, "documents"), width=4)
+
+
 @query("op9_url_filter")
 def q_url_filter(spark, sf):
     return op9.judge_urls(table(spark, sf, "pages"), op9.rules_table(spark))
