@@ -43,3 +43,9 @@ def bind(value, body):
 def ascii_lower(col):
     """Lower-case A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file on the cluster's machines."""
+    import public_tokenizers
+    return public_tokenizers.path(name)

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventide.llm import op6_packing as op6
 from eventide.llm import op7_exact_dedup as op7
 from eventide.llm import op8_minhash_dedup as op8
 from eventide.llm import op9_url_filter as op9
 from eventide.llm import op10_language_id as op10
-from eventide.llm.common import table
+from eventide.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -23,6 +24,11 @@ def query(name: str):
     return deco
 
 
+@query("op6_packing")
+def q_packing(spark, sf):
+    return op6.pack_documents(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 @query("op7_exact_dedup")
 def q_exact_dedup(spark, sf):
     return op7.exact_duplicates(table(spark, sf, "documents"))
@@ -41,3 +47,9 @@ def q_url_filter(spark, sf):
 @query("op10_language_id")
 def q_language_id(spark, sf):
     return op10.predict_languages(table(spark, sf, "documents"))
+
+
+@query("pipeline")
+def q_pipeline(spark, sf):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf)
