@@ -63,3 +63,15 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.c AS component_id, d.doc_id =
 FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
+
+ORACLE["op5_warc"] = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d,
+         row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id) AS k,
+         first_value(page_id) OVER (PARTITION BY coalesce(html, '') ORDER BY page_id) AS first_id
+  FROM pages)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND k > 1 THEN first_id END AS refers_to, true AS verified
+FROM p
+"""

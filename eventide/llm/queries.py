@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventide.llm import op5_warc as op5
 from eventide.llm import op6_packing as op6
 from eventide.llm import op7_exact_dedup as op7
 from eventide.llm import op8_minhash_dedup as op8
@@ -24,6 +25,11 @@ def query(name: str):
     return deco
 
 
+@query("op5_warc")
+def q_warc(spark, sf):
+    return op5.round_trip(table(spark, sf, "pages"))
+
+
 @query("op6_packing")
 def q_packing(spark, sf):
     return op6.pack_documents(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
