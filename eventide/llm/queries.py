@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import op3_html_text as op3
+from eventide.llm import op4_embedding_dedup as op4
 from eventide.llm import op5_warc as op5
 from eventide.llm import op6_packing as op6
 from eventide.llm import op7_exact_dedup as op7
@@ -31,6 +32,11 @@ def q_html_text(spark, sf):
     return op3.main_text(table(spark, sf, "pages"))
 
 
+@query("op4_embedding_dedup")
+def q_embedding_dedup(spark, sf):
+    return op4.near_vectors(table(spark, sf, "embeddings"))
+
+
 @query("op5_warc")
 def q_warc(spark, sf):
     return op5.round_trip(table(spark, sf, "pages"))
