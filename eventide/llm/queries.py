@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide.llm import op1_sentencepiece as op1
+from eventide.llm import op2_license_scan as op2
 from eventide.llm import op3_html_text as op3
 from eventide.llm import op4_embedding_dedup as op4
 from eventide.llm import op5_warc as op5
@@ -33,6 +34,11 @@ def q_sentencepiece(spark, sf):
     return op1.sample_segmentations(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query("op2_license_scan")
+def q_license_scan(spark, sf):
+    return op2.scan_licenses(table(spark, sf, "documents"))
+
+
 @query("op3_html_text")
 def q_html_text(spark, sf):
     return op3.main_text(table(spark, sf, "pages"))
