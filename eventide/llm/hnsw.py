@@ -61,6 +61,8 @@ class Hnsw:
 
     def _build_level(self, k: int) -> None:
         members, at, x = self.levels[k], 0, self.x
+        place = np.full(len(x), len(members))
+        place[members] = np.arange(len(members))
         while at < len(members):
             size = min(_BATCH, max(32, at), len(members) - at)
             new = members[at:at + size]
@@ -71,6 +73,7 @@ class Hnsw:
             cand = np.where(sims > -2, cand, -1)
             if at:
                 entry = self._descend(x[new], k, members[0])
+                entry[place[entry] >= at] = members[0]  # a member of the level above that has no links here yet
                 got, near = self._beam(x[new], entry, k, BUILD_BEAM)
                 cand, sims = np.hstack([cand, got]), np.hstack([sims, near])
             chosen = _select(new, cand, np.where(cand >= 0, sims, -2), x, LINKS)

@@ -51,6 +51,8 @@ MAX_DIFFERENT = 0.1
 #: templates tried by wording: so many that save most, and all that save fewer bytes by no more than the second number
 TRIED, TRIED_BYTES = 4, 8
 _LEVEL = 9
+#: code points of a stretch; a longer one is looked at in parts that overlap by a template's reach
+LONGEST = 20_000
 _WORD = re.compile(r"[^\W_]+(?:[.'’-][^\W_]+)*")
 
 
@@ -103,6 +105,14 @@ class Scanner:
 
     def stretches(self, text: str) -> Iterator[tuple[int, int]]:
         """Parts of the text around licence words, as far as any template reaches; parts that touch are one."""
+        for lo, hi in self._around(text):
+            step = max(LONGEST, 2 * self.reach)
+            while hi - lo > step:
+                yield lo, lo + step
+                lo += step - self.reach
+            yield lo, hi
+
+    def _around(self, text: str) -> Iterator[tuple[int, int]]:
         lo = hi = -1
         for m in self.trigger.finditer(text):
             a, b = max(0, m.start() - self.reach), min(len(text), m.end() + self.reach)
@@ -142,7 +152,11 @@ class Scanner:
                     continue
                 out.append((own[first][1], own[end - 1][2] - own[first][1], self.names[k], k, alone, sizes[k], n, " ".join(told), True))
                 parts += [own[end:], own[:first]]  # what is before and behind may hold others
-        return sorted(out)
+        out, clear = sorted(set(out), key=lambda f: (not f[-1], f[6], f)), []
+        for f in out:  # overlapping parts may tell one notice twice: the clearest counts
+            if all(f[0] >= g[0] + g[1] or g[0] >= f[0] + f[1] for g in clear if abs(g[0] - f[0]) < LONGEST):
+                clear.append(f)
+        return sorted(clear)
 
 
 _COLUMNS = [("start", pa.int64()), ("length", pa.int64()), ("license", pa.string()), ("wording", pa.int32()), ("bytes_alone", pa.int64()),
