@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from math import log
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -240,8 +241,6 @@ def sample_segmentations(docs: DataFrame, model_file: str, k: int = SAMPLES, see
 
 def decode(rows: DataFrame, model_file: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
     """``rows`` with a column of the texts that the ids decode to (null ids: null)."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def texts(ids: pd.Series) -> pd.Series:
         own = sampler(model_file).processor

@@ -37,7 +37,7 @@ def test_templates_of_a_host_are_deleted(spark):
     rows += [(10 + k, f"http://b.com/{k}", page(k)) for k in range(2)]            # too few pages to tell
     rows += [(20 + k, f"http://c.com/{k}", page(7)) for k in range(9)]            # copies of one page are one
     rows += [(40, "http://a.com/x", None), (41, None, page(9)), (42, "http://A.COM/9", page(9)), (42, "http://A.COM/9", page(9))]
-    got = op3.main_text(frame(spark, rows).repartition(3))
+    got = op3.main_text(frame(spark, rows))
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     by = {}
     for r in got.collect():
