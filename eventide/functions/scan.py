@@ -5,147 +5,107 @@ prefix scan.  ``Window.partitionBy(key)`` alone would put every row of a key
 into one task, so a key holding a third of the data would make one
 straggler task.  These helpers split hot keys instead:
 
-1. Exact per-key statistics (count, min and max of the leading order
-   column) come from a partial-aggregating ``groupBy``.  A key with more
-   than ``max_chunk_rows`` rows is cut into ``ceil(count / max_chunk_rows)``
-   contiguous ranges of the leading order column; other keys are one chunk.
-   The chunk id is a pure function of the row and those exact statistics,
-   so every branch and every task retry sees the same chunks (sampling
-   based range bounds would not be stable across recomputation).
-2. Inside each (key, chunk) the scan runs locally: a JVM window for sums,
-   a vectorised Arrow batch scan for state machines.
-3. Chunks after the first of a split key take a carry from the earlier
-   chunks.  Only split keys have carries, and there are at most
-   ``rows / max_chunk_rows`` such chunks; AQE picks broadcast or shuffle
-   for that table from its measured size.
+1. Rows are counted per key (a partial-aggregating ``groupBy``).  Keys with
+   at most ``max_chunk_rows`` rows are scanned by a plain window.
+2. Rows of the others are range-partitioned on (key, order columns) and
+   written to the shared checkpoint folder with the number of their range.
+   A range of a key is a chunk: contiguous in the order, about equal in rows
+   whatever the columns hold (nulls, bursts at one time, text), and the same
+   for every later step and task retry, because it is read from the table.
+3. Inside each (key, chunk) the scan runs locally: a JVM window for sums, a
+   vectorised Arrow batch scan for state machines.  A chunk takes a carry from
+   the key's earlier chunks; that table has a row per chunk.
+
+Nulls of the order columns come first in all of these, as in any Spark sort,
+so the result does not depend on where a key is cut.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK = "__chunk"
-NCHUNKS = "__nchunks"
-DEFAULT_MAX_CHUNK_ROWS = 2_000_000
-
-
-def _order_number(c: Column, dtype: T.DataType) -> Column:
-    """Leading order column as a double (monotone)."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                                c.cast("timestamp_ntz")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
-
+from eventide.session import scratch_path
 
+CHUNK = "__chunk"
 KEY = "__key"
+DEFAULT_MAX_CHUNK_ROWS = 2_000_000
 
 
-def _numeric_order(df: DataFrame, col: str) -> Column | None:
-    dt = df.schema[col].dataType
-    if isinstance(dt, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return _order_number(F.col(col), dt)
-    return None
-
-
-def assign_chunks(df: DataFrame, keys: list[str], order: list[str],
-                  max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS, only_split: bool = False) -> DataFrame:
-    """Add ``__key`` (struct of the key columns), ``__chunk`` (contiguous in
-    order within a key) and ``__nchunks``.
-
-    ``__key`` is a struct so one equi-join column is null-safe (struct fields
-    compare null = null) and stays identical to the window's partitioning
-    key, which lets the carry join reuse that shuffle.  Chunks are ranges of
-    the leading order column; when that column is constant within a key the
-    second order column (e.g. an event id) is cut instead.
+def split_hot(df: DataFrame, keys: list[str], order: list[str], max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS,
+              every_key: bool = False) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of keys that are scanned whole, rows of split keys); ``None`` where there are none.
 
-    The statistics table holds only split keys, so it has at most
-    ``rows / max_chunk_rows`` rows: that bound is why it is broadcast (the
-    row side is never a build side, whatever the planner estimates).
-    ``only_split`` keeps just the rows of split keys (a left-semi join).
+    Both have ``__key`` (a struct of the key columns, so that null keys compare
+    equal in joins); rows of split keys are a written table and have ``__chunk``.
+    ``every_key`` splits all keys (for a key that is one constant).  ``order``
+    must tell all rows of a key apart.
     """
-    x1 = _order_number(F.col(order[0]), df.schema[order[0]].dataType)
-    x2 = _numeric_order(df, order[1]) if len(order) > 1 else None
-    base = df.withColumns({KEY: F.struct(*keys), "__x": x1, "__x2": x2 if x2 is not None else F.lit(0.0)})
-    stats = (base.groupBy(KEY)
-             .agg(F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__lo"), F.max("__x").alias("__hi"),
-                  F.min("__x2").alias("__lo2"), F.max("__x2").alias("__hi2"))
-             .filter(F.col("__n") > max_chunk_rows)
-             .select(KEY, F.ceil(F.col("__n") / F.lit(max_chunk_rows)).cast("int").alias("__m"),
-                     "__lo", "__hi", "__lo2", "__hi2"))
-    # Only split keys are in ``stats`` (<= rows / max_chunk_rows of them).
-    stats = F.broadcast(stats)
-    if only_split:
-        base = base.join(stats.select(KEY), KEY, "left_semi")
-    j = base.join(stats, KEY, "left")
-    m = F.coalesce(F.col("__m"), F.lit(1))
-
-    def cut(x: str, lo: str, hi: str) -> Column:
-        span = F.col(hi) - F.col(lo) + F.lit(1.0)
-        return F.least(F.floor((F.col(x) - F.col(lo)) / span * m), m - 1)
-    by_first = cut("__x", "__lo", "__hi")
-    by_second = cut("__x2", "__lo2", "__hi2")
-    chunk = (F.when(m <= 1, F.lit(0))
-             .when(F.col("__hi") > F.col("__lo"), by_first)
-             .otherwise(by_second)).cast("int")
-    return j.select(*[F.col(c) for c in df.columns], F.col(KEY), chunk.alias(CHUNK), m.alias(NCHUNKS))
+    base = df.withColumn(KEY, F.struct(*keys))
+    counts = base.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counts if every_key else counts.filter(F.col("__n") > max_chunk_rows)
+    rows = hot.agg(F.sum("__n")).first()[0]
+    if not rows:
+        return (None if every_key else base), None
+    picked, rest = base, None
+    if not every_key:
+        picked = base.join(hot.select(KEY), KEY, "left_semi")
+        rest = base.join(hot.select(KEY), KEY, "left_anti")
+    # twice as many ranges as needed: their sizes are sampled
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")), -(-2 * rows // max_chunk_rows))
+    path = scratch_path(df.sparkSession, "scan-chunks")
+    laid = picked.repartitionByRange(parts, KEY, *order).withColumn(CHUNK, F.spark_partition_id())
+    laid.write.parquet(path)
+    return rest, df.sparkSession.read.schema(laid.schema).parquet(path)
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list[str],
                  values: dict[str, Column | str], max_chunk_rows: int = DEFAULT_MAX_CHUNK_ROWS,
-                 inclusive: bool = True, agg: str = "sum") -> DataFrame:
-    """Add ``name = sum(value)`` (or ``max`` with ``agg="max"``) over rows of
-    the same key up to this row.
+                 inclusive: bool = True, agg: str = "sum", every_key: bool = False) -> DataFrame:
+    """Add ``name = sum(value)`` over rows of the same key up to this row (with
+    ``agg="max"`` the largest, with ``agg="last"`` the last that is not null).
 
-    ``order`` must totally order the rows of a key (end it with a unique id).
-    With ``inclusive=False`` the current row is excluded.
+    ``order`` must totally order the rows of a key (end it with a unique id);
+    nulls come first.  With ``inclusive=False`` the current row is excluded.
     """
-    fn = {"sum": F.sum, "max": F.max}[agg]
+    fn = {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}[agg]
     vals = {n: (F.col(v) if isinstance(v, str) else v) for n, v in values.items()}
     base = df.select("*", *[c.alias(f"__v_{n}") for n, c in vals.items()])
-    chunked = assign_chunks(base, keys, order, max_chunk_rows)
-
-    hi = Window.currentRow if inclusive else -1
-    w_local = Window.partitionBy(KEY, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
-    local = chunked.select("*", *[fn(f"__v_{n}").over(w_local).alias(f"__l_{n}") for n in vals])
-
-    # Carries exist only for chunks after the first of a split key; the
-    # carry table has one row per such chunk (<= rows / max_chunk_rows).
-    # Chunk totals come from the window's output: it is already hash
-    # partitioned by (key, chunk), so this group-by adds no shuffle, and the
-    # window keeps the filter from turning the statistics join into an
-    # inner join.
-    # The total is read off the chunk's last row (its running value plus, for
-    # an exclusive scan, its own value): using the window output keeps this
-    # branch identical to the main one below the window, so the exchange is
-    # computed once and reused.
-    last = F.max_by(F.struct(*[F.col(f"__l_{n}").alias(f"l_{n}") for n in vals],
-                             *[F.col(f"__v_{n}").alias(f"v_{n}") for n in vals]), F.struct(*order))
-    ends = local.filter(F.col(NCHUNKS) > 1).groupBy(KEY, CHUNK).agg(last.alias("__end"))
-
-    def chunk_total(n: str) -> Column:
-        lv, vv = F.col(f"__end.l_{n}"), F.col(f"__end.v_{n}")
-        if agg == "max":
-            return F.greatest(lv, vv) if not inclusive else lv
-        return lv if inclusive else F.coalesce(lv, F.lit(0).cast(base.schema[f"__v_{n}"].dataType)) + vv
-    tot = ends.select(KEY, CHUNK, *[chunk_total(n).alias(f"__t_{n}") for n in vals])
-    w_carry = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (tot.select(KEY, CHUNK, *[fn(f"__t_{n}").over(w_carry).alias(f"__c_{n}") for n in vals])
-             .filter(F.col(CHUNK) > 0))
-    joined = local.join(F.broadcast(carry), [KEY, CHUNK], "left")
-    out_cols = [F.col(c) for c in df.columns]
-    for n in vals:
-        if agg == "max":
-            out_cols.append(F.greatest(F.col(f"__l_{n}"), F.col(f"__c_{n}")).alias(n))
-            continue
-        zero = F.lit(0).cast(base.schema[f"__v_{n}"].dataType)
-        out_cols.append((F.coalesce(F.col(f"__l_{n}"), zero) + F.coalesce(F.col(f"__c_{n}"), zero)).alias(n))
-    return joined.select(*out_cols)
+    whole, split = split_hot(base, keys, order, max_chunk_rows, every_key)
+    upto = Window.currentRow if inclusive else -1
+
+    def local(rows: DataFrame, *by: str) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, upto)
+        return rows.select("*", *[fn(f"__v_{n}").over(w).alias(f"__l_{n}") for n in vals])
+
+    def out(rows: DataFrame, carried: bool) -> DataFrame:
+        cols = [F.col(c) for c in df.columns]
+        for n in vals:
+            parts = [F.col(f"__l_{n}")] + ([F.col(f"__c_{n}")] if carried else [])
+            if agg == "max":
+                cols.append((F.greatest(*parts) if carried else parts[0]).alias(n))
+            elif agg == "last":
+                cols.append(F.coalesce(*parts).alias(n))
+            else:
+                zero = F.lit(0).cast(base.schema[f"__v_{n}"].dataType)
+                cols.append(reduce(lambda x, y: x + y, [F.coalesce(p, zero) for p in parts]).alias(n))
+        return rows.select(*cols)
+
+    result = None if whole is None else out(local(whole, KEY), False)
+    if split is not None:
+        def total(c: str) -> Column:  # an aggregate has no order of its own: the last is the one of the largest order
+            return F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))) if agg == "last" else fn(c)
+        totals = split.groupBy(KEY, CHUNK).agg(*[total(f"__v_{n}").alias(f"__t_{n}") for n in vals])
+        before = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        carry = totals.select(KEY, CHUNK, *[fn(f"__t_{n}").over(before).alias(f"__c_{n}") for n in vals])
+        chunked = out(local(split, KEY, CHUNK).join(carry, [KEY, CHUNK]), True)
+        result = chunked if result is None else result.unionByName(chunked)
+    return out(local(base.withColumn(KEY, F.struct(*keys)), KEY), False) if result is None else result
 
 
 def row_positions(df: DataFrame, keys: list[str], order: list[str], name: str = "position",
@@ -185,6 +145,11 @@ def transfer_table(states: list[str], transitions: dict[str, list[str]]) -> tupl
     return table, idx
 
 
+def _key_of(pdf: pd.DataFrame, key_cols: list[str], i: int) -> tuple:
+    """The key of a row, null the same whatever pandas makes of it."""
+    return tuple(None if pd.isna(x) else x for x in (pdf[c].iloc[i] for c in key_cols))
+
+
 def _dfa_batch_scanner(key_cols: list[str], symbol_col: str, states: list[str],
                        transitions: dict[str, list[str]]):
     table, idx = transfer_table(states, transitions)
@@ -204,8 +169,9 @@ def _dfa_batch_scanner(key_cols: list[str], symbol_col: str, states: list[str],
             new_seg = np.zeros(n, dtype=bool)
             for c in key_cols:
                 v = pdf[c].to_numpy()
-                new_seg[1:] |= v[1:] != v[:-1]
-            first_key = tuple(pdf[c].iloc[0] for c in key_cols)
+                null = pd.isna(v)
+                new_seg[1:] |= (v[1:] != v[:-1]) & ~(null[1:] & null[:-1])
+            first_key = _key_of(pdf, key_cols, 0)
             same_as_prev_batch = prev_key is not None and first_key == prev_key
             new_seg[0] = not same_as_prev_batch
             starts = new_seg.copy()
@@ -233,7 +199,7 @@ def _dfa_batch_scanner(key_cols: list[str], symbol_col: str, states: list[str],
             if same_as_prev_batch:
                 excl[0] = carry
             carry = incl[-1].copy()
-            prev_key = tuple(pdf[c].iloc[-1] for c in key_cols)
+            prev_key = _key_of(pdf, key_cols, -1)
             yield pdf.assign(__fx=_pack(excl), __fi=_pack(incl))
     return scan
 
@@ -255,60 +221,50 @@ def fold_states(df: DataFrame, keys: list[str], order: list[str], symbol_col: st
     have a state, e.g. the state table of a stream; other keys start at
     ``initial``.
     """
-    chunked = assign_chunks(df, keys, order, max_chunk_rows)
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    laid = chunked.repartition(n_parts, KEY, CHUNK).sortWithinPartitions(KEY, CHUNK, *order)
-    out_schema = T.StructType(laid.schema.fields + [
-        T.StructField("__fx", T.LongType()), T.StructField("__fi", T.LongType())])
-    scanned = laid.mapInPandas(_dfa_batch_scanner([*keys, CHUNK], symbol_col, states, transitions), out_schema)
-
+    whole, split = split_hot(df, keys, order, max_chunk_rows)
     init_idx = states.index(initial)
     names = F.array(*[F.lit(s) for s in states])
-    key_init = None
+    seeded = None
     if initial_states is not None:
-        seeded = initial_states.select(
-            F.struct(*[F.col(c) for c in keys]).alias(KEY),
-            (F.array_position(names, F.col(state_col)) - 1).cast("int").alias("__seed"))
-        # (key, chunk) pairs of this input: scanned is already hash(KEY, CHUNK)
-        # partitioned, so this distinct needs no shuffle of the rows.
-        pairs = scanned.select(KEY, CHUNK).distinct()
-        key_init = pairs.join(seeded, KEY, "left").select(
-            KEY, CHUNK, F.when(F.col("__seed") >= 0, F.col("__seed")).otherwise(F.lit(init_idx))
-            .cast("int").alias("__kinit"))
-
-    # Composed function of each chunk of a split key: inclusive prefix of its last row.
-    # Only rows of split keys are scanned again for this (usually empty).
-    split = (assign_chunks(df, keys, order, max_chunk_rows, only_split=True)
-             .repartition(n_parts, KEY, CHUNK).sortWithinPartitions(KEY, CHUNK, *order))
-    split_scanned = split.mapInPandas(_dfa_batch_scanner([*keys, CHUNK], symbol_col, states, transitions),
-                                      out_schema)
-    chunk_fn = (split_scanned.groupBy(KEY, CHUNK)
-                .agg(F.max_by("__fi", F.struct(*order)).alias("fn")))
-    if key_init is not None:
-        chunk_fn = chunk_fn.join(key_init, [KEY, CHUNK], "left")
-    else:
-        chunk_fn = chunk_fn.withColumn("__kinit", F.lit(init_idx))
-    entry_schema = T.StructType([T.StructField(KEY, laid.schema[KEY].dataType),
-                                 T.StructField(CHUNK, T.IntegerType()), T.StructField("__entry", T.IntegerType())])
-
-    def entry_states(pdf: pd.DataFrame) -> pd.DataFrame:
-        # One split key: fold its chunk functions (<= rows / max_chunk_rows of them).
-        pdf = pdf.sort_values(CHUNK)
-        st, out = int(pdf["__kinit"].iloc[0]), []
-        for fn in pdf["fn"].to_numpy():
-            out.append(st)
-            st = int((int(fn) >> (_BITS * st)) & 15)
-        return pd.DataFrame({KEY: pdf[KEY].to_numpy(), CHUNK: pdf[CHUNK].to_numpy().astype("int32"),
-                             "__entry": np.array(out, dtype="int32")})
-
-    entry = chunk_fn.groupBy(KEY).applyInPandas(entry_states, entry_schema)
-    if key_init is not None:
-        entry = key_init.join(entry, [KEY, CHUNK], "left").select(
-            KEY, CHUNK, F.coalesce(F.col("__entry"), F.col("__kinit")).alias("__entry"))
-    joined = scanned.join(entry, [KEY, CHUNK], "left")
-    joined = joined.withColumn("__start", F.coalesce(F.col("__entry"), F.lit(init_idx)))
-    before = F.element_at(names, (_apply_packed("__fx", "__start") + 1).cast("int"))
-    extra = []
-    if state_after:
-        extra.append(F.element_at(names, (_apply_packed("__fi", "__start") + 1).cast("int")).alias(state_after))
-    return joined.select(*[F.col(c) for c in df.columns], before.alias(state_before), *extra)
+        seed = (F.array_position(names, F.col(state_col)) - 1).cast("int")
+        seeded = initial_states.select(F.struct(*[F.col(c) for c in keys]).alias(KEY),
+                                       F.when(seed >= 0, seed).otherwise(F.lit(init_idx)).alias("__seed"))
+
+    def scanned(rows: DataFrame, *by: str) -> DataFrame:
+        schema = T.StructType(rows.schema.fields + [T.StructField("__fx", T.LongType()), T.StructField("__fi", T.LongType())])
+        laid = rows.repartition(*by).sortWithinPartitions(*by, *order)
+        return laid.mapInPandas(_dfa_batch_scanner([*keys, *by[1:]], symbol_col, states, transitions), schema)
+
+    def started(rows: DataFrame) -> DataFrame:
+        """Rows with the state index their key starts at."""
+        if seeded is None:
+            return rows.withColumn("__start", F.lit(init_idx))
+        return rows.join(seeded, KEY, "left").withColumn("__start", F.coalesce("__seed", F.lit(init_idx))).drop("__seed")
+
+    def out(rows: DataFrame) -> DataFrame:
+        cols = [F.element_at(names, (_apply_packed("__fx", "__start") + 1).cast("int")).alias(state_before)]
+        if state_after:
+            cols.append(F.element_at(names, (_apply_packed("__fi", "__start") + 1).cast("int")).alias(state_after))
+        return rows.select(*[F.col(c) for c in df.columns], *cols)
+
+    result = None if whole is None else out(started(scanned(whole, KEY)))
+    if split is not None:
+        # scanned once and written: a chunk's composed function is that of its last row
+        path, run = scratch_path(df.sparkSession, "scan-functions"), scanned(split, KEY, CHUNK)
+        run.write.parquet(path)
+        run = df.sparkSession.read.schema(run.schema).parquet(path)
+        ends = started(run.groupBy(KEY, CHUNK).agg(F.max_by("__fi", F.struct(*order)).alias("fn")))
+
+        def entries(pdf: pd.DataFrame) -> pd.DataFrame:
+            # a row per chunk of one split key: its functions applied one after the other
+            pdf = pdf.sort_values(CHUNK)
+            state, at = int(pdf["__start"].iloc[0]), []
+            for fn in pdf["fn"].to_numpy():
+                at.append(state)
+                state = int((int(fn) >> (_BITS * state)) & 15)
+            return pd.DataFrame({KEY: pdf[KEY].to_numpy(), CHUNK: pdf[CHUNK].to_numpy(), "__start": np.array(at, dtype="int32")})
+
+        schema = T.StructType([ends.schema[KEY], T.StructField(CHUNK, T.IntegerType()), T.StructField("__start", T.IntegerType())])
+        chunked = out(run.join(ends.groupBy(KEY).applyInPandas(entries, schema), [KEY, CHUNK]))
+        result = chunked if result is None else result.unionByName(chunked)
+    return out(started(scanned(df.withColumn(KEY, F.struct(*keys)), KEY))) if result is None else result

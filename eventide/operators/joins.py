@@ -65,34 +65,29 @@ def enrich_orders_asof(orders: DataFrame, profile_updates: DataFrame,
 
     Orders and profile versions are unioned and ordered per customer by
     (time, kind) with profiles first on ties; the profile an order sees is
-    the last profile row before it.  That is a running "last non-null" per
-    customer, computed with the skew-safe chunked scan: the profile version
-    index is made monotone (a running count of profiles), and the order
-    picks the version with that index - an equi-join, no range join.
+    the last profile row before it: a running "last non-null" per customer,
+    computed with the skew-safe scan on one shuffle of the rows.
     """
     from eventide.functions.scan import DEFAULT_MAX_CHUNK_ROWS, running_sums
 
     prof = profile_updates.select(
         "customer_id", F.col(profile_time).alias("__t"), F.lit(0).alias("__kind"),
-        *[F.col(c).alias(f"__p_{c}") for c in PROFILE_COLS])
+        *[F.col(c).alias(f"__o_{c}") for c in PROFILE_COLS])
     ords = orders.select("*", F.col(order_time).alias("__t"), F.lit(1).alias("__kind"))
     u = ords.unionByName(prof, allowMissingColumns=True)
-    # Version in force = running count of profile rows (profiles sort first on ties).
-    ranked = running_sums(u, ["customer_id"], ["__t", "__kind", "order_id", "__p_email", "__p_name", "__p_tier"],
-                          {"__ver": (F.col("__kind") == 0).cast("long")},
-                          max_chunk_rows=max_chunk_rows or DEFAULT_MAX_CHUNK_ROWS)
-    versions = (ranked.filter(F.col("__kind") == 0)
-                .select("customer_id", "__ver", *[f"__p_{c}" for c in PROFILE_COLS]))
-    seen = (ranked.filter(F.col("__kind") == 1)
-            .select(*orders.columns, "__ver")
-            .join(versions, ["customer_id", "__ver"], "left"))
+    profile = F.when(F.col("__kind") == 0, F.struct(*[F.col(f"__o_{c}").alias(c) for c in PROFILE_COLS]))
+    ranked = running_sums(u, ["customer_id"], ["__t", "__kind", "order_id", *[f"__o_{c}" for c in PROFILE_COLS]],
+                          {"__seen": profile}, max_chunk_rows=max_chunk_rows or DEFAULT_MAX_CHUNK_ROWS, agg="last")
+    seen = ranked.filter(F.col("__kind") == 1).select(
+        *orders.columns, *[F.col(f"__seen.{c}").alias(f"__p_{c}") for c in PROFILE_COLS])
     return seen.select(*_enriched_columns(seen, enriched_at, S.HIGH_VALUE_THRESHOLD))
 
 
 def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """J-4: child rows whose foreign key has no parent row (left anti join)."""
-    p = parent.select(F.col(parent_key).alias("__pk")).distinct()
-    return child.join(p, child[child_key] == p["__pk"], "left_anti")
+    """J-4: child rows whose foreign key has no parent row (left anti join).
+    A null key refers to nothing, so it is no orphan."""
+    p = parent.select(F.col(parent_key).alias("__pk"))
+    return child.filter(F.col(child_key).isNotNull()).join(p, F.col(child_key) == F.col("__pk"), "left_anti")
 
 
 def edge_table(spark) -> DataFrame:

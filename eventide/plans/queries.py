@@ -692,7 +692,7 @@ def q_late_events(spark, sf):
                                        "created_at")
     us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("created_at"))
     run = running_sums(sh.withColumn("__all", F.lit(0)), ["__all"], ["arrival"], {"__max_us": us},
-                       inclusive=False, agg="max")
+                       inclusive=False, agg="max", every_key=True)
     wm = F.timestamp_add("MICROSECOND", F.col("__max_us"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     late = run.withColumn("watermark", F.timestamp_add("DAY", F.lit(-LATE_DELAY_DAYS), wm))
     return late.filter(F.col("created_at") < F.col("watermark")).select("order_id", "created_at", "watermark")

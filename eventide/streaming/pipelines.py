@@ -509,7 +509,7 @@ def late_router_writer(state_path: str, out_path: str, dlq_path: str, ts: str, a
         try:
             us = F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
             run = running_sums(src.withColumn("__all", F.lit(0)), ["__all"], [arrival], {"__max_us": us},
-                               inclusive=False, agg="max")
+                               inclusive=False, agg="max", every_key=True)
             seen = F.greatest(F.col("__max_us"), F.lit(prev_us).cast("long")) if prev_us is not None \
                 else F.col("__max_us")
             wm = F.timestamp_add("DAY", F.lit(-delay_days), F.timestamp_add("MICROSECOND", seen, epoch))

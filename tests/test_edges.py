@@ -1,6 +1,7 @@
 """Edge rows: thresholds, ties, corrupt JSON, empty input, hot keys."""
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -90,8 +91,41 @@ def test_unknown_payment_method_is_a_violation(spark):
 def test_hot_key_with_one_timestamp_is_split_by_id(spark):
     rows = [("hot", i, 0) for i in range(500)] + [("cold", 1000 + i, i) for i in range(20)]
     df = spark.createDataFrame(rows, "k string, id long, t long")
-    chunked = scan.assign_chunks(df, ["k"], ["t", "id"], max_chunk_rows=50)
-    n = {r.k: r.n for r in chunked.groupBy("k").agg(F.countDistinct("__chunk").alias("n")).collect()}
-    assert n["hot"] >= 5 and n["cold"] == 1
+    whole, split = scan.split_hot(df, ["k"], ["t", "id"], max_chunk_rows=50)
+    sizes = {(r.k, r["__chunk"]): r["count"] for r in split.groupBy("k", "__chunk").count().collect()}
+    assert {k for k, _ in sizes} == {"hot"} and max(sizes.values()) <= 50
+    assert whole.select("k").distinct().collect()[0].k == "cold"
     got = scan.running_sums(df, ["k"], ["t", "id"], {"c": F.lit(1).cast("long")}, max_chunk_rows=50)
     assert {r.id: r.c for r in got.filter("k = 'hot'").collect()} == {i: i + 1 for i in range(500)}
+
+
+@pytest.mark.parametrize("agg", ["sum", "max", "last"])
+def test_scans_do_not_depend_on_where_a_key_is_cut(spark, agg):
+    """Null times, bursts at one time, text ties and null keys: the same for any chunk size."""
+    rows = [("hot", None if i % 9 == 0 else (5 if i < 250 else i * i), f"id{(i * 37) % 400:03d}", None if i % 3 else i) for i in range(400)]
+    rows += [(None, i % 4, f"n{i:03d}", i) for i in range(60)] + [("far", 10**12, "z", 1)]
+    df = spark.createDataFrame(rows, "k string, t long, id string, v long")
+    value = {"x": F.coalesce("v", F.lit(0)) if agg == "sum" else F.col("v")}
+    want = None
+    for chunk in (10**6, 100, 7):
+        for inclusive in (True, False):
+            got = scan.running_sums(df, ["k"], ["t", "id"], value, max_chunk_rows=chunk, inclusive=inclusive, agg=agg)
+            own = {(r.k, r.id): r.x for r in got.collect()}
+            assert len(own) == len(rows)
+            if chunk == 10**6:
+                want = {**(want or {}), inclusive: own}
+            assert own == want[inclusive]
+    every = scan.running_sums(df, ["k"], ["t", "id"], value, agg=agg, every_key=True)
+    assert {(r.k, r.id): r.x for r in every.collect()} == want[True]
+
+
+def test_fold_with_null_keys_and_times(spark):
+    from eventide import schemas as S
+    steps = ["confirmed", "shipped", "bogus", "delivered", "cancelled", "placed"]
+    rows = [(k, None if i % 5 == 0 else i // 4, i, steps[(i * 7) % 6]) for k in (1, None) for i in range(80)]
+    df = spark.createDataFrame(rows, "k long, t long, id long, q string")
+    own = [{(r.k, r.id): (r.b, r.a) for r in scan.fold_states(
+        df, ["k"], ["t", "id"], "q", S.ORDER_STATUSES, S.VALID_TRANSITIONS, S.INITIAL_STATUS, "b",
+        max_chunk_rows=chunk, state_after="a").collect()} for chunk in (10**6, 9)]
+    assert own[0] == own[1] and len(own[0]) == len(rows)
+    assert [v for (k, _), v in sorted(own[0].items(), key=repr) if k is None] == [v for (k, _), v in sorted(own[0].items(), key=repr) if k == 1]
