@@ -60,26 +60,28 @@ def consumer_lag(log: DataFrame, committed: DataFrame, warning: int = S.LAG_WARN
                      .otherwise(F.lit("OK")).alias("severity"))
 
 
+def _seconds(window: str) -> Column:
+    """Length of a window column, from its own bounds."""
+    return F.timestamp_diff("SECOND", F.col(f"{window}.start"), F.col(f"{window}.end")).cast("decimal(10,0)")
+
+
 def rate_alerts(events: DataFrame, ts: str, is_error: Column, window: str = "1 hour",
                 error_rate_warning: float = S.ERROR_RATE_WARNING,
-                events_per_min_warning: float = S.EVENT_RATE_WARNING_PER_MIN,
-                window_minutes: int = 60) -> DataFrame:
+                events_per_min_warning: float = S.EVENT_RATE_WARNING_PER_MIN) -> DataFrame:
     """A-8: per window error rate (> 1 % WARNING) and event rate (> 1/min)."""
     g = events.groupBy(F.window(F.col(ts), window).alias("w")).agg(
         F.count(F.lit(1)).alias("events"), F.sum(is_error.cast("long")).alias("errors"))
     rate = (F.col("errors").cast("decimal(20,0)") / F.col("events")).cast("decimal(12,6)")
-    per_min = (F.col("events").cast("decimal(20,0)") / F.lit(window_minutes)).cast("decimal(12,6)")
+    per_min = (F.col("events").cast("decimal(18,0)") * 60 / _seconds("w")).cast("decimal(12,6)")
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "events", "errors", rate.alias("error_rate"), per_min.alias("events_per_min"),
                     (rate > F.lit(error_rate_warning)).alias("error_rate_warning"),
                     (per_min > F.lit(events_per_min_warning)).alias("event_rate_warning"))
 
 
-def throughput(log: DataFrame, window: str = "1 hour", window_seconds: int = 3600,
-               by: list[str] | None = None) -> DataFrame:
+def throughput(log: DataFrame, window: str = "1 hour", by: list[str] | None = None) -> DataFrame:
     """A-9: messages per second per window (and label)."""
     by = by or ["topic"]
     g = log.groupBy(F.window("timestamp", window).alias("w"), *by).agg(F.count(F.lit(1)).alias("messages"))
     return g.select(*by, F.col("w.start").alias("window_start"), "messages",
-                    (F.col("messages").cast("decimal(20,0)") / F.lit(window_seconds))
-                    .cast("decimal(14,6)").alias("messages_per_sec"))
+                    (F.col("messages").cast("decimal(20,0)") / _seconds("w")).cast("decimal(14,6)").alias("messages_per_sec"))

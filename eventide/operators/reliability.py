@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide import schemas as S
-from eventide.operators.transforms import classify_error, is_retryable
+from eventide.operators.transforms import classify_error, classify_names, is_retryable
 
 OUTCOME_FIELDS = [
     T.StructField("ok", T.BooleanType()),
@@ -32,46 +32,47 @@ OUTCOME_FIELDS = [
 ]
 
 
-def _classify_name(name: str) -> str:
-    low = name.lower()
-    for subs, label in S.ERROR_NAME_CLASSES:
-        if any(s in low for s in subs):
-            return label
-    return S.ERROR_CLASS_DEFAULT
+def _raised(process_fn: Callable[[dict], None], row: dict) -> Exception | None:
+    try:
+        process_fn(row)
+    except Exception as e:  # noqa: BLE001 - user code
+        return e
+    return None
 
 
 def process_with_retry(df: DataFrame, process_fn: Callable[[dict], None],
                        max_retries: int = S.MAX_RETRIES, backoff_ms: int = S.RETRY_BACKOFF_MS,
                        sleep: bool = False) -> DataFrame:
-    """D-1: call ``process_fn(row_dict)`` with retries; add ok / attempts /
-    error_type / error_message.  With ``sleep`` the task waits
-    ``backoff_ms * 2^(attempt-1)`` between attempts (none after the last)."""
+    """D-1: run ``process_fn`` on every record in rounds of attempts; add ok /
+    attempts / error_type / error_message.
+
+    A round tries the batch's records that are still open; those whose error is
+    permanent are closed, the others stay for the next round.  The record handed
+    to the function has the number of the attempt as ``attempt``.  With
+    ``sleep`` a task waits once before each further round, twice as long each
+    time."""
     schema = T.StructType(df.schema.fields + OUTCOME_FIELDS)
-    permanent = set(S.PERMANENT_ERRORS)
 
     def run(batches):
         for pdf in batches:
-            oks, atts, types, msgs = [], [], [], []
-            for row in pdf.to_dict("records"):
-                attempts, ok, etype, emsg = 0, False, None, None
-                while attempts < max_retries:
-                    try:
-                        process_fn(row)
-                        ok = True
-                        break
-                    except Exception as e:  # noqa: BLE001 - user code
-                        attempts += 1
-                        etype, emsg = _classify_name(type(e).__name__), str(e)
-                        if etype in permanent:
-                            break
-                        if sleep and attempts < max_retries:
-                            time.sleep(backoff_ms * (2 ** (attempts - 1)) / 1000.0)
-                oks.append(ok)
-                atts.append(attempts + (1 if ok else 0))
-                types.append(None if ok else etype)
-                msgs.append(None if ok else emsg)
-            yield pdf.assign(ok=oks, attempts=pd.array(atts, dtype="int32"), error_type=types,
-                             error_message=msgs)
+            out = pdf.assign(ok=False, attempts=pd.Series(0, index=pdf.index, dtype="int32"), error_type=None, error_message=None)
+            still_open = pd.Series(True, index=pdf.index)
+            for attempt in range(1, max_retries + 1):
+                rows = pdf[still_open]
+                if rows.empty:
+                    break
+                if sleep and attempt > 1:
+                    time.sleep(backoff_ms / 1000.0 * 2 ** (attempt - 2))
+                errors = pd.Series([_raised(process_fn, {**row, "attempt": attempt}) for row in rows.to_dict("records")],
+                                   index=rows.index, dtype=object)
+                names = errors.map(lambda e: type(e).__name__, na_action="ignore")
+                out.loc[rows.index, "attempts"] = attempt
+                out.loc[rows.index, "ok"] = errors.isna()
+                out.loc[rows.index, "error_type"] = classify_names(names)
+                out.loc[rows.index, "error_message"] = errors.map(str, na_action="ignore")
+                still_open[rows.index] = errors.notna() & ~out.loc[rows.index, "error_type"].isin(S.PERMANENT_ERRORS)
+            out[["error_type", "error_message"]] = out[["error_type", "error_message"]].astype(object).where(~out["ok"], None)
+            yield out
     return df.mapInPandas(run, schema)
 
 

@@ -6,6 +6,7 @@ All per-row Column expressions (narrow, inside whole-stage codegen);
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -154,7 +155,7 @@ def encode_json(df: DataFrame, key: str | None = None) -> DataFrame:
 
 # P-13 / P-14 -------------------------------------------------------------------
 def classify_error(error_name: Column) -> Column:
-    """Lower-cased error type name -> timeout / deserialization_error / unknown."""
+    """Lower-cased error type name -> timeout / deserialization_error / unknown; no error, no class."""
     low = F.lower(error_name)
     expr = None
     for subs, label in S.ERROR_NAME_CLASSES:
@@ -163,12 +164,20 @@ def classify_error(error_name: Column) -> Column:
             c = low.contains(s)
             cond = c if cond is None else (cond | c)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(S.ERROR_CLASS_DEFAULT))
+    return F.when(error_name.isNotNull(), expr.otherwise(F.lit(S.ERROR_CLASS_DEFAULT)))
+
+
+def classify_names(names: pd.Series) -> pd.Series:
+    """The same classes for a column of error names inside a Python task."""
+    low, out = names.str.lower(), pd.Series(S.ERROR_CLASS_DEFAULT, index=names.index, dtype=object)
+    for subs, label in reversed(S.ERROR_NAME_CLASSES):
+        out[low.str.contains("|".join(subs), na=False)] = label
+    return out.where(names.notna(), None)
 
 
 def is_retryable(error_type: Column) -> Column:
-    """Permanent classes are never retried; everything else (unknown too) is."""
-    return ~error_type.isin(*S.PERMANENT_ERRORS)
+    """Permanent classes are never retried, nor is what did not fail; everything else (unknown too) is."""
+    return F.coalesce(~error_type.isin(*S.PERMANENT_ERRORS), F.lit(False))
 
 
 def classify_errors(df: DataFrame, error_name: str = "error_name") -> DataFrame:

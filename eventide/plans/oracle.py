@@ -304,14 +304,14 @@ WHERE (CASE topic {_RET} END) IS NULL
    OR epoch_ms("timestamp") >= epoch_ms(TIMESTAMP '2024-01-31 00:00:00') - (CASE topic {_RET} END)""")
 oracle("archive_layout", """SELECT topic, "partition", "offset",
        strftime("timestamp", 'year=%Y/month=%m/day=%d/hour=%H') AS archive_path FROM event_log""")
-_ET = ("CASE WHEN lower(error_name) LIKE '%timeout%' OR lower(error_name) LIKE '%connection%' "
+_ET = ("CASE WHEN error_name IS NULL THEN NULL WHEN lower(error_name) LIKE '%timeout%' OR lower(error_name) LIKE '%connection%' "
        "OR lower(error_name) LIKE '%unavailable%' THEN 'timeout' "
        "WHEN lower(error_name) LIKE '%decode%' OR lower(error_name) LIKE '%serialize%' "
        "OR lower(error_name) LIKE '%schema%' OR lower(error_name) LIKE '%validation%' THEN 'deserialization_error' "
        "ELSE 'unknown' END")
 _PERM = ", ".join(f"'{e}'" for e in S.PERMANENT_ERRORS)
 oracle("classify_errors", f"""SELECT event_id, error_name, {_ET} AS error_type,
-       NOT ({_ET} IN ({_PERM})) AS retryable FROM failures""")
+       coalesce(NOT ({_ET} IN ({_PERM})), false) AS retryable FROM failures""")
 oracle("record_headers", """SELECT topic, "partition", "offset", 3 AS header_count,
        'txn-' || topic || '-' || CAST("partition" AS VARCHAR) AS transaction_id,
        CAST("partition" AS VARCHAR) AS source_partition, CAST("offset" AS VARCHAR) AS source_offset FROM event_log""")
@@ -337,7 +337,7 @@ SELECT o.order_id, o.customer_id,
 FROM orders_placed o ASOF LEFT JOIN profile_updates p
   ON o.customer_id = p.customer_id AND o.placed_at >= p.updated_at""")
 oracle("fk_orphans", """SELECT order_id, customer_id FROM orders_placed o
-WHERE NOT EXISTS (SELECT 1 FROM customer_profiles p WHERE p.customer_id = o.customer_id)""")
+WHERE customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer_profiles p WHERE p.customer_id = o.customer_id)""")
 
 # --- sources --------------------------------------------------------------------------
 oracle("scan_topic", "SELECT * FROM event_log WHERE topic = 'orders.placed'")
@@ -347,7 +347,7 @@ SELECT l.topic, l.key, l.value, l."partition", l."offset", l."timestamp"
 FROM event_log l LEFT JOIN (SELECT topic, "partition", floor((max("offset") + 1) / 2) AS from_offset
                             FROM event_log WHERE "partition" < 6 GROUP BY topic, "partition") s
   ON l.topic = s.topic AND l."partition" = s."partition"
-WHERE l."offset" >= s.from_offset OR (s.from_offset IS NULL AND l."partition" IN (6, 7))""")
+WHERE l."offset" >= s.from_offset OR s.from_offset IS NULL""")
 oracle("read_first_n", 'SELECT * FROM event_log ORDER BY topic, "partition", "offset" LIMIT 1000')
 oracle("assign_batches", f"""SELECT topic, "partition", "offset",
        CAST(floor((row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1) / {S.EOS_BATCH_SIZE}) AS BIGINT)
@@ -367,6 +367,9 @@ WHERE error_name IS NOT NULL GROUP BY topic, {_ET}""")
 _LE = ", ".join(f"CAST(sum(CASE WHEN value <= {b} THEN 1 ELSE 0 END) AS BIGINT) AS le_{b}" for b in LATENCY_BUCKETS_MS)
 oracle("latency_histogram", f"""SELECT event_type, {_LE}, count(value) AS count,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS sum_ms FROM events GROUP BY event_type""")
+# the sketch's accuracy is over the number of rows of a group here, so that it is exact
+oracle("latency_quantiles", """SELECT event_type, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.99) AS p99
+FROM events GROUP BY event_type""")
 oracle("next_offsets", 'SELECT topic, "partition", max("offset") + 1 AS next_offset FROM event_log GROUP BY topic, "partition"')
 oracle("consumer_lag", """
 SELECT topic, "partition", end_offset, committed_offset, end_offset - committed_offset AS lag,
@@ -414,7 +417,7 @@ oracle("redrive_due", f"""
 SELECT event_id, {_ET} AS error_type, attempts,
        first_failure_at + to_milliseconds(CAST({S.RETRY_BACKOFF_MS} * (pow(2, attempts) - 1) AS BIGINT)) AS next_retry_at
 FROM failures
-WHERE NOT ({_ET} IN ({_PERM})) AND attempts < {S.MAX_RETRIES}
+WHERE error_name IS NOT NULL AND NOT ({_ET} IN ({_PERM})) AND attempts < {S.MAX_RETRIES}
   AND first_failure_at + to_milliseconds(CAST({S.RETRY_BACKOFF_MS} * (pow(2, attempts) - 1) AS BIGINT))
       <= TIMESTAMP '2024-01-15 00:00:00'""")
 oracle("dlq_summary", """SELECT CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS processed,
@@ -424,6 +427,10 @@ oracle("dlq_summary", """SELECT CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGI
 # --- sinks and streaming (results compared with the batch definitions) ------------------
 ORACLE["topic_sink_roundtrip"] = ORACLE["scan_topic"].replace(" WHERE topic = 'orders.placed'", "")
 ORACLE["archive_roundtrip"] = ORACLE["topic_sink_roundtrip"]
+oracle("archive_day_range", """SELECT * FROM event_log
+WHERE "timestamp" >= TIMESTAMP '2024-01-05 00:00:00' AND "timestamp" < TIMESTAMP '2024-01-13 00:00:00'""")
+oracle("codec_roundtrip", """SELECT codec, count(*) AS "rows", CAST(sum(length(value)) AS BIGINT) AS value_chars
+FROM event_log, (VALUES ('none'), ('lz4_raw'), ('snappy'), ('zstd')) c(codec) GROUP BY codec""")
 ORACLE["dedup_events"] = ORACLE["topic_sink_roundtrip"]
 ORACLE["resume_pipeline"] = ORACLE["topic_sink_roundtrip"]
 ORACLE["upsert_sink"] = ORACLE["compact_latest"]

@@ -295,7 +295,7 @@ def q_replay_from_offsets(spark, sf):
     log = V.event_log(spark, sf)
     starts = (M.next_offsets(log).filter(F.col("partition") < 6)
               .select("topic", "partition", F.floor(F.col("next_offset") / 2).alias("from_offset")))
-    return TP.replay_from_offsets(log, starts, from_beginning=[6, 7])
+    return TP.replay_from_offsets(log, starts)  # partitions from 6 on: earliest
 
 
 @query("read_first_n")
@@ -370,24 +370,17 @@ def read_events(spark, sf):
 
 
 # --- reliability (D-1 .. D-5) ---------------------------------------------------------
-class FlakyByRule:
-    """Test process function: raises ``error_name`` for the first
-    ``fail_times`` calls on a record, then succeeds."""
-
-    def __init__(self):
-        self.calls = {}
-
-    def __call__(self, row):
-        n = self.calls.get(row["event_id"], 0)
-        self.calls[row["event_id"]] = n + 1
-        name = row["error_name"]
-        if name is not None and n < row["fail_times"]:
-            raise type(name, (Exception,), {})(f"{name} on attempt {n + 1}")
+def fail_by_rule(row):
+    """Test process function: raises ``error_name`` on the first ``fail_times``
+    attempts at a record, then succeeds."""
+    name = row["error_name"]
+    if name is not None and row["attempt"] <= row["fail_times"]:
+        raise type(name, (Exception,), {})(f"{name} on attempt {row['attempt']}")
 
 
 @query("process_with_retry")
 def q_process_with_retry(spark, sf):
-    out = D.process_with_retry(V.failures(spark, sf).drop("attempts"), FlakyByRule())
+    out = D.process_with_retry(V.failures(spark, sf).drop("attempts"), fail_by_rule)
     return out.select("event_id", "ok", "attempts", "error_type")
 
 
@@ -443,12 +436,15 @@ def q_upsert_sink(spark, sf):
     path = scratch_path(spark, "upsert")
     p = V.profile_updates(spark, sf)
     t = F.col("updated_at")
-    batches = [t < _ts(UPSERT_CUTS[0]), (t >= _ts(UPSERT_CUTS[0])) & (t < _ts(UPSERT_CUTS[1])), t >= _ts(UPSERT_CUTS[1])]
+    batches = [t.isNull() | (t < _ts(UPSERT_CUTS[0])), (t >= _ts(UPSERT_CUTS[0])) & (t < _ts(UPSERT_CUTS[1])), t >= _ts(UPSERT_CUTS[1])]
     for i, cond in enumerate(batches):
         K.upsert(p.filter(cond), path, ["customer_id"], ["updated_at"], version=i)
     return K.read_upserted(spark, path)
 
 
+ARCHIVE_DAYS = ("2024-01-05", "2024-01-12")
+
+
 @query("archive_roundtrip")
 def q_archive_roundtrip(spark, sf):
     path = scratch_path(spark, "archive")
@@ -456,13 +452,27 @@ def q_archive_roundtrip(spark, sf):
     return K.read_archive(spark, path).select(*S.LOG_FIELDS)
 
 
+@query("archive_day_range")
+def q_archive_day_range(spark, sf):
+    """K-3: a bounded read of the archive (whole days, UTC)."""
+    path = scratch_path(spark, "archive-days")
+    K.write_archive(V.event_log(spark, sf), path, "timestamp")
+    return K.read_archive(spark, path, *ARCHIVE_DAYS).select(*S.LOG_FIELDS)
+
+
 @query("fan_out")
 def q_fan_out(spark, sf):
     base = scratch_path(spark, "fan-out")
-    counts = K.fan_out(V.event_log(spark, sf), {
-        "topic": lambda df: K.write_topic(df, f"{base}/topic"),
-        "archive": lambda df: K.write_archive(df, f"{base}/archive", "timestamp"),
-    })
+
+    def to_topic(df):
+        K.write_topic(df, f"{base}/topic")
+        return TP.read_topic_files(spark, f"{base}/topic")
+
+    def to_archive(df):
+        K.write_archive(df, f"{base}/archive", "timestamp")
+        return K.read_archive(spark, f"{base}/archive")
+
+    counts = K.fan_out(V.event_log(spark, sf), {"topic": to_topic, "archive": to_archive})
     written = [TP.read_topic_files(spark, f"{base}/topic").select(F.lit("topic").alias("sink")),
                K.read_archive(spark, f"{base}/archive").select(F.lit("archive").alias("sink"))]
     got = written[0].unionByName(written[1]).groupBy("sink").agg(F.count(F.lit(1)).alias("rows"))
@@ -496,7 +506,7 @@ def _eos_run(spark, sf, runs=2, aborted=False):
         ST.run_until_caught_up(stream, writer, scratch_path(spark, f"eos-ckpt{r}"))
     if aborted:  # a batch whose data landed but whose commit marker did not
         bad = _eos_transform(spark.read.parquet(src))
-        bad.write.mode("overwrite").parquet(f"{out}/batch_id=999999")
+        bad.write.parquet(f"{out}/attempt=b999999-dead")
     return ST.read_committed(spark, out, ledger)
 
 
@@ -514,11 +524,12 @@ def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WE
         return _ts(c) if isinstance(c, str) else F.lit(c)
     lo = None
     for hi in list(cuts) + [None]:
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col(ts) >= lit(lo))
-        if hi is not None:
-            cond = cond & (F.col(ts) < lit(hi))
+        if lo is None:  # rows without a time come first
+            cond = F.col(ts).isNull() | (F.col(ts) < lit(hi))
+        else:
+            cond = F.col(ts) >= lit(lo)
+            if hi is not None:
+                cond = cond & (F.col(ts) < lit(hi))
         df.filter(cond).write.mode("append").parquet(src)
         yield ST.file_stream(spark, src, df.schema), ckpt
         lo = hi
@@ -600,7 +611,7 @@ RESUME_CUT = "2024-01-16 00:00:00"
 def q_resume_pipeline(spark, sf):
     log = V.event_log(spark, sf)
     src, out, ckpt = scratch_path(spark, "resume-src"), scratch_path(spark, "resume-out"), scratch_path(spark, "resume-ckpt")
-    log.filter(F.col("timestamp") < _ts(RESUME_CUT)).write.mode("append").parquet(src)
+    log.filter(F.col("timestamp").isNull() | (F.col("timestamp") < _ts(RESUME_CUT))).write.mode("append").parquet(src)
     ST.run_until_caught_up(ST.file_stream(spark, src, S.LOG), ST.append_batches(out), ckpt)
     # new data arrives; the restarted query resumes from its checkpoint
     log.filter(F.col("timestamp") >= _ts(RESUME_CUT)).write.mode("append").parquet(src)
@@ -708,6 +719,11 @@ def q_codec_sizes(spark, sf):
     return K.codec_sizes(V.event_log(spark, sf), scratch_path(spark, "codecs"))
 
 
+@query("codec_roundtrip")
+def q_codec_roundtrip(spark, sf):
+    return K.codec_roundtrip(V.event_log(spark, sf), scratch_path(spark, "codec-roundtrip"))
+
+
 @query("partition_layout")
 def q_partition_layout(spark, sf):
     """R-1 + R-7: rows placed in the Spark partition their routing names."""
@@ -723,7 +739,7 @@ def q_late_events_stream(spark, sf):
     go to the dead-letter folder, which is returned."""
     sh = V.shipments(spark, sf).select(
         "order_id", F.substring_index("order_id", "-", -1).cast("long").alias("arrival"), "created_at")
-    n_max = V.shipments(spark, sf).agg(F.max(F.substring_index("order_id", "-", -1).cast("long"))).first()[0]
+    n_max = V.shipments(spark, sf).agg(F.max(F.substring_index("order_id", "-", -1).cast("long"))).first()[0] or 0
     cuts = [int(n_max * i / 5) for i in range(1, 5)]  # five arrival slices
     out, dlq, state = scratch_path(spark, "late-out"), scratch_path(spark, "late-dlq"), scratch_path(spark, "late-state")
     writer = ST.late_router_writer(state, out, dlq, "created_at", "arrival", LATE_DELAY_DAYS)

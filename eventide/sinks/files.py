@@ -55,20 +55,22 @@ def _data(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/data/v={version:08d}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path`` (a damaged table is there, and raises when read)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_pointers(spark: SparkSession, path: str, version: int) -> DataFrame | None:
-    try:
-        return spark.read.parquet(_ptr(path, version))
-    except Exception:  # noqa: BLE001 - version does not exist
-        return None
+    return spark.read.parquet(_ptr(path, version)) if exists(spark, _ptr(path, version)) else None
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
     """The newest published version (one small row)."""
-    try:
-        row = spark.read.parquet(f"{path.rstrip('/')}/_current").first()
-    except Exception:  # noqa: BLE001 - no table yet
+    current = f"{path.rstrip('/')}/_current"
+    if not exists(spark, current):
         return None
-    return int(row.version) if row else None
+    return int(spark.read.schema("version int").parquet(current).first().version)
 
 
 def bucket_locations(spark: SparkSession, path: str, version: int | None) -> dict[int, int] | None:
@@ -122,10 +124,11 @@ def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], versi
            touched: list[int] | None = None, base_locs: dict[int, int] | None = None) -> int:
     """K-2: merge ``batch`` into the keyed table at ``path`` as ``version``.
 
-    Within the batch the latest row per key wins (A-4; ``tombstone`` rows
-    delete their key).  Only buckets holding batch keys are read, merged
-    (anti join + union) and rewritten; other buckets keep pointing at their
-    older versions.  The merge starts from ``base_version`` (default: the
+    The latest row per key by ``order`` wins (A-4; ``tombstone`` rows delete
+    their key), whichever batch brought it; of equal ones the batch's.  A
+    deleted key leaves no trace, so an older row of it that comes in a later
+    batch counts again.  Only buckets holding batch keys are read, merged and
+    rewritten; other buckets keep pointing at their older versions.  The merge starts from ``base_version`` (default: the
     newest), so a replayed micro-batch merges into the state it first saw,
     and rewriting the same ``version`` overwrites the same folders
     (idempotent).  Callers that already know the batch's buckets
@@ -139,16 +142,14 @@ def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], versi
         base_locs = bucket_locations(spark, path, base_version) or {}
     if touched is None:
         touched = touched_buckets(batch, keys, buckets)
-    b = batch.withColumn("__tomb", tombstone if tombstone is not None else F.lit(False))
-    latest = compact_latest(b, keys, order).withColumn("bucket", bucket_of(keys, buckets))
+    rows = batch.withColumns({"__tomb": tombstone if tombstone is not None else F.lit(False), "__new": F.lit(1)})
     old = read_buckets(spark, path, base_locs, only_buckets=touched)
-    new_rows = latest.filter(~F.coalesce(F.col("__tomb"), F.lit(False))).drop("__tomb")
     if old is not None:
-        kept = (old.join(latest.select(*keys), keys, "left_anti")
-                .withColumn("bucket", bucket_of(keys, buckets)))
-        merged = kept.unionByName(new_rows)
-    else:
-        merged = new_rows
+        rows = rows.unionByName(old.withColumns({"__tomb": F.lit(False), "__new": F.lit(0)}))
+    # the latest by ``order`` over old and new rows, so that the cut into batches does not matter
+    merged = (compact_latest(rows, keys, [*order, "__new"])
+              .filter(~F.coalesce(F.col("__tomb"), F.lit(False))).drop("__tomb", "__new")
+              .withColumn("bucket", bucket_of(keys, buckets)))
     merged.write.mode("overwrite").partitionBy("bucket").parquet(_data(path, version))
     # Publish: buckets that hold rows now live in this version.
     written = [int(r.bucket) for r in spark.read.parquet(_data(path, version)).select("bucket")
@@ -171,49 +172,51 @@ def write_snapshot(df: DataFrame, path: str, version: int) -> None:
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int) -> DataFrame | None:
-    try:
-        return spark.read.parquet(snapshot_path(path, version))
-    except Exception:  # noqa: BLE001 - missing version
-        return None
+    path = snapshot_path(path, version)
+    return spark.read.parquet(path) if exists(spark, path) else None
 
 
 # K-3 -----------------------------------------------------------------------------
-def write_archive(df: DataFrame, path: str, ts: str, max_records_per_file: int = S.ARCHIVE_FLUSH_RECORDS,
+def write_archive(df: DataFrame, path: str, ts: str, max_records_per_file: int | None = None,
                   codec: str = S.ARCHIVE_CODEC, mode: str = "append") -> None:
     """K-3: Parquet partitioned by year/month/day/hour of ``ts`` (UTC wall time).
 
     Rows are range-partitioned on (hour columns, ts) first: each task writes
     a contiguous time slice (few files per hour), and a hot hour is cut into
     several tasks by the sampled range bounds instead of landing on one.
+    Files are as large as a task's slice of an hour;
+    ``max_records_per_file`` (``schemas.ARCHIVE_FLUSH_RECORDS``) cuts them smaller.
     """
     parted = archive_partition_columns(df, ts).drop("archive_path")
     laid = parted.repartitionByRange(*ARCHIVE_COLS, ts)
-    (laid.write.mode(mode).option("compression", codec).option("maxRecordsPerFile", max_records_per_file)
-         .partitionBy(*ARCHIVE_COLS).parquet(path))
+    writer = laid.write.mode(mode).option("compression", codec)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.partitionBy(*ARCHIVE_COLS).parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str, day_from: str | None = None, day_to: str | None = None) -> DataFrame:
-    """Read the archive; day bounds (``YYYY-MM-DD``) prune partitions."""
+    """Read the archive; day bounds (``YYYY-MM-DD``, both included) prune partitions.
+    Folder names are read as numbers, so days are compared as dates."""
     df = spark.read.option("basePath", path).parquet(path)
-    if day_from or day_to:
-        d = F.concat_ws("-", "year", "month", "day")
-        if day_from:
-            df = df.filter(d >= day_from)
-        if day_to:
-            df = df.filter(d <= day_to)
+    day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
+    if day_from:
+        df = df.filter(day >= F.lit(day_from).cast("date"))
+    if day_to:
+        df = df.filter(day <= F.lit(day_to).cast("date"))
     return df
 
 
 # K-4 -----------------------------------------------------------------------------
-def fan_out(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> dict[str, int]:
+def fan_out(df: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]]) -> dict[str, int]:
     """K-4: evaluate ``df`` once (persisted) and hand it to every sink.
-    Returns rows per sink as written (counted on the persisted frame)."""
-    cached = df.persist()
+    A sink writes the frame and returns what it stored, read back; the result
+    is the number of rows each one holds, so that a sink that loses rows shows."""
+    cached, taken = df.persist(), {}
     try:
-        n = cached.count()
-        for write in sinks.values():
-            write(cached)
-        return {name: n for name in sinks}
+        for name, write in sinks.items():
+            taken[name] = write(cached).count()
+        return taken
     finally:
         cached.unpersist()
 
@@ -234,6 +237,18 @@ def codec_sizes(df: DataFrame, base: str, codecs: tuple[str, ...] = ("none", "lz
     return out.select("codec", "files", "bytes")
 
 
+def codec_roundtrip(df: DataFrame, base: str, codecs: tuple[str, ...] = ("none", "lz4_raw", "snappy", "zstd")) -> DataFrame:
+    """K-5: rows and value characters read back from each codec's files."""
+    out = None
+    for codec in codecs:
+        path = f"{base.rstrip('/')}/codec={codec}"
+        df.write.mode("overwrite").option("compression", codec).parquet(path)
+        own = df.sparkSession.read.schema(df.schema).parquet(path).agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.length("value")).cast("long").alias("value_chars")).withColumn("codec", F.lit(codec))
+        out = own if out is None else out.unionByName(own)
+    return out.select("codec", "rows", "value_chars")
+
+
 # K-6 -----------------------------------------------------------------------------
 def console_tail(df: DataFrame, n: int = 20) -> None:
     """K-6: print the first rows (batch) - the console view of a topic."""

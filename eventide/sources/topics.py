@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide import schemas as S
+from eventide.functions.columns import instant_to_ntz
 from eventide.functions.scan import row_positions
 
 
@@ -43,7 +44,7 @@ def read_kafka(spark: SparkSession, servers: str, topics: list[str], starting: s
     df = r.load()
     return df.select("topic", F.col("key").cast("string").alias("key"),
                      F.col("value").cast("string").alias("value"), "partition", "offset",
-                     F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+                     instant_to_ntz(F.col("timestamp")).alias("timestamp"))
 
 
 def scan_topic(log: DataFrame, topic: str) -> DataFrame:
@@ -68,17 +69,16 @@ def union_topics(frames: dict[str, DataFrame]) -> DataFrame:
 def replay_from_offsets(log: DataFrame, starts: DataFrame, from_beginning: list[int] | None = None) -> DataFrame:
     """S-3: rows at or after a per-(topic, partition) start offset.
 
-    ``starts`` has ``topic, partition, from_offset`` - one row per partition,
-    so it is bounded by the partition count and broadcast.  Partitions not
-    listed are read from the beginning when in ``from_beginning`` and
-    skipped otherwise.
+    ``starts`` has ``topic, partition, from_offset``, one row per partition.
+    Partitions not listed are read from the beginning; with ``from_beginning``
+    only those it names are, and others are skipped.
     """
     s = starts.select("topic", "partition", "from_offset")
-    j = log.join(F.broadcast(s), ["topic", "partition"], "left")
-    keep = F.col("offset") >= F.col("from_offset")
-    if from_beginning:
-        keep = keep | (F.col("from_offset").isNull() & F.col("partition").isin(*from_beginning))
-    return j.filter(keep).drop("from_offset")
+    j = log.join(s, ["topic", "partition"], "left")
+    unlisted = F.col("from_offset").isNull()
+    if from_beginning is not None:
+        unlisted = unlisted & F.col("partition").isin(*from_beginning)
+    return j.filter((F.col("offset") >= F.col("from_offset")) | unlisted).drop("from_offset")
 
 
 def read_first_n(log: DataFrame, n: int) -> DataFrame:

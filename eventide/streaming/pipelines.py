@@ -10,11 +10,13 @@ instead of duplicating it.  Checkpoints live under the shared
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -58,19 +60,21 @@ def exactly_once_writer(transform: Callable[[DataFrame], DataFrame], out_path: s
                         ledger_path: str) -> Callable[[DataFrame, int], None]:
     """Consume-transform-produce with an atomic commit marker.
 
-    Data goes to ``out/batch_id=N`` (overwrite: a replayed batch replaces
-    itself), then the ledger row(s) ``(batch_id, topic, partition, from,
-    until, rows)`` are written.  Readers only trust batches with a ledger
-    entry (``read_committed``), so a batch that died between the two writes
-    is invisible and is redone on restart.
+    Every attempt at a batch writes its data to a folder of its own
+    (``out/attempt=...``); then the batch's ledger rows ``(batch_id, topic,
+    partition, from, until, rows, attempt)`` name that folder.  Readers follow
+    the ledger (``read_committed``): a replay that dies before its ledger is
+    written leaves the earlier attempt in force, and one that dies while the
+    ledger is replaced leaves the batch out until it is redone.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        attempt = f"b{batch_id}-{uuid.uuid4().hex}"
         src = batch.persist()
         try:
-            transform(src).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            transform(src).write.parquet(f"{out_path}/attempt={attempt}")
             ledger = (src.groupBy("topic", "partition")
                       .agg(F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
-                           F.count(F.lit(1)).alias("rows")))
+                           F.count(F.lit(1)).alias("rows")).withColumn("attempt", F.lit(attempt)))
             ledger.write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
         finally:
             src.unpersist()
@@ -78,10 +82,16 @@ def exactly_once_writer(transform: Callable[[DataFrame], DataFrame], out_path: s
 
 
 def read_committed(spark: SparkSession, out_path: str, ledger_path: str) -> DataFrame:
-    """F-5: output rows of committed batches only (left-semi on the ledger)."""
-    out = spark.read.parquet(out_path)
-    committed = spark.read.parquet(ledger_path).select("batch_id").distinct()
-    return out.join(committed, "batch_id", "left_semi").drop("batch_id")
+    """F-5: output rows of the attempts that the ledger names.
+
+    Batches that cover the same offsets twice (a replay cut differently) are
+    an error: their rows would count double."""
+    ledger = spark.read.parquet(ledger_path)
+    following = F.lead("from_offset").over(Window.partitionBy("topic", "partition").orderBy("from_offset", "until_offset"))
+    double = ledger.withColumn("next", following).filter(F.col("next") < F.col("until_offset")).first()
+    if double is not None:
+        raise ValueError(f"batch {double.batch_id} covers offsets of {double.topic}/{double.partition} that another batch has too")
+    return spark.read.parquet(out_path).join(ledger.select("attempt").distinct(), "attempt", "left_semi").drop("attempt")
 
 
 # T-3 ---------------------------------------------------------------------------------
@@ -218,8 +228,7 @@ def _running_window_fn(window_us: int):
         # state: open windows of this customer -> count, cents, regions
         if state.exists:
             starts, counts, cents, regions = state.get
-            book = {s: [c, a, set(r.split("|")) if r else set()]
-                    for s, c, a, r in zip(starts, counts, cents, regions)}
+            book = {s: [c, a, set(json.loads(r))] for s, c, a, r in zip(starts, counts, cents, regions)}
         else:
             book = {}
         parts = list(batches)
@@ -231,8 +240,10 @@ def _running_window_fn(window_us: int):
             ws = int(t) - int(t) % window_us
             b = book.setdefault(ws, [0, 0, set()])
             b[0] += 1
-            b[1] += int(cents_v)
-            b[2].add(reg)
+            if not pd.isna(cents_v):  # as sum and count(distinct) do, nulls add nothing
+                b[1] += int(cents_v)
+            if not pd.isna(reg):
+                b[2].add(reg)
             out["order_id"].append(oid)
             out["order_count"].append(b[0])
             out["total_cents"].append(b[1])
@@ -244,7 +255,7 @@ def _running_window_fn(window_us: int):
         keep = sorted(s for s in book if s + window_us > watermark_us)
         if keep:
             state.update(([int(s) for s in keep], [int(book[s][0]) for s in keep],
-                          [int(book[s][1]) for s in keep], ["|".join(sorted(book[s][2])) for s in keep]))
+                          [int(book[s][1]) for s in keep], [json.dumps(sorted(book[s][2])) for s in keep]))
             state.setTimeoutTimestamp((keep[-1] + window_us) // 1000)
         else:
             state.remove()
@@ -269,9 +280,9 @@ def running_alerts_stream(orders: DataFrame, window_seconds: int, expiry_seconds
         F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                          F.col("placed_at")).alias("placed_us"),
         (F.col("amount") * 100).cast("long").alias("cents"),
-        # withWatermark needs TIMESTAMP (the session runs in UTC)
-        F.col("placed_at").cast("timestamp").alias("__event_time"),
-    ).withWatermark("__event_time", f"{expiry} seconds")
+        # withWatermark needs TIMESTAMP; the same instant whatever the session's zone
+        ntz_to_instant(F.col("placed_at")).alias("__event_time"),
+    ).filter("placed_us is not null").withWatermark("__event_time", f"{expiry} seconds")
     state_schema = ("starts array<bigint>, counts array<bigint>, cents array<bigint>, regions array<string>")
     return prepared.groupBy("customer_id").applyInPandasWithState(
         _running_window_fn(window_seconds * 1_000_000), ALERT_SCHEMA, state_schema, "append",

@@ -1,4 +1,5 @@
 """Bucketed upsert table: last write wins, deletes, replays, touched buckets only."""
+import pytest
 from pyspark.sql import functions as F
 
 from eventide.session import scratch_path
@@ -32,3 +33,43 @@ def test_only_touched_buckets_are_rewritten(spark):
     assert sorted(ptr.values()).count(1) == 1 and len(ptr) == 16
     got = K.read_upserted(spark, path)
     assert got.count() == 200 and got.filter("k = 'k5'").first().v == 55
+
+
+def test_the_latest_row_wins_whatever_the_batches(spark):
+    path = scratch_path(spark, "ups-order")
+    K.upsert(_rows(spark, [("a", 10, 10, "u")]), path, ["k"], ["t"], version=0, buckets=4)
+    K.upsert(_rows(spark, [("a", 3, 3, "u")]), path, ["k"], ["t"], version=1, buckets=4)
+    assert [(r.k, r.v) for r in K.read_upserted(spark, path).collect()] == [("a", 10)]
+
+
+def test_a_damaged_pointer_is_an_error_not_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "ups")
+    K.upsert(_rows(spark, [(f"k{i}", i, 0, "u") for i in range(200)]), path, ["k"], ["t"], version=0, buckets=4)
+    for f in (tmp_path / "ups" / "_current").glob("part-*"):
+        f.write_bytes(b"broken")
+    for f in (tmp_path / "ups" / "_current").glob(".*.crc"):
+        f.unlink()
+    with pytest.raises(Exception):
+        K.upsert(_rows(spark, [("k1", 5, 1, "u")]), path, ["k"], ["t"], version=1, buckets=4)
+
+
+def test_archive_day_bounds(spark):
+    path = scratch_path(spark, "arch-days")
+    df = spark.sql("select id, timestamp_ntz'2024-01-03 12:00:00' + make_dt_interval(id) as t from range(12)")
+    K.write_archive(df, path, "t")
+    days = lambda *b: sorted(r.id for r in K.read_archive(spark, path, *b).collect())
+    assert days() == list(range(12)) and days("2024-01-05") == list(range(2, 12))
+    assert days(None, "2024-01-05") == [0, 1, 2] and days("2024-01-09", "2024-01-12") == [6, 7, 8, 9]
+
+
+def test_fan_out_reports_what_a_sink_holds(spark):
+    base = scratch_path(spark, "fan")
+
+    def loses_rows(df):
+        df.filter("id % 2 = 0").write.parquet(f"{base}/half")
+        return spark.read.parquet(f"{base}/half")
+
+    def keeps(df):
+        df.write.parquet(f"{base}/all")
+        return spark.read.parquet(f"{base}/all")
+    assert K.fan_out(spark.range(10), {"half": loses_rows, "all": keeps}) == {"half": 5, "all": 10}

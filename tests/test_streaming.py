@@ -51,6 +51,57 @@ def test_exactly_once_replay_has_no_duplicates(spark):
     assert got.count() == 100 and got.select("key").distinct().count() == 100
 
 
+def _numbered(spark, lo, hi):
+    return spark.range(lo, hi).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.lit(0).alias("partition"),
+                                      F.col("id").alias("offset"))
+
+
+def test_a_replay_that_dies_leaves_the_committed_attempt(spark):
+    out, ledger = scratch_path(spark, "eo-crash-out"), scratch_path(spark, "eo-crash-ledger")
+    batch = _numbered(spark, 0, 5)
+    ST.exactly_once_writer(lambda df: df.select("key"), out, ledger)(batch, 0)
+
+    def dies(df):
+        df.limit(2).select("key").write.parquet(f"{out}/attempt=b0-dead")
+        raise RuntimeError("lost")
+    try:
+        ST.exactly_once_writer(dies, out, ledger)(batch, 0)
+    except RuntimeError:
+        pass
+    assert sorted(r.key for r in ST.read_committed(spark, out, ledger).collect()) == list("01234")
+
+
+def test_a_replay_cut_differently_is_refused(spark):
+    out, ledger = scratch_path(spark, "eo-cut-out"), scratch_path(spark, "eo-cut-ledger")
+    write = ST.exactly_once_writer(lambda df: df.select("key"), out, ledger)
+    write(_numbered(spark, 0, 5), 0)
+    write(_numbered(spark, 3, 9), 1)
+    try:
+        ST.read_committed(spark, out, ledger)
+    except ValueError as e:
+        assert "another batch" in str(e)
+    else:
+        raise AssertionError("offsets 3 and 4 counted twice")
+
+
+def test_running_alerts_take_nulls_and_any_session_zone(spark):
+    src, out, ckpt = (scratch_path(spark, n) for n in ("rz-src", "rz-out", "rz-ckpt"))
+    schema = "order_id string, customer_id string, region string, amount decimal(12,2), placed_at timestamp_ntz"
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for oid, region, amount, at in (("o1", "a|b", "1.00", "00:00:01"), ("o2", None, "2.00", "00:01:00"), ("o3", "a|b", None, "00:02:00"), ("o4", "b", "4.00", None)):
+            when = f"timestamp_ntz'2024-03-01 {at}'" if at else "cast(null as timestamp_ntz)"
+            spark.sql(f"select '{oid}' order_id, 'c' customer_id, {repr(region) if region else 'cast(null as string)'} region, "
+                      f"cast({amount or 'null'} as decimal(12,2)) amount, {when} placed_at").write.mode("append").parquet(src)
+            stream = ST.running_alerts_stream(ST.file_stream(spark, src, spark.createDataFrame([], schema).schema), 300)
+            ST.run_until_caught_up(stream, ST.append_batches(out), ckpt)
+        got = {r.order_id: (r.order_count, r.total_cents, r.region_count) for r in ST.read_batches(spark, out).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {"o1": (1, 100, 1), "o2": (2, 300, 1), "o3": (3, 300, 1)}
+
+
 def test_running_alert_state_expires_behind_watermark(spark):
     """The applyInPandasWithState alert form keeps only windows the
     watermark has not passed; a customer whose windows all closed leaves the
