@@ -4,7 +4,8 @@ murmur2 (the Kafka client's key hash) is evaluated with higher-order
 functions over the key's UTF-8 bytes (taken from ``hex(key)``), all in
 64-bit arithmetic masked to 32 bits: a 32-bit value times the 31-bit
 multiplier stays below 2^63, so no step overflows.  No Python UDF is
-involved; the expression stays inside whole-stage code generation.
+involved; higher-order functions are evaluated outside whole-stage code
+generation, on the JVM.
 """
 
 from __future__ import annotations

@@ -39,9 +39,10 @@ def _hash_slot(h: Column, available: list[int]) -> Column:
     return F.element_at(avail, (F.pmod(h, F.lit(len(available))) + 1).cast("int"))
 
 
-def default_partition(h: Column, available: list[int], null_key_seed: int = 0) -> Column:
-    """R-3: ``available[h % n]``; a null key (null hash) gets a random available slot."""
-    return F.when(h.isNull(), _null_key_slot(available, null_key_seed)).otherwise(_hash_slot(h, available))
+def default_partition(key: str, available: list[int], null_key_seed: int = 0) -> Column:
+    """R-3: ``available[murmur2(key) % n]``, hashed once a row; a null key gets a random available slot."""
+    slot = _bind(murmur2(key), lambda h: _hash_slot(h, available))
+    return F.when(F.col(key).isNull(), _null_key_slot(available, null_key_seed)).otherwise(slot)
 
 
 def region_partition(key: str, region: str, available: list[int] | None = None,

@@ -139,6 +139,20 @@ def dead_letters(outcomes: DataFrame, topic: str = "topic", partition: str = "pa
         F.col(first_failure_at).alias("first_failure_at"), last.alias("last_failure_at"))
 
 
+def route_outcomes(outcomes: DataFrame, ok_path: str, dlq_path: str, topic: str = "topic", partition: str = "partition",
+                   offset: str = "offset", key: str = "key", value: str = "value",
+                   first_failure_at: str = "first_failure_at") -> None:
+    """D-3 routing: rows that came through go to ``ok_path``, dead letters to
+    ``dlq_path`` as records of the dead-letter topic, keyed by the original key
+    and with headers ``original_topic`` and ``failure_reason``.  Both writes
+    replace what a lost attempt left."""
+    outcomes.filter("ok").write.mode("overwrite").parquet(ok_path)
+    dead = dead_letters(outcomes, topic, partition, offset, key, value, first_failure_at)
+    headers = F.create_map(F.lit("original_topic"), F.col("original_topic"), F.lit("failure_reason"), F.lit(S.DLQ_REASON))
+    dead.select(F.lit(S.DLQ_TOPIC).alias("topic"), F.col("original_key").alias("key"), "*", headers.alias("headers")) \
+        .write.mode("overwrite").parquet(dlq_path)
+
+
 def dlq_summary(outcomes: DataFrame) -> DataFrame:
     """D-5: processed and dead-lettered totals."""
     return outcomes.agg(F.sum(F.col("ok").cast("long")).alias("processed"),

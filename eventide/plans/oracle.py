@@ -342,6 +342,7 @@ WHERE customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer_profiles p
 # --- sources --------------------------------------------------------------------------
 oracle("scan_topic", "SELECT * FROM event_log WHERE topic = 'orders.placed'")
 oracle("scan_multi_topic", "SELECT * FROM event_log WHERE topic IN ('orders.enriched', 'payments.processed')")
+ORACLE["union_topics"] = ORACLE["scan_multi_topic"]
 oracle("replay_from_offsets", """
 SELECT l.topic, l.key, l.value, l."partition", l."offset", l."timestamp"
 FROM event_log l LEFT JOIN (SELECT topic, "partition", floor((max("offset") + 1) / 2) AS from_offset
@@ -420,6 +421,10 @@ FROM failures
 WHERE error_name IS NOT NULL AND NOT ({_ET} IN ({_PERM})) AND attempts < {S.MAX_RETRIES}
   AND first_failure_at + to_milliseconds(CAST({S.RETRY_BACKOFF_MS} * (pow(2, attempts) - 1) AS BIGINT))
       <= TIMESTAMP '2024-01-15 00:00:00'""")
+oracle("dlq_route", f"""
+SELECT 'processed' AS sink, key, event_id, NULL AS original_topic, NULL AS failure_reason, NULL AS error_type FROM outcomes WHERE ok
+UNION ALL
+SELECT '{S.DLQ_TOPIC}', key, event_id, topic, '{S.DLQ_REASON}', error_type FROM outcomes WHERE NOT ok""", _OUTCOMES)
 oracle("dlq_summary", """SELECT CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGINT) AS processed,
        CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) AS BIGINT) AS dlq_count FROM outcomes""", _OUTCOMES)
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.operators import joins, tables
+from eventide.session import scratch_path
 from eventide.sources import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,7 +115,7 @@ def q_partition_with_outage(spark, sf):
 def q_partition_default(spark, sf):
     o = V.orders_placed(spark, sf)
     return o.select("order_id", "customer_id",
-                    P.default_partition(murmur2("customer_id"), OUTAGE_AVAILABLE).alias("partition"))
+                    P.default_partition("customer_id", OUTAGE_AVAILABLE).alias("partition"))
 
 
 @query("partition_by_priority")
@@ -290,6 +291,16 @@ def q_scan_multi_topic(spark, sf):
     return TP.scan_topics(V.event_log(spark, sf, topics=topics), topics)
 
 
+@query("union_topics")
+def q_union_topics(spark, sf):
+    """S-2: topics that are stored apart, read as one log."""
+    log, base, frames = V.event_log(spark, sf), scratch_path(spark, "stored-topics"), {}
+    for topic in ("orders.enriched", "payments.processed"):
+        TP.scan_topic(log, topic).drop("topic").write.parquet(f"{base}/{topic}")
+        frames[topic] = spark.read.parquet(f"{base}/{topic}")
+    return TP.union_topics(frames).select(*S.LOG_FIELDS)
+
+
 @query("replay_from_offsets")
 def q_replay_from_offsets(spark, sf):
     log = V.event_log(spark, sf)
@@ -416,8 +427,20 @@ def q_dlq_summary(spark, sf):
     return D.dlq_summary(_outcomes(spark, sf))
 
 
+@query("dlq_route")
+def q_dlq_route(spark, sf):
+    """D-3: outcomes split over two sinks, dead letters keyed and with headers."""
+    base = scratch_path(spark, "dlq-route")
+    D.route_outcomes(_outcomes(spark, sf), f"{base}/processed", f"{base}/dlq", offset="event_id")
+    ok = spark.read.parquet(f"{base}/processed").select(
+        F.lit("processed").alias("sink"), "key", "event_id", F.lit(None).cast("string").alias("original_topic"),
+        F.lit(None).cast("string").alias("failure_reason"), F.lit(None).cast("string").alias("error_type"))
+    dead = spark.read.parquet(f"{base}/dlq").select(
+        "topic", "key", F.col("original_offset"), F.col("headers.original_topic"), F.col("headers.failure_reason"), "error_type")
+    return ok.union(dead)
+
+
 # --- sinks (K-1 .. K-4) -------------------------------------------------------------
-from eventide.session import scratch_path  # noqa: E402
 from eventide.sinks import files as K  # noqa: E402
 
 

@@ -68,7 +68,6 @@ FRAUD_ALERT_MIN_SCORE = 0.4
 # Dead-letter handling.
 MAX_RETRIES = 3
 RETRY_BACKOFF_MS = 1000
-TRANSIENT_ERRORS = ["timeout", "connection_reset", "broker_unavailable"]
 PERMANENT_ERRORS = ["deserialization_error", "schema_mismatch", "validation_error"]
 # Substrings of the lower-cased error type name -> error class.
 ERROR_NAME_CLASSES = [
@@ -81,8 +80,6 @@ DLQ_REASON = "max_retries_exceeded"
 
 # Micro-batch sizes.
 EOS_BATCH_SIZE = 50
-PAYMENT_BATCH_SIZE = 10
-COMMIT_INTERVAL = 100
 
 # Payments.
 PAYMENT_FAILURE_REASON = "insufficient_funds"
@@ -102,9 +99,6 @@ EVENT_RATE_WARNING_PER_MIN = 1.0
 ARCHIVE_FLUSH_RECORDS = 1000
 ARCHIVE_CODEC = "snappy"
 
-# Upsert (search) sink.
-UPSERT_BATCH_SIZE = 200
-
 # Topics: name -> (partitions, retention ms or None, cleanup policy).
 TOPICS = {
     "orders.placed": (12, 604_800_000, "delete"),
@@ -189,19 +183,6 @@ PAYMENT_PROCESSED = T.StructType([
     T.StructField("transaction_ref", T.StringType()),
     T.StructField("processed_at", T.TimestampNTZType()),
 ])
-PAYMENT_STATUSES = ["success", "failed", "pending", "refunded"]
-
-SHIPMENT_CREATED = T.StructType([
-    T.StructField("shipment_id", T.StringType()),
-    T.StructField("order_id", T.StringType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("carrier", T.StringType()),
-    T.StructField("tracking_number", T.StringType()),
-    T.StructField("estimated_delivery", T.TimestampNTZType()),
-    T.StructField("items_count", T.IntegerType()),
-    T.StructField("weight_kg", T.DoubleType()),
-    T.StructField("created_at", T.TimestampNTZType()),
-])
 
 FRAUD_ALERT = T.StructType([
     T.StructField("alert_id", T.StringType()),
@@ -214,35 +195,6 @@ FRAUD_ALERT = T.StructType([
     T.StructField("reason", T.StringType()),
 ])
 
-STATE_CHANGE_REQUEST = T.StructType([
-    T.StructField("order_id", T.StringType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("requested_status", T.StringType()),
-    T.StructField("reason", T.StringType()),
-])
-
-STATE_CHANGE_RESULT = T.StructType([
-    T.StructField("order_id", T.StringType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("previous_status", T.StringType()),
-    T.StructField("new_status", T.StringType()),
-    T.StructField("accepted", T.BooleanType()),
-    T.StructField("reason", T.StringType()),
-])
-
-DEAD_LETTER = T.StructType([
-    T.StructField("original_topic", T.StringType()),
-    T.StructField("original_partition", T.IntegerType()),
-    T.StructField("original_offset", T.LongType()),
-    T.StructField("original_key", T.StringType()),
-    T.StructField("original_value", T.BinaryType()),
-    T.StructField("error_message", T.StringType()),
-    T.StructField("error_type", T.StringType()),
-    T.StructField("retry_count", T.IntegerType()),
-    T.StructField("first_failure_at", T.TimestampNTZType()),
-    T.StructField("last_failure_at", T.TimestampNTZType()),
-])
-
 # The fixed columns of a topic log (file-backed twin of a Kafka source).
 LOG = T.StructType([
     T.StructField("topic", T.StringType()),
@@ -253,11 +205,3 @@ LOG = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()),
 ])
 LOG_FIELDS = [f.name for f in LOG.fields]
-
-# CDC change envelope (Debezium style): op in c/u/d/r.
-CDC_ENVELOPE = T.StructType([
-    T.StructField("op", T.StringType()),
-    T.StructField("ts_ms", T.LongType()),
-    T.StructField("key", T.StringType()),
-    T.StructField("after", T.StringType()),
-])
