@@ -251,14 +251,18 @@ SELECT customer_id AS key,
 FROM orders_placed""")
 
 oracle("order_wire", """
-SELECT o.order_id, customer_id, CAST(total_amount AS DOUBLE) AS total_amount, currency, payment_method, region,
-       epoch_ms(placed_at) AS placed_at, CAST(coalesce(n, 0) AS INTEGER) AS item_count
-FROM orders_placed o LEFT JOIN (SELECT order_id, count(*) AS n FROM order_items GROUP BY order_id) i
-     ON o.order_id = i.order_id""")
+SELECT o.order_id, customer_id, CAST(total_amount AS DOUBLE) AS total_amount, currency, payment_method, shipping_address, region,
+       epoch_ms(placed_at) AS placed_at, CAST(coalesce(n, 0) AS INTEGER) AS item_count, coalesce(lines, '') AS items
+FROM orders_placed o LEFT JOIN (
+  SELECT order_id, count(*) AS n,
+         string_agg(concat_ws('|', product_id, product_name, CAST(quantity AS VARCHAR),
+                              CAST(CAST(round(CAST(unit_price AS DOUBLE) * 100) AS BIGINT) AS VARCHAR)), ';'
+                  ORDER BY line_number, product_id, product_name, quantity, unit_price) AS lines
+  FROM order_items GROUP BY order_id) i ON o.order_id = i.order_id""")
 _OK = f"(CAST(('0x' || substr(md5(order_id), 1, 8)) AS BIGINT) % 100 < {S.PAYMENT_SUCCESS_PERCENT})"
 oracle("payments", f"""
 SELECT {_uuid("'payment:' || order_id")} AS payment_id, order_id, customer_id, total_amount AS amount,
-       currency, '{S.ORDER_DEFAULTS['payment_method']}' AS payment_method,
+       currency, payment_method,
        CASE WHEN {_OK} THEN 'success' ELSE 'failed' END AS status,
        CASE WHEN NOT {_OK} THEN '{S.PAYMENT_FAILURE_REASON}' END AS failure_reason,
        {_txn('order_id')} AS transaction_ref, placed_at AS processed_at

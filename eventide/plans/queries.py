@@ -180,19 +180,17 @@ def q_eos_transform(spark, sf):
 
 @query("order_wire")
 def q_order_wire(spark, sf):
-    o = V.orders_placed(spark, sf).join(
-        TR.order_totals(V.orders_placed(spark, sf), V.order_items(spark, sf)).select("order_id", "item_count"),
-        "order_id", "left")
-    w = TR.order_wire(o)
-    return w.select("order_id", "customer_id", "total_amount", "currency", "payment_method", "region",
-                    "placed_at", "item_count")
+    w = TR.order_wire(V.orders_with_items(spark, sf))
+    line = lambda x: F.concat_ws("|", x["product_id"], x["product_name"], x["quantity"].cast("string"),
+                                 F.round(x["unit_price"] * 100).cast("long").cast("string"))
+    return w.select("order_id", "customer_id", "total_amount", "currency", "payment_method", "shipping_address", "region",
+                    "placed_at", F.size("items").alias("item_count"), F.array_join(F.transform("items", line), ";").alias("items"))
 
 
 @query("payments")
 def q_payments(spark, sf):
-    return TR.payments(joins.enrich_orders(V.orders_placed(spark, sf), V.customer_profiles(spark, sf)).select(
-        "order_id", "customer_id", "total_amount", "currency", "placed_at",
-        F.lit(None).cast("string").alias("payment_method")))
+    return TR.payments(V.orders_placed(spark, sf).select(
+        "order_id", "customer_id", "total_amount", "currency", "placed_at", "payment_method"))
 
 
 @query("deterministic_ids")

@@ -34,8 +34,9 @@ PROFILE_EPOCH = "1994-06-01 00:00:00"
 CARRIERS = ["ups", "fedex", "dhl", "usps"]
 
 
-def orders_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+def orders_placed(spark: SparkSession, sf_dir: str, *raw: str) -> DataFrame:
+    """Order records; ``raw`` columns of the table come along from the same scan."""
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", *raw)
     k = F.col("o_orderkey")
     return o.select(
         F.concat(F.lit("order-"), k.cast("string")).alias("order_id"),
@@ -46,6 +47,7 @@ def orders_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(k.cast("string"), F.lit(" Market St")).alias("shipping_address"),
         pick(S.REGIONS, F.pmod(k, F.lit(5))).alias("region"),
         F.col("o_orderdate").alias("placed_at"),
+        *raw,
     )
 
 
@@ -65,6 +67,17 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_with_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order records with their nested ``items`` (an order's own lines, by line
+    number); an order without lines has none."""
+    item = F.struct("line_number", "product_id", "product_name", "quantity", "unit_price")
+    items = order_items(spark, sf_dir).groupBy("order_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    j = orders_placed(spark, sf_dir).join(items, "order_id", "left")
+    kind = "array<struct<product_id:string,product_name:string,quantity:int,unit_price:decimal(12,2)>>"
+    bare = F.transform(F.coalesce("items", F.array().cast(items.schema["items"].dataType)), lambda x: x.dropFields("line_number"))
+    return j.withColumn("items", bare.cast(kind))
+
+
 def profile_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versioned customer profile rows (3 per customer), customers with
     ``c_custkey % 10 = 0`` left out so orders can miss the lookup."""
@@ -206,13 +219,10 @@ def orders_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """v2 order rows: the odd order keys, with coupon, priority and metadata."""
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
-    base = orders_placed(spark, sf_dir)
-    j = base.join(o, base.order_id == F.concat(F.lit("order-"), o.o_orderkey.cast("string")), "inner")
-    j = j.filter(F.pmod(F.col("o_orderkey"), F.lit(2)) == 1)
-    k = F.col("o_orderkey")
-    return j.select(
-        *[F.col(c) for c in base.columns],
+    base = orders_placed(spark, sf_dir, "o_orderpriority")
+    k = F.substring_index("order_id", "-", -1).cast("long")
+    return base.filter(F.pmod(k, F.lit(2)) == 1).select(
+        *[c for c in base.columns if c != "o_orderpriority"],
         F.when(F.pmod(k, F.lit(3)) == 0, F.concat(F.lit("SAVE"), F.pmod(k, F.lit(50)).cast("string")))
          .alias("coupon_code"),
         F.when(F.col("o_orderpriority").startswith("1"), F.lit("high"))
