@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from eventide.llm.common import drop_staged, stage_table
@@ -14,7 +14,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return (both.filter("v > u").join(least, "u")
-            .select(F.col("v").alias("hi"), F.col("m").alias("lo")).filter("hi <> lo").distinct())
+            .select(F.col("v").alias("hi"), F.col("m").alias("lo")).filter("hi <> lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -33,22 +33,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     the mappers and its join can be split.  Rounds stop when a round changes
     nothing (about log of the longest path).
     """
-    now = stage_table(edges.filter(f"{a} <> {b}")
-                      .select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
-    mark = _mark(now)
+    now, mark = _staged(edges.filter(f"{a} <> {b}").select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct())
     while True:
-        new = stage_table(_small_star(_large_star(now)), "edges")
+        new, before = _staged(_small_star(_large_star(now))), mark
         drop_staged(now)
-        now, before, mark = new, mark, _mark(new)
+        now, mark = new
         if mark == before:
             break
     roots = now.select(F.col("lo").alias("node")).distinct().withColumn("comp", F.col("node"))
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("comp")).unionByName(roots)
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Count and order-free checksum of the edges: equal marks mean the round changed nothing."""
-    h = F.xxhash64("hi", "lo")
-    row = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.shiftrightunsigned(h, 34)), F.lit(0)),
-                    F.coalesce(F.bit_xor(h), F.lit(0))).first()
-    return tuple(row)
+def _staged(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The written edges, and their count and order-free checksums: equal ones mean that a round changed nothing."""
+    h, seen = F.xxhash64("hi", "lo"), Observation()
+    table = stage_table(edges.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.shiftrightunsigned(h, 34)), F.lit(0)).alias("sum"),
+        F.coalesce(F.bit_xor(h), F.lit(0)).alias("xor")), "edges")
+    return table, (seen.get["n"], seen.get["sum"], seen.get["xor"])

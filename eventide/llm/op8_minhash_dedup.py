@@ -3,9 +3,9 @@
 One vertex stands for all documents of one shingle set.  Its signature is the
 minima of many universal hashes; bands of it are bucket keys, and the lowest
 bit of each minimum makes a sketch that verifies candidates before the full
-sets do.  Large buckets are not paired out: members are compared with one
-leader first, and only members that no verified link has joined to the rest
-are compared further.
+sets do.  Large buckets are not paired out: members are compared with a leader
+first, and only members that no verified link has joined to the rest are
+compared with all, block against block, inside tasks that emit just the links.
 """
 
 from __future__ import annotations
@@ -28,10 +28,10 @@ from eventide.llm.words import common, shingle_set
 BANDS, ROWS = 40, 5
 #: percent of the union that the intersection has at least
 PERCENT = 80
-#: sketch bits that may differ: 6 standard deviations above the mean at 0.8 (1 bit each of 200 minima)
-SKETCH_SLACK = 6.0
-#: rounds after the first; in all but the last a bucket is compared with one leader of what is not joined yet
-LEADER_ROUNDS = 3
+#: sketch bits that may differ: 5 standard deviations above the mean at 0.8 (1 bit each of 200 minima), 3e-7 differ in more
+SKETCH_SLACK = 5.0
+#: vertices of a block on either side, and block rows of a task, about
+REST_BLOCK, ALL_BLOCK, TASK_ROWS = 256, 1024, 2048
 _SIGNED = "doc_id long, n_shingles long, digest binary, keys array<long>, bits array<long>"
 #: shingles hashed at a time, so that the numbers stay in the cache
 _CHUNK = 16_384
@@ -120,14 +120,63 @@ def _verify(width: int, percent: int):
     return run
 
 
+def _apart(percent: int, bits: int) -> int:
+    """Sketch bits in which a pair of the similarity may differ."""
+    p = percent / 100
+    return int(bits * (1 - p) / 2 + SKETCH_SLACK * (bits * (1 - p) / 2 * (1 + p) / 2) ** 0.5)
+
+
 def _close(x: str, y: str, percent: int, bits: int) -> "F.Column":
     """Sizes that allow the similarity, and sketches near enough for it."""
-    p = percent / 100
-    apart = bits * (1 - p) / 2 + SKETCH_SLACK * (bits * (1 - p) / 2 * (1 + p) / 2) ** 0.5
     words = -(-bits // 64)
     differ = reduce(lambda s, t: s + t, [F.bit_count(F.expr(f"{x}.bits[{k}] ^ {y}.bits[{k}]")) for k in range(words)])
     return ((F.col(f"{x}.n") * 100 >= F.col(f"{y}.n") * percent) & (F.col(f"{y}.n") * 100 >= F.col(f"{x}.n") * percent)
-            & (differ <= int(apart)))
+            & (differ <= _apart(percent, bits)))
+
+
+def _linked(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the other sets reach the similarity with ``own``."""
+    every = np.concatenate(others)
+    hit = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+    sizes = np.array([len(o) for o in others])
+    both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * both >= percent * (len(own) + sizes - both)
+
+
+def _compare(width: int, percent: int, bits: int):
+    """Links between the vertices of a block that are not joined yet and those of another block.
+
+    Of one component a vertex needs a single link: nearest sketches are verified
+    first, and what a link has joined is not looked at again.
+    """
+    apart = _apart(percent, bits)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets: dict[int, np.ndarray] = {}
+        for v, t in zip(pdf["vid"], pdf["text"]):
+            if v not in sets:
+                sets[v] = shingle_set(t, width)
+        a, b = [], []
+        for _, unit in pdf.groupby(["main", "zb", "xb"], sort=False):
+            z, x = unit[unit["rest"]], unit[~unit["rest"]]
+            if not len(z) or not len(x):
+                continue
+            xb = np.stack(x["bits"].to_numpy()).view(np.uint64)
+            xv, xn, xc = x["vid"].to_numpy(), x["n"].to_numpy(), x["comp"].to_numpy()
+            for v, n, c, own in zip(z["vid"], z["n"], z["comp"], z["bits"]):
+                differ = np.bitwise_count(xb ^ np.asarray(own).view(np.uint64)).sum(axis=1)
+                go = np.flatnonzero((differ <= apart) & (xc != c) & (xn * 100 >= n * percent) & (xn * percent <= n * 100))
+                go, step = go[np.argsort(differ[go], kind="stable")], 8
+                while len(go):
+                    now, go = go[:step], go[step:]
+                    found = now[_linked(sets[v], [sets[w] for w in xv[now]], percent)]
+                    for comp, w in {xc[i]: xv[i] for i in found}.items():
+                        a.append(v)
+                        b.append(w)
+                        go = go[xc[go] != comp]
+                    step = 512
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+    return run
 
 
 class _Candidates:
@@ -136,7 +185,6 @@ class _Candidates:
     def __init__(self, vertices: DataFrame, src: DataFrame, width: int, percent: int, bits: int):
         self.width, self.percent, self.bits = width, percent, bits
         self.links: list[DataFrame] = []
-        self.tested: list[DataFrame] = []
         keyed = vertices.select("vid", F.explode("keys").alias("key"))
         shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
         self.members = stage_table(keyed.join(shared, "key").select("key", "vid"), "members")
@@ -146,16 +194,14 @@ class _Candidates:
     def _fetch(self, vertices: DataFrame, src: DataFrame) -> DataFrame:
         """(vid, text) of the vertices that share a bucket; an id that is repeated with other texts is told by its set."""
         asked = vertices.join(self.members.select("vid").distinct(), "vid", "left_semi")
-        digest = F.pandas_udf(_digests(self.width), "binary")
-        found = src.join(asked, "doc_id").filter(digest("text") == F.col("digest"))
+        # not deterministic: else Spark runs it on all texts, before the join
+        digest = F.pandas_udf(_digests(self.width), "binary").asNondeterministic()
+        found = src.join(asked, "doc_id").withColumn("own", digest("text")).filter("own = digest")
         return stage_table(found.groupBy("doc_id", "vid").agg(F.first("text").alias("text")).select("vid", "text"), "texts")
 
     def _test(self, pairs: DataFrame) -> None:
-        """Verify pairs (a, b) not tested before on their full sets."""
-        for old in self.tested:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        """Verify pairs (a, b) on their full sets."""
         pairs = stage_table(pairs, "pairs")
-        self.tested.append(pairs)
         left = self.texts.select(F.col("vid").alias("a"), F.col("text").alias("ta"))
         right = self.texts.select(F.col("vid").alias("b"), F.col("text").alias("tb"))
         whole = pairs.join(right, "b").join(left, "a").select("a", "ta", "b", "tb")
@@ -173,28 +219,50 @@ class _Candidates:
         more = sizes.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("m"), F.count(F.lit(1)).alias("c"))
         return stage_table(m.join(more.filter("c > 1").select("key", F.col("m.comp").alias("main")), "key"), "open")
 
-    def _pairs(self, one: DataFrame, every: DataFrame) -> DataFrame:
-        """Pairs of different components of a bucket that sizes and sketches allow."""
-        x = one.select("key", F.col("vid").alias("v"), F.col("comp").alias("cv"))
-        y = every.select("key", F.col("vid").alias("w"), F.col("comp").alias("cw"))
+    def _pairs(self, leaders: DataFrame, others: DataFrame) -> DataFrame:
+        """Pairs of a bucket's leader and others of other components, if sizes and sketches allow."""
+        x = leaders.select("key", F.col("vid").alias("v"), F.col("comp").alias("cv"))
+        y = others.select("key", F.col("vid").alias("w"), F.col("comp").alias("cw"))
         pairs = x.join(y, "key").filter("cv <> cw").select(
             F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b")).distinct()
         side = lambda name, vid: self.info.select(F.col("vid").alias(vid), F.struct("n", "bits").alias(name))
         return (pairs.join(side("x", "a"), "a").join(side("y", "b"), "b")
                 .filter(_close("x", "y", self.percent, self.bits)).select("a", "b"))
 
+    def _compare_rest(self, now: DataFrame) -> None:
+        """Compare what is not joined to its buckets' main component with all that shares such a bucket.
+
+        Both sides of a main component are cut into blocks; a task gets some
+        pairs of blocks, with their texts.
+        """
+        sides = stage_table(now.groupBy("main", "vid").agg(F.max("comp").alias("comp"))
+                            .withColumn("rest", F.col("comp") != F.col("main")), "sides")
+        blocks = sides.groupBy("main").agg(F.ceil(F.count_if("rest") / REST_BLOCK).cast("long").alias("zn"),
+                                           F.ceil(F.count(F.lit(1)) / ALL_BLOCK).cast("long").alias("xn"))
+        told = sides.join(blocks, "main")
+        own = lambda n: F.pmod(F.xxhash64("vid"), F.col(n))
+        each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        z = told.filter("rest").select("main", "vid", "comp", "rest", own("zn").alias("zb"), each("xn").alias("xb"))
+        x = told.select("main", "vid", "comp", F.lit(False).alias("rest"), each("zn").alias("zb"), own("xn").alias("xb"))
+        rows = stage_table(z.unionByName(x), "blocks")
+        tasks = max(1, -(-rows.count() // TASK_ROWS))
+        whole = (rows.join(self.info, "vid").join(self.texts, "vid")
+                 .withColumn("task", F.pmod(F.xxhash64("main", "zb", "xb"), F.lit(tasks))))
+        found = whole.groupBy("task").applyInPandas(_compare(self.width, self.percent, self.bits), "a long, b long")
+        self.links.append(stage_table(found, "links"))
+
     def run(self) -> DataFrame:
         """(node, comp) after every candidate pair is verified or already in one component."""
         first = self.members.withColumn("comp", F.col("vid"))
         self._test(self._pairs(first.groupBy("key").agg(F.min("vid").alias("vid")).withColumn("comp", F.col("vid")), first))
-        for k in range(LEADER_ROUNDS):
-            now = self._open(self.components())
-            rest = now.filter("comp <> main")
-            if k < LEADER_ROUNDS - 1:  # another leader for what the first has not joined
-                rest = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("vid", F.lit(k)), "vid", "comp")).alias("l")).select(
-                    "key", "l.vid", "l.comp")
-            self._test(self._pairs(rest, now))
-            drop_staged(now)
+        now = self._open(self.components())
+        # a leader of the main component, another one in each bucket
+        lead = now.filter("comp = main").groupBy("key", "comp").agg(F.min(F.struct(F.xxhash64("vid", "key"), "vid")).alias("l"))
+        self._test(self._pairs(lead.select("key", "l.vid", "comp"), now.filter("comp <> main")))
+        drop_staged(now)
+        now = self._open(self.components())
+        self._compare_rest(now)
+        drop_staged(now)
         return self.components()
 
 
