@@ -79,11 +79,11 @@ def _sweep(events: DataFrame) -> DataFrame:
     order = ["key", "kind", "rid"]
     dealt = stage_table(events.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "sweep")
     sums = dealt.groupBy("part").agg(F.sum("delta").alias("d"))
-    before = sums.select("part", F.coalesce(F.sum("d").over(  # one row per part
-        W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("below"))
+    carried = F.sum("d").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))  # one row per part
+    before = sums.select("part", carried.alias("__c_below"))
     run = W.partitionBy("part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     deep = (dealt.join(before, "part")
-            .withColumn("depth", F.col("below") + F.sum("delta").over(run)))
+            .withColumn("depth", F.coalesce("__c_below", F.lit(0)) + F.sum("delta").over(run)))
     at = W.partitionBy("part", "depth").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     top = deep.withColumn("top", F.last("rule", ignorenulls=True).over(at))
     opened = deep.filter(F.col("kind") == _OPEN).groupBy("part", "depth").agg(
