@@ -98,15 +98,17 @@ def decode_json(log: DataFrame, schema: T.StructType, value: str = "value",
     """S-6: parse ``value`` with ``schema``; ``decoded`` is false for bad rows.
 
     Parsing is PERMISSIVE (no job failure); a row is bad when the text is not
-    a JSON object.  Callers split with ``filter(decoded)`` / ``~decoded`` (F-3).
+    a JSON object, or does not end with it.  An amount that is no number is null
+    and its row good.  Callers split with ``filter(decoded)`` / ``~decoded`` (F-3).
     """
     keep = keep if keep is not None else [c for c in log.columns if c != value]
-    with_bad = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
+    as_text = [T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DecimalType) else f.dataType) for f in schema.fields]
+    with_bad = T.StructType(as_text + [T.StructField("_corrupt_record", T.StringType())])
     parsed = F.from_json(F.col(value), with_bad,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     out = log.select(*keep, F.col(value), parsed.alias("__d"))
-    ok = F.col(value).isNotNull() & F.col("__d._corrupt_record").isNull()
-    return out.select(*keep, F.col(value), *[F.col(f"__d.{f.name}").alias(f.name) for f in schema.fields],
+    ok = F.col(value).isNotNull() & F.col("__d._corrupt_record").isNull() & F.rtrim(value).endswith("}")
+    return out.select(*keep, F.col(value), *[F.col(f"__d.{f.name}").try_cast(f.dataType).alias(f.name) for f in schema.fields],
                       ok.alias("decoded"))
 
 

@@ -129,3 +129,12 @@ def test_fold_with_null_keys_and_times(spark):
         max_chunk_rows=chunk, state_after="a").collect()} for chunk in (10**6, 9)]
     assert own[0] == own[1] and len(own[0]) == len(rows)
     assert [v for (k, _), v in sorted(own[0].items(), key=repr) if k is None] == [v for (k, _), v in sorted(own[0].items(), key=repr) if k == 1]
+
+
+def test_decode_keeps_rows_with_a_bad_amount_and_refuses_trailing_text(spark):
+    from eventide.sources import views as V
+    rows = [(1, '{"order_id":"a","total_amount":"abc"}'), (2, '{"order_id":"b","total_amount":12.5} '), (3, '{"order_id":"c"} x'),
+            (4, "not-json"), (5, None), (6, '{"order_id":"d","total_amount":"7.25"}')]
+    got = {r.k: r for r in TP.decode_json(spark.createDataFrame(rows, "k int, value string"), V.ORDER_JSON_SCHEMA).collect()}
+    assert {k: r.decoded for k, r in got.items()} == {1: True, 2: True, 3: False, 4: False, 5: False, 6: True}
+    assert [got[k].total_amount for k in (1, 2, 6)] == [None, Decimal("12.50"), Decimal("7.25")]
