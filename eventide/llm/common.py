@@ -35,6 +35,13 @@ def drop_staged(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI that names its store, as Spark itself would resolve it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toUri().toString()
+    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def bind(value, body):
     """``body(value)`` with ``value`` evaluated once (a let for columns used inside a lambda)."""
     return F.element_at(F.transform(F.array(value), body), 1)

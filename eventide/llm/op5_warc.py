@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import bind, stage_table
+from eventide.llm.common import bind, qualified, stage_table
 from eventide.session import scratch_path
 
 #: bytes of a chunk row
@@ -280,9 +280,7 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     back null; repeated rows have a record each; no pages give no rows.
     """
     spark = pages.sparkSession
-    folder = folder or scratch_path(spark, "warc")
-    if folder.startswith("/"):
-        folder = "file://" + folder
+    folder = qualified(spark, folder or scratch_path(spark, "warc"))
     manifest = write_archives(pages, folder, id_col, url_col, html_col)
     read = stage_table(read_archives(manifest, folder).filter("is_last").select(
         "page_id", "record_type", "refers_to", "declared_digest", F.col("bytes_so_far").alias("n"), F.col("sha256_so_far").alias("d")), "read-back")
