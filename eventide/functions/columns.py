@@ -24,15 +24,6 @@ def pick(values: list, index: Column) -> Column:
     return F.try_element_at(arr, (index + 1).cast("int"))
 
 
-def lookup(mapping: dict, key: Column, default=None) -> Column:
-    """Literal map lookup with a default for misses."""
-    kv = []
-    for k, v in mapping.items():
-        kv += [F.lit(k), F.lit(v)]
-    hit = F.try_element_at(F.create_map(*kv), key)
-    return hit if default is None else F.coalesce(hit, F.lit(default))
-
-
 def ntz_to_millis(ts: Column) -> Column:
     """Epoch milliseconds of a TIMESTAMP_NTZ (wall time read as UTC)."""
     return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)

@@ -90,12 +90,6 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     return child.filter(F.col(child_key).isNotNull()).join(p, F.col(child_key) == F.col("__pk"), "left_anti")
 
 
-def edge_table(spark) -> DataFrame:
-    """The fixed transition edges as a small DataFrame (9 rows)."""
-    rows = [(cur, nxt) for cur, nxts in S.VALID_TRANSITIONS.items() for nxt in nxts]
-    return spark.createDataFrame(rows, "from_status string, to_status string")
-
-
 def transition_valid(current: Column, requested: Column) -> Column:
     """J-5: is ``current -> requested`` an allowed edge (literal edge list)."""
     edges = [F.lit(f"{c}>{n}") for c, nxts in S.VALID_TRANSITIONS.items() for n in nxts]
@@ -108,4 +102,4 @@ def transition_check(requests: DataFrame, current_col: str, requested_col: str)
 
 
 __all__ = ["enrich_orders", "enrich_orders_asof", "fk_orphans", "transition_check",
-           "transition_valid", "edge_table", "high_value", "ntz_to_millis", "Window"]
+           "transition_valid", "high_value", "ntz_to_millis", "Window"]

@@ -138,3 +138,14 @@ def test_decode_keeps_rows_with_a_bad_amount_and_refuses_trailing_text(spark):
     got = {r.k: r for r in TP.decode_json(spark.createDataFrame(rows, "k int, value string"), V.ORDER_JSON_SCHEMA).collect()}
     assert {k: r.decoded for k, r in got.items()} == {1: True, 2: True, 3: False, 4: False, 5: False, 6: True}
     assert [got[k].total_amount for k in (1, 2, 6)] == [None, Decimal("12.50"), Decimal("7.25")]
+
+
+def test_nested_items_total_and_rules(spark):
+    from eventide.operators.transforms import nested_item_rules, nested_order_total, validate
+    item = "array<struct<product_id:string,product_name:string,quantity:int,unit_price:decimal(12,2)>>"
+    rows = [("a", [("p", "n", 2, Decimal("1.50")), ("q", "m", 1, Decimal("4.00"))]), ("b", [("p", "n", 0, Decimal("1.00"))]), ("c", None)]
+    df = spark.createDataFrame(rows, f"order_id string, items {item}")
+    total = {r.order_id: r.t for r in df.select("order_id", nested_order_total().alias("t")).collect()}
+    assert total["a"] == Decimal("7.00") and total["b"] == 0
+    bad = {r.order_id: r.violations for r in validate(df, nested_item_rules()).collect()}
+    assert bad == {"a": [], "b": ["item_quantity_positive"], "c": []}
