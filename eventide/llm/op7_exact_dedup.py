@@ -114,6 +114,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = rows.groupBy("level", "name").agg(
         F.count(F.lit(1)).alias("group_size"), F.min(rank).alias("best")).select(
         "level", "name", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.rid").alias("keep_rid"))
+    groups = stage_table(groups, "groups")  # a table on either side, so that the join can split a large group
     return rows.join(groups, ["level", "name"]).select(
         "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256")
 
