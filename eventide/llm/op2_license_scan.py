@@ -48,8 +48,6 @@ TEMPLATES = [
 TRIGGER = r"(?i)licen[cs]|copyright|creative\s+commons|redistribut|permission\s"
 #: part of a template's words that may differ
 MAX_DIFFERENT = 0.1
-#: templates tried by wording: so many that save most, and all that save fewer bytes by no more than the second number
-TRIED, TRIED_BYTES = 4, 8
 _LEVEL = 9
 #: code points of a stretch; a longer one is looked at in parts that overlap by a template's reach
 LONGEST = 20_000
@@ -61,25 +59,26 @@ def words(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
 
 
-def alignment(template: list[str], text: list[str]) -> tuple[int, int, int, list[str]]:
-    """The stretch of ``text`` with fewest words added, left out or changed: (differences, first, end, their list).
-
-    Of stretches with equally few the first that ends.
-    """
+def _costs(template: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Fewest differences of the first i words of ``template`` from a stretch of ``text`` that ends before word j."""
     m, n = len(template), len(text)
     cost = np.zeros((m + 1, n + 1), np.int32)
     cost[:, 0] = np.arange(m + 1)
-    same = np.array([[a == b for b in text] for a in template], bool).reshape(m, n)
     steps = np.arange(n + 1)
     for i in range(1, m + 1):
-        row = np.minimum(cost[i - 1] + 1, np.concatenate([[i], cost[i - 1, :-1] + ~same[i - 1]]))
+        row = np.minimum(cost[i - 1] + 1, np.concatenate([[i], cost[i - 1, :-1] + (text != template[i - 1])]))
         cost[i] = np.minimum.accumulate(row - steps) + steps
-    end = j = int(cost[m].argmin())
-    i, told = m, []
+    return cost
+
+
+def _trace(cost: np.ndarray, template: list[str], text: list[str], end: int) -> tuple[int, int, int, list[str]]:
+    """The alignment that ends before word ``end``: (differences, first, end, their list)."""
+    i, j, told = len(template), end, []
     while i:
-        if j and cost[i, j] == cost[i - 1, j - 1] + (not same[i - 1, j - 1]):
+        same = j and template[i - 1] == text[j - 1]
+        if j and cost[i, j] == cost[i - 1, j - 1] + (not same):
             i, j = i - 1, j - 1
-            if not same[i, j]:
+            if not same:
                 told.append(f"{template[i]}>{text[j]}")
         elif cost[i, j] == cost[i - 1, j] + 1:
             i -= 1
@@ -87,7 +86,17 @@ def alignment(template: list[str], text: list[str]) -> tuple[int, int, int, list
         else:
             j -= 1
             told.append(f"+{text[j]}")
-    return int(cost[m, end]), j, end, told[::-1]
+    return int(cost[len(template), end]), j, end, told[::-1]
+
+
+def alignment(template: list[str], text: list[str]) -> tuple[int, int, int, list[str]]:
+    """The stretch of ``text`` with fewest words added, left out or changed: (differences, first, end, their list).
+
+    Of stretches with equally few the first that ends.
+    """
+    number = {w: i for i, w in enumerate(dict.fromkeys(template))}
+    cost = _costs(np.array([number[w] for w in template], np.int32), np.array([number.get(w, -1) for w in text], np.int32))
+    return _trace(cost, template, text, int(cost[-1].argmin()))
 
 
 class Scanner:
@@ -96,6 +105,8 @@ class Scanner:
     def __init__(self, templates=TEMPLATES):
         self.names = [name for name, _ in templates]
         self.words = [[w for w, _, _ in words(t)] for _, t in templates]
+        self.number = {w: i for i, w in enumerate(dict.fromkeys(w for own in self.words for w in own))}
+        self.coded = [np.array([self.number[w] for w in own], np.int32) for own in self.words]
         self.reach = 2 * max((len(t) for _, t in templates), default=0)
         self.trigger = re.compile(TRIGGER)
         params = zstandard.ZstdCompressionParameters.from_level(_LEVEL, min_match=3, write_content_size=0, write_checksum=0, write_dict_id=0)
@@ -124,9 +135,40 @@ class Scanner:
         if hi >= 0:
             yield lo, hi
 
-    def _confirms(self, k: int, n: int, first: int, end: int, told: list[str]) -> bool:
-        """Few words differ, and none that has a number (a version is no wording)."""
-        return n <= MAX_DIFFERENT * len(self.words[k]) and not any(c.isdigit() for t in told for c in t)
+    def _sizes(self, said: list[str]) -> tuple[int, list[int]]:
+        """Compressed size of the words alone, and with each template."""
+        plain = " ".join(said).encode()
+        return len(self.alone.compress(plain)), [len(c.compress(plain)) for c in self.given]
+
+    def _confirms(self, told: list[str]) -> bool:
+        """No word differs that has a number (a version is no wording)."""
+        return not any(c.isdigit() for t in told for c in t)
+
+    def _aligned(self, own: list[str], most, confirmed: bool) -> dict[int, list[tuple[int, int, int, list[str]]]]:
+        """Of each template its alignments with fewest differences, at most ``most(its words)``, that do not overlap.
+
+        Confirmed: of those that confirm.  A template that lacks more of its words
+        in the stretch than may differ has no such alignment.
+        """
+        text, found = np.array([self.number.get(w, -1) for w in own], np.int32), {}
+        there = np.zeros(len(self.number) + 1, bool)  # the last place takes the words of no template
+        there[text] = True
+        for k, template in enumerate(self.coded):
+            limit = most(len(template))
+            if not len(template) or np.count_nonzero(~there[template]) > limit:
+                continue
+            cost = _costs(template, text)
+            ends = np.flatnonzero(cost[-1] <= limit)
+            kept: list[tuple[int, int, int, list[str]]] = []
+            for end in ends[np.argsort(cost[-1][ends], kind="stable")].tolist():
+                if kept and cost[-1, end] > kept[0][0]:
+                    break
+                one = _trace(cost, self.words[k], own, end)
+                if max(one[1], kept[-1][2] if kept else 0) == one[1] < end and (not confirmed or self._confirms(one[3])):
+                    kept.append(one)
+            if kept:
+                found[k] = kept
+        return found
 
     def find(self, text: str) -> list[tuple]:
         """(start, length, licence, wording, bytes alone, bytes given, differences, their list, confirmed) of the notices."""
@@ -137,21 +179,32 @@ class Scanner:
                 own = parts.pop()
                 if not own or not self.trigger.search(text[own[0][1]:own[-1][2]]):
                     continue
-                plain = (" ".join(w for w, _, _ in own)).encode()
-                alone = len(self.alone.compress(plain))
-                sizes = [len(c.compress(plain)) for c in self.given]
-                # of templates that save equally much the longer
-                rank = sorted(range(len(sizes)), key=lambda k: (sizes[k], -len(self.words[k]), k))
-                rank = [k for i, k in enumerate(rank) if i < TRIED or sizes[k] <= sizes[rank[0]] + TRIED_BYTES]
-                tried = [(k, *alignment(self.words[k], [w for w, _, _ in own])) for k in rank]
-                good = sorted((t for t in tried if self._confirms(*t)), key=lambda t: (t[1] > 0, t[1] / len(self.words[t[0]])))
-                k, n, first, end, told = good[0] if good else tried[0]
-                if not good:
-                    if sizes[k] < alone and n <= len(self.words[k]) // 2:
-                        out.append((own[first][1], own[end - 1][2] - own[first][1], self.names[k], k, alone, sizes[k], n, " ".join(told), False))
+                said = [w for w, _, _ in own]
+                good = self._aligned(said, lambda n: MAX_DIFFERENT * n, True)
+                near = good or self._aligned(said, lambda n: n // 2, False)
+                if not near:
                     continue
-                out.append((own[first][1], own[end - 1][2] - own[first][1], self.names[k], k, alone, sizes[k], n, " ".join(told), True))
-                parts += [own[end:], own[:first]]  # what is before and behind may hold others
+                alone, sizes = self._sizes(said)
+                # of templates that save equally much the longer
+                rank = sorted(near, key=lambda k: (sizes[k], -len(self.words[k]), k))
+                if good:
+                    k = min(rank, key=lambda k: (good[k][0][0] > 0, good[k][0][0] / len(self.words[k])))
+                else:
+                    k = next((k for k in rank if sizes[k] < alone), None)
+                    if k is None:  # a short notice in a long stretch: ranked again where it stands
+                        for j in rank:
+                            alone, sizes = self._sizes(said[near[j][0][1]:near[j][0][2]])
+                            if sizes[j] < alone:
+                                k = j
+                                break
+                        else:
+                            continue
+                at = 0
+                for n, first, end, told in near[k]:
+                    out.append((own[first][1], own[end - 1][2] - own[first][1], self.names[k], k, alone, sizes[k], n, " ".join(told), bool(good)))
+                    parts.append(own[at:first])  # what is before and behind may hold others
+                    at = end
+                parts.append(own[at:])
         out, clear = sorted(set(out), key=lambda f: (not f[-1], f[6], f)), []
         for f in out:  # overlapping parts may tell one notice twice: the clearest counts
             if all(f[0] >= g[0] + g[1] or g[0] >= f[0] + f[1] for g in clear if abs(g[0] - f[0]) < LONGEST):

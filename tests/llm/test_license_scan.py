@@ -34,6 +34,34 @@ def test_given_notices_and_changes():
     assert both == [("MIT", 0, "", True), ("Apache-2.0", 0, "", True)]
 
 
+def reworded(text):
+    """Every fifth word is another: too many to confirm, and the stretch still saves most with this template."""
+    return " ".join("somehow" if i % 5 == 4 else w for i, w in enumerate(text.split()))
+
+
+def test_short_notices_beside_reworded_long_ones():
+    """Whatever saves more bytes in the same stretch, a notice that stands there word for word is confirmed."""
+    scanner = op2.Scanner()
+    long = [(k, t) for k, (_, t) in enumerate(op2.TEMPLATES) if len(t) > 110]
+    for name, text in (t for t in op2.TEMPLATES if len(t[1]) < 80):
+        for a, one in long:
+            for _, two in long[:a]:
+                whole = PROSE + reworded(one) + ". " + reworded(two) + ". " + PROSE[:60] + " " + text + ". " + PROSE
+                found = [(f[2], f[6]) for f in scanner.find(whole) if f[8]]
+                assert found == [(name, 0)], (name, one, two, found)
+
+
+def test_a_stretch_tells_all_its_notices():
+    scanner = op2.Scanner()
+    told = lambda text: [(f[2], f[6], f[8]) for f in scanner.find(text)]
+    bsd, isc = (reworded(next(t for n, t in op2.TEMPLATES if n == name)) for name in ("BSD-3-Clause", "ISC"))
+    assert [(n, c) for n, _, c in told(f"{PROSE}{bsd}. {PROSE}{isc}. {PROSE}")] == [("BSD-3-Clause", False), ("ISC", False)]
+    gpl = "This work is {} under the GNU General Public License, version {}. "  # one word differs in both: a version is no wording
+    assert ("GPL-3.0", 1, True) in told(PROSE + gpl.format("licensed", 4) + PROSE + gpl.format("licenced", 3) + PROSE)
+    many = told("Released under the MIT License. " * 300 + gpl.format("licensed", 2) * 20)
+    assert many == [("MIT", 0, True)] * 300 + [("GPL-2.0", 0, True)] * 20
+
+
 def test_very_long_text_of_licence_words():
     scanner = op2.Scanner()
     text = "license " * 9000 + "Released under the MIT License. " + "license " * 9000
