@@ -61,3 +61,21 @@ def test_nothing_learned_and_empty_table(spark):
 def test_ties_go_to_the_language_with_most_rows(spark):
     model = op10.Classifier({"b": b"some learned words", "a": b"some learned words"})
     assert model.predict("some learned words") == ("b", 0.0)
+
+
+def test_score_and_choice_do_not_depend_on_length(spark):
+    """5 MB of one language are scored like 8 kB of it, and what is behind the first part counts as much."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = op10.Classifier(op10.learn(docs))
+    given = {}
+    for r in docs.filter(op10.held_out(docs.doc_id)).orderBy("doc_id").collect():
+        given.setdefault(r.lang, []).append(r.text or "")
+    long = {lang: (" ".join(given[lang]) + " ") * (5_000_000 // sum(map(len, given[lang])) + 1) for lang in ("en", "fr", "de")}
+    for lang, text in long.items():
+        assert len(text) >= 5_000_000
+        told, score = model.predict(text)
+        short = [model.predict(text[at:at + 8000]) for at in range(0, 80_000, 8000)]
+        assert told == lang and score >= op10.MIN_MARGIN
+        assert 0.5 * min(s for _, s in short) <= score <= 2 * max(s for _, s in short)
+    assert model.predict(long["en"][:1_000_000] + long["fr"][:3_000_000])[0] == "fr"
+    assert model.predict(long["fr"][:1_000_000] + long["en"][:3_000_000])[0] == "en"
