@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 
 from eventide.llm.common import ascii_lower, stage_table
 
-#: a subtree is template on so many different pages of a host, or on fewer that are at least half of them
+#: a subtree is template on so many different pages of a host that are a tenth of them, or on fewer that are at least half of them
 MANY_PAGES, FEW_PAGES = 5, 3
+PART = 10
+#: of a subtree on one page: it can be the article's own text, and is template only on half of the pages; it holds most of the text
+_STRICT, _MOST = 1, 2
 
 _TOKEN = re.compile(
     r"""[^<]+
@@ -97,6 +100,7 @@ class Page:
         self._decode = unescape if decode else str
         self.blocks: list[tuple[str, tuple[int, ...], bool, bool]] = []  # text, subtrees around it, in article, in main
         self.hashes: list[int] = []
+        self._strict: list[bool] = []
         self._text: list[str] = []
         self._stack = [_Node("", False, False, False, False)]
         self._read(html)
@@ -133,6 +137,7 @@ class Page:
         if not out and not own.soft and tag not in _INLINE and tag not in _FRAME and not (inside and tag in _PROSE):
             own.hash, own.ident = xxhash.xxh3_64(tag), len(self.hashes)
             self.hashes.append(0)
+            self._strict.append(inside or tag in _PROSE)
         self._stack.append(own)
 
     def _close(self) -> None:
@@ -214,20 +219,31 @@ class Page:
             self._close()
         self._flush()
 
+    def _chosen(self) -> list[tuple[str, tuple[int, ...], bool, bool]]:
+        for k in (2, 3):
+            if any(b[k] for b in self.blocks):
+                return [b for b in self.blocks if b[k]]
+        return self.blocks
+
     def text(self, template: frozenset[int] | set[int] = frozenset()) -> str:
         """The article's blocks (else main's, else all) without the subtrees whose hash is in ``template``."""
-        blocks = self.blocks
-        if any(b[2] for b in blocks):
-            blocks = [b for b in blocks if b[2]]
-        elif any(b[3] for b in blocks):
-            blocks = [b for b in blocks if b[3]]
+        blocks = self._chosen()
         if template:
             blocks = [b for b in blocks if not any(self.hashes[i] in template for i in b[1])]
         return "\n\n".join(b[0] for b in blocks)
 
-    def subtrees(self) -> set[int]:
-        """Hashes of the subtrees that hold text."""
-        return {self.hashes[i] for b in self.blocks for i in b[1]}
+    def subtrees(self) -> dict[int, int]:
+        """Hashes of the subtrees that hold text, each with its marks ``_STRICT`` and ``_MOST``."""
+        own, total = [0] * len(self.hashes), 0
+        for block in self._chosen():
+            total += len(block[0])
+            for i in block[1]:
+                own[i] += len(block[0])
+        found: dict[int, int] = {}
+        for i in {i for b in self.blocks for i in b[1]}:
+            h = self.hashes[i]
+            found[h] = found.get(h, 0) | _STRICT * self._strict[i] | _MOST * (2 * own[i] > total)
+        return found
 
 
 def _signed(h: int) -> int:
@@ -236,12 +252,14 @@ def _signed(h: int) -> int:
 
 def _hash_pages(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in frames:
-        own, marks = [], []
+        own, kinds, marks = [], [], []
         for html in pdf["html"]:
             page = Page(html or "", decode=False)
-            own.append([_signed(h) for h in sorted(page.subtrees())])
+            found = sorted(page.subtrees().items())
+            own.append([_signed(h) for h, _ in found])
+            kinds.append([kind for _, kind in found])
             marks.append(_signed(xxhash.xxh3_64_intdigest("\n".join(b[0] for b in page.blocks).encode("utf-8", "surrogatepass"))))
-        yield pd.DataFrame({"rid": pdf["rid"], "host": pdf["host"], "mark": marks, "hashes": own})
+        yield pd.DataFrame({"rid": pdf["rid"], "host": pdf["host"], "mark": marks, "hashes": own, "kinds": kinds})
 
 
 def _clean(htmls: pd.Series, cuts: pd.Series) -> pd.Series:
@@ -256,13 +274,19 @@ def _host(url):
 def templates(pages: DataFrame, many: int = MANY_PAGES, few: int = FEW_PAGES) -> DataFrame:
     """(rid, cut): for each row (rid, host, html) with template subtrees, their hashes.
 
-    Pages of a host with the same text count as one.
+    Pages of a host with the same text count as one.  A page tells nothing of a
+    subtree that holds most of its text: that is the text itself, if other pages
+    are near-copies.  What can be a part of the text, in an article or as a
+    paragraph, is template on at least half of the host's pages alone.
     """
-    hashed = stage_table(pages.mapInPandas(_hash_pages, "rid long, host string, mark long, hashes array<long>"), "subtrees")
-    each = hashed.select("host", "mark", F.explode("hashes").alias("h")).distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
+    hashed = stage_table(pages.mapInPandas(_hash_pages, "rid long, host string, mark long, hashes array<long>, kinds array<int>"), "subtrees")
+    each = hashed.select("host", "mark", F.explode(F.arrays_zip("hashes", "kinds")).alias("x")).groupBy(
+        "host", "mark", F.col("x.hashes").alias("h")).agg(F.bit_or("x.kinds").alias("kind"))
+    each = each.groupBy("host", "h").agg(F.count_if(F.col("kind").bitwiseAND(_MOST) == 0).alias("n"),
+                                         F.max(F.col("kind").bitwiseAND(_STRICT)).alias("strict"))
     size = hashed.select("host", "mark").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    common = each.filter(F.col("n") >= few).join(size, "host").filter(
-        (F.col("n") >= many) | (2 * F.col("n") >= F.col("pages"))).select("host", "h")
+    wide = (F.col("n") >= many) & (PART * F.col("n") >= F.col("pages")) & (F.col("strict") == 0)
+    common = each.filter(F.col("n") >= few).join(size, "host").filter(wide | (2 * F.col("n") >= F.col("pages"))).select("host", "h")
     found = hashed.select("rid", "host", F.explode("hashes").alias("h")).join(common, ["host", "h"])
     return stage_table(found.groupBy("rid").agg(F.collect_list("h").alias("cut")), "cut")  # of one page
 

@@ -56,6 +56,30 @@ def test_paragraphs_of_an_article_are_no_template(spark):
     assert got == {k: f"Said on every page.\n\nOnly {k}." for k in range(7)}
 
 
+def test_near_copies_keep_their_text(spark):
+    """Six near-copies differ in their headline alone; the host has many other pages with its box."""
+    body = "<p>Said of the matter at some length.</p><p>And more of it.</p><ul><li>shared one</li><li>shared two</li></ul>"
+    said = "Said of the matter at some length.\n\nAnd more of it.\n\nshared one\n\nshared two"
+    box = "<div class='x1'><p>Follow us</p></div>"
+    kinds = {"a.com": lambda k, text: f"<article><h1>Head {k}</h1><div>{text}</div>{box}</article>",
+             "b.com": lambda k, text: f"<main><h1>Head {k}</h1><section>{text}</section>{box}</main>",
+             "c.com": lambda k, text: f"<body>{box}<h1>Head {k}</h1><div>{text}</div></body>",
+             "d.com": lambda k, text: f"<body>{box}<h1>Head {k}</h1>{text}</body>"}
+    for n, hosts in ((14, ["a.com", "b.com"]), (80, list(kinds))):  # with 14 others the copies are more than a tenth of the pages
+        rows = [(100 * i + k, f"http://{host}/{k}", kinds[host](k, body if k < 6 else f"<p>Story {k} goes on.</p>"))
+                for i, host in enumerate(hosts) for k in range(6 + n)]
+        got = {r.page_id: r.text for r in op3.main_text(frame(spark, rows)).collect()}
+        for i, host in enumerate(hosts):
+            for k in range(6 + n):
+                assert got[100 * i + k] == f"Head {k}\n\n" + (said if k < 6 else f"Story {k} goes on."), (host, n, k)
+
+
+def test_all_pages_of_a_host_are_near_copies(spark):
+    rows = [(k, f"http://a.com/{k}", f"<article><h1>Head {k}</h1><div><p>Said of the matter at some length.</p></div></article>") for k in range(6)]
+    got = {r.page_id: r.text for r in op3.main_text(frame(spark, rows)).collect()}
+    assert got == {k: f"Head {k}\n\nSaid of the matter at some length." for k in range(6)}
+
+
 def test_empty_table(spark):
     assert op3.main_text(frame(spark, [])).collect() == []
 
