@@ -75,3 +75,45 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN n >= 100 AND k > 1 THEN first_id END AS refers_to, true AS verified
 FROM p
 """
+
+
+def _merkle() -> str:
+    """The manifest in SQL, its levels written out (8^8 rows of a language, 8^4 languages)."""
+    low, high = 8, 4
+    field = lambda c: f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    crc = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''),
+             lambda c: ascii(c)::BIGINT)), lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda y, z: xor(y >> 1, CASE WHEN y % 2 = 1 THEN 3988292384::BIGINT ELSE 0 END))), 4294967295)"""
+
+    def level(name: str, before: str) -> list[str]:
+        run = "(PARTITION BY t, i // 8 ORDER BY i ROWS BETWEEN"
+        return [
+            f"{name}p AS (SELECT t, i, coalesce(string_agg(h, '') OVER {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,"
+            f" coalesce(string_agg(h, '') OVER {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r,"
+            f" count(*) OVER (PARTITION BY t) > 1 AS more FROM {before})",
+            f"{name} AS (SELECT t, i // 8 AS i, CASE WHEN any_value(c) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h"
+            f" FROM (SELECT *, count(*) OVER (PARTITION BY t) AS c FROM {before}) GROUP BY t, i // 8)"]
+
+    ctes = [f"""d AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t, {leaf('text')} AS leaf,
+         {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS low, {crc} % 3 = 0 AS bad
+  FROM documents)""", "e AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id) - 1 AS i FROM d)",
+            "a0 AS (SELECT t, i, leaf AS h FROM e)"]
+    for k in range(low):
+        ctes += level(f"a{k + 1}", f"a{k}")
+    ctes.append(f"b0 AS (SELECT 0 AS t, t AS i, h FROM a{low})")
+    for k in range(high):
+        ctes += level(f"b{k + 1}", f"b{k}")
+    steps = [(f"a{k + 1}p", f"p.t = f.t AND p.i = f.i // {8 ** k}") for k in range(low)]
+    steps += [(f"b{k + 1}p", f"p.i = f.t // {8 ** k}") for k in range(high)]
+    ctes.append("f0 AS (SELECT doc_id, leaf, t, i, CASE WHEN bad THEN low ELSE leaf END AS h, '' AS s FROM e)")
+    for k, (table, on) in enumerate(steps):
+        ctes.append(f"f{k + 1} AS (SELECT doc_id, leaf, f.t, f.i, CASE WHEN more THEN sha256(l || h || r) ELSE h END AS h,"
+                    f" CASE WHEN more THEN s || l || r ELSE s END AS s FROM f{k} f JOIN {table} p ON {on})")
+    return ("WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(s) AS proof_sha256, f.h AS folded_root, f.h = top.h AS verified
+FROM f{low + high} f JOIN a{low} sub ON sub.t = f.t CROSS JOIN b{high} top""")
+
+
+ORACLE["op11_merkle_manifest"] = _merkle()

@@ -16,6 +16,7 @@ from eventide.llm import op7_exact_dedup as op7
 from eventide.llm import op8_minhash_dedup as op8
 from eventide.llm import op9_url_filter as op9
 from eventide.llm import op10_language_id as op10
+from eventide.llm import op11_merkle_manifest as op11
 from eventide.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +80,11 @@ def q_language_id(spark, sf):
     return op10.predict_languages(table(spark, sf, "documents"))
 
 
+@query("op11_merkle_manifest")
+def q_merkle_manifest(spark, sf):
+    return op11.manifest(table(spark, sf, "documents")).drop("proof")
+
+
 @query("pipeline")
 def q_pipeline(spark, sf):
     import corpus_pipeline
