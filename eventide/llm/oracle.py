@@ -117,3 +117,41 @@ FROM f{low + high} f JOIN a{low} sub ON sub.t = f.t CROSS JOIN b{high} top""")
 
 
 ORACLE["op11_merkle_manifest"] = _merkle()
+
+ORACLE["op12_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, rid, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+c AS (SELECT key, count(DISTINCT doc_id) AS docs, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key),
+m AS (SELECT k.*, coalesce(docs >= 3 AND doc_id <> last, false) AS gone FROM k LEFT JOIN c USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid
+"""
+
+ORACLE["op13_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+s AS (SELECT count(*) AS docs, sum(len(ws))::BIGINT AS total FROM d WHERE len(ws) > 0),
+w AS (SELECT doc_id, rid, len(ws) AS n, unnest(ws) AS term FROM d),
+tf AS (SELECT rid, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM w GROUP BY rid, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (
+  SELECT item_id,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+qt AS (SELECT item_id, term, count(*) AS often FROM q GROUP BY item_id, term),
+part AS (
+  SELECT item_id, doc_id, rid,
+         often * floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+         * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total))) AS p
+  FROM qt JOIN df USING (term) JOIN tf USING (term) CROSS JOIN s),
+sums AS (SELECT item_id, any_value(doc_id) AS doc_id, sum(p)::BIGINT AS score FROM part GROUP BY item_id, rid),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM sums WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 10
+"""

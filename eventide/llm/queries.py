@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventide.llm import op1_sentencepiece as op1
 from eventide.llm import op2_license_scan as op2
@@ -17,6 +18,8 @@ from eventide.llm import op8_minhash_dedup as op8
 from eventide.llm import op9_url_filter as op9
 from eventide.llm import op10_language_id as op10
 from eventide.llm import op11_merkle_manifest as op11
+from eventide.llm import op12_line_dedup as op12
+from eventide.llm import op13_lexical_search as op13
 from eventide.llm.common import table, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +88,17 @@ def q_merkle_manifest(spark, sf):
     return op11.manifest(table(spark, sf, "documents")).drop("proof")
 
 
+@query("op12_line_dedup")
+def q_line_dedup(spark, sf):
+    return op12.dedup_lines(table(spark, sf, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op13_lexical_search")
+def q_lexical_search(spark, sf):
+    return op13.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query("pipeline")
 def q_pipeline(spark, sf):
     import corpus_pipeline
