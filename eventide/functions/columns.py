@@ -24,18 +24,28 @@ def pick(values: list, index: Column) -> Column:
     return F.try_element_at(arr, (index + 1).cast("int"))
 
 
-def ntz_to_millis(ts: Column) -> Column:
-    """Epoch milliseconds of a TIMESTAMP_NTZ (wall time read as UTC)."""
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
-EPOCH_NTZ = "1970-01-01 00:00:00"
+def ntz_to_micros(ts: Column) -> Column:
+    """Epoch microseconds of a TIMESTAMP_NTZ (wall time read as UTC).
+
+    By subtraction: ``timestamp_diff`` goes through the session's time zone,
+    where the hour that summer time skips does not exist.
+    """
+    since = (ts - F.lit(EPOCH_NTZ).cast("timestamp_ntz")).cast("interval second")
+    return (since.cast("decimal(24,6)") * 1_000_000).cast("long")
+
+
+def ntz_to_millis(ts: Column) -> Column:
+    """Epoch milliseconds of a TIMESTAMP_NTZ (wall time read as UTC)."""
+    return F.floor(ntz_to_micros(ts).cast("decimal(20,0)") / 1000).cast("long")
 
 
 def ntz_to_instant(ts: Column) -> Column:
     """TIMESTAMP_NTZ (UTC wall time) -> TIMESTAMP instant, independent of the
     session time zone (watermarks need TIMESTAMP)."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts))
+    return F.timestamp_micros(ntz_to_micros(ts))
 
 
 def instant_to_ntz(ts: Column) -> Column:

@@ -114,7 +114,11 @@ def fraud_alerts(orders: DataFrame, rule: FraudRule = FraudRule(), key: str = "c
                  ts: str = "placed_at", order_id: str = "order_id", amount: str = "amount",
                  region: str = "region") -> DataFrame:
     """A-2: one alert per order whose running window stats reach the score."""
-    run = running_window_stats(orders, rule, key, ts, order_id, amount, region)
+    return alert_rows(running_window_stats(orders, rule, key, ts, order_id, amount, region), rule, key, order_id)
+
+
+def alert_rows(run: DataFrame, rule: FraudRule, key: str = "customer_id", order_id: str = "order_id") -> DataFrame:
+    """The alerts of running window stats, from the batch or from the stream."""
     scored = _score(run, rule)
     return scored.select(
         F.concat(F.lit("alert-"), F.col(order_id)).alias("alert_id"),

@@ -17,10 +17,10 @@ SELECT o.order_id, o.customer_id,
        coalesce(p.name, '{S.UNKNOWN_CUSTOMER_NAME}') AS customer_name,
        coalesce(p.email, '{S.UNKNOWN_CUSTOMER_EMAIL}') AS customer_email,
        coalesce(p.tier, 'standard') AS customer_tier,
-       o.total_amount, o.currency,
+       o.item_count, o.items, o.total_amount, o.currency,
        coalesce(o.total_amount, 0) > {S.HIGH_VALUE_THRESHOLD} AS is_high_value,
        o.region, o.placed_at, o.placed_at AS enriched_at
-FROM orders_placed o LEFT JOIN customer_profiles p ON o.customer_id = p.customer_id""")
+FROM orders_with_items o LEFT JOIN customer_profiles p ON o.customer_id = p.customer_id""")
 
 oracle("compact_latest", "SELECT * FROM customer_profiles")
 
@@ -220,45 +220,43 @@ FROM orders_placed o LEFT JOIN (SELECT order_id, count(*) AS n, sum(quantity) AS
                                 FROM order_items GROUP BY order_id) i ON o.order_id = i.order_id""")
 oracle("high_value_flag", f"""SELECT order_id, total_amount,
        coalesce(total_amount, 0) > {S.HIGH_VALUE_THRESHOLD} AS is_high_value FROM orders_placed""")
+_GOOD = f"{_K} % 20 <> 0"  # every 20th value of the log is not JSON
+_ORDER_COLS = ["order_id", "customer_id", "item_count", "items", "total_amount", "currency", "payment_method", "shipping_address",
+               "region", "placed_at"]
 oracle("decode_json", f"""
-SELECT customer_id AS key, {_K} % 20 <> 0 AS decoded,
-       CASE WHEN {_K} % 20 <> 0 THEN order_id END AS order_id,
-       CASE WHEN {_K} % 20 <> 0 THEN total_amount END AS total_amount,
-       CASE WHEN {_K} % 20 <> 0 THEN region END AS region,
-       CASE WHEN {_K} % 20 <> 0 THEN placed_at END AS placed_at
-FROM orders_placed""")
+SELECT customer_id AS key, {_GOOD} AS decoded, {", ".join(f"CASE WHEN {_GOOD} THEN {c} END AS {c}" for c in _ORDER_COLS)}
+FROM orders_with_items""")
 oracle("eos_transform", f"""
-SELECT order_id, customer_id, total_amount, currency, payment_method, shipping_address, region, placed_at,
-       placed_at AS enriched_at, 0 AS processor_instance,
+SELECT key, source_partition, source_offset, {", ".join(_ORDER_COLS)}, placed_at AS enriched_at, 0 AS processor_instance,
        coalesce(total_amount, 0) > {S.HIGH_VALUE_THRESHOLD} AS is_high_value
-FROM orders_placed WHERE {_K} % 20 <> 0""")
+FROM (SELECT *, customer_id AS key, p AS source_partition,
+             CAST(row_number() OVER (PARTITION BY p ORDER BY placed_at, {_K}) - 1 AS BIGINT) AS source_offset
+      FROM (SELECT *, {_duck_region_partition('customer_id', 'region', _ALL)} AS p FROM orders_with_items) x) y
+WHERE {_GOOD}""")
 def _json_field(col: str, kind: str) -> str:
     """One ``"name":value`` member as Spark's to_json writes it (NULL: left out)."""
     if kind == "str":
         val = f"to_json({col})::VARCHAR"
     elif kind == "ts":  # timestamp_ntz -> yyyy-MM-ddTHH:mm:ss.SSS
         val = f"'\"' || strftime({col}, '%Y-%m-%dT%H:%M:%S.%g') || '\"'"
+    elif kind == "json":
+        return f"""'"{col}":' || {col}_json"""
     else:  # decimal keeps its scale
         val = f"CAST({col} AS VARCHAR)"
     return f"""CASE WHEN {col} IS NOT NULL THEN '"{col}":' || {val} END"""
 
 
-_ORDER_JSON = [("order_id", "str"), ("customer_id", "str"), ("total_amount", "num"), ("currency", "str"),
+_ORDER_JSON = [("order_id", "str"), ("customer_id", "str"), ("items", "json"), ("total_amount", "num"), ("currency", "str"),
                ("payment_method", "str"), ("shipping_address", "str"), ("region", "str"), ("placed_at", "ts")]
 oracle("encode_json", f"""
 SELECT customer_id AS key,
        '{{' || concat_ws(',', {", ".join(_json_field(c, k) for c, k in _ORDER_JSON)}) || '}}' AS value
-FROM orders_placed""")
+FROM orders_with_items""")
 
 oracle("order_wire", """
-SELECT o.order_id, customer_id, CAST(total_amount AS DOUBLE) AS total_amount, currency, payment_method, shipping_address, region,
-       epoch_ms(placed_at) AS placed_at, CAST(coalesce(n, 0) AS INTEGER) AS item_count, coalesce(lines, '') AS items
-FROM orders_placed o LEFT JOIN (
-  SELECT order_id, count(*) AS n,
-         string_agg(concat_ws('|', product_id, product_name, CAST(quantity AS VARCHAR),
-                              CAST(CAST(round(CAST(unit_price AS DOUBLE) * 100) AS BIGINT) AS VARCHAR)), ';'
-                  ORDER BY line_number, product_id, product_name, quantity, unit_price) AS lines
-  FROM order_items GROUP BY order_id) i ON o.order_id = i.order_id""")
+SELECT order_id, customer_id, CAST(total_amount AS DOUBLE) AS total_amount, currency, payment_method, shipping_address, region,
+       epoch_ms(placed_at) AS placed_at, item_count, items
+FROM orders_with_items""")
 _OK = f"(CAST(('0x' || substr(md5(order_id), 1, 8)) AS BIGINT) % 100 < {S.PAYMENT_SUCCESS_PERCENT})"
 oracle("payments", f"""
 SELECT {_uuid("'payment:' || order_id")} AS payment_id, order_id, customer_id, total_amount AS amount,
@@ -319,16 +317,15 @@ oracle("classify_errors", f"""SELECT event_id, error_name, {_ET} AS error_type,
 oracle("record_headers", """SELECT topic, "partition", "offset", 3 AS header_count,
        'txn-' || topic || '-' || CAST("partition" AS VARCHAR) AS transaction_id,
        CAST("partition" AS VARCHAR) AS source_partition, CAST("offset" AS VARCHAR) AS source_offset FROM event_log""")
-oracle("evolve_orders", """
-SELECT order_id, customer_id, total_amount, currency, payment_method, shipping_address, region, placed_at,
+oracle("evolve_orders", f"""
+SELECT {", ".join(_ORDER_COLS)},
        NULL::VARCHAR AS coupon_code, 'standard' AS priority, '' AS metadata_keys, NULL::VARCHAR AS metadata_priority_code
 FROM orders_v1
 UNION ALL
-SELECT order_id, customer_id, total_amount, currency, payment_method, shipping_address, region, placed_at,
+SELECT {", ".join(_ORDER_COLS)},
        coupon_code, priority, 'priority_code,source' AS metadata_keys, o_orderpriority AS metadata_priority_code
 FROM orders_v2""")
-oracle("project_v1", """SELECT order_id, customer_id, total_amount, currency, payment_method, shipping_address,
-       region, placed_at FROM orders_v2""")
+oracle("project_v1", f"""SELECT {", ".join(_ORDER_COLS)} FROM orders_v2""")
 
 # --- joins ---------------------------------------------------------------------------
 oracle("enrich_orders_asof", f"""
@@ -336,12 +333,15 @@ SELECT o.order_id, o.customer_id,
        coalesce(p.name, '{S.UNKNOWN_CUSTOMER_NAME}') AS customer_name,
        coalesce(p.email, '{S.UNKNOWN_CUSTOMER_EMAIL}') AS customer_email,
        coalesce(p.tier, 'standard') AS customer_tier,
-       o.total_amount, o.currency, coalesce(o.total_amount, 0) > {S.HIGH_VALUE_THRESHOLD} AS is_high_value,
+       o.item_count, o.items, o.total_amount, o.currency,
+       coalesce(o.total_amount, 0) > {S.HIGH_VALUE_THRESHOLD} AS is_high_value,
        o.region, o.placed_at, o.placed_at AS enriched_at
-FROM orders_placed o ASOF LEFT JOIN profile_updates p
+FROM orders_with_items o ASOF LEFT JOIN profile_updates p
   ON o.customer_id = p.customer_id AND o.placed_at >= p.updated_at""")
 oracle("fk_orphans", """SELECT order_id, customer_id FROM orders_placed o
-WHERE customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer_profiles p WHERE p.customer_id = o.customer_id)""")
+WHERE customer_id IS NOT NULL AND customer_id NOT IN (
+  SELECT key FROM (SELECT key, op FROM customer_changes QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts_ms DESC, seq DESC) = 1) c
+  WHERE op <> 'd')""")
 
 # --- sources --------------------------------------------------------------------------
 oracle("scan_topic", "SELECT * FROM event_log WHERE topic = 'orders.placed'")
@@ -452,6 +452,19 @@ ORACLE["enrich_orders_stream"] = ORACLE["enrich_orders"]
 ORACLE["order_state_changes_stream"] = ORACLE["order_state_changes"]
 ORACLE["order_state_changes_stream_state"] = ORACLE["order_state_changes"]
 ORACLE["fraud_alerts_stream"] = ORACLE["fraud_alerts"]
+ORACLE["state_history_stream"] = ORACLE["state_history"]
+from eventide.plans.queries import LATE_ORDER_DELAY, LATE_ORDER_JITTER, WEEKS  # noqa: E402
+
+_SLICE = " + ".join(f"CAST(arrival >= TIMESTAMP '{w}' AS INTEGER)" for w in WEEKS)
+oracle("fraud_alerts_late", """
+SELECT customer_id, order_id, window_start, window_end, placed_at
+FROM sliced JOIN marks USING (slice) WHERE epoch_ms(placed_at) <= watermark_ms""", {
+    **_FRAUD_BASE,
+    "sliced": f"""SELECT *, {_SLICE} AS slice
+FROM (SELECT *, placed_at + to_seconds((event_id * 7919) % {LATE_ORDER_JITTER}) AS arrival FROM fw) a""",
+    # the watermark of a slice: the newest time of all slices before it, less the delay
+    "marks": f"""SELECT s.slice, (SELECT epoch_ms(max(placed_at)) - {LATE_ORDER_DELAY * 1000} FROM sliced b WHERE b.slice < s.slice) AS watermark_ms
+FROM (SELECT DISTINCT slice FROM sliced) s"""})
 oracle("late_events", """
 SELECT order_id, created_at, watermark FROM (
   SELECT order_id, created_at,

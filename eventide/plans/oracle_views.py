@@ -66,7 +66,7 @@ SELECT 'cust-' || CAST(c_custkey AS VARCHAR) AS customer_id,
        {TIERS}[CAST(({_tier_index()} + v) % 3 AS INTEGER) + 1] AS tier,
        CAST(coalesce(cnt, 0) AS INTEGER) AS lifetime_orders,
        TIMESTAMP '{V.PROFILE_EPOCH}' + to_days(CAST(v * 800 + (c_custkey * 7) % 700 AS INTEGER)) AS updated_at
-FROM (SELECT *, unnest(range({V.PROFILE_VERSIONS})) AS v FROM customer WHERE c_custkey % 10 <> 0) c
+FROM (SELECT *, unnest(range({V.PROFILE_VERSIONS})) AS v FROM customer) c
 LEFT JOIN nation ON c_nationkey = n_nationkey
 LEFT JOIN (SELECT o_custkey, count(*) AS cnt FROM orders GROUP BY o_custkey) oc ON c_custkey = oc.o_custkey""",
     "customer_profiles": """
@@ -153,13 +153,25 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + sql
 
 
+VIEWS["order_lines"] = """
+SELECT order_id AS line_order, count(*) AS n,
+       string_agg(concat_ws('|', product_id, product_name, CAST(quantity AS VARCHAR), CAST(CAST(unit_price * 100 AS BIGINT) AS VARCHAR)), ';'
+                  ORDER BY line_number, product_id, product_name, quantity, unit_price) AS lines,
+       string_agg('{' || concat_ws(',', '"product_id":' || to_json(product_id)::VARCHAR, '"product_name":' || to_json(product_name)::VARCHAR,
+                                   '"quantity":' || CAST(quantity AS VARCHAR), '"unit_price":' || CAST(unit_price AS VARCHAR)) || '}', ','
+                  ORDER BY line_number, product_id, product_name, quantity, unit_price) AS json_lines
+FROM order_items GROUP BY order_id"""
+VIEWS["orders_with_items"] = """
+SELECT orders_placed.*, CAST(coalesce(n, 0) AS INTEGER) AS item_count, coalesce(lines, '') AS items,
+       '[' || coalesce(json_lines, '') || ']' AS items_json
+FROM orders_placed LEFT JOIN order_lines ON order_id = line_order"""
 VIEWS["orders_v1"] = """
-SELECT * FROM orders_placed WHERE CAST(substr(order_id, 7) AS BIGINT) % 2 = 0"""
+SELECT * EXCLUDE (items_json) FROM orders_with_items WHERE CAST(substr(order_id, 7) AS BIGINT) % 2 = 0"""
 VIEWS["orders_v2"] = """
-SELECT p.*, CASE WHEN o_orderkey % 3 = 0 THEN 'SAVE' || CAST(o_orderkey % 50 AS VARCHAR) END AS coupon_code,
+SELECT p.* EXCLUDE (items_json), CASE WHEN o_orderkey % 3 = 0 THEN 'SAVE' || CAST(o_orderkey % 50 AS VARCHAR) END AS coupon_code,
        CASE WHEN starts_with(o_orderpriority, '1') THEN 'high' ELSE 'standard' END AS priority,
        o_orderpriority
-FROM orders_placed p JOIN orders ON p.order_id = 'order-' || CAST(o_orderkey AS VARCHAR)
+FROM orders_with_items p JOIN orders ON p.order_id = 'order-' || CAST(o_orderkey AS VARCHAR)
 WHERE o_orderkey % 2 = 1"""
 VIEWS["sparse_orders"] = """
 SELECT order_id, customer_id, total_amount,
@@ -175,5 +187,6 @@ SELECT CASE WHEN updated_at < TIMESTAMP '1996-06-01 00:00:00' THEN 'c'
             ELSE 'u' END AS op,
        customer_id AS key, name, email, region, tier, epoch_ms(updated_at) AS ts_ms, 0 AS seq
 FROM profile_updates"""
-_DEPS.update({"orders_v1": ["orders_placed"], "orders_v2": ["orders_placed"],
+_DEPS.update({"order_lines": ["order_items"], "orders_with_items": ["orders_placed", "order_lines"],
+              "orders_v1": ["orders_with_items"], "orders_v2": ["orders_with_items"],
               "sparse_orders": ["orders_placed"], "customer_changes": ["profile_updates"]})

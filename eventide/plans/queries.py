@@ -24,9 +24,17 @@ def query(name: str):
     return deco
 
 
+def _items_as_text(df: DataFrame) -> DataFrame:
+    """The nested ``items`` as a count and one text (product|name|quantity|cents; ...), for plain comparison."""
+    line = lambda x: F.concat_ws("|", x["product_id"], x["product_name"], x["quantity"].cast("string"),
+                                 F.round(x["unit_price"] * 100).cast("long").cast("string"))
+    return df.withColumns({"item_count": F.when(F.col("items").isNotNull(), F.size("items")),
+                           "items": F.array_join(F.transform("items", line), ";")})
+
+
 @query("enrich_orders")
 def q_enrich_orders(spark, sf):
-    return joins.enrich_orders(V.orders_placed(spark, sf), V.customer_profiles(spark, sf))
+    return _items_as_text(joins.enrich_orders(V.orders_with_items(spark, sf), V.customer_profiles(spark, sf)))
 
 
 @query("compact_latest")
@@ -163,28 +171,25 @@ def q_high_value_flag(spark, sf):
     return o.select("order_id", "total_amount", joins.high_value(F.col("total_amount")).alias("is_high_value"))
 
 
-def _decoded_orders(spark, sf):
-    return TP.decode_json(V.orders_log(spark, sf), V.ORDER_JSON_SCHEMA, keep=["key"])
-
-
 @query("decode_json")
 def q_decode_json(spark, sf):
-    return _decoded_orders(spark, sf).select("key", "decoded", "order_id", "total_amount", "region", "placed_at")
+    return _items_as_text(TP.decode_json(V.orders_log(spark, sf), S.ORDER_PLACED_V1, keep=["key"]).drop("value"))
+
+
+def _eos(log):
+    """Decoded orders with what the exactly-once path adds: the input's key, partition and offset."""
+    d = TP.decode_json(log, S.ORDER_PLACED_V1, keep=["key", "partition", "offset"]).filter("decoded").drop("decoded", "value")
+    return TR.eos_transform(d.withColumnsRenamed({"partition": "source_partition", "offset": "source_offset"}), processor_instance=0)
 
 
 @query("eos_transform")
 def q_eos_transform(spark, sf):
-    d = _decoded_orders(spark, sf).filter(F.col("decoded")).drop("decoded", "value", "key")
-    return TR.eos_transform(d, processor_instance=0)
+    return _items_as_text(_eos(V.orders_log(spark, sf)))
 
 
 @query("order_wire")
 def q_order_wire(spark, sf):
-    w = TR.order_wire(V.orders_with_items(spark, sf))
-    line = lambda x: F.concat_ws("|", x["product_id"], x["product_name"], x["quantity"].cast("string"),
-                                 F.round(x["unit_price"] * 100).cast("long").cast("string"))
-    return w.select("order_id", "customer_id", "total_amount", "currency", "payment_method", "shipping_address", "region",
-                    "placed_at", F.size("items").alias("item_count"), F.array_join(F.transform("items", line), ";").alias("items"))
+    return _items_as_text(TR.order_wire(V.orders_with_items(spark, sf)))
 
 
 @query("payments")
@@ -249,32 +254,33 @@ def q_record_headers(spark, sf):
 
 @query("encode_json")
 def q_encode_json(spark, sf):
-    return TR.encode_json(V.orders_placed(spark, sf), key="customer_id")
+    return TR.encode_json(V.orders_with_items(spark, sf).select(*S.ORDER_V1_FIELDS), key="customer_id")
 
 
 @query("evolve_orders")
 def q_evolve_orders(spark, sf):
     e = TR.evolve_to_v2(V.orders_v1(spark, sf), V.orders_v2(spark, sf))
-    return e.select(*[c for c in e.columns if c != "metadata"],
+    return _items_as_text(e).select(*[c for c in e.columns if c != "metadata"], "item_count",
                     F.concat_ws(",", F.array_sort(F.map_keys("metadata"))).alias("metadata_keys"),
                     F.col("metadata")["priority_code"].alias("metadata_priority_code"))
 
 
 @query("project_v1")
 def q_project_v1(spark, sf):
-    return TR.project_v1(V.orders_v2(spark, sf))
+    return _items_as_text(TR.project_v1(V.orders_v2(spark, sf)))
 
 
 # --- joins (J-3, J-4) -----------------------------------------------------------
 @query("enrich_orders_asof")
 def q_enrich_orders_asof(spark, sf):
-    return joins.enrich_orders_asof(V.orders_placed(spark, sf), V.profile_updates(spark, sf))
+    return _items_as_text(joins.enrich_orders_asof(V.orders_with_items(spark, sf), V.profile_updates(spark, sf)))
 
 
 @query("fk_orphans")
 def q_fk_orphans(spark, sf):
-    return joins.fk_orphans(V.orders_placed(spark, sf), V.customer_profiles(spark, sf),
-                            "customer_id", "customer_id").select("order_id", "customer_id")
+    """J-4: orders whose customer the change log has deleted."""
+    return joins.fk_orphans(V.orders_placed(spark, sf), TP.cdc_apply(V.customer_changes(spark, sf)),
+                            "customer_id", "key").select("order_id", "customer_id")
 
 
 # --- sources (S-1 .. S-6, S-8) ------------------------------------------------------
@@ -459,8 +465,8 @@ def q_upsert_sink(spark, sf):
     t = F.col("updated_at")
     batches = [t.isNull() | (t < _ts(UPSERT_CUTS[0])), (t >= _ts(UPSERT_CUTS[0])) & (t < _ts(UPSERT_CUTS[1])), t >= _ts(UPSERT_CUTS[1])]
     for i, cond in enumerate(batches):
-        K.upsert(p.filter(cond), path, ["customer_id"], ["updated_at"], version=i)
-    return K.read_upserted(spark, path)
+        K.upsert(p.filter(cond), path, version=i)
+    return K.read_upserted(spark, path, ["customer_id"], ["updated_at"])
 
 
 ARCHIVE_DAYS = ("2024-01-05", "2024-01-12")
@@ -502,6 +508,7 @@ def q_fan_out(spark, sf):
 
 
 # --- streaming (T-3 .. T-7, J-2, T-4, F-5) ---------------------------------------------
+from eventide.streaming import keyed_state as KS  # noqa: E402
 from eventide.streaming import pipelines as ST  # noqa: E402
 from eventide.functions.scan import running_sums  # noqa: E402
 
@@ -513,28 +520,21 @@ def _stage(df, spark, name):
     return path
 
 
-def _eos_transform(batch):
-    d = TP.decode_json(batch, V.ORDER_JSON_SCHEMA, keep=["topic", "partition", "offset"])
-    return TR.eos_transform(d.filter(F.col("decoded")).drop("decoded", "value", "topic", "partition", "offset"))
-
-
 def _eos_run(spark, sf, runs=2, aborted=False):
     src = _stage(V.orders_log(spark, sf), spark, "eos-src")
-    out, ledger = scratch_path(spark, "eos-out"), scratch_path(spark, "eos-ledger")
-    writer = ST.exactly_once_writer(_eos_transform, out, ledger)
-    for r in range(runs):  # the second run replays every batch (offsets lost)
+    out = scratch_path(spark, "eos-out")
+    for r in range(runs):  # the second run replays every batch (its checkpoint is lost)
         stream = ST.file_stream(spark, src, S.LOG, max_files_per_trigger=2)
-        ST.run_until_caught_up(stream, writer, scratch_path(spark, f"eos-ckpt{r}"))
-    if aborted:  # a batch whose data landed but whose commit marker did not
-        bad = _eos_transform(spark.read.parquet(src))
-        bad.write.parquet(f"{out}/attempt=b999999-dead")
-    return ST.read_committed(spark, out, ledger)
+        ST.run_exactly_once(_eos(stream), out, scratch_path(spark, f"eos-ckpt{r}"))
+    if aborted:  # files of a batch that landed but was never committed
+        _eos(spark.read.parquet(src)).write.mode("append").parquet(out)
+    return _items_as_text(ST.read_committed(spark, out))
 
 
 WEEKS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00", "2024-01-29 00:00:00"]
 
 
-def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WEEKS):
+def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WEEKS, tick=None):
     """Feed ``df`` to a stream slice by slice of ``ts`` (each slice is
     appended to the source folder, then the query catches up): bounded
     micro-batches in arrival order, like a live topic.  Cuts are timestamps
@@ -554,40 +554,67 @@ def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WE
         df.filter(cond).write.mode("append").parquet(src)
         yield ST.file_stream(spark, src, df.schema), ckpt
         lo = hi
+    if tick is not None:
+        tick.write.mode("append").parquet(src)
+        yield ST.file_stream(spark, src, df.schema), ckpt
+
+
+YEARS = [f"{y}-01-01 00:00:00" for y in range(1997, 2002, 2)]
+#: seconds by which rows arrive late at most, in the queries of rows out of order
+DAY = 86400
+
+
+def _out_of_order(df, at, number, seconds):
+    """``df`` with the time a row arrives: up to ``seconds`` after its own, by its number."""
+    late_by = F.make_dt_interval(secs=F.pmod(F.col(number) * 7919, F.lit(seconds)))
+    return df.withColumn("__arrival", F.col(at) + late_by)
+
+
+def _tick(df, at):
+    """One row of nulls with a time far ahead: a source's heartbeat, which moves the watermark past all rows before it."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    return df.sparkSession.range(1).select(*nulls).withColumn(at, _ts("2100-01-01 00:00:00"))
+
+
+def _run_slices(spark, df, arrival, at, name, build, cuts):
+    """Feed ``df`` in slices of ``arrival`` and then a tick to the stream that ``build`` makes; (its output, its checkpoint)."""
+    out, ckpt = scratch_path(spark, f"{name}-out"), None
+    for stream, ckpt in _stream_in_slices(spark, df, arrival, name, None, cuts=cuts, tick=_tick(df, at)):
+        ST.run_until_caught_up(build(stream), ST.append_batches(out), ckpt)
+    return ST.read_batches(spark, out).drop("batch_id"), ckpt
 
 
-YEARS = [f"{y}-01-01 00:00:00" for y in range(1995, 2002)]
+def _enrichment_events(spark, sf):
+    """Orders and profile updates as one stream of both kinds, and the orders' schema."""
+    orders = V.orders_with_items(spark, sf)
+    number = lambda c: F.substring_index(c, "-", -1).cast("long")
+    events = orders.select(
+        F.lit("order").alias("kind"), "customer_id", F.col("placed_at").alias("at"), KS.order_payload(orders).alias("payload"),
+        number("order_id").alias("number")).unionByName(V.profile_updates(spark, sf).select(
+            F.lit("profile").alias("kind"), "customer_id", F.col("updated_at").alias("at"), "name", "email", "tier",
+            number("customer_id").alias("number")), allowMissingColumns=True)
+    return events, orders.schema
 
 
-def _interleaved_input(spark, sf):
-    orders = V.orders_placed(spark, sf)
-    profiles = V.profile_updates(spark, sf)
-    tagged = (orders.withColumn("kind", F.lit("order")).withColumn("__t", F.col("placed_at"))
-              .unionByName(profiles.withColumn("kind", F.lit("profile")).withColumn("__t", F.col("updated_at")),
-                           allowMissingColumns=True))
-    return orders, profiles, tagged
+def _enriched_by_stream(spark, sf, name, delay, shuffled):
+    events, schema = _enrichment_events(spark, sf)
+    if shuffled:
+        events = _out_of_order(events, "at", "number", delay)
+    got, _ = _run_slices(spark, events, "__arrival" if shuffled else "at", "at", name,
+                         lambda s: KS.asof_enrichment_stream(s, schema, delay), YEARS)
+    return _items_as_text(got.filter("kind = 'order' and not late").drop("kind", "late"))
 
 
 @query("enrich_orders_interleaved_state")
 def q_enrich_orders_interleaved_state(spark, sf):
-    """J-2 on applyInPandasWithState (latest profile per customer in the
-    RocksDB state store), fed in event-time slices."""
-    _orders, _profiles, tagged = _interleaved_input(spark, sf)
-    out = scratch_path(spark, "j2s-out")
-    for stream, ckpt in _stream_in_slices(spark, tagged, "__t", "j2s", None, cuts=YEARS):
-        ST.run_until_caught_up(ST.interleaved_enrichment_stream(stream), ST.append_batches(out), ckpt)
-    return ST.read_batches(spark, out).drop("batch_id")
+    """J-2: orders and profile updates on one stream, in event-time slices."""
+    return _enriched_by_stream(spark, sf, "j2s", DAY, False)
 
 
 @query("enrich_orders_interleaved")
 def q_enrich_orders_interleaved(spark, sf):
-    """J-2: profile updates and orders on one stream, in event-time slices."""
-    orders, profiles, tagged = _interleaved_input(spark, sf)
-    out, table = scratch_path(spark, "j2-out"), scratch_path(spark, "j2-table")
-    writer = ST.interleaved_enrichment_writer(table, out, orders.columns, profiles.columns)
-    for stream, ckpt in _stream_in_slices(spark, tagged, "__t", "j2", writer, cuts=YEARS):
-        ST.run_until_caught_up(stream, writer, ckpt)
-    return ST.read_batches(spark, out).drop("batch_id")
+    """J-2/J-3: orders and profile updates on one stream, out of order by up to 90 days."""
+    return _enriched_by_stream(spark, sf, "j2", 90 * DAY, True)
 
 
 @query("exactly_once_pipeline")
@@ -642,74 +669,78 @@ def q_resume_pipeline(spark, sf):
 
 @query("enrich_orders_stream")
 def q_enrich_orders_stream(spark, sf):
-    prof_src = _stage(V.profile_updates(spark, sf), spark, "prof-src")
-    ord_src = _stage(V.orders_placed(spark, sf), spark, "ord-src")
+    """J-2 as a stream-table join: each micro-batch of orders meets the profile table as it is then."""
+    profiles, orders = V.profile_updates(spark, sf), V.orders_with_items(spark, sf)
     table, out = scratch_path(spark, "prof-table"), scratch_path(spark, "enrich-out")
-    prof_schema = V.profile_updates(spark, sf).schema
-
-    def upsert_profiles(batch, batch_id):
-        K.upsert(batch, table, ["customer_id"], ["updated_at"], version=batch_id)
-
-    # profiles arrive first here; each order batch sees the table as of its arrival
-    ST.run_until_caught_up(ST.file_stream(spark, prof_src, prof_schema), upsert_profiles,
-                           scratch_path(spark, "prof-ckpt"))
+    # profiles arrive first here
+    ST.run_until_caught_up(ST.file_stream(spark, _stage(profiles, spark, "prof-src"), profiles.schema),
+                           lambda batch, n: K.upsert(batch, table, n), scratch_path(spark, "prof-ckpt"))
 
     def enrich(batch, batch_id):
-        joins.enrich_orders(batch, K.read_upserted(spark, table)).write.mode("overwrite") \
-            .parquet(f"{out}/batch_id={batch_id}")
+        now = K.read_upserted(spark, table, ["customer_id"], ["updated_at"])
+        joins.enrich_orders(batch, now).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    ST.run_until_caught_up(ST.file_stream(spark, ord_src, V.orders_placed(spark, sf).schema), enrich,
+    ST.run_until_caught_up(ST.file_stream(spark, _stage(orders, spark, "ord-src"), orders.schema), enrich,
                            scratch_path(spark, "enrich-ckpt"))
-    return ST.read_batches(spark, out).drop("batch_id")
+    return _items_as_text(ST.read_batches(spark, out).drop("batch_id"))
 
 
 @query("order_state_changes_stream")
 def q_order_state_changes_stream(spark, sf):
-    reqs = V.state_requests(spark, sf)
-    out, state = scratch_path(spark, "sm-out"), scratch_path(spark, "sm-state")
-    writer = ST.state_machine_writer(state, out)
-    for stream, ckpt in _stream_in_slices(spark, reqs, "ts", "sm", writer):
-        ST.run_until_caught_up(stream, writer, ckpt)
+    """T-1 streaming, the whole log in one micro-batch: the longest run of requests an order can have."""
+    reqs, out = V.state_requests(spark, sf), scratch_path(spark, "sm-out")
+    stream = ST.file_stream(spark, _stage(reqs, spark, "sm-src"), reqs.schema)
+    ST.run_until_caught_up(KS.order_state_stream(stream), ST.append_batches(out), scratch_path(spark, "sm-ckpt"))
     return ST.read_batches(spark, out).drop("batch_id")
 
 
+def _state_run(spark, sf, name):
+    return _run_slices(spark, V.state_requests(spark, sf), "ts", "ts", name, KS.order_state_stream, WEEKS)
+
+
 @query("order_state_changes_stream_state")
 def q_order_state_changes_stream_state(spark, sf):
-    """T-1 on applyInPandasWithState: per-order status in the RocksDB state
-    store (point lookups, changelog checkpoints), fed in weekly slices."""
-    out = scratch_path(spark, "sms-out")
-    for stream, ckpt in _stream_in_slices(spark, V.state_requests(spark, sf), "ts", "sms", None):
-        ST.run_until_caught_up(ST.order_state_stream(stream), ST.append_batches(out), ckpt)
-    return ST.read_batches(spark, out).drop("batch_id")
+    """T-1 streaming in weekly slices: the status an order has at the end of one is what the next starts from."""
+    return _state_run(spark, sf, "sms")[0].filter("order_id is not null")
+
+
+@query("state_history_stream")
+def q_state_history_stream(spark, sf):
+    """W-2 read from the state of the running stream: the list of accepted transitions that every order has there."""
+    return KS.order_history(spark, _state_run(spark, sf, "smh")[1])
+
+
+def _alerts(spark, sf, name, delay, shuffled):
+    orders = V.fraud_orders(spark, sf)
+    if shuffled:
+        orders = _out_of_order(orders, "placed_at", "event_id", delay)
+    got, _ = _run_slices(spark, orders, "__arrival" if shuffled else "placed_at", "placed_at", name,
+                         lambda s: KS.running_windows_stream(s, 5 * DAY, delay), WEEKS)
+    return W.alert_rows(got.filter("not late"), W.SCALED_RULE)
 
 
 @query("fraud_alerts_stream")
 def q_fraud_alerts_stream(spark, sf):
-    out, state = scratch_path(spark, "fab-out"), scratch_path(spark, "fab-state")
-    writer = ST.running_alerts_writer(state, out, W.SCALED_RULE)
-    for stream, ckpt in _stream_in_slices(spark, V.fraud_orders(spark, sf), "placed_at", "fab", writer):
-        ST.run_until_caught_up(stream, writer, ckpt)
-    return ST.read_batches(spark, out).drop("batch_id")
+    """A-2 streaming, orders out of order by up to three days."""
+    return _alerts(spark, sf, "fab", 3 * DAY, True)
 
 
 @query("fraud_alerts_stream_state")
 def q_fraud_alerts_stream_state(spark, sf):
-    out = scratch_path(spark, "fa-out")
-    for stream, ckpt in _stream_in_slices(spark, V.fraud_orders(spark, sf), "placed_at", "fa", None):
-        run = ST.running_alerts_stream(stream, 5 * 86400)
-        ST.run_until_caught_up(run, ST.append_batches(out), ckpt)
-    got = ST.read_batches(spark, out)
-    rule = W.SCALED_RULE
-    ws = F.timestamp_add("MICROSECOND", F.col("window_start_us"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-    got = got.select("customer_id", "order_id", "order_count", "region_count",
-                     (F.col("total_cents").cast("decimal(20,0)") / 100).cast(S.MONEY_SUM).alias("total_amount"),
-                     ws.alias("window_start"), F.timestamp_add("DAY", F.lit(5), ws).alias("window_end"))
-    c, a, r = F.col("order_count"), F.col("total_amount"), F.col("region_count")
-    scored = got.withColumn("risk_score", W.risk_score(c, a, r, rule)).withColumn("reason", W.risk_reason(c, a, r, rule))
-    scored = scored.filter(F.col("risk_score") >= rule.min_score)
-    return scored.select(F.concat(F.lit("alert-"), F.col("order_id")).alias("alert_id"), "customer_id", "order_id",
-                         "order_count", "total_amount", "region_count", "window_start", "window_end",
-                         "risk_score", "reason")
+    """A-2 streaming, orders in event-time slices."""
+    return _alerts(spark, sf, "fa", DAY, False)
+
+
+LATE_ORDER_DELAY, LATE_ORDER_JITTER = 2 * DAY, 20 * DAY
+
+
+@query("fraud_alerts_late")
+def q_fraud_alerts_late(spark, sf):
+    """A-2 streaming, orders out of order by far more than the delay: the side output of those that came too late."""
+    orders = _out_of_order(V.fraud_orders(spark, sf), "placed_at", "event_id", LATE_ORDER_JITTER)
+    got, _ = _run_slices(spark, orders, "__arrival", "placed_at", "fal",
+                         lambda s: KS.running_windows_stream(s, 5 * DAY, LATE_ORDER_DELAY), WEEKS)
+    return got.filter("late").select("customer_id", "order_id", "window_start", "window_end", "placed_at")
 
 
 LATE_DELAY_DAYS = 30

@@ -1,8 +1,8 @@
 """K-1 .. K-5: file-backed sinks.
 
 * ``write_topic``      K-1: append a log partitioned by topic (Parquet, codec option).
-* ``upsert``           K-2: keyed last-write-wins table kept as versions of
-                       hash buckets; a merge rewrites only touched buckets.
+* ``upsert``           K-2: keyed changes appended as Parquet deltas; the
+                       table is their latest row per key.
 * ``write_archive``    K-3: hourly UTC partitions, capped records per file.
 * ``fan_out``          K-4: one evaluated frame written to several sinks.
 
@@ -32,27 +32,36 @@ def write_topic(log: DataFrame, path: str, codec: str = "lz4", mode: str = "appe
 
 
 # K-2 -----------------------------------------------------------------------------
-# A keyed table kept as versions of hash buckets:
-#   <path>/data/v=N/bucket=b/   rows of bucket b as rewritten by version N
-#   <path>/ptr/v=N/             bucket -> version that holds it (<= buckets rows)
-#   <path>/_current             the newest version number (one row)
-# A merge rewrites only the buckets its batch touches, so the cost follows
-# the batch, not the table.  A version is published by its pointer folder,
-# written after the data, so readers never see a partial merge.
+def upsert(batch: DataFrame, path: str, version: int) -> None:
+    """K-2: append a batch of keyed rows, deletes among them, as one Parquet delta.
 
-DEFAULT_BUCKETS = 64
+    A delta is a folder ``delta_no=N``; a replayed batch replaces its own.
+    Nothing that is there is read or rewritten, whatever keys a batch has.
+    """
+    batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/delta_no={version}")
 
 
-def bucket_of(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+def read_upserted(spark: SparkSession, path: str, keys: list[str], order: list[str], tombstone: Column | None = None,
+                  until: int | None = None) -> DataFrame:
+    """The table that the deltas give: the latest row per key by ``order``, then by delta (A-4, combined on the mappers).
 
+    Delete rows stay in their deltas, so an older row that comes after one does
+    not bring its key back.  ``until``: the table as of that delta.
+    """
+    deltas = spark.read.parquet(path)
+    if until is not None:
+        deltas = deltas.filter(F.col("delta_no") <= until)  # prunes the folders
+    return compact_latest(deltas, keys, [*order, "delta_no"], tombstone).drop("delta_no")
 
-def _ptr(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/ptr/v={version:08d}"
 
+def merge_deltas(spark: SparkSession, path: str, merged: str, keys: list[str], order: list[str]) -> None:
+    """Write the deltas of ``path`` as one, with the latest row of every key, deletes too.
 
-def _data(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/data/v={version:08d}"
+    The new table takes further deltas under higher versions than those merged.
+    """
+    deltas = spark.read.parquet(path)
+    last = max(int(f.rsplit("/delta_no=", 1)[1].split("/", 1)[0]) for f in deltas.inputFiles())
+    upsert(compact_latest(deltas, keys, [*order, "delta_no"]).drop("delta_no"), merged, last)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -61,108 +70,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_pointers(spark: SparkSession, path: str, version: int) -> DataFrame | None:
-    return spark.read.parquet(_ptr(path, version)) if exists(spark, _ptr(path, version)) else None
-
-
-def current_version(spark: SparkSession, path: str) -> int | None:
-    """The newest published version (one small row)."""
-    current = f"{path.rstrip('/')}/_current"
-    if not exists(spark, current):
-        return None
-    return int(spark.read.schema("version int").parquet(current).first().version)
-
-
-def bucket_locations(spark: SparkSession, path: str, version: int | None) -> dict[int, int] | None:
-    """bucket -> version that holds it, as of ``version`` (<= buckets entries)."""
-    if version is None:
-        return None
-    ptr = read_pointers(spark, path, version)
-    if ptr is None:
-        return None
-    return {int(r.bucket): int(r.version) for r in ptr.collect()}
-
-
-def read_buckets(spark: SparkSession, path: str, locs: dict[int, int] | None,
-                 only_buckets: list[int] | None = None) -> DataFrame | None:
-    """Rows of the given bucket locations (optionally a subset of buckets)."""
-    if not locs:
-        return None
-    chosen = locs if only_buckets is None else {b: v for b, v in locs.items() if b in set(only_buckets)}
-    if not chosen:
-        return None
-    by_version: dict[int, list[int]] = {}
-    for b, v in chosen.items():
-        by_version.setdefault(v, []).append(b)
-    out = None
-    for v, bs in sorted(by_version.items()):
-        part = (spark.read.option("basePath", _data(path, v))
-                .parquet(*[f"{_data(path, v)}/bucket={b}" for b in sorted(bs)]))
-        out = part if out is None else out.unionByName(part)
-    return out.drop("bucket")
-
-
-def read_version(spark: SparkSession, path: str, version: int | None = None,
-                 only_buckets: list[int] | None = None) -> DataFrame | None:
-    """The table as of ``version`` (default: newest), optionally only some buckets."""
-    if version is None:
-        version = current_version(spark, path)
-    return read_buckets(spark, path, bucket_locations(spark, path, version), only_buckets)
-
-
-def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    return read_version(spark, path)
-
-
-def touched_buckets(df: DataFrame, keys: list[str], buckets: int = DEFAULT_BUCKETS) -> list[int]:
-    """Bucket ids present in ``df`` (at most ``buckets`` values)."""
-    return [int(r.b) for r in df.select(bucket_of(keys, buckets).alias("b")).distinct().collect()]
-
-
-def upsert(batch: DataFrame, path: str, keys: list[str], order: list[str], version: int,
-           tombstone=None, base_version: int | None = None, buckets: int = DEFAULT_BUCKETS,
-           touched: list[int] | None = None, base_locs: dict[int, int] | None = None) -> int:
-    """K-2: merge ``batch`` into the keyed table at ``path`` as ``version``.
-
-    The latest row per key by ``order`` wins (A-4; ``tombstone`` rows delete
-    their key), whichever batch brought it; of equal ones the batch's.  A
-    deleted key leaves no trace, so an older row of it that comes in a later
-    batch counts again.  Only buckets holding batch keys are read, merged and
-    rewritten; other buckets keep pointing at their older versions.  The merge starts from ``base_version`` (default: the
-    newest), so a replayed micro-batch merges into the state it first saw,
-    and rewriting the same ``version`` overwrites the same folders
-    (idempotent).  Callers that already know the batch's buckets
-    (``touched``, a superset is fine) or the base pointers (``base_locs``)
-    pass them to save the extra small reads.
-    """
-    spark = batch.sparkSession
-    if base_locs is None:
-        if base_version is None:
-            base_version = current_version(spark, path)
-        base_locs = bucket_locations(spark, path, base_version) or {}
-    if touched is None:
-        touched = touched_buckets(batch, keys, buckets)
-    rows = batch.withColumns({"__tomb": tombstone if tombstone is not None else F.lit(False), "__new": F.lit(1)})
-    old = read_buckets(spark, path, base_locs, only_buckets=touched)
-    if old is not None:
-        rows = rows.unionByName(old.withColumns({"__tomb": F.lit(False), "__new": F.lit(0)}))
-    # the latest by ``order`` over old and new rows, so that the cut into batches does not matter
-    merged = (compact_latest(rows, keys, [*order, "__new"])
-              .filter(~F.coalesce(F.col("__tomb"), F.lit(False))).drop("__tomb", "__new")
-              .withColumn("bucket", bucket_of(keys, buckets)))
-    merged.write.mode("overwrite").partitionBy("bucket").parquet(_data(path, version))
-    # Publish: buckets that hold rows now live in this version.
-    written = [int(r.bucket) for r in spark.read.parquet(_data(path, version)).select("bucket")
-               .distinct().collect()] if touched else []
-    locs = {k: v for k, v in base_locs.items() if k not in set(touched)}
-    locs.update({w: version for w in written})
-    spark.createDataFrame(sorted(locs.items()), "bucket int, version int").write.mode("overwrite") \
-        .parquet(_ptr(path, version))
-    spark.createDataFrame([(version,)], "version int").write.mode("overwrite").parquet(f"{path.rstrip('/')}/_current")
-    return version
-
-
-# Small per-version snapshots (bounded state: open windows, high-water marks)
+# Small per-version snapshots (bounded state: high-water marks)
 def snapshot_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/v={version:08d}"
 

@@ -1,25 +1,20 @@
-"""Structured Streaming forms: T-3 .. T-7, J-2, T-4 + F-5, stateful T-1 / A-2.
+"""Structured Streaming forms: T-3 .. T-7, T-4 + F-5; keyed state is in ``keyed_state``.
 
 Sources are file-backed topics (Parquet folders; a Kafka source gives the
-same log columns, see ``sources.topics.read_kafka``).  Sinks are
-``foreachBatch`` writers that are replay-safe: a micro-batch writes its own
-``batch_id=`` folder with overwrite, so a re-run batch replaces its output
-instead of duplicating it.  Checkpoints live under the shared
+same log columns, see ``sources.topics.read_kafka``).  Sinks are Spark's
+file sink, or ``foreachBatch`` writers that are replay-safe: a micro-batch
+writes its own ``batch_id=`` folder with overwrite, so a re-run batch replaces
+its output instead of duplicating it.  Checkpoints live under the shared
 ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from eventide import schemas as S
 from eventide.functions.columns import instant_to_ntz, ntz_to_instant
@@ -56,42 +51,23 @@ def read_batches(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 # T-4 / F-5 -------------------------------------------------------------------------
-def exactly_once_writer(transform: Callable[[DataFrame], DataFrame], out_path: str,
-                        ledger_path: str) -> Callable[[DataFrame, int], None]:
-    """Consume-transform-produce with an atomic commit marker.
-
-    Every attempt at a batch writes its data to a folder of its own
-    (``out/attempt=...``); then the batch's ledger rows ``(batch_id, topic,
-    partition, from, until, rows, attempt)`` name that folder.  Readers follow
-    the ledger (``read_committed``): a replay that dies before its ledger is
-    written leaves the earlier attempt in force, and one that dies while the
-    ledger is replaced leaves the batch out until it is redone.
-    """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        attempt = f"b{batch_id}-{uuid.uuid4().hex}"
-        src = batch.persist()
-        try:
-            transform(src).write.parquet(f"{out_path}/attempt={attempt}")
-            ledger = (src.groupBy("topic", "partition")
-                      .agg(F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"),
-                           F.count(F.lit(1)).alias("rows")).withColumn("attempt", F.lit(attempt)))
-            ledger.write.mode("overwrite").parquet(f"{ledger_path}/batch_id={batch_id}")
-        finally:
-            src.unpersist()
-    return write
+def run_exactly_once(stream: DataFrame, out_path: str, checkpoint: str) -> None:
+    """Consume-transform-produce into Spark's file sink, everything available now.
 
+    The sink's own log (``_spark_metadata``) commits a micro-batch with its
+    offsets: a batch that dies is written again and a batch that is in the log
+    is not, also when a new checkpoint replays it under the same number.
+    """
+    q = (stream.writeStream.outputMode("append").format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
-def read_committed(spark: SparkSession, out_path: str, ledger_path: str) -> DataFrame:
-    """F-5: output rows of the attempts that the ledger names.
 
-    Batches that cover the same offsets twice (a replay cut differently) are
-    an error: their rows would count double."""
-    ledger = spark.read.parquet(ledger_path)
-    following = F.lead("from_offset").over(Window.partitionBy("topic", "partition").orderBy("from_offset", "until_offset"))
-    double = ledger.withColumn("next", following).filter(F.col("next") < F.col("until_offset")).first()
-    if double is not None:
-        raise ValueError(f"batch {double.batch_id} covers offsets of {double.topic}/{double.partition} that another batch has too")
-    return spark.read.parquet(out_path).join(ledger.select("attempt").distinct(), "attempt", "left_semi").drop("attempt")
+def read_committed(spark: SparkSession, out_path: str) -> DataFrame:
+    """F-5: rows of committed batches.  Spark reads a sink folder by its log; other files in it are not seen."""
+    return spark.read.parquet(out_path)
 
 
 # T-3 ---------------------------------------------------------------------------------
@@ -118,177 +94,6 @@ def dedup_stream(log: DataFrame, keys: list[str], ts: str = "timestamp", delay:
     return t.dropDuplicatesWithinWatermark(keys).drop("__t")
 
 
-# T-1 stateful ------------------------------------------------------------------------
-STATE_RESULT_SCHEMA = T.StructType([
-    T.StructField("order_id", T.StringType()), T.StructField("customer_id", T.StringType()),
-    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("previous_status", T.StringType()), T.StructField("new_status", T.StringType()),
-    T.StructField("accepted", T.BooleanType()), T.StructField("reason", T.StringType()),
-])
-
-
-def _state_machine_fn(transitions: dict, initial: str):
-    allowed = {k: set(v) for k, v in transitions.items()}
-
-    out_cols = [f.name for f in STATE_RESULT_SCHEMA.fields]
-
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        cur = state.get[0] if state.exists else initial
-        # rows of one order within one micro-batch (bounded by the trigger size)
-        parts = list(batches)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        order = np.lexsort((pdf["event_id"].to_numpy(), pdf["ts"].to_numpy()))
-        reqs = pdf["requested_status"].to_numpy(dtype=object)[order]
-        prev, acc, reason = [], [], []
-        for req in reqs:  # a fold: each step needs the previous state
-            ok = req in allowed.get(cur, ())
-            prev.append(cur)
-            acc.append(ok)
-            reason.append(None if ok else f"Invalid: {cur} -> {req}")
-            if ok:
-                cur = req
-        state.update((cur,))
-        res = {c: pdf[c].to_numpy()[order] for c in ("order_id", "customer_id", "event_id", "ts")}
-        res.update(previous_status=prev, new_status=reqs, accepted=acc, reason=reason)
-        yield pd.DataFrame(res, columns=out_cols)
-    return fn
-
-
-def state_machine_writer(state_path: str, out_path: str, transitions: dict | None = None,
-                         initial: str = S.INITIAL_STATUS, key: str = "order_id", ts: str = "ts",
-                         seq: str = "event_id", max_chunk_rows: int | None = None) -> Callable[[DataFrame, int], None]:
-    """T-1 streaming as ``foreachBatch``: each micro-batch is folded with the
-    skew-safe scan, seeded from the state table version of the previous batch,
-    and the new per-order status is upserted as version ``batch_id``.  A
-    replayed batch reads the same base version and rewrites the same
-    outputs, so replays are exact.  An order with more than
-    ``max_chunk_rows`` requests in a batch is split across tasks."""
-    from eventide.functions.scan import DEFAULT_MAX_CHUNK_ROWS, fold_states
-    from eventide.operators.joins import transition_valid
-    from eventide.sinks.files import bucket_locations, read_buckets, touched_buckets, upsert
-    transitions = transitions or S.VALID_TRANSITIONS
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        src = batch.persist()
-        try:
-            # only the state buckets of this batch's orders are read
-            touched = touched_buckets(src, [key])
-            locs = bucket_locations(spark, state_path, batch_id - 1) if batch_id > 0 else {}
-            seed = read_buckets(spark, state_path, locs, only_buckets=touched)
-            folded = fold_states(src, [key], [ts, seq], "requested_status", S.ORDER_STATUSES, transitions,
-                                 initial, state_before="previous_status", initial_states=seed,
-                                 state_col="current_status", state_after="__after",
-                                 max_chunk_rows=max_chunk_rows or DEFAULT_MAX_CHUNK_ROWS).persist()
-            ok = transition_valid(F.col("previous_status"), F.col("requested_status"))
-            out = folded.select(*[c for c in batch.columns if c != "requested_status"], "previous_status",
-                                F.col("requested_status").alias("new_status"), ok.alias("accepted"),
-                                F.when(~ok, F.concat(F.lit("Invalid: "), F.col("previous_status"), F.lit(" -> "),
-                                                     F.coalesce(F.col("requested_status"), F.lit("null"))))
-                                .alias("reason"))
-            out.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-            latest = folded.groupBy(key).agg(
-                F.max_by("__after", F.struct(ts, seq)).alias("current_status")).withColumn(
-                "batch_id", F.lit(batch_id))
-            upsert(latest, state_path, [key], ["batch_id"], version=batch_id,
-                   touched=touched, base_locs=locs or {})
-            folded.unpersist()
-        finally:
-            src.unpersist()
-    return write
-
-
-def order_state_stream(requests: DataFrame, transitions: dict | None = None,
-                       initial: str = S.INITIAL_STATUS) -> DataFrame:
-    """T-1 streaming with ``applyInPandasWithState``: one state row per order.
-    A group holds one order's rows of one micro-batch, so bound the batch
-    (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``); for hot orders use
-    ``state_machine_writer``, which splits them.  Status is kept without
-    expiry: a late request for a finished order must still be rejected
-    against its final status, so state grows with the number of orders
-    (RocksDB keeps it on disk)."""
-    fn = _state_machine_fn(transitions or S.VALID_TRANSITIONS, initial)
-    return requests.groupBy("order_id").applyInPandasWithState(
-        fn, STATE_RESULT_SCHEMA, "current_status string", "append", GroupStateTimeout.NoTimeout)
-
-
-# A-2 stateful -------------------------------------------------------------------------
-ALERT_SCHEMA = T.StructType([
-    T.StructField("customer_id", T.StringType()), T.StructField("order_id", T.StringType()),
-    T.StructField("order_count", T.LongType()), T.StructField("total_cents", T.LongType()),
-    T.StructField("region_count", T.LongType()), T.StructField("window_start_us", T.LongType()),
-])
-
-
-def _running_window_fn(window_us: int):
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:  # the watermark passed every open window: expire
-            state.remove()
-            return
-        # state: open windows of this customer -> count, cents, regions
-        if state.exists:
-            starts, counts, cents, regions = state.get
-            book = {s: [c, a, set(json.loads(r))] for s, c, a, r in zip(starts, counts, cents, regions)}
-        else:
-            book = {}
-        parts = list(batches)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        order = np.lexsort((pdf["order_id"].to_numpy(dtype=object).astype(str), pdf["placed_us"].to_numpy()))
-        out = {k: [] for k in ["order_id", "order_count", "total_cents", "region_count", "window_start_us"]}
-        for oid, t, cents_v, reg in zip(*(pdf[c].to_numpy(dtype=object)[order]
-                                          for c in ("order_id", "placed_us", "cents", "region"))):
-            ws = int(t) - int(t) % window_us
-            b = book.setdefault(ws, [0, 0, set()])
-            b[0] += 1
-            if not pd.isna(cents_v):  # as sum and count(distinct) do, nulls add nothing
-                b[1] += int(cents_v)
-            if not pd.isna(reg):
-                b[2].add(reg)
-            out["order_id"].append(oid)
-            out["order_count"].append(b[0])
-            out["total_cents"].append(b[1])
-            out["region_count"].append(len(b[2]))
-            out["window_start_us"].append(ws)
-        # Rows older than the watermark are dropped before they get here, so a
-        # window that ends at or before it can take no more rows.
-        watermark_us = state.getCurrentWatermarkMs() * 1000
-        keep = sorted(s for s in book if s + window_us > watermark_us)
-        if keep:
-            state.update(([int(s) for s in keep], [int(book[s][0]) for s in keep],
-                          [int(book[s][1]) for s in keep], [json.dumps(sorted(book[s][2])) for s in keep]))
-            state.setTimeoutTimestamp((keep[-1] + window_us) // 1000)
-        else:
-            state.remove()
-        out["customer_id"] = [key[0]] * len(out["order_id"])
-        yield pd.DataFrame(out, columns=[f.name for f in ALERT_SCHEMA.fields])
-    return fn
-
-
-def running_alerts_stream(orders: DataFrame, window_seconds: int, expiry_seconds: int | None = None) -> DataFrame:
-    """A-2 streaming: per-order running window stats in keyed state (one
-    state row per customer holding its open windows).  Score and reason are
-    applied by the caller with the batch Column functions.
-
-    State expires by event time: the watermark trails the newest event by
-    ``expiry_seconds`` (default six windows, the reference's 30 minutes for
-    5-minute windows); rows behind it are late and dropped, windows ending
-    before it leave the state, and a customer whose windows have all closed
-    is removed by the event-time timeout."""
-    expiry = expiry_seconds if expiry_seconds is not None else 6 * window_seconds
-    prepared = orders.select(
-        "customer_id", "order_id", "region",
-        F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                         F.col("placed_at")).alias("placed_us"),
-        (F.col("amount") * 100).cast("long").alias("cents"),
-        # withWatermark needs TIMESTAMP; the same instant whatever the session's zone
-        ntz_to_instant(F.col("placed_at")).alias("__event_time"),
-    ).filter("placed_us is not null").withWatermark("__event_time", f"{expiry} seconds")
-    state_schema = ("starts array<bigint>, counts array<bigint>, cents array<bigint>, regions array<string>")
-    return prepared.groupBy("customer_id").applyInPandasWithState(
-        _running_window_fn(window_seconds * 1_000_000), ALERT_SCHEMA, state_schema, "append",
-        GroupStateTimeout.EventTimeTimeout)
-
-
 # X-5 / A-9 live -------------------------------------------------------------------------
 class ProgressLog:
     """StreamingQueryListener that keeps per-batch progress (rows, rate,
@@ -326,177 +131,6 @@ def dedup_batch(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return log.dropDuplicates(keys or ["topic", "partition", "offset"])
 
 
-# A-2 as foreachBatch (skew-safe) -------------------------------------------------------
-def running_alerts_writer(state_path: str, out_path: str, rule, key: str = "customer_id",
-                          ts: str = "placed_at", order_id: str = "order_id", amount: str = "amount",
-                          region: str = "region", expiry: str = S.FRAUD_EXPIRY,
-                          max_chunk_rows: int | None = None) -> Callable[[DataFrame, int], None]:
-    """A-2 streaming as ``foreachBatch``: per-order running window stats for
-    the micro-batch via the chunked scan (hot customers split), plus the
-    carry of each open (customer, window) from the state table version of
-    the previous batch.  Writes alerts to ``out/batch_id=N`` and the merged
-    window state as version N; windows ending more than ``expiry`` before
-    the newest event time are dropped from the state."""
-    from eventide.functions.scan import DEFAULT_MAX_CHUNK_ROWS, running_sums
-    from eventide.operators import windows as W
-    from eventide.sinks.files import read_snapshot, write_snapshot
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seed = read_snapshot(spark, state_path, batch_id - 1) if batch_id > 0 else None
-        src = batch.persist()
-        try:
-            rows = W._with_window(src, ts, rule.window)
-            first = (rows.groupBy(key, "window_start", region)
-                     .agg(F.min(F.struct(F.col(ts).alias("t"), F.col(order_id).alias("i"))).alias("__first")))
-            flagged = rows.join(first, [key, "window_start", region], "left").withColumn(
-                "__new", (F.col("__first.t") == F.col(ts)) & (F.col("__first.i") == F.col(order_id)))
-            if seed is not None:
-                seen = (seed.select(key, "window_start", F.explode("regions").alias(region))
-                        .withColumn("__seen", F.lit(True)))
-                flagged = flagged.join(seen, [key, "window_start", region], "left").withColumn(
-                    "__new", F.col("__new") & F.col("__seen").isNull()).drop("__seen")
-            run = running_sums(flagged.drop("__first"), [key, "window_start"], [ts, order_id], {
-                "order_count": F.lit(1).cast("long"),
-                "total_amount": F.col(amount).cast(S.MONEY_SUM),
-                "region_count": F.col("__new").cast("long")}, max_chunk_rows=max_chunk_rows or DEFAULT_MAX_CHUNK_ROWS)
-            if seed is not None:
-                carry = seed.select(key, "window_start", F.col("order_count").alias("__sc"),
-                                    F.col("total_amount").alias("__sa"),
-                                    F.size("regions").cast("long").alias("__sr"))
-                run = run.join(carry, [key, "window_start"], "left").withColumns({
-                    "order_count": F.col("order_count") + F.coalesce("__sc", F.lit(0)),
-                    "total_amount": (F.col("total_amount") + F.coalesce("__sa", F.lit(0))).cast(S.MONEY_SUM),
-                    "region_count": F.col("region_count") + F.coalesce("__sr", F.lit(0))})
-            run = run.withColumn("total_amount", F.col("total_amount").cast(S.MONEY_SUM))
-            alerts = W._score(run, rule).select(
-                F.concat(F.lit("alert-"), F.col(order_id)).alias("alert_id"), F.col(key).alias("customer_id"),
-                F.col(order_id).alias("order_id"), "order_count", "total_amount", "region_count",
-                "window_start", "window_end", "risk_score", "reason")
-            alerts.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-
-            # merged window state (regions: a set over the region enum, bounded)
-            agg = rows.groupBy(key, "window_start", "window_end").agg(
-                F.count(F.lit(1)).alias("__bc"), F.sum(amount).cast(S.MONEY_SUM).alias("__ba"),
-                F.collect_set(region).alias("__br"))
-            if seed is not None:
-                m = seed.join(agg, [key, "window_start", "window_end"], "full_outer")
-                state = m.select(key, "window_start", "window_end",
-                                 (F.coalesce("order_count", F.lit(0)) + F.coalesce("__bc", F.lit(0))).alias("order_count"),
-                                 (F.coalesce("total_amount", F.lit(0)) + F.coalesce("__ba", F.lit(0)))
-                                 .cast(S.MONEY_SUM).alias("total_amount"),
-                                 F.array_sort(F.array_union(F.coalesce("regions", F.array().cast("array<string>")),
-                                                            F.coalesce("__br", F.array().cast("array<string>"))))
-                                 .alias("regions"))
-            else:
-                state = agg.select(key, "window_start", "window_end", F.col("__bc").alias("order_count"),
-                                   F.col("__ba").alias("total_amount"), F.array_sort("__br").alias("regions"))
-            newest = src.agg(F.max(ts)).first()[0]  # the batch's event-time high mark (one value)
-            if newest is not None:
-                limit = F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz") - F.expr(f"INTERVAL {expiry}")
-                state = state.filter(F.col("window_end") >= limit)
-            write_snapshot(state, state_path, batch_id)
-        finally:
-            src.unpersist()
-    return write
-
-
-# J-2 stateful ------------------------------------------------------------------------------
-_J2_PROFILE = ["name", "email", "tier"]
-_J2_ORDER = ["order_id", "customer_id", "total_amount", "currency", "region", "placed_at"]
-J2_RESULT_SCHEMA = T.StructType([
-    T.StructField("order_id", T.StringType()), T.StructField("customer_id", T.StringType()),
-    T.StructField("__p_name", T.StringType()), T.StructField("__p_email", T.StringType()),
-    T.StructField("__p_tier", T.StringType()), T.StructField("total_amount", S.MONEY),
-    T.StructField("currency", T.StringType()), T.StructField("region", T.StringType()),
-    T.StructField("placed_at", T.TimestampNTZType()),
-])
-
-
-def _latest_profile_fn(time_col: str):
-    out_cols = [f.name for f in J2_RESULT_SCHEMA.fields]
-
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        # called once per customer and micro-batch: plain numpy, no per-row work
-        parts = list(batches)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        is_prof = pdf["kind"].to_numpy() == "profile"
-        # arrival order: time, profiles before orders on ties, then profiles
-        # by (email, name, tier) so equal times resolve like the batch as-of
-        ties = [np.where(is_prof & pd.notna(v), v, "").astype(str)
-                for v in (pdf[c].to_numpy(dtype=object) for c in ("tier", "name", "email"))]
-        order = np.lexsort((*ties, ~is_prof, pdf[time_col].to_numpy()))
-        prof_sorted = is_prof[order]
-        # sorted position of the last profile at or before each row (-1: none yet)
-        pos = np.maximum.accumulate(np.where(prof_sorted, np.arange(len(order)), -1))
-        at = pos[~prof_sorted]
-        src = order[np.maximum(at, 0)]
-        rows = order[~prof_sorted]
-        stored = state.get if state.exists else (None,) * len(_J2_PROFILE)
-        res = {c: pdf[c].to_numpy()[rows] for c in _J2_ORDER}
-        for i, c in enumerate(_J2_PROFILE):
-            res[f"__p_{c}"] = np.where(at >= 0, pdf[c].to_numpy(dtype=object)[src], stored[i])
-        if is_prof.any():
-            last = order[pos[-1]]
-            state.update(tuple(None if pd.isna(pdf[c].iat[last]) else str(pdf[c].iat[last]) for c in _J2_PROFILE))
-        yield pd.DataFrame(res, columns=out_cols)
-    return fn
-
-
-def interleaved_enrichment_stream(tagged: DataFrame, time_col: str = "__t") -> DataFrame:
-    """J-2 on ``applyInPandasWithState``: one stream of orders and profile
-    rows (``kind``), keyed by customer.  The state is the customer's latest
-    profile in the RocksDB state store, so a micro-batch looks up and
-    commits only the customers it carries.  Each order is enriched with the
-    profile in force when it arrived: the last profile before it in the
-    micro-batch, else the stored one.  A group holds one customer's rows of
-    one micro-batch, so bound the trigger (``maxFilesPerTrigger`` /
-    ``maxOffsetsPerTrigger``).  Like a table keyed by customer, the latest
-    profile is kept without expiry (one state row per customer)."""
-    from eventide.operators.joins import _enriched_columns
-    rows = tagged.select(*_J2_ORDER, "kind", time_col, *_J2_PROFILE)
-    enriched = rows.groupBy("customer_id").applyInPandasWithState(
-        _latest_profile_fn(time_col), J2_RESULT_SCHEMA, "name string, email string, tier string", "append",
-        GroupStateTimeout.NoTimeout)
-    return enriched.select(*_enriched_columns(enriched, None, S.HIGH_VALUE_THRESHOLD))
-
-
-# J-2 interleaved ---------------------------------------------------------------------------
-def interleaved_enrichment_writer(table_path: str, out_path: str, order_cols: list[str],
-                                  profile_cols: list[str],
-                                  max_chunk_rows: int | None = None) -> Callable[[DataFrame, int], None]:
-    """J-2: orders and profile updates arrive on one stream (``kind``
-    column).  Each micro-batch enriches its orders as of their own time
-    against the profile table of the previous batch plus the batch's own
-    profile rows (so an order sees every profile that arrived before it),
-    then stores the latest profile per customer as version ``batch_id``."""
-    from eventide.operators.joins import enrich_orders_asof
-    from eventide.sinks.files import bucket_locations, bucket_of, read_buckets, upsert, DEFAULT_BUCKETS
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        src = batch.persist()
-        try:
-            profiles = src.filter(F.col("kind") == "profile").select(*profile_cols)
-            # buckets of this batch's customers, per kind, in one small job
-            kinds = (src.select("kind", bucket_of(["customer_id"], DEFAULT_BUCKETS).alias("b")).distinct()
-                     .collect())
-            touched_all = sorted({int(r.b) for r in kinds})
-            touched_prof = sorted({int(r.b) for r in kinds if r.kind == "profile"})
-            locs = bucket_locations(spark, table_path, batch_id - 1) if batch_id > 0 else {}
-            # latest stored profile of every customer in this batch (touched buckets only)
-            base = read_buckets(spark, table_path, locs, only_buckets=touched_all)
-            known = profiles if base is None else base.select(*profile_cols).unionByName(profiles)
-            orders = src.filter(F.col("kind") == "order").select(*order_cols)
-            enrich_orders_asof(orders, known, max_chunk_rows=max_chunk_rows) \
-                .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-            upsert(profiles, table_path, ["customer_id"], ["updated_at", "email", "name", "tier"], version=batch_id,
-                   touched=touched_prof, base_locs=locs or {})
-        finally:
-            src.unpersist()
-    return write
-
-
 # T-7 streaming -------------------------------------------------------------------------------
 def late_router_writer(state_path: str, out_path: str, dlq_path: str, ts: str, arrival: str,
                        delay_days: int) -> Callable[[DataFrame, int], None]:

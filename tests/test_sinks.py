@@ -1,5 +1,4 @@
-"""Bucketed upsert table: last write wins, deletes, replays, touched buckets only."""
-import pytest
+"""File sinks: upserts as deltas (last write wins, deletes, replays), archive days."""
 from pyspark.sql import functions as F
 
 from eventide.session import scratch_path
@@ -10,47 +9,44 @@ def _rows(spark, rows):
     return spark.createDataFrame(rows, "k string, v long, t long, op string")
 
 
-def test_upsert_versions_deletes_and_replay(spark):
+
+
+
+def _table(spark, path, **kw):
+    return {r.k: r.v for r in K.read_upserted(spark, path, ["k"], ["t"], F.col("op") == "d", **kw).collect()}
+
+
+def test_upsert_deletes_and_replay(spark):
     path = scratch_path(spark, "ups-test")
-    b0 = _rows(spark, [(f"k{i}", i, 0, "u") for i in range(40)])
-    K.upsert(b0, path, ["k"], ["t"], version=0, buckets=8)
+    K.upsert(_rows(spark, [(f"k{i}", i, 0, "u") for i in range(40)]), path, version=0)
     b1 = _rows(spark, [("k1", 100, 1, "u"), ("k1", 101, 2, "u"), ("k2", 0, 1, "d"), ("new", 7, 1, "u")])
-    tomb = F.col("op") == "d"
-    K.upsert(b1, path, ["k"], ["t"], version=1, tombstone=tomb, base_version=0, buckets=8)
-    K.upsert(b1, path, ["k"], ["t"], version=1, tombstone=tomb, base_version=0, buckets=8)  # replay
-    got = {r.k: r.v for r in K.read_upserted(spark, path).collect()}
+    K.upsert(b1, path, version=1)
+    K.upsert(b1, path, version=1)  # replay
+    got = _table(spark, path)
     assert got["k1"] == 101 and "k2" not in got and got["new"] == 7 and len(got) == 40
-    # version 0 is still readable as it was
-    assert K.read_version(spark, path, 0).count() == 40
-
-
-def test_only_touched_buckets_are_rewritten(spark):
-    path = scratch_path(spark, "ups-buckets")
-    K.upsert(_rows(spark, [(f"k{i}", i, 0, "u") for i in range(200)]), path, ["k"], ["t"], version=0, buckets=16)
-    one = _rows(spark, [("k5", 55, 1, "u")])
-    K.upsert(one, path, ["k"], ["t"], version=1, base_version=0, buckets=16)
-    ptr = {int(r.bucket): int(r.version) for r in K.read_pointers(spark, path, 1).collect()}
-    assert sorted(ptr.values()).count(1) == 1 and len(ptr) == 16
-    got = K.read_upserted(spark, path)
-    assert got.count() == 200 and got.filter("k = 'k5'").first().v == 55
+    assert len(_table(spark, path, until=0)) == 40  # as of the first delta
+    assert spark.read.parquet(path).count() == 44  # a delta holds its batch alone
 
 
 def test_the_latest_row_wins_whatever_the_batches(spark):
     path = scratch_path(spark, "ups-order")
-    K.upsert(_rows(spark, [("a", 10, 10, "u")]), path, ["k"], ["t"], version=0, buckets=4)
-    K.upsert(_rows(spark, [("a", 3, 3, "u")]), path, ["k"], ["t"], version=1, buckets=4)
-    assert [(r.k, r.v) for r in K.read_upserted(spark, path).collect()] == [("a", 10)]
-
-
-def test_a_damaged_pointer_is_an_error_not_an_empty_table(spark, tmp_path):
-    path = str(tmp_path / "ups")
-    K.upsert(_rows(spark, [(f"k{i}", i, 0, "u") for i in range(200)]), path, ["k"], ["t"], version=0, buckets=4)
-    for f in (tmp_path / "ups" / "_current").glob("part-*"):
-        f.write_bytes(b"broken")
-    for f in (tmp_path / "ups" / "_current").glob(".*.crc"):
-        f.unlink()
-    with pytest.raises(Exception):
-        K.upsert(_rows(spark, [("k1", 5, 1, "u")]), path, ["k"], ["t"], version=1, buckets=4)
+    K.upsert(_rows(spark, [("a", 10, 10, "u"), ("gone", 1, 10, "d")]), path, version=0)
+    K.upsert(_rows(spark, [("a", 3, 3, "u"), ("gone", 2, 3, "u")]), path, version=1)
+    assert _table(spark, path) == {"a": 10}  # an older row does not bring a deleted key back
+    K.upsert(_rows(spark, [("a", 11, 10, "u")]), path, version=2)
+    assert _table(spark, path) == {"a": 11}  # of equal ones the later delta
+
+
+def test_merged_deltas_give_the_same_table(spark):
+    path, merged = scratch_path(spark, "ups-many"), scratch_path(spark, "ups-merged")
+    for n in range(5):
+        K.upsert(_rows(spark, [(f"k{i}", 10 * n + i, n, "d" if i == n else "u") for i in range(n, 8)]), path, version=n)
+    K.merge_deltas(spark, path, merged, ["k"], ["t"])
+    assert _table(spark, merged) == _table(spark, path)
+    assert spark.read.parquet(merged).count() == 8  # one row per key, deletes among them
+    for p in (path, merged):
+        K.upsert(_rows(spark, [("k0", 1, -1, "u"), ("k4", 9, 9, "u")]), p, version=7)
+    assert _table(spark, merged) == _table(spark, path) and _table(spark, path)["k4"] == 9 and "k0" not in _table(spark, path)
 
 
 def test_archive_day_bounds(spark):

@@ -3,7 +3,6 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from eventide import schemas as S
 from eventide.session import scratch_path
 from eventide.streaming import pipelines as ST
 
@@ -36,131 +35,32 @@ def test_event_behind_watermark_is_dropped(spark):
     assert not any(w.startswith("2024-01-01 11:00") for (w, _b) in last)
 
 
+def _log(spark, n):
+    return spark.range(n).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.col("id").alias("offset"))
+
+
 def test_exactly_once_replay_has_no_duplicates(spark):
-    src = scratch_path(spark, "eo-src")
-    out, ledger = scratch_path(spark, "eo-out"), scratch_path(spark, "eo-ledger")
-    log = spark.range(100).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"),
-                                  F.col("id").cast("string").alias("value"), F.lit(0).alias("partition"),
-                                  F.col("id").alias("offset"),
-                                  F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("timestamp"))
+    """A second run under a lost checkpoint replays every batch: the sink has them already."""
+    src, out = scratch_path(spark, "eo-src"), scratch_path(spark, "eo-out")
+    log = _log(spark, 100).repartition(4)
     log.write.parquet(src)
-    writer = ST.exactly_once_writer(lambda df: df.select("key", "value"), out, ledger)
-    for run in range(2):  # second run replays everything with fresh offsets
-        ST.run_until_caught_up(ST.file_stream(spark, src, log.schema), writer, scratch_path(spark, f"eo-ck{run}"))
-    got = ST.read_committed(spark, out, ledger)
+    for run in range(2):
+        stream = ST.file_stream(spark, src, log.schema, max_files_per_trigger=1)
+        ST.run_exactly_once(stream.select("key", "offset"), out, scratch_path(spark, f"eo-ck{run}"))
+    got = ST.read_committed(spark, out)
     assert got.count() == 100 and got.select("key").distinct().count() == 100
 
 
-def _numbered(spark, lo, hi):
-    return spark.range(lo, hi).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("key"), F.lit(0).alias("partition"),
-                                      F.col("id").alias("offset"))
-
-
-def test_a_replay_that_dies_leaves_the_committed_attempt(spark):
-    out, ledger = scratch_path(spark, "eo-crash-out"), scratch_path(spark, "eo-crash-ledger")
-    batch = _numbered(spark, 0, 5)
-    ST.exactly_once_writer(lambda df: df.select("key"), out, ledger)(batch, 0)
-
-    def dies(df):
-        df.limit(2).select("key").write.parquet(f"{out}/attempt=b0-dead")
-        raise RuntimeError("lost")
-    try:
-        ST.exactly_once_writer(dies, out, ledger)(batch, 0)
-    except RuntimeError:
-        pass
-    assert sorted(r.key for r in ST.read_committed(spark, out, ledger).collect()) == list("01234")
-
-
-def test_a_replay_cut_differently_is_refused(spark):
-    out, ledger = scratch_path(spark, "eo-cut-out"), scratch_path(spark, "eo-cut-ledger")
-    write = ST.exactly_once_writer(lambda df: df.select("key"), out, ledger)
-    write(_numbered(spark, 0, 5), 0)
-    write(_numbered(spark, 3, 9), 1)
-    try:
-        ST.read_committed(spark, out, ledger)
-    except ValueError as e:
-        assert "another batch" in str(e)
-    else:
-        raise AssertionError("offsets 3 and 4 counted twice")
-
-
-def test_running_alerts_take_nulls_and_any_session_zone(spark):
-    src, out, ckpt = (scratch_path(spark, n) for n in ("rz-src", "rz-out", "rz-ckpt"))
-    schema = "order_id string, customer_id string, region string, amount decimal(12,2), placed_at timestamp_ntz"
-    zone = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    try:
-        for oid, region, amount, at in (("o1", "a|b", "1.00", "00:00:01"), ("o2", None, "2.00", "00:01:00"), ("o3", "a|b", None, "00:02:00"), ("o4", "b", "4.00", None)):
-            when = f"timestamp_ntz'2024-03-01 {at}'" if at else "cast(null as timestamp_ntz)"
-            spark.sql(f"select '{oid}' order_id, 'c' customer_id, {repr(region) if region else 'cast(null as string)'} region, "
-                      f"cast({amount or 'null'} as decimal(12,2)) amount, {when} placed_at").write.mode("append").parquet(src)
-            stream = ST.running_alerts_stream(ST.file_stream(spark, src, spark.createDataFrame([], schema).schema), 300)
-            ST.run_until_caught_up(stream, ST.append_batches(out), ckpt)
-        got = {r.order_id: (r.order_count, r.total_cents, r.region_count) for r in ST.read_batches(spark, out).collect()}
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", zone)
-    assert got == {"o1": (1, 100, 1), "o2": (2, 300, 1), "o3": (3, 300, 1)}
-
-
-def test_running_alert_state_expires_behind_watermark(spark):
-    """The applyInPandasWithState alert form keeps only windows the
-    watermark has not passed; a customer whose windows all closed leaves the
-    state store (event-time timeout), so state does not grow with time."""
-    src, out, ckpt = (scratch_path(spark, n) for n in ("ra-src", "ra-out", "ra-ckpt"))
-    batches = [
-        [("o1", "a", "us-east", Decimal("10.00"), "2024-01-01 12:00:00"),
-         ("o2", "b", "us-east", Decimal("10.00"), "2024-01-01 12:01:00")],
-        # 2 hours later: watermark 14:00 - 30 min passes both 5-minute windows of day one
-        [("o3", "b", "eu-west", Decimal("5.00"), "2024-01-01 14:00:00")],
-        [("o4", "b", "eu-west", Decimal("5.00"), "2024-01-01 14:01:00")],
-    ]
-    schema = None
-    for rows in batches:
-        df = _orders(spark, rows)
-        schema = df.schema
-        df.write.mode("append").parquet(src)
-        run = ST.running_alerts_stream(ST.file_stream(spark, src, schema), 300, expiry_seconds=1800)
-        ST.run_until_caught_up(run, ST.append_batches(out), ckpt)
-    got = {r.order_id: (r.order_count, r.region_count) for r in spark.read.parquet(out).collect()}
-    assert got == {"o1": (1, 1), "o2": (1, 1), "o3": (1, 1), "o4": (2, 1)}
-    state = spark.read.format("statestore").load(ckpt)
-    keys = sorted(r.key.customer_id for r in state.collect())
-    assert keys == ["b"]  # customer a expired; b holds only its open 14:00 window
-    (b,) = [r.value for r in state.collect()]
-    assert b.groupState.starts == [1704117600000000]  # 2024-01-01 14:00 UTC, in microseconds
-    assert b.timeoutTimestamp == 1704117900000  # that window's end, in ms
-
-
-def test_interleaved_state_sees_profiles_in_arrival_order(spark):
-    """J-2 stateful: an order sees the last profile that arrived before it
-    (profiles first on equal times), across micro-batches; no profile ->
-    the Unknown defaults."""
-    src, out, ckpt = (scratch_path(spark, n) for n in ("j2t-src", "j2t-out", "j2t-ckpt"))
-    schema = ("kind string, customer_id string, order_id string, total_amount decimal(12,2), currency string, "
-              "region string, name string, email string, tier string, t string")
-
-    def rows(data):
-        df = spark.createDataFrame(data, schema).withColumn("__t", F.col("t").cast("timestamp_ntz"))
-        return df.withColumn("placed_at", F.when(F.col("kind") == "order", F.col("__t"))).drop("t")
-    batches = [
-        [("profile", "c1", None, None, None, "eu-west", "Ann", "a1@x", "standard", "2024-01-01 10:00:00"),
-         ("order", "c1", "o1", Decimal("600.00"), "USD", "us-east", None, None, None, "2024-01-01 10:00:00"),
-         ("order", "c2", "o2", Decimal("10.00"), "USD", "us-east", None, None, None, "2024-01-01 10:05:00"),
-         ("profile", "c1", None, None, None, "eu-west", "Ann", "a2@x", "premium", "2024-01-01 11:00:00"),
-         ("order", "c1", "o3", Decimal("10.00"), "USD", "us-east", None, None, None, "2024-01-01 10:30:00")],
-        [("order", "c1", "o4", Decimal("10.00"), "USD", "us-east", None, None, None, "2024-01-02 09:00:00"),
-         ("profile", "c2", None, None, None, "eu-west", "Bo", "b1@x", "enterprise", "2024-01-02 09:00:00"),
-         ("order", "c2", "o5", Decimal("10.00"), "USD", "us-east", None, None, None, "2024-01-02 09:00:00")],
-    ]
-    for data in batches:
-        df = rows(data)
-        df.write.mode("append").parquet(src)
-        ST.run_until_caught_up(ST.interleaved_enrichment_stream(ST.file_stream(spark, src, df.schema)),
-                               ST.append_batches(out), ckpt)
-    got = {r.order_id: (r.customer_email, r.customer_tier, r.is_high_value) for r in spark.read.parquet(out).collect()}
-    assert got == {"o1": ("a1@x", "standard", True), "o2": ("unknown@example.com", "standard", False),
-                   "o3": ("a1@x", "standard", False), "o4": ("a2@x", "premium", False),
-                   "o5": ("b1@x", "enterprise", False)}
+def test_files_of_an_uncommitted_batch_are_not_read(spark):
+    src, out, ckpt = (scratch_path(spark, n) for n in ("eu-src", "eu-out", "eu-ck"))
+    log = _log(spark, 10)
+    log.write.parquet(src)
+    ST.run_exactly_once(ST.file_stream(spark, src, log.schema).select("key"), out, ckpt)
+    spark.range(5).select(F.lit("dead").alias("key")).write.mode("append").parquet(out)  # landed, never committed
+    assert sorted(r.key for r in ST.read_committed(spark, out).collect()) == sorted(map(str, range(10)))
+    _log(spark, 12).filter("offset >= 10").write.mode("append").parquet(src)  # the query goes on as if nothing were there
+    ST.run_exactly_once(ST.file_stream(spark, src, log.schema).select("key"), out, ckpt)
+    assert ST.read_committed(spark, out).count() == 12
 
 
 def test_progress_listener_records_batches(spark):
@@ -202,97 +102,3 @@ def test_kafka_wrappers_fail_clearly_without_the_package(spark):
         write_kafka(log, "localhost:1", topic="orders")
 
 
-def test_state_machine_writer_splits_a_hot_order_across_batches(spark):
-    """T-1 foreachBatch form with a hot order cut into chunks of 16 rows in
-    every micro-batch, seeded from the state table between batches: the
-    same answers as a plain fold over all requests in time order."""
-    src, out, state, ckpt = (scratch_path(spark, n) for n in ("hot-src", "hot-out", "hot-state", "hot-ckpt"))
-    # a walk that keeps moving (placed <-> payment_failed), with an invalid
-    # request every fourth step and a final cancel into a terminal state
-    reqs, cur = [], S.INITIAL_STATUS
-    for i in range(240):
-        if i % 4 == 3:
-            r = "shipped"
-        elif i >= 230:
-            r = "cancelled"
-        else:
-            r = "payment_failed" if cur == "placed" else "placed"
-        reqs.append((i, r))
-        cur = r if r in S.VALID_TRANSITIONS.get(cur, []) else cur
-    schema = "order_id string, customer_id string, event_id long, requested_status string, ts timestamp_ntz"
-    writer = ST.state_machine_writer(state, out, max_chunk_rows=16)
-    for part in (reqs[:130], reqs[130:]):  # two micro-batches, later ones later in time
-        rows = [("hot", "c", i, r, None) for i, r in part] + [(f"o{i}", "c", i, r, None) for i, r in part[:5]]
-        df = spark.createDataFrame(rows, schema).withColumn(
-            "ts", F.timestamp_seconds(F.col("event_id")).cast("timestamp_ntz"))
-        df.write.mode("append").parquet(src)
-        ST.run_until_caught_up(ST.file_stream(spark, src, df.schema), writer, ckpt)
-    got = {r.event_id: (r.previous_status, r.accepted) for r in spark.read.parquet(out)
-           .filter(F.col("order_id") == "hot").collect()}
-    cur, want = S.INITIAL_STATUS, {}
-    for i, r in reqs:
-        ok = r in S.VALID_TRANSITIONS.get(cur, [])
-        want[i] = (cur, ok)
-        cur = r if ok else cur
-    assert got == want
-    assert sum(ok for _p, ok in want.values()) > 150  # the walk really moves through states
-    assert cur == "cancelled"
-
-
-def test_alert_writer_splits_a_hot_customer_across_batches(spark):
-    """A-2 foreachBatch form: one customer with 200 orders in one open
-    window, chunks of 16 rows, the window carried in the state table from
-    the first micro-batch to the second: running values equal a direct count."""
-    from eventide.operators.windows import FraudRule
-    src, out, state, ckpt = (scratch_path(spark, n) for n in ("hf-src", "hf-out", "hf-state", "hf-ckpt"))
-    rule = FraudRule(window="1 hour")
-    regions = S.REGIONS
-    orders = [(f"h{i:03d}", "h", regions[(i // 3) % len(regions)], Decimal("1.50"), 10 * i) for i in range(200)]
-    writer = ST.running_alerts_writer(state, out, rule, max_chunk_rows=16)
-    for part in (orders[:120], orders[120:]):
-        df = (spark.createDataFrame(part, "order_id string, customer_id string, region string, "
-                                          "amount decimal(12,2), sec long")
-              .withColumn("placed_at", (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-                                        + F.make_dt_interval(secs=F.col("sec"))))
-              .drop("sec"))
-        df.write.mode("append").parquet(src)
-        ST.run_until_caught_up(ST.file_stream(spark, src, df.schema), writer, ckpt)
-    got = {r.order_id: (r.order_count, r.total_amount, r.region_count)
-           for r in spark.read.parquet(out).collect()}
-    want, seen = {}, set()
-    for k, (oid, _c, reg, amt, _s) in enumerate(orders, start=1):
-        seen.add(reg)
-        if k > rule.max_orders:  # the count rule alone reaches the alert score
-            want[oid] = (k, amt * k, len(seen))
-    assert got == want
-
-
-def test_interleaved_writer_splits_a_hot_customer_across_batches(spark):
-    """J-2 foreachBatch form: one customer with 120 orders and 6 profile
-    versions over two micro-batches, as-of scan cut into chunks of 8 rows:
-    each order sees the last profile at or before it."""
-    src, out, table, ckpt = (scratch_path(spark, n) for n in ("hj-src", "hj-out", "hj-table", "hj-ckpt"))
-    order_cols = ["order_id", "customer_id", "total_amount", "currency", "region", "placed_at"]
-    profile_cols = ["customer_id", "name", "email", "tier", "updated_at"]
-    schema = ("kind string, customer_id string, order_id string, total_amount decimal(12,2), currency string, "
-              "region string, name string, email string, tier string, sec long")
-    orders = [("order", "h", f"o{i:03d}", Decimal("10.00"), "USD", "us-east", None, None, None, 60 * i + 30)
-              for i in range(120)]
-    profiles = [("profile", "h", None, None, None, None, "H", f"h{v}@x", "standard", 60 * (20 * v + 5))
-                for v in range(6)]
-    writer = ST.interleaved_enrichment_writer(table, out, order_cols, profile_cols, max_chunk_rows=8)
-    rows = sorted(orders + profiles, key=lambda r: r[-1])
-    for part in (rows[:70], rows[70:]):
-        df = (spark.createDataFrame(part, schema)
-              .withColumn("__t", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("sec")))
-              .withColumn("placed_at", F.when(F.col("kind") == "order", F.col("__t")))
-              .withColumn("updated_at", F.when(F.col("kind") == "profile", F.col("__t"))).drop("sec"))
-        df.write.mode("append").parquet(src)
-        ST.run_until_caught_up(ST.file_stream(spark, src, df.schema), writer, ckpt)
-    got = {r.order_id: r.customer_email for r in spark.read.parquet(out).collect()}
-    want = {}
-    for _k, _c, oid, *_rest, sec in orders:
-        before = [p for p in profiles if p[-1] <= sec]
-        want[oid] = before[-1][7] if before else "unknown@example.com"
-    assert got == want
-    assert len(set(want.values())) == 7  # every version and the default are seen
