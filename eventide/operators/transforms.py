@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from eventide import schemas as S
 from eventide.functions.columns import ntz_to_millis, to_money
+from eventide.functions.schema_resolution import declare, read_as
 from eventide.operators.joins import high_value
 
 
@@ -262,20 +263,22 @@ def apply_retention(log: DataFrame, as_of: Column, topics: dict | None = None) -
 
 
 # E-1 / E-2 ----------------------------------------------------------------------
-def evolve_to_v2(v1: DataFrame, v2: DataFrame) -> DataFrame:
-    """Read v1 and v2 rows as one v2 table; missing v2 fields get defaults."""
-    u = v1.unionByName(v2, allowMissingColumns=True)
-    empty_map = F.create_map().cast(T.MapType(T.StringType(), T.StringType()))
+def _order_schema(df: DataFrame, version: T.StructType) -> str:
+    """The declared schema of a version, of the columns that ``df`` has of it."""
+    have = T.StructType([T.StructField(f.name, df.schema[f.name].dataType) for f in version.fields if f.name in df.columns])
+    return declare(have, "order")
+
 
-    def col_or_null(c: str, dtype: str):
-        return F.col(c).cast(dtype) if c in u.columns else F.lit(None).cast(dtype)
-    return u.select(
-        *[F.col(c) for c in v1.columns if c in S.ORDER_V1_FIELDS],
-        col_or_null("coupon_code", "string").alias("coupon_code"),
-        F.coalesce(col_or_null("priority", "string"), F.lit(S.ORDER_V2_DEFAULTS["priority"])).alias("priority"),
-        F.coalesce(col_or_null("metadata", "map<string,string>"), empty_map).alias("metadata"))
+def evolve_to_v2(v1: DataFrame, v2: DataFrame) -> DataFrame:
+    """Read v1 and v2 rows as one v2 table: each by its writer's schema, missing fields by the reader's defaults."""
+    old = [f for f in S.ORDER_PLACED_V1.fields if f.name in v1.columns]
+    new = [f for f in S.ORDER_PLACED_V2.fields if f.name in S.ORDER_V2_DEFAULTS]
+    fields = [T.StructField(f.name, v1.schema[f.name].dataType) for f in old] + new
+    reader = declare(T.StructType(fields), "order", S.ORDER_V2_DEFAULTS)
+    read = [read_as(df, _order_schema(df, version), reader) for df, version in ((v1, S.ORDER_PLACED_V1), (v2, S.ORDER_PLACED_V2))]
+    return read[0].unionByName(read[1])
 
 
 def project_v1(df: DataFrame) -> DataFrame:
-    """Read any later version as v1: keep the v1 fields only."""
-    return df.select(*[c for c in S.ORDER_V1_FIELDS if c in df.columns])
+    """Read any later version as v1: the writer's further fields are passed over."""
+    return read_as(df, _order_schema(df, S.ORDER_PLACED_V2), _order_schema(df, S.ORDER_PLACED_V1))

@@ -117,6 +117,7 @@ SELECT order_id, coalesce(arg_max(CASE WHEN accepted THEN new_status END,
                                    CASE WHEN accepted THEN (ts, event_id) END), '{S.INITIAL_STATUS}') AS current_status,
        CAST(sum(CASE WHEN accepted THEN 1 ELSE 0 END) AS BIGINT) AS transitions, count(*) AS requests
 FROM changes GROUP BY order_id""")
+ORACLE["order_state_from_snapshot"] = ORACLE["order_current_state"]
 ORACLE["transition_check"] = _recursive(
     f"SELECT order_id, event_id, previous_status, new_status, {_valid('previous_status', 'new_status')} AS valid "
     "FROM changes")

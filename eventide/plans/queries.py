@@ -63,6 +63,7 @@ def q_fraud_alerts_final(spark, sf):
 
 # --- order life cycle (T-1, T-2, W-2, J-5) ---------------------------------
 from eventide.operators import state_machine as SM  # noqa: E402
+from eventide.operators import state_snapshots as SS  # noqa: E402
 
 
 @query("order_state_changes")
@@ -80,6 +81,18 @@ def q_order_current_state(spark, sf):
     return SM.order_current_state(SM.order_state_changes(V.state_requests(spark, sf)))
 
 
+SNAPSHOT_CUT = "2024-01-16 00:00:00"
+
+
+@query("order_state_from_snapshot")
+def q_order_state_from_snapshot(spark, sf):
+    """T-2: hour functions stored by day, a snapshot of the first half of the month, and the tail since."""
+    hours, before = scratch_path(spark, "order-hours"), scratch_path(spark, "order-snapshot")
+    SS.write_hours(V.state_requests(spark, sf), hours)
+    SS.snapshot(SS.read_hours(spark, hours, until=SNAPSHOT_CUT)).write.parquet(before)
+    return SS.current_state(spark.read.parquet(before), SS.read_hours(spark, hours, since=SNAPSHOT_CUT))
+
+
 @query("transition_check")
 def q_transition_check(spark, sf):
     # every request checked against the status its order met (the fold's previous status)

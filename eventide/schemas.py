@@ -125,7 +125,7 @@ CUSTOMER_DEFAULTS = {
     "tier": "standard",
     "lifetime_orders": 0,
 }
-ORDER_V2_DEFAULTS = {"coupon_code": None, "priority": "standard"}
+ORDER_V2_DEFAULTS = {"coupon_code": None, "priority": "standard", "metadata": {}}
 
 # ---------------------------------------------------------------------------
 # StructTypes
