@@ -1,13 +1,15 @@
 """License notices in texts by conditional compression.
 
 A stretch of text around licence words is compressed by itself and with each
-template as zstandard raw dictionary.  Templates are ranked by the bytes they
-save; a winner is confirmed by the words in which the text differs from it.
+template as zstandard raw dictionary.  Templates that save nothing are out, the
+others are ranked by the bytes they save.  Down that ranking the words of the
+text are aligned with a template's, until the differences confirm one.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +43,21 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+            'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+            "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+            "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and "
+            "this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "
+            '"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+            "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS "
+            "BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+            "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+            "provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS "
+            'IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+            "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL "
+            "DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+            "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
 ]
 
@@ -49,6 +66,10 @@ TRIGGER = r"(?i)licen[cs]|copyright|creative\s+commons|redistribut|permission\s"
 #: part of a template's words that may differ
 MAX_DIFFERENT = 0.1
 _LEVEL = 9
+#: bytes that a compressor's size tells nothing about: of templates that save so nearly as much, the wording decides
+NOISE = 4
+#: words on either side of a licence word, in the narrow look at a stretch where no template confirms
+NARROW = 24
 #: code points of a stretch; a longer one is looked at in parts that overlap by a template's reach
 LONGEST = 20_000
 _WORD = re.compile(r"[^\W_]+(?:[.'’-][^\W_]+)*")
@@ -144,31 +165,76 @@ class Scanner:
         """No word differs that has a number (a version is no wording)."""
         return not any(c.isdigit() for t in told for c in t)
 
-    def _aligned(self, own: list[str], most, confirmed: bool) -> dict[int, list[tuple[int, int, int, list[str]]]]:
-        """Of each template its alignments with fewest differences, at most ``most(its words)``, that do not overlap.
+    def _aligned(self, k: int, own: list[str], limit: float, confirmed: bool) -> list[tuple[int, int, int, list[str]]]:
+        """Alignments of template ``k`` with fewest differences, at most ``limit``, that do not overlap.
 
-        Confirmed: of those that confirm.  A template that lacks more of its words
-        in the stretch than may differ has no such alignment.
+        Confirmed: those that confirm.  A template that lacks more of its words in
+        the stretch than may differ has no such alignment.
         """
-        text, found = np.array([self.number.get(w, -1) for w in own], np.int32), {}
+        template, text = self.coded[k], np.array([self.number.get(w, -1) for w in own], np.int32)
         there = np.zeros(len(self.number) + 1, bool)  # the last place takes the words of no template
         there[text] = True
-        for k, template in enumerate(self.coded):
-            limit = most(len(template))
-            if not len(template) or np.count_nonzero(~there[template]) > limit:
-                continue
-            cost = _costs(template, text)
-            ends = np.flatnonzero(cost[-1] <= limit)
-            kept: list[tuple[int, int, int, list[str]]] = []
-            for end in ends[np.argsort(cost[-1][ends], kind="stable")].tolist():
-                if kept and cost[-1, end] > kept[0][0]:
-                    break
-                one = _trace(cost, self.words[k], own, end)
-                if max(one[1], kept[-1][2] if kept else 0) == one[1] < end and (not confirmed or self._confirms(one[3])):
-                    kept.append(one)
-            if kept:
-                found[k] = kept
-        return found
+        if not len(template) or np.count_nonzero(~there[template]) > limit:
+            return []
+        cost, kept = _costs(template, text), []
+        ends = np.flatnonzero(cost[-1] <= limit)
+        for end in ends[np.argsort(cost[-1][ends], kind="stable")].tolist():
+            if kept and cost[-1, end] > kept[0][0]:
+                break
+            one = _trace(cost, self.words[k], own, end)
+            if max(one[1], kept[-1][2] if kept else 0) == one[1] < end and (not confirmed or self._confirms(one[3])):
+                kept.append(one)
+        return kept
+
+    def ranked(self, said: list[str]) -> tuple[int, list[tuple[int, int]]]:
+        """Compressed size of the words alone, and (size, template) of the templates that save bytes, most saved first.
+
+        Of templates that save equally much the longer.
+        """
+        alone, sizes = self._sizes(said)
+        return alone, sorted(((size, k) for k, size in enumerate(sizes) if size < alone), key=lambda r: (r[0], -len(self.words[r[1]]), r[1]))
+
+    def _winner(self, said: list[str], confirmed: bool):
+        """(template, bytes alone, bytes given, alignments) of the first of the ranking whose wording is near enough, else None."""
+        alone, rank = self.ranked(said)
+        best = None
+        for size, k in rank:
+            if best is not None and size > best[2] + NOISE:
+                break
+            limit = MAX_DIFFERENT * len(self.words[k]) if confirmed else len(self.words[k]) // 2
+            found = self._aligned(k, said, limit, confirmed)
+            if found and (best is None or found[0][0] * len(self.words[best[0]]) < best[3][0][0] * len(self.words[k])):
+                best = (k, alone, size, found)
+        return best
+
+    def _narrow(self, own: list[tuple[str, int, int]], text: str) -> list[tuple[int, int]]:
+        """Words around each licence word of a stretch, apart: (from, to)."""
+        at, spans = [a for _, a, _ in own], []
+        for m in self.trigger.finditer(text, own[0][1], own[-1][2]):
+            i = bisect_right(at, m.start())
+            spans.append((max(0, i - NARROW), min(len(own), i + NARROW)))
+        return spans
+
+    def _look(self, own: list[tuple[str, int, int]], text: str):
+        """(first word, winner, confirmed) in a stretch: all of it, then around each licence word, then whatever is nearest."""
+        said = [w for w, _, _ in own]
+        won = self._winner(said, True)
+        if won:
+            return 0, won, True
+        seen: set[tuple[str, ...]] = set()
+        spans = []
+        for lo, hi in self._narrow(own, text):
+            if (part := tuple(said[lo:hi])) not in seen:
+                seen.add(part)
+                spans.append((lo, hi))
+                if won := self._winner(said[lo:hi], True):
+                    return lo, won, True
+        if won := self._winner(said, False):
+            return 0, won, False
+        for lo, hi in spans:
+            if won := self._winner(said[lo:hi], False):
+                return lo, won, False
+        return None
 
     def find(self, text: str) -> list[tuple]:
         """(start, length, licence, wording, bytes alone, bytes given, differences, their list, confirmed) of the notices."""
@@ -179,29 +245,14 @@ class Scanner:
                 own = parts.pop()
                 if not own or not self.trigger.search(text[own[0][1]:own[-1][2]]):
                     continue
-                said = [w for w, _, _ in own]
-                good = self._aligned(said, lambda n: MAX_DIFFERENT * n, True)
-                near = good or self._aligned(said, lambda n: n // 2, False)
-                if not near:
+                got = self._look(own, text)
+                if got is None:
                     continue
-                alone, sizes = self._sizes(said)
-                # of templates that save equally much the longer
-                rank = sorted(near, key=lambda k: (sizes[k], -len(self.words[k]), k))
-                if good:
-                    k = min(rank, key=lambda k: (good[k][0][0] > 0, good[k][0][0] / len(self.words[k])))
-                else:
-                    k = next((k for k in rank if sizes[k] < alone), None)
-                    if k is None:  # a short notice in a long stretch: ranked again where it stands
-                        for j in rank:
-                            alone, sizes = self._sizes(said[near[j][0][1]:near[j][0][2]])
-                            if sizes[j] < alone:
-                                k = j
-                                break
-                        else:
-                            continue
+                base, (k, alone, given, found), good = got
                 at = 0
-                for n, first, end, told in near[k]:
-                    out.append((own[first][1], own[end - 1][2] - own[first][1], self.names[k], k, alone, sizes[k], n, " ".join(told), bool(good)))
+                for n, first, end, told in sorted(found, key=lambda f: f[1]):
+                    first, end = base + first, base + end
+                    out.append((own[first][1], own[end - 1][2] - own[first][1], self.names[k], k, alone, given, n, " ".join(told), good))
                     parts.append(own[at:first])  # what is before and behind may hold others
                     at = end
                 parts.append(own[at:])

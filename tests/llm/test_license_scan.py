@@ -92,3 +92,65 @@ def test_given_documents(spark):
     found = sorted(r.doc_id for r in op2.scan_licenses(docs).collect() if r.confirmed)
     planted = sorted(r.doc_id for r in docs.collect() for _ in re.findall(r"(?i)(?:licensed|released) under", r.text or ""))
     assert found == planted
+
+
+def test_the_compressor_ranks_and_prunes(monkeypatch):
+    """Templates are aligned in the order of the bytes they save, no further than one that confirms; without savings none is."""
+    scanner, asked = op2.Scanner(), []
+    aligned = scanner._aligned
+
+    def spy(k, *rest):
+        asked.append(k)
+        return aligned(k, *rest)
+    monkeypatch.setattr(scanner, "_aligned", spy)
+    for k, (name, text) in enumerate(op2.TEMPLATES):
+        asked.clear()
+        said = [w for w, _, _ in op2.words(PROSE + text + ". " + PROSE)]
+        alone, rank = scanner.ranked(said)
+        sizes = {t: len(scanner.given[t].compress(" ".join(said).encode())) for t in range(len(op2.TEMPLATES))}
+        assert alone == len(scanner.alone.compress(" ".join(said).encode()))
+        assert [t for _, t in rank] == sorted((t for t in sizes if sizes[t] < alone), key=lambda t: (sizes[t], -len(scanner.words[t]), t))
+        assert [f[2] for f in scanner.find(PROSE + text + ". " + PROSE)] == [name]
+        best = sizes[k]  # this one confirms: what saves less, beyond noise, was never aligned in the whole stretch
+        upto = [t for size, t in rank if size <= best + op2.NOISE]
+        assert asked[:len(upto)] == upto[:len(asked)] and asked[0] == rank[0][1]
+    # one word tells these two apart, which is within what may differ: the savings choose
+    lesser = "This work is licensed under the GNU Lesser General Public License, version 3"
+    assert [f[2] for f in scanner.find(PROSE + lesser)] == ["LGPL-3.0"]
+    true = scanner._sizes
+    monkeypatch.setattr(scanner, "_sizes", lambda said: (10**6, [10 * (10**4 - n) for n in true(said)[1]]))
+    assert [f[2] for f in scanner.find(PROSE + lesser)] == ["GPL-3.0"]
+    monkeypatch.setattr(scanner, "_sizes", lambda said: (100, [100] * len(op2.TEMPLATES)))
+    assert scanner.find(PROSE + lesser) == []
+
+
+def brute(scanner, text):
+    """Every template against every stretch of the text as long as it, give or take what may differ: the names that stand there."""
+    own, names = [w for w, _, _ in op2.words(text)], set()
+    for k, template in enumerate(scanner.words):
+        slack = int(op2.MAX_DIFFERENT * len(template))
+        for i in range(len(own)):
+            for n in range(len(template) - slack, len(template) + slack + 1):
+                if i + n <= len(own):
+                    cost, _, _, told = op2.alignment(template, own[i:i + n])
+                    if cost <= slack and scanner._confirms(told):
+                        names.add(scanner.names[k])
+    return names
+
+
+def test_against_every_template_at_every_place():
+    """Whole notices, changed by a word or not, in prose: the licences found are among those that brute force finds, none is missed."""
+    import random
+    rng, scanner = random.Random(3), op2.Scanner([t for t in op2.TEMPLATES if len(t[1]) < 130])
+    kinds = [t for t in op2.TEMPLATES if len(t[1]) < 130]
+    for _ in range(25):
+        chosen = [rng.choice(kinds) for _ in range(rng.randint(0, 2))]
+        parts = [PROSE[:120]]
+        for _, text in chosen:
+            said = text.split()
+            if len(said) >= 10 and rng.random() < 0.5:
+                said[rng.randint(1, 3)] = "otherwise"
+            parts += [" ".join(said) + ".", PROSE[:rng.randint(20, 150)]]
+        whole = " ".join(parts)
+        told, possible = {f[2] for f in scanner.find(whole) if f[8]}, brute(scanner, whole)
+        assert told <= possible and {n for n, _ in chosen} & possible <= told, (whole, told, possible)
