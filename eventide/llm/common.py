@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,32 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_row_key(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a key of each row that is the same whenever and however the rows are read.
+
+    The key is the row's file and its place in it, not a place in the scan,
+    which depends on how many cores the cluster has at that moment.  A frame
+    that is no scan of files is written first, and the copy is scanned.
+    """
+    key = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")).alias(name)
+    try:
+        return df.select("*", key)
+    except AnalysisException:
+        return stage_table(df, "rows").select("*", key)
+
+
+def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs (from, to) of items whose sizes sum up to about ``most``; a larger item is a run of its own."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > most:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a staged table that no later step reads."""
     spark = df.sparkSession

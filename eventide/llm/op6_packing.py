@@ -16,10 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import stage_table
+from eventide.llm.common import slices, stage_table
 
 CAPACITY = 4096
 END_ID = 1
@@ -27,8 +28,12 @@ END_ID = 1
 PART_ROWS = 8192
 #: exchanges among parts
 ROUNDS = 4
-#: words whose ids a worker remembers; beyond, it starts afresh
-MEMO_WORDS = 600_000
+#: bytes of words and ids that a task remembers; beyond, it starts afresh
+MEMO_BYTES = 32 * 1024 * 1024
+#: bytes of a remembered word besides its own: two objects and a place in the dictionary
+_ENTRY = 180
+#: bytes of text that are encoded together, about
+TOGETHER_BYTES = 512 * 1024
 _TAIL = ".,!?;:%&$#*|"
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
@@ -49,8 +54,13 @@ class WordEncoder:
         vocab = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the memory: at the end of a task, and when it is full."""
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[str, bytes] = {}
+        self.held = 0
 
     def _learn_stems(self, stems: list[str]) -> None:
         """Ids of letter runs, encoded as one text: each run ends with its only id that closes a word."""
@@ -58,10 +68,12 @@ class WordEncoder:
         ends = np.flatnonzero(self.closes[ids]) + 1
         for stem, lo, hi in zip(stems, np.concatenate([[0], ends[:-1]]), ends, strict=True):
             self.stems[stem] = ids[lo:hi].tobytes()
+            self.held += len(stem) + 4 * (hi - lo) + _ENTRY
 
     def _learn_others(self, texts: list[str]) -> None:
         for t, e in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             self.words[t.encode()] = np.array(e.ids, "<u4").tobytes()
+            self.held += len(t) + 4 * len(e.ids) + _ENTRY
 
     def _learn(self, words: set[bytes]) -> None:
         cut, others, stems = [], set(), set()
@@ -83,11 +95,12 @@ class WordEncoder:
             self._learn_others(list(others))
         for raw, stem, tail in cut:
             self.words[raw] = self.stems[stem] + (self.words[tail] if tail else b"")
+            self.held += len(raw) + len(self.words[raw]) + _ENTRY
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, ``END_ID`` last."""
-        if len(self.words) > MEMO_WORDS or len(self.stems) > MEMO_WORDS:
-            self.words, self.stems = {}, {}
+        if self.held > MEMO_BYTES:
+            self.forget()
         split = [(t or "").encode().split() for t in texts]  # bytes: ASCII white space only
         known = self.words
         new = {w for ws in split for w in ws if w not in known}
@@ -101,7 +114,7 @@ _encoders: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder of a vocabulary file, kept between tasks."""
+    """The worker's encoder of a vocabulary file: the tokenizer is kept between tasks, what a task remembers is not."""
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
@@ -113,9 +126,10 @@ _PIECES = "doc_id long, rid long, piece int, start long, length long, ids_crc32
 def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
+        enc.forget()
         for batch in batches:
-            for at in range(0, len(batch), 128):
-                part = batch.slice(at, 128)
+            for at, end in slices(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist(), TOGETHER_BYTES):
+                part = batch.slice(at, end - at)
                 row, piece, start, length, crc = [], [], [], [], []
                 for i, ids in enumerate(enc.encode(part.column("text").to_pylist())):
                     for k, lo in enumerate(range(0, len(ids), 4 * capacity)):
@@ -130,6 +144,7 @@ def _cut(path: str, capacity: int):
                     part.column("doc_id").take(at_rows), part.column("rid").take(at_rows), pa.array(piece, pa.int32()),
                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "rid", "piece", "start", "length", "ids_crc32"])
+        enc.forget()
     return run
 
 

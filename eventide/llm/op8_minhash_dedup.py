@@ -16,13 +16,14 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import drop_staged, stage_table
+from eventide.llm.common import drop_staged, slices, stage_table
 from eventide.llm.components import connected_components
-from eventide.llm.words import common, shingle_set
+from eventide.llm.words import WordHashes, common, shingle_set
 
 #: 40 bands of 5 minima: a pair at 0.8 meets in no band with probability 1.3e-7
 BANDS, ROWS = 40, 5
@@ -30,8 +31,10 @@ BANDS, ROWS = 40, 5
 PERCENT = 80
 #: sketch bits that may differ: 5 standard deviations above the mean at 0.8 (1 bit each of 200 minima), 3e-7 differ in more
 SKETCH_SLACK = 5.0
-#: vertices of a block on either side, and block rows of a task, about
-REST_BLOCK, ALL_BLOCK, TASK_ROWS = 256, 1024, 2048
+#: bytes of text of a block on either side, and of the blocks of a task, about (a longer text is a block of its own)
+REST_BYTES, ALL_BYTES, TASK_BYTES = 1 << 20, 4 << 20, 8 << 20
+#: bytes of text that are signed together, about
+SIGN_BYTES = 1 << 20
 _SIGNED = "doc_id long, n_shingles long, digest binary, keys array<long>, bits array<long>"
 #: shingles hashed at a time, so that the numbers stay in the cache
 _CHUNK = 16_384
@@ -91,10 +94,11 @@ def _sign(width: int, bands: int, rows: int):
                                         mask=pa.array(sizes == 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
+            for lo, hi in slices(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist(), SIGN_BYTES):
+                part = batch.slice(lo, hi - lo)
+                sets = [shingle_set(t, width, words) for t in part.column("text").to_pylist()]
                 full = [i for i, s in enumerate(sets) if len(s)]
                 m = minima([sets[i] for i in full], a, b)
                 yield pa.RecordBatch.from_arrays([
@@ -106,17 +110,18 @@ def _sign(width: int, bands: int, rows: int):
 
 
 def _verify(width: int, percent: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, last_set = None, None
-        for pdf in frames:
-            ok = np.zeros(len(pdf), bool)
-            for i, (a, ta, tb) in enumerate(zip(pdf["a"], pdf["ta"], pdf["tb"])):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, last, last_set = WordHashes(), None, None
+        for batch in batches:
+            ok = np.zeros(len(batch), bool)
+            ta, tb = batch.column("ta"), batch.column("tb")  # one text at a time becomes a Python string
+            for i, a in enumerate(batch.column("a").to_pylist()):
                 if a != last:
-                    last, last_set = a, shingle_set(ta, width)
-                other = shingle_set(tb, width)
+                    last, last_set = a, shingle_set(ta[i].as_py(), width, words)
+                other = shingle_set(tb[i].as_py(), width, words)
                 both = common(last_set, other)
                 ok[i] = 100 * both >= percent * (len(last_set) + len(other) - both)
-            yield pd.DataFrame({"a": pdf["a"].array[ok], "b": pdf["b"].array[ok]})
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
     return run
 
 
@@ -151,11 +156,12 @@ def _compare(width: int, percent: int, bits: int):
     """
     apart = _apart(percent, bits)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        sets: dict[int, np.ndarray] = {}
-        for v, t in zip(pdf["vid"], pdf["text"]):
+    def run(table: pa.Table) -> pa.Table:
+        words, sets = WordHashes(), {}
+        for v, t in zip(table["vid"].to_pylist(), table["text"]):
             if v not in sets:
-                sets[v] = shingle_set(t, width)
+                sets[v] = shingle_set(t.as_py(), width, words)
+        pdf = table.drop_columns(["text"]).to_pandas()
         a, b = [], []
         for _, unit in pdf.groupby(["main", "zb", "xb"], sort=False):
             z, x = unit[unit["rest"]], unit[~unit["rest"]]
@@ -175,7 +181,7 @@ def _compare(width: int, percent: int, bits: int):
                         b.append(w)
                         go = go[xc[go] != comp]
                     step = 512
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
 
@@ -197,7 +203,8 @@ class _Candidates:
         # not deterministic: else Spark runs it on all texts, before the join
         digest = F.pandas_udf(_digests(self.width), "binary").asNondeterministic()
         found = src.join(asked, "doc_id").withColumn("own", digest("text")).filter("own = digest")
-        return stage_table(found.groupBy("doc_id", "vid").agg(F.first("text").alias("text")).select("vid", "text"), "texts")
+        text = found.groupBy("doc_id", "vid").agg(F.first("text").alias("text"))
+        return stage_table(text.select("vid", "text", F.octet_length("text").cast("long").alias("size")), "texts")
 
     def _test(self, pairs: DataFrame) -> None:
         """Verify pairs (a, b) on their full sets."""
@@ -205,7 +212,7 @@ class _Candidates:
         left = self.texts.select(F.col("vid").alias("a"), F.col("text").alias("ta"))
         right = self.texts.select(F.col("vid").alias("b"), F.col("text").alias("tb"))
         whole = pairs.join(right, "b").join(left, "a").select("a", "ta", "b", "tb")
-        self.links.append(stage_table(whole.mapInPandas(_verify(self.width, self.percent), "a long, b long"), "links"))
+        self.links.append(stage_table(whole.mapInArrow(_verify(self.width, self.percent), "a long, b long"), "links"))
 
     def components(self) -> DataFrame:
         """(node, comp) of the vertices that have links so far."""
@@ -232,23 +239,24 @@ class _Candidates:
     def _compare_rest(self, now: DataFrame) -> None:
         """Compare what is not joined to its buckets' main component with all that shares such a bucket.
 
-        Both sides of a main component are cut into blocks; a task gets some
-        pairs of blocks, with their texts.
+        Both sides of a main component are cut into blocks by bytes of text; a
+        task gets some pairs of blocks, with their texts.
         """
         sides = stage_table(now.groupBy("main", "vid").agg(F.max("comp").alias("comp"))
-                            .withColumn("rest", F.col("comp") != F.col("main")), "sides")
-        blocks = sides.groupBy("main").agg(F.ceil(F.count_if("rest") / REST_BLOCK).cast("long").alias("zn"),
-                                           F.ceil(F.count(F.lit(1)) / ALL_BLOCK).cast("long").alias("xn"))
+                            .withColumn("rest", F.col("comp") != F.col("main")).join(self.texts.select("vid", "size"), "vid"), "sides")
+        blocks = sides.groupBy("main").agg(
+            F.ceil((F.sum(F.when(F.col("rest"), F.col("size"))) + 1) / REST_BYTES).cast("long").alias("zn"),
+            F.ceil((F.sum("size") + 1) / ALL_BYTES).cast("long").alias("xn"))
         told = sides.join(blocks, "main")
         own = lambda n: F.pmod(F.xxhash64("vid"), F.col(n))
         each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        z = told.filter("rest").select("main", "vid", "comp", "rest", own("zn").alias("zb"), each("xn").alias("xb"))
-        x = told.select("main", "vid", "comp", F.lit(False).alias("rest"), each("zn").alias("zb"), own("xn").alias("xb"))
+        z = told.filter("rest").select("main", "vid", "comp", "rest", "size", own("zn").alias("zb"), each("xn").alias("xb"))
+        x = told.select("main", "vid", "comp", F.lit(False).alias("rest"), "size", each("zn").alias("zb"), own("xn").alias("xb"))
         rows = stage_table(z.unionByName(x), "blocks")
-        tasks = max(1, -(-rows.count() // TASK_ROWS))
-        whole = (rows.join(self.info, "vid").join(self.texts, "vid")
+        tasks = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // TASK_BYTES))
+        whole = (rows.drop("size").join(self.info, "vid").join(self.texts.select("vid", "text"), "vid")
                  .withColumn("task", F.pmod(F.xxhash64("main", "zb", "xb"), F.lit(tasks))))
-        found = whole.groupBy("task").applyInPandas(_compare(self.width, self.percent, self.bits), "a long, b long")
+        found = whole.groupBy("task").applyInArrow(_compare(self.width, self.percent, self.bits), "a long, b long")
         self.links.append(stage_table(found, "links"))
 
     def run(self) -> DataFrame:
@@ -271,9 +279,11 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _digests(width: int):
-    def run(texts: pd.Series) -> pd.Series:
-        sets = [shingle_set(t, width) for t in texts]
-        return pd.Series([_digest(s) if len(s) else None for s in sets], dtype=object)
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words = WordHashes()
+        for texts in parts:
+            sets = (shingle_set(t, width, words) for t in texts)
+            yield pd.Series([_digest(s) if len(s) else None for s in sets], dtype=object)
     return run
 
 
