@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import bind, qualified, stage_table
+from eventide.llm.common import qualified, stage_table, with_row_key
 from eventide.session import scratch_path
 
 #: bytes of a chunk row
@@ -39,11 +39,11 @@ _ARROW = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary(), "boo
 _CHUNK_SCHEMA = pa.schema([(name, _ARROW[kind]) for name, kind in (c.split() for c in CHUNKS.split(","))])
 
 
-def decided(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+def decided(keyed: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """Rows (rid, page_id, url, payload_bytes, digest, refers_to): refers_to is null for what is a response."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = stage_table(pages.select(
-        F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("page_id"),
+    rows = stage_table(keyed.select(
+        "rid", F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).alias("url"), F.length(payload).cast("long").alias("payload_bytes"),
         F.sha2(payload, 256).alias("digest")), "payloads")
     order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "rid")
@@ -56,20 +56,22 @@ def decided(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
                       F.when(again, F.col("first_id")).alias("refers_to"), F.when(again, F.col("first_rid")).alias("first_rid")
                       ).unionByName(small.select("rid", "page_id", "url", "payload_bytes", "digest", F.lit(False).alias("again"),
                                                  F.lit(None).cast("long").alias("refers_to"),
-                                                 F.lit(None).cast("long").alias("first_rid")))
+                                                 F.lit(None).cast("string").alias("first_rid")))
 
 
-def chunk_rows(pages: DataFrame, html_col: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(rid, chunk_no, n_chunks, chunk) of every payload; an empty payload is one empty chunk."""
-    payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    n = lambda b: F.greatest(F.ceil(F.length(b) / F.lit(chunk_bytes)).cast("int"), F.lit(1))
-    parts = bind(payload, lambda b: F.transform(
-        F.sequence(F.lit(0), n(b) - 1), lambda i: F.substring(b, i * chunk_bytes + 1, F.lit(chunk_bytes))))
-    cut = pages.select(F.monotonically_increasing_id().alias("rid"), parts.alias("parts"))
-    return cut.select("rid", F.size("parts").alias("n_chunks"), F.posexplode("parts").alias("chunk_no", "chunk"))
+def chunk_rows(keyed: DataFrame, html_col: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(rid, chunk_no, n_chunks, chunk) of every payload; an empty payload is one empty chunk.
+
+    A chunk is cut where its row is made: no row holds all chunks of a payload.
+    """
+    payload = keyed.select("rid", F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload")).withColumn(
+        "n_chunks", F.greatest(F.ceil(F.length("payload") / F.lit(chunk_bytes)).cast("int"), F.lit(1)))
+    numbered = payload.select("rid", "n_chunks", "payload", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("chunk_no"))
+    return numbered.select("rid", "n_chunks", "chunk_no",
+                           F.substring("payload", F.col("chunk_no") * chunk_bytes + 1, F.lit(chunk_bytes)).alias("chunk"))
 
 
-def _record_id(rid: int, page_id: int | None) -> str:
+def _record_id(rid: str, page_id: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{rid}')}>"
 
 
@@ -153,15 +155,15 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                    chunk_bytes: int = CHUNK_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write a record per row of ``pages`` under ``folder`` (a URI); returns the manifest (file, records, bytes).
 
-    ``pages`` is a table scan, or gives its rows in the same order whenever read.
     Only files that the manifest names count: a task that is run again writes
     new files, and those of its lost attempt are in no manifest.  Of equal
     payloads of at least ``REVISIT_BYTES`` bytes the row of the smallest id (a
     null id last, then the first of repeated rows) is a response, the others
     revisit it without a payload.
     """
-    meta = decided(pages, id_col, url_col, html_col)
-    chunks = chunk_rows(pages, html_col, chunk_bytes)
+    keyed = with_row_key(pages.select(id_col, url_col, html_col), "rid")
+    meta = decided(keyed, id_col, url_col, html_col)
+    chunks = chunk_rows(keyed, html_col, chunk_bytes)
     told = chunks.join(meta, "rid").filter("not again or chunk_no = 0").withColumn(
         "chunk", F.when(F.col("again"), F.lit(b"")).otherwise(F.col("chunk")))
     # a record's chunks are in one task (one row made them, and the join keeps what one task sent together)
