@@ -95,3 +95,58 @@ def test_given_pages(spark):
         article = re.sub(r"<br>", " ", article)
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*(?:>|\Z)", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert got[p.page_id] == "\n\n".join(b for b in blocks if b)
+
+
+def test_article_in_a_form_or_an_unclosed_menu():
+    assert Page("<form id=aspnetForm><div class=menu>m</div><article><p>A b</p></article></form>").text() == "A b"
+    assert Page("<nav><ul><li>x<article><p>A b</p></article>").text() == "A b"
+    assert Page("<form><div><p>a page in a form</p></div><input></form><footer>f</footer>").text() == "a page in a form"
+    assert Page("<div id=comments><article><p>nice</p></article></div><main><p>t</p></main>").text() == "t"
+
+
+def test_nothing_else_goes_from_an_article():
+    html = "<article><p class=notice>n</p><div class=related>r</div><math><mi>x</mi></math><div class=ad>a</div><aside>s</aside></article>"
+    assert Page(html).text() == "n\n\nr\n\nx"
+
+
+def test_deep_and_unclosed_markup_takes_linear_time():
+    import time
+    for html in ("<div>" * 100_000 + "x", "<b>" * 50_000 + "</i>" * 50_000 + "x", "<ul>" + "<div>" * 50_000 + "<li></li>" * 50_000 + "x",
+                 "<p><table><tr><td>" + "<div>" * 50_000 + "x", "<main>" * 50_000 + "x", "<nav>" * 50_000 + "<article>x"):
+        start = time.time()
+        page = Page(html)
+        assert page.text() == "x" and len(page.subtrees()) <= len(page.hashes)
+        assert time.time() - start < 15
+
+
+def test_counts_of_subtrees(spark):
+    """Template subtrees by their definition, counted plainly over random pages, against the query's."""
+    import random
+    from collections import defaultdict
+    rng = random.Random(8)
+    pieces = [f"<div class='k{i}'><p>box {i}</p></div>" for i in range(6)] + [f"<div class='ad{i}'>advert {i}</div>" for i in range(4)]
+    rows = []
+    for i in range(60):
+        own = [rng.choice(pieces) for _ in range(rng.randint(0, 4))] + [f"<div><p>Own story {rng.randint(0, 40)}.</p><p>Goes on.</p></div>"]
+        rng.shuffle(own)
+        rows.append((i, f"http://{rng.choice('ab')}.com/{i}", "<body>" + "".join(own) + "</body>"))
+    seen, kinds, texts = defaultdict(set), defaultdict(list), defaultdict(set)
+    for _, url, html in rows:
+        page, host = Page(html), url[7]
+        text = "\n".join(b[0] for b in page.said())
+        texts[host].add(text)
+        for h, kind in page.subtrees().items():
+            kinds[host, h].append((text, kind))
+    want = defaultdict(set)
+    for (host, h), all_ in kinds.items():
+        by_text = defaultdict(int)
+        for text, kind in all_:
+            by_text[text] |= kind
+        n = sum(not k & op3._MOST for k in by_text.values())
+        strict, named = any(k & op3._STRICT for k in by_text.values()), all(k & op3._NAMED_SO for k in by_text.values())
+        if n >= op3.FEW_PAGES and (n >= op3.MANY_PAGES and op3.PART * n >= len(texts[host]) and not strict
+                                   or 2 * n >= len(texts[host]) or named):
+            want[host].add(h)
+    got = {r.page_id: r.text for r in op3.main_text(frame(spark, rows)).collect()}
+    assert got == {i: Page(html).text(want[url[7]]) for i, url, html in rows}
+    assert any(want.values())
