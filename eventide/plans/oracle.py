@@ -200,6 +200,28 @@ oracle("partition_balance", """SELECT count(*) AS partitions, max(messages) AS m
 FROM (SELECT "partition", count(*) AS messages FROM routed GROUP BY "partition") s""", _ROUTED)
 
 
+from eventide.plans.queries import HEAVY_KEYS, SKETCH_RANGE  # noqa: E402
+
+_HEAVY = {"heavy": f"""SELECT customer_id, count(*) AS orders FROM orders_placed
+GROUP BY customer_id HAVING count(*) > (SELECT count(*) FROM orders_placed) // {HEAVY_KEYS + 1}"""}
+oracle("heavy_customers", "SELECT customer_id, orders FROM heavy", _HEAVY)
+oracle("partition_even", """
+SELECT CAST(p AS INTEGER) AS "partition", loads[p + 1] AS messages, n AS messages_by_hash
+FROM (SELECT loads FROM placed ORDER BY i DESC LIMIT 1) l, (SELECT p, count(*) AS n FROM hashed GROUP BY p) h""", {
+    **_HEAVY,
+    "hashed": f"SELECT customer_id, {duck_murmur2('customer_id')} % {len(_ALL)} AS p FROM orders_placed",
+    "rest": f"""SELECT list(coalesce(n, 0) ORDER BY r) AS loads FROM range({len(_ALL)}) t(r)
+LEFT JOIN (SELECT p, count(*) AS n FROM hashed WHERE customer_id NOT IN (SELECT customer_id FROM heavy) GROUP BY p) ON p = r""",
+    "ranked": "SELECT orders, row_number() OVER (ORDER BY orders DESC, customer_id) AS i FROM heavy",
+    # heaviest first, each to the partition that is least loaded by then
+    "placed": """SELECT CAST(0 AS BIGINT) AS i, loads FROM rest
+UNION ALL
+SELECT i + 1, list_transform(loads, lambda x, j: CASE WHEN j = least_loaded THEN x + orders ELSE x END)
+FROM (SELECT placed.i, loads, orders, list_position(loads, list_min(loads)) AS least_loaded
+      FROM placed JOIN ranked ON ranked.i = placed.i + 1) s"""})
+ORACLE["partition_even"] = ORACLE["partition_even"].replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 # --- projections, validation, evolution ------------------------------------------
 _K = "CAST(substr(order_id, 7) AS BIGINT)"
 
@@ -376,6 +398,10 @@ oracle("latency_histogram", f"""SELECT event_type, {_LE}, count(value) AS count,
 # the sketch's accuracy is over the number of rows of a group here, so that it is exact
 oracle("latency_quantiles", """SELECT event_type, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.99) AS p99
 FROM events GROUP BY event_type""")
+oracle("latency_quantiles_range", f"""
+SELECT event_type, count(value) AS "values", quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.9) AS p90, quantile_disc(value, 0.99) AS p99
+FROM events WHERE date_trunc('hour', ts) >= TIMESTAMP '{SKETCH_RANGE[0]}' AND date_trunc('hour', ts) < TIMESTAMP '{SKETCH_RANGE[1]}'
+GROUP BY event_type""")
 oracle("next_offsets", 'SELECT topic, "partition", max("offset") + 1 AS next_offset FROM event_log GROUP BY topic, "partition"')
 oracle("consumer_lag", """
 SELECT topic, "partition", end_offset, committed_offset, end_offset - committed_offset AS lag,

@@ -104,6 +104,7 @@ def q_transition_check(spark, sf):
 # --- partitioning (R-1 .. R-6) ----------------------------------------------
 from eventide.functions.hashing import murmur2  # noqa: E402
 from eventide.operators import partitioning as P  # noqa: E402
+from eventide.operators import sketches as SK  # noqa: E402
 
 OUTAGE_AVAILABLE = [0, 2, 3, 5, 8, 9, 10, 11]  # 1 and 4 down, eu-west (6-7) fully down
 
@@ -156,6 +157,26 @@ def q_partition_balance(spark, sf):
     return P.partition_balance(_routed(spark, sf))
 
 
+HEAVY_KEYS = 1023  # counters of a summary: a heavy customer has more than a 1024th of the orders
+
+
+@query("heavy_customers")
+def q_heavy_customers(spark, sf):
+    """R-6: customers with more than a 1024th of all orders, from a Misra-Gries summary, counted exactly."""
+    return SK.heavy_keys(V.orders_placed(spark, sf), "customer_id", HEAVY_KEYS).withColumnsRenamed({"key": "customer_id", "rows": "orders"})
+
+
+@query("partition_even")
+def q_partition_even(spark, sf):
+    """R-6: partition loads by the key's hash, and after heavy customers are placed heaviest first."""
+    orders = V.orders_placed(spark, sf).select("order_id", "customer_id")
+    default = P.default_partition("customer_id", list(range(S.NUM_TOPIC_PARTITIONS)))
+    even = SK.even_partitions(orders, "customer_id", default, HEAVY_KEYS)
+    after = even.groupBy("partition").agg(F.count(F.lit(1)).alias("messages"))
+    before = orders.groupBy(default.alias("partition")).agg(F.count(F.lit(1)).alias("messages_by_hash"))
+    return after.join(before, "partition", "full")
+
+
 # --- projections, validation, evolution (P, F, E) -----------------------------
 from eventide import schemas as S  # noqa: E402
 from eventide.operators import monitoring as M  # noqa: E402
@@ -368,6 +389,18 @@ def q_latency_quantiles(spark, sf):
     return M.latency_quantiles(read_events(spark, sf), "value", ["event_type"])
 
 
+SKETCH_RANGE = ("2024-01-05 06:00:00", "2024-01-25 12:00:00")
+
+
+@query("latency_quantiles_range")
+def q_latency_quantiles_range(spark, sf):
+    """A-6: quantiles of a range of hours, merged from the stored sketch of each."""
+    path = scratch_path(spark, "latency-sketches")
+    events = V._events(spark, sf, "ts", "event_type", "value")
+    SK.latency_sketches(events, "ts", "value", ["event_type"]).write.partitionBy("day").parquet(path)
+    return SK.quantiles_of_range(spark.read.parquet(path), *SKETCH_RANGE, ["event_type"], {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+
+
 @query("next_offsets")
 def q_next_offsets(spark, sf):
     return M.next_offsets(V.event_log(spark, sf))
