@@ -385,6 +385,14 @@ SELECT key AS customer_id, op, ts_ms, name, email, region, tier
 FROM (SELECT * FROM customer_changes QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts_ms DESC, seq DESC) = 1) c
 WHERE op <> 'd'""")
 
+oracle("cdc_snapshot_customers", """
+SELECT key AS customer_id, name, email, region, tier
+FROM (SELECT * FROM customer_changes QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts_ms DESC, seq DESC) = 1) c
+WHERE op <> 'd'""")
+oracle("cdc_snapshot_orders", f"""
+SELECT order_id, customer_id, CAST(total_amount + CASE WHEN {_K} % 3 = 0 THEN 10 ELSE 0 END AS DECIMAL(12,2)) AS total_amount, region
+FROM orders_placed WHERE {_K} % 11 <> 0""")
+
 # --- monitoring -----------------------------------------------------------------------
 from eventide.operators.monitoring import LATENCY_BUCKETS_MS  # noqa: E402
 
@@ -470,6 +478,10 @@ FROM event_log, (VALUES ('none'), ('lz4_raw'), ('snappy'), ('zstd')) c(codec) GR
 ORACLE["dedup_events"] = ORACLE["topic_sink_roundtrip"]
 ORACLE["resume_pipeline"] = ORACLE["topic_sink_roundtrip"]
 ORACLE["upsert_sink"] = ORACLE["compact_latest"]
+oracle("retention_files", f"""
+SELECT * FROM event_log
+WHERE (CASE topic {_RET} END) IS NULL
+   OR epoch_ms(date_trunc('hour', "timestamp")) + 3600000 > epoch_ms(TIMESTAMP '2024-01-31 00:00:00') - (CASE topic {_RET} END)""")
 oracle("fan_out", """SELECT 'topic' AS sink, count(*) AS "rows", count(*) AS reported_rows FROM event_log
 UNION ALL SELECT 'archive', count(*), count(*) FROM event_log""")
 ORACLE["exactly_once_pipeline"] = ORACLE["eos_transform"]
@@ -506,6 +518,20 @@ ORACLE["enrich_orders_interleaved_state"] = ORACLE["enrich_orders_asof"]
 oracle("partition_layout", """SELECT order_id, customer_id, "partition", "partition" AS physical_partition
 FROM routed""", _ROUTED)
 ORACLE["late_events_stream"] = ORACLE["late_events"]
+from eventide.plans.queries import MAX_MESSAGE_BYTES  # noqa: E402
+from eventide.streaming.observed import ERROR, SUCCESS, TOO_LARGE  # noqa: E402
+
+_DELIVERED = {"delivered": f"""SELECT *, CASE WHEN coalesce(octet_length(encode(value)), 0) > {MAX_MESSAGE_BYTES} THEN '{TOO_LARGE}' END AS error_type
+FROM event_log"""}
+oracle("delivery_reports", f"""
+SELECT topic, "partition", "offset" AS "position", CASE WHEN error_type IS NULL THEN "offset" END AS "offset",
+       CASE WHEN error_type IS NULL THEN '{SUCCESS}' ELSE '{ERROR}' END AS status, error_type
+FROM delivered""", _DELIVERED)
+oracle("produced_counters_stream", f"""
+SELECT 'produced' AS metric, topic, CASE WHEN error_type IS NULL THEN '{SUCCESS}' ELSE '{ERROR}' END AS label, count(*) AS value
+FROM delivered GROUP BY ALL
+UNION ALL
+SELECT 'produce_errors', topic, error_type, count(*) FROM delivered WHERE error_type IS NOT NULL GROUP BY ALL""", _DELIVERED)
 oracle("metric_counters", f"""
 SELECT 'consumed' AS metric, 'topic=' || topic || ',partition=' || CAST("partition" AS VARCHAR) AS labels, count(*) AS value
 FROM event_log GROUP BY topic, "partition"

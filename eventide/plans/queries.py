@@ -4,6 +4,8 @@ domain views) so its work grows with the data."""
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -182,6 +184,7 @@ from eventide import schemas as S  # noqa: E402
 from eventide.operators import monitoring as M  # noqa: E402
 from eventide.operators import reliability as D  # noqa: E402
 from eventide.operators import transforms as TR  # noqa: E402
+from eventide.operators import change_capture as CC  # noqa: E402
 from eventide.sources import topics as TP  # noqa: E402
 
 AS_OF = "2024-01-31 00:00:00"
@@ -366,6 +369,52 @@ def q_cdc_apply(spark, sf):
         "customer_id", "op", "ts_ms", "p.name", "p.email", "p.region", "p.tier")
 
 
+def _snapshot_of(changes, number, bounds):
+    """A chunked read of the table that a change log makes, while it changes: (snapshot, marks).
+
+    Chunk i is read between two marks of the log, each row at a moment of its
+    own within; what is read is the row as of that moment.
+    """
+    spark = changes.sparkSession
+    lo, hi = changes.agg(F.min("lsn"), F.max("lsn")).first()
+    if lo is None:
+        return changes.select("key", "row"), spark.createDataFrame([], "chunk int, low long, high long")
+    step = (hi - lo) // (len(bounds) + 2) + 1
+    marks = spark.createDataFrame([(i, lo + i * step, lo + (i + 1) * step) for i in range(len(bounds) + 1)], "chunk int, low long, high long")
+    moment = F.col("low") + F.pmod(F.xxhash64("key"), F.col("high") - F.col("low") + 1)
+    seen = changes.withColumn("chunk", CC.chunk_of(number, bounds)).join(F.broadcast(marks), "chunk").filter(F.col("lsn") <= moment)
+    rows = tables.compact_latest(seen.select("key", "lsn", "op", "row"), ["key"], ["lsn"], tombstone=F.col("op") == "d")
+    return rows.select("key", "row"), marks
+
+
+def _captured(log, row_schema):
+    """Current rows by a snapshot in four chunks and the change log, whose values are envelopes."""
+    changes = CC.parse_envelope(log, row_schema)
+    number = F.substring_index("key", "-", -1).cast("long")
+    top = log.agg(F.max(number)).first()[0] or 0
+    bounds = [top * i // 4 for i in (1, 2, 3)]
+    snapshot, marks = _snapshot_of(changes, number, bounds)
+    return CC.snapshot_and_changes(snapshot, changes, marks, CC.chunk_of(number, bounds))
+
+
+@query("cdc_snapshot_customers")
+def q_cdc_snapshot_customers(spark, sf):
+    """S-8: the customer table by its chunked snapshot joined with the running change log."""
+    c = V.customer_changes(spark, sf)
+    log = c.select("key", CC.envelope(F.col("op"), F.lit(None).cast("string"), F.col("after"), F.col("ts_ms"), F.col("ts_ms")).alias("value"))
+    now = _captured(log, "name string, email string, region string, tier string")
+    return now.select(F.col("key").alias("customer_id"), "row.name", "row.email", "row.region", "row.tier")
+
+
+@query("cdc_snapshot_orders")
+def q_cdc_snapshot_orders(spark, sf):
+    """S-8: the order table, created, paid more and deleted while it is read."""
+    c = V.order_changes(spark, sf)
+    log = c.select("key", CC.envelope(*[F.col(x) for x in ("op", "before", "after", "ts_ms", "lsn")]).alias("value"))
+    now = _captured(log, "customer_id string, total_amount decimal(12,2), region string")
+    return now.select(F.col("key").alias("order_id"), "row.customer_id", "row.total_amount", "row.region")
+
+
 # --- monitoring (A-5 .. A-10) -----------------------------------------------------
 @query("log_counters")
 def q_log_counters(spark, sf):
@@ -533,6 +582,20 @@ def q_archive_day_range(spark, sf):
     return K.read_archive(spark, path, *ARCHIVE_DAYS).select(*S.LOG_FIELDS)
 
 
+@query("retention_files")
+def q_retention_files(spark, sf):
+    """F-4 on files: of each topic's archive the hours past its retention are deleted by their folders' names."""
+    log, base, kept = V.event_log(spark, sf), scratch_path(spark, "retention"), []
+    for topic in sorted(set(V.EVENT_TOPIC.values())):
+        _, keep_ms, policy = S.TOPICS[topic]
+        K.write_archive(TP.scan_topic(log, topic), f"{base}/{topic}", "timestamp")
+        if keep_ms is not None and policy != "compact":
+            K.expire_archive(spark, f"{base}/{topic}", dt.datetime.fromisoformat(AS_OF) - dt.timedelta(milliseconds=keep_ms))
+        if K.holds_files(spark, f"{base}/{topic}"):
+            kept.append(K.read_archive(spark, f"{base}/{topic}").select(*S.LOG_FIELDS))
+    return functools.reduce(DataFrame.unionByName, kept)
+
+
 @query("fan_out")
 def q_fan_out(spark, sf):
     base = scratch_path(spark, "fan-out")
@@ -555,6 +618,7 @@ def q_fan_out(spark, sf):
 
 # --- streaming (T-3 .. T-7, J-2, T-4, F-5) ---------------------------------------------
 from eventide.streaming import keyed_state as KS  # noqa: E402
+from eventide.streaming import observed as OB  # noqa: E402
 from eventide.streaming import pipelines as ST  # noqa: E402
 from eventide.functions.scan import running_sums  # noqa: E402
 
@@ -846,6 +910,25 @@ def q_late_events_stream(spark, sf):
     return ST.read_batches(spark, dlq).select("order_id", "created_at", "watermark")
 
 
+MAX_MESSAGE_BYTES = 8  # of the test events' values some have 9: so that some are refused
+
+
+@query("delivery_reports")
+def q_delivery_reports(spark, sf):
+    """X-6: what a producer is told of each record."""
+    d = OB.delivery_reports(V.event_log(spark, sf).withColumn("position", F.col("offset")), MAX_MESSAGE_BYTES)
+    return d.select("topic", "partition", "position", "offset", "status", "error_type")
+
+
+@query("produced_counters_stream")
+def q_produced_counters_stream(spark, sf):
+    """A-5: produced{topic,status} and produce_errors{topic,error_type}, observed while a stream writes its records."""
+    src = _stage(V.event_log(spark, sf), spark, "produce-src")
+    stream = OB.delivery_reports(ST.file_stream(spark, src, S.LOG, max_files_per_trigger=4), MAX_MESSAGE_BYTES)
+    log = OB.run_observed(stream, "produced", OB.produced_counters(), scratch_path(spark, "produce-out"), scratch_path(spark, "produce-ck"))
+    return OB.counter_table(spark, log.totals("produced"))
+
+
 @query("metric_counters")
 def q_metric_counters(spark, sf):
     """A-5: labelled counters in long form (metric, labels, value):

@@ -12,6 +12,7 @@ by the caller), never on a machine-local folder.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -115,6 +116,34 @@ def read_archive(spark: SparkSession, path: str, day_from: str | None = None, da
     return df
 
 
+def expire_archive(spark: SparkSession, path: str, before: dt.datetime) -> list[str]:
+    """F-4 on files: delete the hours of an archive that end at or before ``before`` (UTC); the folders deleted.
+
+    An hour's folder says when it is, so no data file is opened, neither of
+    what goes nor of what stays.  The listing is one name per hour.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "/".join(f"{c}=*" for c in ARCHIVE_COLS))) or []:
+        folder = status.getPath()
+        parts = dict(x.split("=", 1) for x in folder.toString().rsplit("/", len(ARCHIVE_COLS))[1:])
+        if not all(v.isdigit() for v in parts.values()):
+            continue  # rows without time have no age
+        start = dt.datetime(*(int(parts[c]) for c in ARCHIVE_COLS))
+        if start + dt.timedelta(hours=1) <= before:
+            fs.delete(folder, True)
+            gone.append(folder.toString())
+    return gone
+
+
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether any hour of an archive is left."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "/".join(f"{c}=*" for c in ARCHIVE_COLS) + "/*.parquet")))
+
+
 # K-4 -----------------------------------------------------------------------------
 def fan_out(df: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]]) -> dict[str, int]:
     """K-4: evaluate ``df`` once (persisted) and hand it to every sink.

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide import schemas as S
-from eventide.functions.columns import money_from_cents, pick
+from eventide.functions.columns import money_from_cents, ntz_to_millis, pick
 from eventide.functions.scan import row_positions
 from eventide.sources.tables import read_table
 
@@ -277,3 +277,26 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                                      F.col("updated_at")).alias("ts_ms"),
                     F.lit(0).alias("seq"))
+
+
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change log of the order table: (key, lsn, op, before, after, ts_ms), one log position per change.
+
+    Every order is created; every third is paid more a day later, every eleventh
+    deleted two days later.
+    """
+    o = orders_placed(spark, sf_dir)
+    k = F.substring_index("order_id", "-", -1).cast("long")
+    row = lambda amount: F.to_json(F.struct("customer_id", amount.alias("total_amount"), "region"))
+    created, paid = row(F.col("total_amount")), row((F.col("total_amount") + 10).cast(S.MONEY))
+    third, eleventh = F.pmod(k, F.lit(3)) == 0, F.pmod(k, F.lit(11)) == 0
+    none = F.lit(None).cast("string")
+    step = lambda op, n, when, before, after: F.when(when, F.struct(
+        F.lit(op).alias("op"), F.lit(n).alias("n"), before.alias("before"), after.alias("after")))
+    steps = F.array_compact(F.array(step("c", 0, F.lit(True), none, created), step("u", 1, third, created, paid),
+                                    step("d", 2, eleventh, F.when(third, paid).otherwise(created), none)))
+    each = o.select("order_id", k.alias("k"), "placed_at", F.explode(steps).alias("s"))
+    ts_ms = ntz_to_millis(F.col("placed_at")) + F.col("s.n") * 86_400_000
+    return each.select(F.col("order_id").alias("key"), "s.op", "s.before", "s.after", ts_ms.alias("ts_ms"),
+                       # a position that all changes have one of, in their order: by time, then order, then step
+                       (ts_ms / 86_400_000 * 4_000_000_000 + F.col("k") * 4 + F.col("s.n")).cast("long").alias("lsn"))
