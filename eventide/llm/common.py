@@ -30,6 +30,14 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` is called so (case does not tell names apart)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_row_key(df: DataFrame, name: str) -> DataFrame:
     """``df`` with a key of each row that is the same whenever and however the rows are read.
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from eventide.llm.common import spare_name
+
 #: bound of the learning sample: rows of each language, and code points taken of each row
 SAMPLE_ROWS = 120
 SAMPLE_CHARS = 1500
@@ -98,10 +100,10 @@ def _scores(content: dict[str, bytes]):
     return run
 
 
-def identify(docs: DataFrame, content: dict[str, bytes], text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``__lang`` (lang_pred, score) made from the whole text alone."""
+def identify(docs: DataFrame, content: dict[str, bytes], text_col: str = "text", name: str = "lang_of_text") -> DataFrame:
+    """``docs`` with a column ``name`` (lang_pred, score) made from the whole text alone."""
     scored = F.pandas_udf(_scores(content), "lang_pred string, score double")
-    return docs.withColumn("__lang", scored(F.col(text_col)))
+    return docs.withColumn(name, scored(F.col(text_col)))
 
 
 def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -120,12 +122,15 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     content = learn(docs, id_col, text_col, lang_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return identify(rows, content).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__lang.lang_pred").alias("lang_pred"),
-        F.col("__lang.score").alias("score"),
-        ((F.col("__lang.lang_pred") == UNKNOWN) | (F.col("__lang.score") < min_margin)).alias("rejected"))
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_of_text.lang_pred", "lang_of_text.score",
+        (~_told("lang_of_text", min_margin)).alias("rejected"))
+
+
+def _told(name: str, min_margin: float):
+    return (F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= min_margin)
 
 
 def keep_identified(docs: DataFrame, min_margin: float = MIN_MARGIN) -> DataFrame:
     """``docs`` without the rows that the classifier rejects, all columns as they came."""
-    scored = identify(docs, learn(docs))
-    return scored.filter((F.col("__lang.lang_pred") != UNKNOWN) & (F.col("__lang.score") >= min_margin)).drop("__lang")
+    name = spare_name(docs, "lang_of_text")
+    return identify(docs, learn(docs), name=name).filter(_told(name, min_margin)).drop(name)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from eventide.llm.common import WHITE, bind, drop_staged, stage_table
+from eventide.llm.common import WHITE, bind, drop_staged, spare_name, stage_table
 
 BLOCK_BYTES = 4096
 
@@ -120,13 +120,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns as they came (the row named by ``keep_id``)."""
-    spare = "__op7_"
+    """``docs`` with one row of each group of equal texts, all columns as they came (the row named by ``keep_id``).
+
+    Of rows that share the id and the text that stays, the first by text and
+    then by all columns as JSON: whichever of equal rows is the same row.
+    """
+    named, place = spare_name(docs, "op7_key"), spare_name(docs, "op7_place")
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.sha2(normalised(F.col(text_col)), 256))
     kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text_sha256").alias(spare + "key"))
-    first = W.partitionBy(spare + "key").orderBy(F.char_length(F.coalesce(F.col(text_col), F.lit(""))).desc())
-    return (docs.withColumn(spare + "key", key).join(kept, spare + "key", "left_semi")
-            .withColumn(spare + "n", F.row_number().over(first)).filter(F.col(spare + "n") == 1)
+        F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text_sha256").alias(named))
+    order = [F.char_length(F.coalesce(F.col(text_col), F.lit(""))).desc(), F.col(text_col),
+             F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))]
+    return (docs.withColumn(named, key).join(kept, named, "left_semi")
+            .withColumn(place, F.row_number().over(W.partitionBy(named).orderBy(*order))).filter(F.col(place) == 1)
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
-

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import drop_staged, slices, stage_table
+from eventide.llm.common import drop_staged, slices, spare_name, stage_table
 from eventide.llm.components import connected_components
 from eventide.llm.words import WordHashes, common, shingle_set
 
@@ -318,6 +318,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near-duplicates (the one of smallest id), all columns as they came."""
-    spare = "__op8_id"
+    spare = spare_name(docs, "op8_id")
     gone = near_duplicates(docs, id_col, text_col).filter("not kept and doc_id is not null").select(F.col("doc_id").alias(spare))
     return docs.join(gone.distinct(), F.col(id_col) == F.col(spare), "left_anti")
