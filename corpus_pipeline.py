@@ -14,22 +14,43 @@ from eventide.llm.common import stage_table, table, vocabulary
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the classifier tells; those it rejects go."""
+    """Documents whose language the classifier tells; those it rejects go.
+
+    Null, empty and letterless texts are rejected; rows without id or language
+    are judged like others and teach nothing; repeated rows are judged each; a
+    tie of two languages has no margin and is rejected; an empty table stays
+    empty; further columns, whatever their names, come along.
+    """
     return op10_language_id.keep_identified(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: the longest as written, then the smallest id.
+
+    Null and empty texts and those of white space alone are one group; a row
+    without id goes before none with one; of repeated rows one stays; an empty
+    table stays empty; further columns, whatever their names, come along.
+    """
     return op7_exact_dedup.drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8 or more)."""
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8 or more): the smallest id.
+
+    Texts without words and rows without id link with nothing and stay; rows
+    that share an id stay or go together, repeated ones too; an empty table stays
+    empty; further columns, whatever their names, come along.
+    """
     return op8_minhash_dedup.drop_near_duplicates(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sequences: one row per piece of a document."""
+    """The sequences: one row per piece of a document.
+
+    Null and empty texts are the end mark alone; rows without id and repeated
+    rows are documents of their own; longer documents than a sequence are cut;
+    an empty table gives no rows; further columns are not read.
+    """
     return op6_packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
 
 
