@@ -11,6 +11,8 @@ BUILD_BEAM = 48
 _BATCH = 512
 #: flags of visited vectors held at a time
 _FLAGS = 32 * 2**20
+#: products of queries and members held at a time
+_PRODUCTS = 16_000_000
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -156,11 +158,15 @@ class Hnsw:
         order = np.argsort(-sims, axis=1, kind="stable")
         return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
 
-    def within(self, q: np.ndarray, least: float, width: int) -> list[np.ndarray]:
-        """Members found with similarity ``least`` or more; a beam that is full of such is widened."""
+    def within(self, q: np.ndarray, least: float, width: int, widest: int) -> list[np.ndarray]:
+        """Members found with similarity ``least`` or more; a beam that is full of such is widened.
+
+        A query that fills a beam of ``widest`` stands in a cluster so dense that
+        it is compared with all members, many queries at a time.
+        """
         out: list[np.ndarray] = [np.empty(0, np.int64)] * len(q)
         todo = np.arange(len(q))
-        while len(todo):
+        while len(todo) and width <= widest:
             entry = self._descend(q[todo], 0, self.levels[0][0])
             ids, sims = self._beam(q[todo], entry, 0, min(width, len(self.x)))
             hit = (sims >= least) & (ids >= 0)
@@ -168,4 +174,10 @@ class Hnsw:
             for i in np.flatnonzero(~full):
                 out[todo[i]] = ids[i, hit[i]]
             todo, width = todo[full], 2 * width
+        step = max(1, _PRODUCTS // max(1, len(self.x)))
+        for lo in range(0, len(todo), step):
+            part = todo[lo:lo + step]
+            near = q[part] @ self.x.T >= least
+            for j, i in enumerate(part):
+                out[i] = np.flatnonzero(near[j])
         return out

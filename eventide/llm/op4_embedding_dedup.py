@@ -25,6 +25,8 @@ SHARDS, SHARD_ROWS = 8, 200_000
 BLOCK_ROWS = 8192
 #: first beam of a query
 BEAM = 48
+#: a query that fills a beam so many times as wide is compared with the whole shard
+WIDEST = 8
 #: audited queries: of all, and of those with links; and the part of their links that must be found
 AUDIT, RECALL = 384, 0.999
 #: below the threshold by so much a similarity in single precision is verified in double
@@ -71,24 +73,29 @@ class _Forest:
 
 
 def audited_links(graph: Hnsw, q: np.ndarray, least: float, seed: int = 5) -> list[np.ndarray]:
-    """Members near each query, by beams wide enough that the audit passes."""
+    """Members near each query, by beams wide enough that the audit passes.
+
+    The audit is the mean, over audited queries that have links, of the share of
+    each one's links that was found: a query with two links counts as much as
+    one with thousands.
+    """
     rng, q32 = np.random.default_rng(seed), q.astype(np.float32)
     width = BEAM
     while True:
-        found = graph.within(q32, least - _SLACK, width)
+        found = graph.within(q32, least - _SLACK, width, WIDEST * width)
         some = np.array([i for i, f in enumerate(found) if len(f) > 1], np.int64)
         sample = np.unique(np.concatenate([rng.permutation(len(q))[:AUDIT], rng.permutation(some)[:AUDIT]]))
-        right = total = 0
+        shares = []
         for lo in range(0, len(sample), 64):
             part = sample[lo:lo + 64]
             truth = q32[part] @ graph.x.T >= least
-            total += int(truth.sum())
-            right += sum(int(truth[j, found[i]].sum()) for j, i in enumerate(part))
-        if right >= RECALL * total or width >= len(graph.x):
+            shares += [truth[j, found[i]].sum() / n for j, i in enumerate(part) if (n := truth[j].sum())]
+        passed = not shares or float(np.mean(shares)) >= RECALL
+        if passed or width >= len(graph.x):
             break
         width *= 2
-    if right < RECALL * total:  # no beam is wider: the shard is compared whole
-        found = [np.flatnonzero(graph.x @ v >= least - _SLACK) for v in q32]
+    if not passed:  # no beam is wider: the shard is compared whole
+        found = graph.within(q32, least - _SLACK, 1, 0)
     return found
 
 

@@ -59,3 +59,37 @@ def test_graph_finds_large_groups():
     hit = sum(truth[i, f].sum() for i, f in enumerate(found))
     assert hit >= 0.999 * truth.sum()
     assert all((graph.links[0][v] != v).all() for v in range(len(x)))
+
+
+def test_a_dense_cluster_takes_no_beams_of_its_size():
+    """3,000 different near vectors among 6,000 loose ones: every link is found, in time that the links allow."""
+    import time
+    rng = np.random.default_rng(2)
+    near = rng.normal(size=(1, 64)) + rng.normal(size=(3000, 64)) * 0.05
+    x = unit(np.vstack([near, rng.normal(size=(6000, 64))]))
+    graph = Hnsw.build(x.astype(np.float32))
+    start = time.time()
+    found = op4.audited_links(graph, x, 0.9)
+    took = time.time() - start
+    truth = x @ x.T >= 0.9
+    np.fill_diagonal(truth, False)
+    assert truth.sum() >= 3000 * 2999
+    assert sum(truth[i, f].sum() for i, f in enumerate(found)) == truth.sum() and took < 120
+
+
+def test_the_audit_counts_each_query_alike():
+    """One cluster holds nearly all links; isolated pairs that the first beams miss still widen them."""
+    rng = np.random.default_rng(4)
+    hub = rng.normal(size=(1, 16)) + rng.normal(size=(400, 16)) * 0.01
+    pairs = rng.normal(size=(100, 16))
+    x = unit(np.vstack([hub, pairs, pairs + rng.normal(size=(100, 16)) * 0.01]))
+    graph, widths = Hnsw.build(x.astype(np.float32)), []
+    within = graph.within
+
+    def blind(q, least, width, widest):
+        widths.append(width)
+        found = within(q, least, width, widest)
+        return found if width > op4.BEAM else [f if i < 400 else np.array([i]) for i, f in enumerate(found)]
+    graph.within = blind
+    found = op4.audited_links(graph, x, 0.9)
+    assert widths == [op4.BEAM, 2 * op4.BEAM] and len(found[450]) == 2
