@@ -223,6 +223,28 @@ def nested_item_rules(items: str = "items") -> dict[str, Column]:
             "item_price_positive": F.forall(arr, lambda x: x["unit_price"] > 0)}
 
 
+def payment_rules() -> dict[str, Column]:
+    """Field constraints of a payment row."""
+    return {
+        "payment_id_required": F.col("payment_id").isNotNull(),
+        "order_id_required": F.col("order_id").isNotNull(),
+        "amount_required": F.col("amount").isNotNull(),
+        "currency_length": F.length("currency") == 3,
+        "payment_method_enum": F.col("payment_method").isin(*S.PAYMENT_METHODS),
+        "status_enum": F.col("status").isin(*S.PAYMENT_STATUSES),
+    }
+
+
+def alert_rules() -> dict[str, Column]:
+    """Field constraints of a fraud alert."""
+    return {
+        "alert_id_required": F.col("alert_id").isNotNull(),
+        "customer_id_required": F.col("customer_id").isNotNull(),
+        "risk_score_range": F.col("risk_score").between(0.0, 1.0),
+        "window_order": F.col("window_start") < F.col("window_end"),
+    }
+
+
 def validate(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Add ``violations`` (names of failed rules, in rule order) and ``valid``.
     A rule that evaluates to null counts as failed."""

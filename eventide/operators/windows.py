@@ -49,8 +49,9 @@ def order_window_stats(orders: DataFrame, window: str = S.FRAUD_WINDOW, key: str
     """A-1: count, amount and distinct regions per key and tumbling window."""
     aggs = [F.count(F.lit(1)).alias("order_count"),
             F.sum(amount).cast(S.MONEY_SUM).alias("total_amount"),
-            F.count_distinct(region).alias("region_count")]
-    if with_regions:  # regions come from a fixed enum, so the set is bounded
+            # regions come from a fixed enum: the set is bounded, and made on the mappers, in one shuffle
+            F.size(F.collect_set(region)).cast("long").alias("region_count")]
+    if with_regions:
         aggs.append(F.array_sort(F.collect_set(region)).alias("regions"))
     g = F.window(F.col(ts), window)
     return (orders.groupBy(g.alias("w"), F.col(key)).agg(*aggs)

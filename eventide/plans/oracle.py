@@ -366,6 +366,14 @@ WHERE customer_id IS NOT NULL AND customer_id NOT IN (
   SELECT key FROM (SELECT key, op FROM customer_changes QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts_ms DESC, seq DESC) = 1) c
   WHERE op <> 'd')""")
 
+oracle("fk_orphan_payments", f"""SELECT {_uuid("'payment:' || order_id")} AS payment_id, order_id FROM orders_placed WHERE {_K} % 11 = 0""")
+_BAD = f"concat_ws(',', CASE WHEN {_K} % 5 = 0 THEN 'amount_required' END, CASE WHEN {_K} % 7 = 0 THEN 'status_enum' END)"
+oracle("validate_payments", f"""SELECT {_uuid("'payment:' || order_id")} AS payment_id, order_id, {_BAD} = '' AS valid, {_BAD} AS violations
+FROM orders_placed""")
+_ALERTS = ORACLE["fraud_alerts"]
+ORACLE["validate_alerts"] = f"""SELECT alert_id, score <= 1.0 AS valid, CASE WHEN score <= 1.0 THEN '' ELSE 'risk_score_range' END AS violations
+FROM (SELECT alert_id, CASE WHEN order_count % 2 = 0 THEN 2 ELSE 1 END * risk_score AS score FROM ({_ALERTS}) a) s"""
+
 # --- sources --------------------------------------------------------------------------
 oracle("scan_topic", "SELECT * FROM event_log WHERE topic = 'orders.placed'")
 oracle("scan_multi_topic", "SELECT * FROM event_log WHERE topic IN ('orders.enriched', 'payments.processed')")
@@ -469,14 +477,15 @@ oracle("dlq_summary", """SELECT CAST(sum(CASE WHEN ok THEN 1 ELSE 0 END) AS BIGI
 
 
 # --- sinks and streaming (results compared with the batch definitions) ------------------
-ORACLE["topic_sink_roundtrip"] = ORACLE["scan_topic"].replace(" WHERE topic = 'orders.placed'", "")
-ORACLE["archive_roundtrip"] = ORACLE["topic_sink_roundtrip"]
+oracle("topic_sink_roundtrip", """SELECT *, 'txn-' || topic || '-' || CAST("partition" AS VARCHAR) AS transaction_id,
+       CAST("partition" AS VARCHAR) AS source_partition, CAST("offset" AS VARCHAR) AS source_offset FROM event_log""")
+ORACLE["archive_roundtrip"] = ORACLE["scan_topic"].replace(" WHERE topic = 'orders.placed'", "")
 oracle("archive_day_range", """SELECT * FROM event_log
 WHERE "timestamp" >= TIMESTAMP '2024-01-05 00:00:00' AND "timestamp" < TIMESTAMP '2024-01-13 00:00:00'""")
 oracle("codec_roundtrip", """SELECT codec, count(*) AS "rows", CAST(sum(length(value)) AS BIGINT) AS value_chars
 FROM event_log, (VALUES ('none'), ('lz4_raw'), ('snappy'), ('zstd')) c(codec) GROUP BY codec""")
-ORACLE["dedup_events"] = ORACLE["topic_sink_roundtrip"]
-ORACLE["resume_pipeline"] = ORACLE["topic_sink_roundtrip"]
+ORACLE["dedup_events"] = ORACLE["archive_roundtrip"]
+ORACLE["resume_pipeline"] = ORACLE["archive_roundtrip"]
 ORACLE["upsert_sink"] = ORACLE["compact_latest"]
 oracle("retention_files", f"""
 SELECT * FROM event_log
@@ -511,7 +520,7 @@ SELECT order_id, created_at, watermark FROM (
                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 30 DAY AS watermark
   FROM shipments) s
 WHERE created_at < watermark""")
-ORACLE["dedup_events_batch"] = ORACLE["topic_sink_roundtrip"]
+ORACLE["dedup_events_batch"] = ORACLE["archive_roundtrip"]
 ORACLE["fraud_alerts_stream_state"] = ORACLE["fraud_alerts"]
 ORACLE["enrich_orders_interleaved"] = ORACLE["enrich_orders_asof"]
 ORACLE["enrich_orders_interleaved_state"] = ORACLE["enrich_orders_asof"]

@@ -255,6 +255,29 @@ def q_validate_orders(spark, sf):
     return v.select("order_id", "valid", F.concat_ws(",", "violations").alias("violations"))
 
 
+def _violations(df, rules, *keys):
+    v = TR.validate(df, rules)
+    return v.select(*keys, "valid", F.concat_ws(",", "violations").alias("violations"))
+
+
+@query("validate_payments")
+def q_validate_payments(spark, sf):
+    """F-1: payments by their rules; every seventh order's has a status that is none, every fifth's no amount."""
+    k = F.substring_index("order_id", "-", -1).cast("long")
+    p = TR.payments(V.orders_placed(spark, sf).select("order_id", "customer_id", "total_amount", "currency", "placed_at", "payment_method"))
+    p = p.withColumns({"status": F.when(k % 7 == 0, F.lit("lost")).otherwise(F.col("status")),
+                       "amount": F.when(k % 5 != 0, F.col("amount"))})
+    return _violations(p, TR.payment_rules(), "payment_id", "order_id")
+
+
+@query("validate_alerts")
+def q_validate_alerts(spark, sf):
+    """F-1: alerts by their rules; those of even order counts have their score doubled, which takes some out of range."""
+    a = W.fraud_alerts(V.fraud_orders(spark, sf), W.SCALED_RULE)
+    a = a.withColumn("risk_score", F.when(F.col("order_count") % 2 == 0, 2 * F.col("risk_score")).otherwise(F.col("risk_score")))
+    return _violations(a, TR.alert_rules(), "alert_id")
+
+
 @query("constraint_report")
 def q_constraint_report(spark, sf):
     return TR.constraint_report(V.profile_updates(spark, sf), ["customer_id"], ["email", "name"],
@@ -277,12 +300,15 @@ def q_classify_errors(spark, sf):
     return TR.classify_errors(V.failures(spark, sf)).select("event_id", "error_name", "error_type", "retryable")
 
 
-@query("record_headers")
-def q_record_headers(spark, sf):
-    log = V.event_log(spark, sf)
-    h = TR.with_headers(log, {
+def _with_source(log):
+    return TR.with_headers(log, {
         "transaction_id": F.concat(F.lit("txn-"), F.col("topic"), F.lit("-"), F.col("partition").cast("string")),
         "source_partition": F.col("partition"), "source_offset": F.col("offset")})
+
+
+@query("record_headers")
+def q_record_headers(spark, sf):
+    h = _with_source(V.event_log(spark, sf))
     return h.select("topic", "partition", "offset", F.size("headers").alias("header_count"),
                     TR.header_value("transaction_id").alias("transaction_id"),
                     TR.header_value("source_partition").alias("source_partition"),
@@ -320,6 +346,14 @@ def q_fk_orphans(spark, sf):
                             "customer_id", "key").select("order_id", "customer_id")
 
 
+@query("fk_orphan_payments")
+def q_fk_orphan_payments(spark, sf):
+    """J-4: payments whose order the change log has deleted."""
+    orders = V.orders_placed(spark, sf).select("order_id", "customer_id", "total_amount", "currency", "placed_at", "payment_method")
+    alive = TP.cdc_apply(V.order_changes(spark, sf), order=["lsn"])
+    return joins.fk_orphans(TR.payments(orders), alive, "order_id", "key").select("payment_id", "order_id")
+
+
 # --- sources (S-1 .. S-6, S-8) ------------------------------------------------------
 @query("scan_topic")
 def q_scan_topic(spark, sf):
@@ -545,9 +579,11 @@ from eventide.sinks import files as K  # noqa: E402
 
 @query("topic_sink_roundtrip")
 def q_topic_sink_roundtrip(spark, sf):
+    """K-1: records written and read back, headers too."""
     path = scratch_path(spark, "topic-sink")
-    K.write_topic(V.event_log(spark, sf), path)
-    return TP.read_topic_files(spark, path)
+    K.write_topic(_with_source(V.event_log(spark, sf)), path)
+    return TP.read_topic_files(spark, path).select(
+        *S.LOG_FIELDS, *[TR.header_value(h).alias(h) for h in ("transaction_id", "source_partition", "source_offset")])
 
 
 UPSERT_CUTS = ["1996-05-10 00:00:00", "1998-10-20 00:00:00"]

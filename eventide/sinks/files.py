@@ -26,9 +26,9 @@ ARCHIVE_COLS = ["year", "month", "day", "hour"]
 
 
 def write_topic(log: DataFrame, path: str, codec: str = "lz4", mode: str = "append") -> None:
-    """K-1: file-backed topic sink (keyed rows with explicit partition ids)."""
+    """K-1: file-backed topic sink (keyed rows with explicit partition ids, and their headers if they have any)."""
     codec = {"lz4": "lz4_raw"}.get(codec, codec)
-    (log.select(*S.LOG_FIELDS).write.mode(mode).option("compression", codec)
+    (log.select(*S.LOG_FIELDS, *[c for c in log.columns if c == "headers"]).write.mode(mode).option("compression", codec)
         .partitionBy("topic").parquet(path))
 
 

@@ -19,11 +19,11 @@ from eventide.functions.scan import row_positions
 
 
 def read_topic_files(spark: SparkSession, path: str, topics: list[str] | None = None) -> DataFrame:
-    """Scan a file-backed log (Parquet partitioned by topic)."""
+    """Scan a file-backed log (Parquet partitioned by topic); records that were written with headers have them."""
     df = spark.read.parquet(path)
     if topics:
         df = df.filter(F.col("topic").isin(*topics))  # partition pruning
-    return df.select(*S.LOG_FIELDS)
+    return df.select(*S.LOG_FIELDS, *[c for c in df.columns if c == "headers"])
 
 
 def read_kafka(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest",
@@ -41,10 +41,10 @@ def read_kafka(spark: SparkSession, servers: str, topics: list[str], starting: s
         r = r.option("kafka.isolation.level", "read_committed")
     if ending and not stream:
         r = r.option("endingOffsets", ending)
-    df = r.load()
+    df = r.option("includeHeaders", "true").load()
     return df.select("topic", F.col("key").cast("string").alias("key"),
                      F.col("value").cast("string").alias("value"), "partition", "offset",
-                     instant_to_ntz(F.col("timestamp")).alias("timestamp"))
+                     instant_to_ntz(F.col("timestamp")).alias("timestamp"), "headers")
 
 
 def scan_topic(log: DataFrame, topic: str) -> DataFrame:
