@@ -132,12 +132,12 @@ def test_fold_with_null_keys_and_times(spark):
 
 
 def test_decode_keeps_rows_with_a_bad_amount_and_refuses_trailing_text(spark):
-    from eventide.sources import views as V
     rows = [(1, '{"order_id":"a","total_amount":"abc"}'), (2, '{"order_id":"b","total_amount":12.5} '), (3, '{"order_id":"c"} x'),
-            (4, "not-json"), (5, None), (6, '{"order_id":"d","total_amount":"7.25"}')]
-    got = {r.k: r for r in TP.decode_json(spark.createDataFrame(rows, "k int, value string"), V.ORDER_JSON_SCHEMA).collect()}
+            (4, "not-json"), (5, None), (6, '{"order_id":"d","total_amount":"7.25","items":[{"product_id":"p","unit_price":1.5},null]}')]
+    got = {r.k: r for r in TP.decode_json(spark.createDataFrame(rows, "k int, value string"), S.ORDER_PLACED_V1).collect()}
     assert {k: r.decoded for k, r in got.items()} == {1: True, 2: True, 3: False, 4: False, 5: False, 6: True}
     assert [got[k].total_amount for k in (1, 2, 6)] == [None, Decimal("12.50"), Decimal("7.25")]
+    assert got[6]["items"][0].unit_price == Decimal("1.50") and got[6]["items"][0].quantity is None and got[1]["items"] is None
 
 
 def test_nested_items_total_and_rules(spark):

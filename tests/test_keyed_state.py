@@ -244,3 +244,25 @@ def test_status_and_history_are_read_from_the_state_store(spark):
     assert {tuple(r) for r in KS.order_statuses(spark, ckpt).collect()} == {("a", "fulfilled"), ("b", "placed")}
     assert sorted((r.order_id, r.event_id, r.from_status, r.to_status) for r in KS.order_history(spark, ckpt).collect()) == [
         ("a", 1, "placed", "paid"), ("a", 3, "paid", "fulfilled")]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_order_states_are_the_fold_of_all_batches(seed):
+    """Any requests in any micro-batches: what each meets, and the status that is left."""
+    rng = random.Random(seed)
+    own, handle, got, event = KS.OrderStates(S.VALID_TRANSITIONS, S.INITIAL_STATUS), Handle(), [], 0
+    own.init(handle)
+    want, now = [], S.INITIAL_STATUS
+    for _ in range(rng.randint(1, 6)):
+        rows = [(event + i, rng.randint(0, 3), rng.choice([*S.ORDER_STATUSES, "payment_failed", "placed", "bogus", None])) for i in range(rng.randint(1, 12))]
+        event += len(rows)
+        for _, i, r in sorted(((us, i, r) for i, us, r in rows), key=lambda x: x[:2]):
+            ok = r in S.VALID_TRANSITIONS.get(now, ())
+            want.append((i, now, ok))
+            now = r if ok else now
+        rng.shuffle(rows)
+        frame = pd.DataFrame(rows, columns=["event_id", "us", "requested_status"]).assign(customer_id="c")
+        parts = [frame.iloc[:len(rows) // 2], frame.iloc[len(rows) // 2:]]
+        for out in own.handleInputRows(("o",), iter([p for p in parts if len(p)]), None):
+            got += list(zip(out["event_id"], out["previous_status"], out["accepted"]))
+    assert [(i, p, bool(a)) for i, p, a in got] == want and handle.states["status"].v == (now,)

@@ -52,128 +52,3 @@ class _State:
 
     def update(self, v):
         self.value = v
-
-
-@settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.sampled_from(["order", "profile"]), st.integers(0, 4), st.integers(0, 5)),
-                min_size=1, max_size=25),
-       st.booleans())
-def test_j2_group_fn_matches_brute_force(rows, seeded):
-    """J-2 group function vs. a direct reading of the rule: an order sees
-    the last profile at or before it in (time, profiles first, email)
-    order, else the stored profile; the state ends as the last profile."""
-    from decimal import Decimal
-
-    import pandas as pd
-
-    from eventide.streaming.pipelines import _latest_profile_fn
-    recs = []
-    for i, (kind, t, e) in enumerate(rows):
-        prof = kind == "profile"
-        recs.append({"order_id": None if prof else f"o{i}", "customer_id": "c",
-                     "total_amount": None if prof else Decimal("1.00"), "currency": None if prof else "USD",
-                     "region": "us-east", "placed_at": None if prof else pd.Timestamp(2024, 1, 1, t),
-                     "kind": kind, "__t": pd.Timestamp(2024, 1, 1, t),
-                     "name": f"n{e}" if prof else None, "email": f"e{e}" if prof else None,
-                     "tier": f"t{i}" if prof else None})
-    pdf = pd.DataFrame(recs)
-    seed = ("sn", "se", "st") if seeded else None
-    state = _State(seed)
-    out = pd.concat(list(_latest_profile_fn("__t")(("c",), iter([pdf]), state)))
-    got = dict(zip(out["order_id"], zip(out["__p_name"], out["__p_email"], out["__p_tier"])))
-    # brute force: for each order scan every profile
-    profs = [r for r in recs if r["kind"] == "profile"]
-
-    def key(p):
-        return (p["__t"], 0, p["email"], p["name"], p["tier"])
-    want = {}
-    for r in recs:
-        if r["kind"] != "order":
-            continue
-        before = [p for p in profs if (p["__t"], 0) <= (r["__t"], 1)]
-        if before:
-            p = max(before, key=key)
-            want[r["order_id"]] = (p["name"], p["email"], p["tier"])
-        else:
-            want[r["order_id"]] = seed if seed else (None, None, None)
-    assert got == want
-    if profs:
-        p = max(profs, key=key)
-        assert state.value == (p["name"], p["email"], p["tier"])
-    else:
-        assert state.value == seed
-
-
-class _TimedState(_State):
-    def __init__(self, value=None, watermark_ms=0):
-        super().__init__(value)
-        self.watermark_ms = watermark_ms
-        self.timeout_ms = None
-
-    hasTimedOut = False
-
-    def getCurrentWatermarkMs(self):
-        return self.watermark_ms
-
-    def setTimeoutTimestamp(self, ms):
-        self.timeout_ms = ms
-
-    def remove(self):
-        self.value = None
-
-
-@settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.lists(st.tuples(st.integers(0, 29), st.integers(1, 900), st.sampled_from(S.REGIONS)),
-                         min_size=1, max_size=12), min_size=1, max_size=3))
-def test_alert_group_fn_matches_brute_force(batches):
-    """A-2 state function over several micro-batches (in time order) vs.
-    counting directly: running count, cents and distinct regions per
-    customer and 10-minute window, state carried between batches."""
-    import pandas as pd
-
-    from eventide.streaming.pipelines import _running_window_fn
-    window_us = 600 * 1_000_000
-    fn = _running_window_fn(window_us)
-    state = _TimedState()
-    seen, got, want = [], {}, {}
-    base = 0
-    for b, rows in enumerate(batches):
-        recs = [{"order_id": f"o{b}-{i}", "placed_us": (base + m) * 60_000_000, "cents": c, "region": r}
-                for i, (m, c, r) in enumerate(rows)]
-        base += 30  # the next batch is later (no late rows)
-        out = pd.concat(list(fn(("c",), iter([pd.DataFrame(recs)]), state)))
-        got.update({r.order_id: (r.order_count, r.total_cents, r.region_count, r.window_start_us)
-                    for r in out.itertuples(index=False)})
-        seen += recs
-    seen.sort(key=lambda r: (r["placed_us"], r["order_id"]))
-    for i, r in enumerate(seen):
-        ws = r["placed_us"] - r["placed_us"] % window_us
-        prior = [p for p in seen[:i + 1] if p["placed_us"] - p["placed_us"] % window_us == ws]
-        want[r["order_id"]] = (len(prior), sum(p["cents"] for p in prior), len({p["region"] for p in prior}), ws)
-    assert got == want
-
-
-@settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.lists(st.sampled_from(S.ORDER_STATUSES + ["bogus"]), min_size=1, max_size=10),
-                min_size=1, max_size=3))
-def test_state_machine_group_fn_matches_fold(batches):
-    """T-1 state function across micro-batches vs. a plain Python fold."""
-    import pandas as pd
-
-    from eventide.streaming.pipelines import _state_machine_fn
-    fn = _state_machine_fn(S.VALID_TRANSITIONS, S.INITIAL_STATUS)
-    state = _State()
-    got, cur, want = [], S.INITIAL_STATUS, []
-    n = 0
-    for reqs in batches:
-        pdf = pd.DataFrame({"order_id": "o", "customer_id": "c", "event_id": range(n, n + len(reqs)),
-                            "ts": pd.Timestamp(2024, 1, 1), "requested_status": reqs})
-        n += len(reqs)
-        out = pd.concat(list(fn(("o",), iter([pdf]), state)))
-        got += list(zip(out["previous_status"], out["new_status"], out["accepted"]))
-        for req in reqs:
-            ok = req in S.VALID_TRANSITIONS.get(cur, [])
-            want.append((cur, req, ok))
-            cur = req if ok else cur
-    assert got == want
-    assert state.value == (cur,)
