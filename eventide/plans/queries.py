@@ -4,6 +4,7 @@ domain views) so its work grows with the data."""
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import functools
 from collections.abc import Callable
@@ -722,11 +723,24 @@ def _tick(df, at):
     return df.sparkSession.range(1).select(*nulls).withColumn(at, _ts("2100-01-01 00:00:00"))
 
 
+@contextlib.contextmanager
+def _state_partitions(spark):
+    """Twice the cores, if the session asks for more shuffle partitions: each one is a state store of its own."""
+    most, key = 2 * spark.sparkContext.defaultParallelism, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key, "200")
+    spark.conf.set(key, str(min(int(before), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _run_slices(spark, df, arrival, at, name, build, cuts):
     """Feed ``df`` in slices of ``arrival`` and then a tick to the stream that ``build`` makes; (its output, its checkpoint)."""
     out, ckpt = scratch_path(spark, f"{name}-out"), None
     for stream, ckpt in _stream_in_slices(spark, df, arrival, name, None, cuts=cuts, tick=_tick(df, at)):
-        ST.run_until_caught_up(build(stream), ST.append_batches(out), ckpt)
+        with _state_partitions(spark):
+            ST.run_until_caught_up(build(stream), ST.append_batches(out), ckpt)
     return ST.read_batches(spark, out).drop("batch_id"), ckpt
 
 
@@ -836,7 +850,8 @@ def q_order_state_changes_stream(spark, sf):
     """T-1 streaming, the whole log in one micro-batch: the longest run of requests an order can have."""
     reqs, out = V.state_requests(spark, sf), scratch_path(spark, "sm-out")
     stream = ST.file_stream(spark, _stage(reqs, spark, "sm-src"), reqs.schema)
-    ST.run_until_caught_up(KS.order_state_stream(stream), ST.append_batches(out), scratch_path(spark, "sm-ckpt"))
+    with _state_partitions(spark):
+        ST.run_until_caught_up(KS.order_state_stream(stream), ST.append_batches(out), scratch_path(spark, "sm-ckpt"))
     return ST.read_batches(spark, out).drop("batch_id")
 
 

@@ -34,6 +34,16 @@ SLICE = 10_000
 _NO_TIME = -(2**63)
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _store(spark: SparkSession) -> None:
+    """The state API needs a store of several column families, which of Spark's own is RocksDB: set where a session has not."""
+    if "RocksDB" not in spark.conf.get(_PROVIDER, ""):
+        spark.conf.set(_PROVIDER, _ROCKSDB)
+
+
 def from_micros(us: str) -> Column:
     return F.timestamp_add("MICROSECOND", F.col(us), F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
 
@@ -124,6 +134,7 @@ def order_state_stream(requests: DataFrame, transitions: dict | None = None, ini
     Status is kept without expiry: a late request for a finished order must be
     rejected against its final status.  ``order_history`` reads the transitions.
     """
+    _store(requests.sparkSession)
     rows = requests.select("order_id", "customer_id", "event_id", "requested_status",
                            F.coalesce(ntz_to_micros(F.col("ts")), F.lit(_NO_TIME)).alias("us"))
     out = rows.groupBy("order_id").transformWithStateInPandas(
@@ -239,6 +250,7 @@ def running_windows_stream(orders: DataFrame, window_seconds: int, delay_seconds
     values, and count nowhere.  Orders without time are left out, rows without
     order id only move the watermark.
     """
+    _store(orders.sparkSession)
     timed = orders.select(
         "customer_id", "order_id", "region", ntz_to_micros(F.col("placed_at")).alias("us"),
         F.coalesce((F.col("amount") * 100).cast("long"), F.lit(0)).alias("cents"),
@@ -353,6 +365,7 @@ def asof_enrichment_stream(events: DataFrame, order_schema: T.StructType, delay_
     watermark.
     """
     from eventide.operators.joins import _enriched_columns
+    _store(events.sparkSession)
     timed = events.select("kind", "customer_id", "payload", "name", "email", "tier", ntz_to_micros(F.col("at")).alias("us"),
                           ntz_to_instant(F.col("at")).alias("__event_time")).filter("us is not null")
     rows = timed.withWatermark("__event_time", f"{delay_seconds} seconds").drop("__event_time")
