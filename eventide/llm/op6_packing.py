@@ -28,10 +28,10 @@ END_ID = 1
 PART_ROWS = 8192
 #: exchanges among parts
 ROUNDS = 4
-#: bytes of words and ids that a task remembers; beyond, it starts afresh
-MEMO_BYTES = 32 * 1024 * 1024
-#: bytes of a remembered word besides its own: two objects and a place in the dictionary
-_ENTRY = 180
+#: bytes of words, stems and ids that a worker remembers, about; beyond, it starts afresh
+MEMO_BYTES = 112 * 1024 * 1024
+#: of these, what a word and its share of the stems take besides its own letters
+_ENTRY = 170
 #: bytes of text that are encoded together, about
 TOGETHER_BYTES = 512 * 1024
 _TAIL = ".,!?;:%&$#*|"
@@ -54,10 +54,9 @@ class WordEncoder:
         vocab = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocab.values()) + 1, bool)
         self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.forget()
+        self._forget()
 
-    def forget(self) -> None:
-        """Empty the memory: at the end of a task, and when it is full."""
+    def _forget(self) -> None:
         self.words: dict[bytes, bytes] = {}
         self.stems: dict[str, bytes] = {}
         self.held = 0
@@ -68,12 +67,10 @@ class WordEncoder:
         ends = np.flatnonzero(self.closes[ids]) + 1
         for stem, lo, hi in zip(stems, np.concatenate([[0], ends[:-1]]), ends, strict=True):
             self.stems[stem] = ids[lo:hi].tobytes()
-            self.held += len(stem) + 4 * (hi - lo) + _ENTRY
 
     def _learn_others(self, texts: list[str]) -> None:
         for t, e in zip(texts, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             self.words[t.encode()] = np.array(e.ids, "<u4").tobytes()
-            self.held += len(t) + 4 * len(e.ids) + _ENTRY
 
     def _learn(self, words: set[bytes]) -> None:
         cut, others, stems = [], set(), set()
@@ -95,16 +92,16 @@ class WordEncoder:
             self._learn_others(list(others))
         for raw, stem, tail in cut:
             self.words[raw] = self.stems[stem] + (self.words[tail] if tail else b"")
-            self.held += len(raw) + len(self.words[raw]) + _ENTRY
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, ``END_ID`` last."""
         if self.held > MEMO_BYTES:
-            self.forget()
+            self._forget()
         split = [(t or "").encode().split() for t in texts]  # bytes: ASCII white space only
         known = self.words
         new = {w for ws in split for w in ws if w not in known}
         if new:
+            self.held += 2 * sum(map(len, new)) + _ENTRY * len(new)
             self._learn(new)
         end = np.array([END_ID], "<u4").tobytes()
         return [b"".join(map(known.__getitem__, ws)) + end for ws in split]
@@ -114,7 +111,7 @@ _encoders: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder of a vocabulary file: the tokenizer is kept between tasks, what a task remembers is not."""
+    """The worker's encoder of a vocabulary file, kept between tasks with what it remembers, which is bounded in bytes."""
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
@@ -126,7 +123,6 @@ _PIECES = "doc_id long, rid long, piece int, start long, length long, ids_crc32
 def _cut(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        enc.forget()
         for batch in batches:
             for at, end in slices(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist(), TOGETHER_BYTES):
                 part = batch.slice(at, end - at)
@@ -144,7 +140,6 @@ def _cut(path: str, capacity: int):
                     part.column("doc_id").take(at_rows), part.column("rid").take(at_rows), pa.array(piece, pa.int32()),
                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "rid", "piece", "start", "length", "ids_crc32"])
-        enc.forget()
     return run
 
 
