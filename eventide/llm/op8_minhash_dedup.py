@@ -31,7 +31,9 @@ BANDS, ROWS = 40, 5
 PERCENT = 80
 #: sketch bits that may differ: 5 standard deviations above the mean at 0.8 (1 bit each of 200 minima), 3e-7 differ in more
 SKETCH_SLACK = 5.0
-#: bytes of text of a block on either side, and of the blocks of a task, about (a longer text is a block of its own)
+#: vertices of a block on either side, and block rows of a task, about
+REST_BLOCK, ALL_BLOCK, TASK_ROWS = 256, 1024, 2048
+#: the same in bytes of text, where that makes more blocks or tasks (a longer text is a block of its own)
 REST_BYTES, ALL_BYTES, TASK_BYTES = 1 << 20, 4 << 20, 8 << 20
 #: bytes of text that are signed together, about
 SIGN_BYTES = 1 << 20
@@ -239,21 +241,24 @@ class _Candidates:
     def _compare_rest(self, now: DataFrame) -> None:
         """Compare what is not joined to its buckets' main component with all that shares such a bucket.
 
-        Both sides of a main component are cut into blocks by bytes of text; a
-        task gets some pairs of blocks, with their texts.
+        Both sides of a main component are cut into blocks, by vertices and by
+        bytes of text; a task gets some pairs of blocks, with their texts.
         """
         sides = stage_table(now.groupBy("main", "vid").agg(F.max("comp").alias("comp"))
                             .withColumn("rest", F.col("comp") != F.col("main")).join(self.texts.select("vid", "size"), "vid"), "sides")
+        cut = lambda rows, size, by_rows, by_bytes: F.greatest(
+            F.ceil(rows / by_rows), F.ceil(F.coalesce(size, F.lit(0)) / by_bytes)).cast("long")
         blocks = sides.groupBy("main").agg(
-            F.ceil((F.sum(F.when(F.col("rest"), F.col("size"))) + 1) / REST_BYTES).cast("long").alias("zn"),
-            F.ceil((F.sum("size") + 1) / ALL_BYTES).cast("long").alias("xn"))
+            cut(F.count_if("rest"), F.sum(F.when(F.col("rest"), F.col("size"))), REST_BLOCK, REST_BYTES).alias("zn"),
+            cut(F.count(F.lit(1)), F.sum("size"), ALL_BLOCK, ALL_BYTES).alias("xn"))
         told = sides.join(blocks, "main")
         own = lambda n: F.pmod(F.xxhash64("vid"), F.col(n))
         each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
         z = told.filter("rest").select("main", "vid", "comp", "rest", "size", own("zn").alias("zb"), each("xn").alias("xb"))
         x = told.select("main", "vid", "comp", F.lit(False).alias("rest"), "size", each("zn").alias("zb"), own("xn").alias("xb"))
         rows = stage_table(z.unionByName(x), "blocks")
-        tasks = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // TASK_BYTES))
+        n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+        tasks = max(1, -(-n // TASK_ROWS), -(-size // TASK_BYTES))
         whole = (rows.drop("size").join(self.info, "vid").join(self.texts.select("vid", "text"), "vid")
                  .withColumn("task", F.pmod(F.xxhash64("main", "zb", "xb"), F.lit(tasks))))
         found = whole.groupBy("task").applyInArrow(_compare(self.width, self.percent, self.bits), "a long, b long")
