@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.operators import joins, tables
 from eventide.session import scratch_path
@@ -687,20 +688,17 @@ def _stream_in_slices(spark, df, ts, name, writer, output_mode="append", cuts=WE
     micro-batches in arrival order, like a live topic.  Cuts are timestamps
     (strings) or numbers."""
     src, ckpt = scratch_path(spark, f"{name}-src"), scratch_path(spark, f"{name}-ckpt")
+    made = scratch_path(spark, f"{name}-made")
 
     def lit(c):
         return _ts(c) if isinstance(c, str) else F.lit(c)
-    lo = None
-    for hi in list(cuts) + [None]:
-        if lo is None:  # rows without a time come first
-            cond = F.col(ts).isNull() | (F.col(ts) < lit(hi))
-        else:
-            cond = F.col(ts) >= lit(lo)
-            if hi is not None:
-                cond = cond & (F.col(ts) < lit(hi))
-        df.filter(cond).write.mode("append").parquet(src)
+    # rows without a time come first; the frame is made once, whatever the number of slices
+    number = functools.reduce(lambda a, b: a + b, [F.when(F.col(ts) >= lit(c), 1).otherwise(0) for c in cuts])
+    df.withColumn("__slice", number).write.partitionBy("__slice").parquet(made)
+    sliced = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__slice", T.IntegerType())])).parquet(made)
+    for i in range(len(cuts) + 1):
+        sliced.filter(F.col("__slice") == i).drop("__slice").write.mode("append").parquet(src)
         yield ST.file_stream(spark, src, df.schema), ckpt
-        lo = hi
     if tick is not None:
         tick.write.mode("append").parquet(src)
         yield ST.file_stream(spark, src, df.schema), ckpt
