@@ -668,11 +668,17 @@ def _stage(df, spark, name):
     return path
 
 
+#: micro-batches of the exactly-once runs, about
+EOS_BATCHES = 6
+
+
 def _eos_run(spark, sf, runs=2, aborted=False):
     src = _stage(V.orders_log(spark, sf), spark, "eos-src")
     out = scratch_path(spark, "eos-out")
+    # a larger log has more files, and takes them in larger micro-batches
+    files = max(2, -(-len(spark.read.schema(S.LOG).parquet(src).inputFiles()) // EOS_BATCHES))
     for r in range(runs):  # the second run replays every batch (its checkpoint is lost)
-        stream = ST.file_stream(spark, src, S.LOG, max_files_per_trigger=2)
+        stream = ST.file_stream(spark, src, S.LOG, max_files_per_trigger=files)
         ST.run_exactly_once(_eos(stream), out, scratch_path(spark, f"eos-ckpt{r}"))
     if aborted:  # files of a batch that landed but was never committed
         _eos(spark.read.parquet(src)).write.mode("append").parquet(out)

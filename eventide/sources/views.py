@@ -30,6 +30,8 @@ ERROR_NAMES = ["TimeoutError", "ConnectionError", "JSONDecodeError", "UnicodeDec
                "ValidationError", "SchemaError", "RuntimeError", None]
 PROFILE_VERSIONS = 3
 PROFILE_EPOCH = "1994-06-01 00:00:00"
+#: rows of a topic partition that one task numbers when they carry whole orders as JSON (about a kilobyte each)
+WIDE_CHUNK_ROWS = 250_000
 CARRIERS = ["ups", "fedex", "dhl", "usps"]
 
 
@@ -243,7 +245,7 @@ def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         region_partition("customer_id", "region").alias("partition"),
         k.alias("__k"),
         F.col("placed_at").alias("timestamp"))
-    pos = row_positions(rows, ["topic", "partition"], ["timestamp", "__k"], name="offset")
+    pos = row_positions(rows, ["topic", "partition"], ["timestamp", "__k"], name="offset", max_chunk_rows=WIDE_CHUNK_ROWS)
     return pos.select(*S.LOG_FIELDS)
 
 
