@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.operators import joins, tables
-from eventide.session import scratch_path
+from eventide.session import drop_scratch, lean_scratch, scratch_path
 from eventide.sources import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -670,18 +670,27 @@ def _stage(df, spark, name):
 
 #: micro-batches of the exactly-once runs, about
 EOS_BATCHES = 6
+#: orders whose log is made at a time, about: the exchanges of so many are on disk at once
+EOS_SLICE = 4_000_000
 
 
 def _eos_run(spark, sf, runs=2, aborted=False):
-    src = _stage(V.orders_log(spark, sf), spark, "eos-src")
     out = scratch_path(spark, "eos-out")
-    # a larger log has more files, and takes them in larger micro-batches
-    files = max(2, -(-len(spark.read.schema(S.LOG).parquet(src).inputFiles()) // EOS_BATCHES))
-    for r in range(runs):  # the second run replays every batch (its checkpoint is lost)
-        stream = ST.file_stream(spark, src, S.LOG, max_files_per_trigger=files)
-        ST.run_exactly_once(_eos(stream), out, scratch_path(spark, f"eos-ckpt{r}"))
-    if aborted:  # files of a batch that landed but was never committed
-        _eos(spark.read.parquet(src)).write.mode("append").parquet(out)
+    with lean_scratch(spark):
+        first, *more = V.orders_log_slices(spark, sf, EOS_SLICE)
+        src = _stage(first, spark, "eos-src")
+        for part in more:
+            part.write.mode("append").parquet(src)
+        drop_scratch(first)
+        # a larger log has more files, and takes them in larger micro-batches
+        topic = spark.read.schema(S.LOG).parquet(src)
+        files = max(2, -(-len(topic.inputFiles()) // EOS_BATCHES))
+        for r in range(runs):  # the second run replays every batch (its checkpoint is lost)
+            stream = ST.file_stream(spark, src, S.LOG, max_files_per_trigger=files)
+            ST.run_exactly_once(_eos(stream), out, scratch_path(spark, f"eos-ckpt{r}"))
+        if aborted:  # files of a batch that landed but was never committed
+            _eos(spark.read.parquet(src)).write.mode("append").parquet(out)
+        drop_scratch(topic)
     return _items_as_text(ST.read_committed(spark, out))
 
 

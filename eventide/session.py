@@ -8,11 +8,13 @@ lineage cuts land on the shared file system the cluster names.
 
 from __future__ import annotations
 
+import contextlib
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings we rely on; applied only where the session leaves them unset.
 _DEFAULTS = {
@@ -94,5 +96,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: settings under which a large scratch table is made: small files, and the files of a write's
+#: shuffles go when it ends, not when the driver happens to collect its garbage
+_LEAN = {"spark.sql.parquet.compression.codec": "zstd", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextlib.contextmanager
+def lean_scratch(spark: SparkSession):
+    """Tables written inside take little disk, and leave no shuffle files behind."""
+    before = {k: spark.conf.get(k, None) for k in _LEAN}
+    for k, v in _LEAN.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def drop_scratch(*frames: DataFrame) -> None:
+    """Delete the folders of ``scratch_path`` that ``frames`` read and no later step does; other files are left alone."""
+    for df in frames:
+        spark = df.sparkSession
+        base = re.escape(_path(ensure_checkpoint_dir(spark).rstrip("/")))
+        folders = {m.group() for f in df.inputFiles() if (m := re.match(rf"{base}/[^/]+-[0-9a-f]{{12}}(?=/)", _path(f)))}
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark).rstrip("/") + "/" + folder.rsplit("/", 1)[1])
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _path(uri: str) -> str:
+    """The path of a file without its store's name."""
+    return re.sub(r"^[\w+.-]+:(//[^/]*)?(?=/)", "", uri)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide import schemas as S
 from eventide.functions.columns import money_from_cents, ntz_to_millis, pick
 from eventide.functions.scan import row_positions
+from eventide.session import drop_scratch, scratch_path
 from eventide.sources.tables import read_table
 
 # Fixed values of the test mapping.
@@ -32,12 +34,18 @@ PROFILE_VERSIONS = 3
 PROFILE_EPOCH = "1994-06-01 00:00:00"
 #: rows of a topic partition that one task numbers when they carry whole orders as JSON (about a kilobyte each)
 WIDE_CHUNK_ROWS = 250_000
+#: a log with more rows in a partition gets its offsets before the orders meet their items
+PLAIN_LOG_ROWS = 25_000
 CARRIERS = ["ups", "fedex", "dhl", "usps"]
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
 
 
 def orders_placed(spark: SparkSession, sf_dir: str, *raw: str) -> DataFrame:
     """Order records; ``raw`` columns of the table come along from the same scan."""
-    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", *raw)
+    return _placed(read_table(spark, sf_dir, "orders", *_ORDER_COLUMNS, *raw), *raw)
+
+
+def _placed(o: DataFrame, *raw: str) -> DataFrame:
     k = F.col("o_orderkey")
     return o.select(
         F.concat(F.lit("order-"), k.cast("string")).alias("order_id"),
@@ -53,16 +61,24 @@ def orders_placed(spark: SparkSession, sf_dir: str, *raw: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _order_lines(spark, sf_dir).select(
+        F.concat(F.lit("order-"), F.col("l_orderkey").cast("string")).alias("order_id"),
+        "line_number", _product_id(F.col("l_partkey")).alias("product_id"), "product_name", "quantity", "unit_price")
+
+
+def _product_id(partkey: Column) -> Column:
+    return F.concat(F.lit("PROD-"), partkey.cast("string"))
+
+
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines under the keys of the tables."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",
                     "l_quantity", "l_extendedprice")
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
     # part grows with the data: let AQE pick the join from runtime sizes.
     j = li.join(part, li.l_partkey == part.p_partkey, "left")
     return j.select(
-        F.concat(F.lit("order-"), F.col("l_orderkey").cast("string")).alias("order_id"),
-        F.col("l_linenumber").alias("line_number"),
-        F.concat(F.lit("PROD-"), F.col("l_partkey").cast("string")).alias("product_id"),
-        F.col("p_name").alias("product_name"),
+        "l_orderkey", F.col("l_linenumber").alias("line_number"), "l_partkey", F.col("p_name").alias("product_name"),
         F.col("l_quantity").cast("int").alias("quantity"),
         money_from_cents(F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity"))).alias("unit_price"),
     )
@@ -74,9 +90,13 @@ def orders_with_items(spark: SparkSession, sf_dir: str, *raw: str) -> DataFrame:
     item = F.struct("line_number", "product_id", "product_name", "quantity", "unit_price")
     items = order_items(spark, sf_dir).groupBy("order_id").agg(F.sort_array(F.collect_list(item)).alias("items"))
     j = orders_placed(spark, sf_dir, *raw).join(items, "order_id", "left")
-    kind = "array<struct<product_id:string,product_name:string,quantity:int,unit_price:decimal(12,2)>>"
-    bare = F.transform(F.coalesce("items", F.array().cast(items.schema["items"].dataType)), lambda x: x.dropFields("line_number"))
-    return j.withColumn("items", bare.cast(kind))
+    return j.withColumn("items", _bare(F.col("items"), items.schema["items"].dataType))
+
+
+def _bare(items: Column, kind: T.DataType) -> Column:
+    """Sorted items without their line numbers; none where there are no lines."""
+    bare = F.transform(F.coalesce(items, F.array().cast(kind)), lambda x: x.dropFields("line_number"))
+    return bare.cast("array<struct<product_id:string,product_name:string,quantity:int,unit_price:decimal(12,2)>>")
 
 
 def profile_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,19 +254,69 @@ def orders_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``orders.placed`` topic: orders as JSON keyed by customer, routed
     by the region partitioner; every 20th order key is a corrupt value."""
+    return orders_log_slices(spark, sf_dir, None)[0]
+
+
+def orders_log_slices(spark: SparkSession, sf_dir: str, slice_rows: int | None) -> list[DataFrame]:
+    """The rows of ``orders_log`` in frames of about ``slice_rows`` orders, by the hash of the order's key.
+
+    Written one after the other they need the exchanges of one slice on disk at a time.
+    """
     from eventide.operators.partitioning import region_partition
-    o = orders_with_items(spark, sf_dir)
-    k = F.substring_index("order_id", "-", -1).cast("long")
-    rows = o.select(
+    slot, k = region_partition("customer_id", "region").alias("partition"), F.substring_index("order_id", "-", -1).cast("long")
+    most, rows = orders_placed(spark, sf_dir).groupBy(slot).count().agg(F.max("count"), F.sum("count")).first()
+    if (most or 0) <= PLAIN_LOG_ROWS:
+        wide = _messages(orders_with_items(spark, sf_dir), k, slot, k.alias("__k"))
+        pos = row_positions(wide, ["topic", "partition"], ["timestamp", "__k"], name="offset", max_chunk_rows=WIDE_CHUNK_ROWS)
+        return [pos.select(*S.LOG_FIELDS)]
+    numbered, lines = _numbered_orders(spark, sf_dir, slot, k), _order_lines(spark, sf_dir).filter("l_orderkey is not null")
+    slices = max(1, -(-rows // slice_rows)) if slice_rows else 1
+
+    def of(df: DataFrame, key: str, i: int) -> DataFrame:
+        return df.filter(F.pmod(F.xxhash64(key), F.lit(slices)) == i) if slices > 1 else df
+    return [_messages(_with_lines(of(numbered, "o_orderkey", i), of(lines, "l_orderkey", i)), k, "partition", "offset").select(*S.LOG_FIELDS)
+            for i in range(slices)]
+
+
+def _messages(o: DataFrame, k: Column, *more: Column | str) -> DataFrame:
+    """Orders as messages of the log."""
+    return o.select(
         F.lit("orders.placed").alias("topic"),
         F.col("customer_id").alias("key"),
         F.when(F.pmod(k, F.lit(20)) == 0, F.lit("not-json"))
          .otherwise(F.to_json(F.struct(*S.ORDER_V1_FIELDS))).alias("value"),
-        region_partition("customer_id", "region").alias("partition"),
-        k.alias("__k"),
-        F.col("placed_at").alias("timestamp"))
-    pos = row_positions(rows, ["topic", "partition"], ["timestamp", "__k"], name="offset", max_chunk_rows=WIDE_CHUNK_ROWS)
-    return pos.select(*S.LOG_FIELDS)
+        F.col("placed_at").alias("timestamp"), *more)
+
+
+def _numbered_orders(spark: SparkSession, sf_dir: str, slot: Column, k: Column) -> DataFrame:
+    """Orders with partition and offset, for a large log: a written table of the order table's own columns.
+
+    Offsets are given before orders meet their items and become texts, so no exchange carries the JSON.
+    """
+    routed = orders_placed(spark, sf_dir, "o_orderkey", "o_custkey", "o_totalprice").select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.col("placed_at").alias("o_orderdate"), slot, k.alias("__k"))
+    routed = _written(spark, routed, "routed")  # an order without key has drawn its slot here
+    numbered = row_positions(routed, ["partition"], ["o_orderdate", "__k"], name="offset", max_chunk_rows=WIDE_CHUNK_ROWS)
+    table = _written(spark, numbered.drop("__k"), "numbered")
+    drop_scratch(numbered)
+    return table
+
+
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _with_lines(numbered: DataFrame, lines: DataFrame) -> DataFrame:
+    """Numbered orders as order records with their nested ``items``."""
+    line = F.struct("line_number", "l_partkey", "product_name", "quantity", "unit_price")
+    # lines go to their order's task as they are: gathered before, each would go as a list of its own
+    lists = lines.repartition("l_orderkey").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    item = lambda x: F.struct(x["line_number"].alias("line_number"), _product_id(x["l_partkey"]).alias("product_id"),
+                              x["product_name"].alias("product_name"), x["quantity"].alias("quantity"), x["unit_price"].alias("unit_price"))
+    j = numbered.join(lists, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("items", F.sort_array(F.transform("lines", item)))
+    return _placed(j.withColumn("items", _bare(F.col("items"), j.schema["items"].dataType)), "items", "partition", "offset")
 
 
 def sparse_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
