@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 
 #: links a vector makes; it keeps twice as many on the ground level
 LINKS = 12
 #: beam while the graph is built
 BUILD_BEAM = 48
+#: beam on the levels above the one searched; with 4 a group of near vectors is missed as a whole now and then
+UPPER_BEAM = 16
 _BATCH = 512
 #: flags of visited vectors held at a time
 _FLAGS = 32 * 2**20
 #: products of queries and members held at a time
-_PRODUCTS = 16_000_000
+_PRODUCTS = 4_000_000
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -41,6 +45,26 @@ def _select(own: np.ndarray, cand: np.ndarray, sims: np.ndarray, x: np.ndarray,
     return out
 
 
+class Members(Sequence):
+    """For each query the members found, ascending where many: as numbers, or as bits where those take less."""
+
+    def __init__(self, size: int, members: int):
+        self.members, self.rows = members, [np.empty(0, np.int32)] * size
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        row = self.rows[i]
+        return np.flatnonzero(np.unpackbits(row, count=self.members)) if row.dtype == np.uint8 else row
+
+    def put(self, i: int, found: np.ndarray) -> None:
+        self.rows[i] = found.astype(np.int32)
+
+    def put_flags(self, i: int, flags: np.ndarray) -> None:
+        self.rows[i] = np.packbits(flags) if 32 * flags.sum() > len(flags) else np.flatnonzero(flags).astype(np.int32)
+
+
 class Hnsw:
     """Levels are lists of members; ``links[l][v]`` are the neighbours of v on level l, -1 where there is none."""
 
@@ -61,6 +85,27 @@ class Hnsw:
             graph._build_level(k)
         return graph
 
+    def ties(self) -> list[bytes]:
+        """Each member's links, from the ground level to its highest."""
+        out = [row.tobytes() for row in self.links[0]]
+        for members, links in zip(self.levels[1:], self.links[1:]):
+            for v in members.tolist():
+                out[v] += links[v].tobytes()
+        return out
+
+    @classmethod
+    def tied(cls, x: np.ndarray, ties: list[bytes]) -> "Hnsw":
+        """The graph of the rows of ``x`` whose ``ties`` are given."""
+        size = np.array([len(t) for t in ties]) // 4
+        flat, start, height = np.frombuffer(b"".join(ties), np.int32), np.cumsum(size) - size, size // LINKS - 2
+        order, levels, links = np.argsort(-height, kind="stable"), [], []
+        for k in range(int(height.max()) + 1):
+            levels.append(order[:int((height >= k).sum())])
+            first, room = (0, 2 * LINKS) if k == 0 else ((k + 1) * LINKS, LINKS)
+            links.append(np.full((len(x), room), -1, np.int32))
+            links[k][levels[k]] = flat[start[levels[k]][:, None] + np.arange(first, first + room)]
+        return cls(x, levels, links)
+
     def _build_level(self, k: int) -> None:
         members, at, x = self.levels[k], 0, self.x
         place = np.full(len(x), len(members))
@@ -115,7 +160,7 @@ class Hnsw:
         """A near member of the level above ``down_to`` for each query."""
         entry = np.full(len(q), self.levels[-1][0] if len(self.levels) - 1 > down_to else fallback, np.int64)
         for k in range(len(self.levels) - 1, down_to, -1):
-            entry = self._beam(q, entry, k, 4)[0][:, 0]
+            entry = self._beam(q, entry, k, UPPER_BEAM)[0][:, 0]
         return entry
 
     def _beam(self, q: np.ndarray, entry: np.ndarray, k: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,13 +203,13 @@ class Hnsw:
         order = np.argsort(-sims, axis=1, kind="stable")
         return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
 
-    def within(self, q: np.ndarray, least: float, width: int, widest: int) -> list[np.ndarray]:
+    def within(self, q: np.ndarray, least: float, width: int, widest: int) -> Sequence[np.ndarray]:
         """Members found with similarity ``least`` or more; a beam that is full of such is widened.
 
         A query that fills a beam of ``widest`` stands in a cluster so dense that
         it is compared with all members, many queries at a time.
         """
-        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(q)
+        out = Members(len(q), len(self.x))
         todo = np.arange(len(q))
         while len(todo) and width <= widest:
             entry = self._descend(q[todo], 0, self.levels[0][0])
@@ -172,12 +217,12 @@ class Hnsw:
             hit = (sims >= least) & (ids >= 0)
             full = hit.all(axis=1) & (width < len(self.x))
             for i in np.flatnonzero(~full):
-                out[todo[i]] = ids[i, hit[i]]
+                out.put(todo[i], ids[i, hit[i]])
             todo, width = todo[full], 2 * width
         step = max(1, _PRODUCTS // max(1, len(self.x)))
         for lo in range(0, len(todo), step):
             part = todo[lo:lo + step]
             near = q[part] @ self.x.T >= least
             for j, i in enumerate(part):
-                out[i] = np.flatnonzero(near[j])
+                out.put_flags(i, near[j])
         return out

@@ -7,22 +7,25 @@ vectors' links and passes on a spanning forest of them, not the links.
 
 from __future__ import annotations
 
-import pickle
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventide.llm.common import stage_table
+from eventide.llm.common import drop_staged, stage_table
 from eventide.llm.components import connected_components
 from eventide.llm.hnsw import Hnsw, unit
 
 COSINE = 0.9
-#: shards; more if a shard would have more vectors than the bound
-SHARDS, SHARD_ROWS = 8, 200_000
-#: vectors asked by one task of a shard, about
+#: shards; more if a shard's vectors would take more bytes in double precision than the bound
+SHARDS, SHARD_BYTES = 8, 64 * 2**20
+#: vectors asked at once
 BLOCK_ROWS = 8192
+#: tasks that ask, about; each has a copy of its shard and asks so many vectors of it at most, about
+TASKS, LANE_ROWS = 32, 262_144
 #: first beam of a query
 BEAM = 48
 #: a query that fills a beam so many times as wide is compared with the whole shard
@@ -31,7 +34,6 @@ WIDEST = 8
 AUDIT, RECALL = 384, 0.999
 #: below the threshold by so much a similarity in single precision is verified in double
 _SLACK = 1e-3
-_PIECE = 32 * 2**20
 
 
 def _usable(vec):
@@ -40,16 +42,18 @@ def _usable(vec):
     return F.coalesce((F.size(vec) > 0) & sound & F.exists(vec, lambda x: x != 0), F.lit(False))
 
 
-_INDEX = "dim int, shard long, piece int, blob binary"
+def _vectors(col: pa.Array, dim: int) -> np.ndarray:
+    """The vectors of one length as rows."""
+    return col.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def _build(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """The graph of one shard, serialised in pieces."""
-    exact = unit(np.stack(pdf["vec"].to_numpy()))
-    graph = Hnsw.build(exact.astype(np.float32))
-    blob = pickle.dumps((pdf["cid"].to_numpy(), pdf["w"].to_numpy(), exact, graph.levels, graph.links), protocol=5)
-    pieces = [blob[k:k + _PIECE] for k in range(0, len(blob), _PIECE)]
-    return pd.DataFrame({"dim": key[0], "shard": key[1], "piece": range(len(pieces)), "blob": pieces})
+def _build(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """The graph of one shard: a row for each member, with its place and its links as bytes."""
+    rows, dim = rows.combine_chunks(), key[0].as_py()
+    x = [unit(_vectors(b["vec"], dim).astype(float)).astype(np.float32) for b in rows.to_batches(max_chunksize=BLOCK_ROWS)]
+    graph = Hnsw.build(np.concatenate(x))
+    told = rows.append_column("place", pa.array(np.arange(len(rows), dtype=np.int32))).append_column("ties", pa.array(graph.ties(), pa.binary()))
+    return pa.Table.from_batches(told.select(["dim", "shard", "cid", "vec", "w", "place", "ties"]).to_batches(max_chunksize=BLOCK_ROWS))
 
 
 class _Forest:
@@ -72,7 +76,7 @@ class _Forest:
         return True
 
 
-def audited_links(graph: Hnsw, q: np.ndarray, least: float, seed: int = 5) -> list[np.ndarray]:
+def audited_links(graph: Hnsw, q: np.ndarray, least: float, seed: int = 5) -> Sequence[np.ndarray]:
     """Members near each query, by beams wide enough that the audit passes.
 
     The audit is the mean, over audited queries that have links, of the share of
@@ -99,26 +103,62 @@ def audited_links(graph: Hnsw, q: np.ndarray, least: float, seed: int = 5) -> li
     return found
 
 
-def _ask(least: float):
-    def run(key, queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(index):
-            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="Int64"), "links": pd.Series(dtype="int64")})
-        blob = b"".join(index.sort_values("piece")["blob"])
-        cid, weight, exact, levels, links = pickle.loads(blob)
-        graph = Hnsw(exact.astype(np.float32), levels, links)
+class _Shard:
+    """Members of one shard and their graph, from rows in order of their places."""
+
+    def __init__(self, rows: list[pa.RecordBatch], dim: int):
+        self.cid = np.concatenate([r["cid"].to_numpy() for r in rows])
+        self.weight = np.concatenate([r["w"].to_numpy() for r in rows])
+        self.exact, at = np.empty((len(self.cid), dim)), 0
+        for r in rows:
+            self.exact[at:at + len(r)] = unit(_vectors(r["vec"], dim).astype(float))
+            at += len(r)
+        self.graph = Hnsw.tied(self.exact.astype(np.float32), [t for r in rows for t in r["ties"].to_pylist()])
+
+    def links(self, queries: pa.RecordBatch, least: float) -> pa.RecordBatch:
+        """How many links each query has here, and a forest of them."""
         own = queries["cid"].to_numpy()
-        q = unit(np.stack(queries["vec"].to_numpy()))
+        q = unit(_vectors(queries["vec"], self.exact.shape[1]).astype(float))
         count, forest, a, b = np.zeros(len(own), np.int64), _Forest(), [], []
-        for i, near in enumerate(audited_links(graph, q, least)):
-            near = near[(exact[near] @ q[i] >= least) & (cid[near] != own[i])]
-            count[i] = weight[near].sum()
-            for other in cid[near].tolist():
+        for i, near in enumerate(audited_links(self.graph, q, least)):
+            near = near[(self.exact[near] @ q[i] >= least) & (self.cid[near] != own[i])]
+            count[i] = self.weight[near].sum()
+            for other in self.cid[near].tolist():
                 if forest.joins(int(own[i]), other):
                     a.append(int(own[i]))
                     b.append(other)
-        return pd.DataFrame({"a": np.concatenate([own, np.array(a, np.int64)]),
-                             "b": pd.array([None] * len(own) + b, "Int64"),
-                             "links": np.concatenate([count, np.zeros(len(a), np.int64)])})
+        return pa.record_batch({"a": np.concatenate([own, np.array(a, np.int64)]),
+                                "b": pa.array([None] * len(own) + b, pa.int64()),
+                                "links": np.concatenate([count, np.zeros(len(a), np.int64)])})
+
+
+def _lanes(batch: pa.RecordBatch) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Runs of rows of the same length, shard and lane."""
+    keys = [batch[c].to_numpy() for c in ("dim", "shard", "lane")]
+    cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
+        if lo < hi:
+            yield tuple(int(k[lo]) for k in keys), batch.slice(lo, hi - lo)
+
+
+def _ask(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, told, shard = None, [], None
+        for batch in batches:
+            for key, rows in _lanes(batch):
+                if key != at:
+                    at, told, shard = key, [], None
+                members = len(rows) - rows["ties"].null_count  # they come before the queries
+                if members:
+                    told.append(rows.slice(0, members))
+                if members == len(rows) or not (told or shard):
+                    continue
+                if shard is None:
+                    shard, told = _Shard(told, key[0]), []
+                asked = rows.slice(members)
+                size = -(-len(asked) // -(-len(asked) // BLOCK_ROWS))
+                for lo in range(0, len(asked), size):
+                    yield shard.links(asked.slice(lo, size), least)
     return run
 
 
@@ -134,20 +174,27 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     each other; repeated rows count each as a vector.  An empty table gives no
     rows; other columns are not read.
     """
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    single = isinstance(getattr(vectors.schema[vec_col].dataType, "elementType", None), T.FloatType)
+    kind = "array<float>" if single else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(kind).alias("vec"))
     sound = rows.filter(_usable(F.col("vec")) & F.col("vec_id").isNotNull())
     points = stage_table(sound.groupBy("vec").agg(F.count(F.lit(1)).alias("w"), F.min("vec_id").alias("least"))
                          .withColumn("cid", F.monotonically_increasing_id()), "points")
-    n = points.count()
-    shards, blocks = max(shards, -(-n // SHARD_ROWS)), max(1, -(-n // BLOCK_ROWS))
-    at = points.select(F.size("vec").alias("dim"), "cid", "vec", "w",
-                       F.pmod(F.xxhash64("cid"), F.lit(shards)).alias("shard"),
-                       F.pmod(F.xxhash64("cid", F.lit("block")), F.lit(blocks)).alias("block"))
-    index = stage_table(at.select("dim", "shard", "cid", "vec", "w").groupBy("dim", "shard").applyInPandas(_build, _INDEX), "index")
+    n, numbers = points.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("vec")), F.lit(0))).first()
+    shards = max(shards, -(-8 * numbers // SHARD_BYTES))
+    lanes = max(1, min(-(-n // BLOCK_ROWS), -(-TASKS // shards)), -(-n // LANE_ROWS))
+    at = points.select(F.size("vec").alias("dim"), F.pmod(F.xxhash64("cid"), F.lit(shards)).alias("shard"), "cid", "vec", "w")
+    index = stage_table(at.groupBy("dim", "shard").applyInArrow(
+        _build, f"dim int, shard long, cid long, vec {kind}, w long, place int, ties binary"), "index")
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
-    asked = at.select("dim", every(shards).alias("shard"), "block", "cid", "vec").groupBy("dim", "shard", "block")
-    told = index.withColumn("block", every(blocks)).groupBy("dim", "shard", "block")
-    found = stage_table(asked.cogroup(told).applyInPandas(_ask(cosine), "a long, b long, links long"), "found")
+    asked = at.select("dim", every(shards).alias("shard"), F.pmod(F.xxhash64("cid", F.lit("block")), F.lit(lanes)).alias("lane"), "cid", "vec")
+    told = index.withColumn("lane", every(lanes))
+    # a task reads a shard's members by their places and then, a block at a time, the vectors of its lane
+    laid = told.unionByName(asked, allowMissingColumns=True).repartitionById(
+        shards * lanes, (F.col("shard") * lanes + F.col("lane")).cast("int")).sortWithinPartitions(
+        "dim", "shard", "lane", F.col("place").asc_nulls_last(), "cid")
+    found = stage_table(laid.mapInArrow(_ask(cosine), "a long, b long, links long"), "found")
+    drop_staged(index)
 
     count = found.groupBy("a").agg(F.sum("links").alias("links"))
     comps = connected_components(found.filter("b is not null").select("a", "b"))
